@@ -1,10 +1,81 @@
 """DuckDB SQL equal to each query in ``bank_queries.QUERIES``.
 
-Column names match the Spark side; DuckDB's BIGINT/HUGEINT results are
-cast back to Spark's types where they differ; doubles are rounded on both
-sides where sums are involved.
+Column names match the Spark side.  DuckDB's BIGINT results of
+``year()`` etc. and its HUGEINT sums are cast back to Spark's types.
+Constant tables are written as VALUES from the same Python constants the
+Spark side uses.
 """
 
+from __future__ import annotations
+
+from ledgerlake import schemas as S
+from ledgerlake.plans import roles as R
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return str(v)
+
+
+def values(name: str, cols: str, rows) -> str:
+    body = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in rows)
+    return f"{name}({cols}) AS (VALUES {body})"
+
+
+def cents(expr: str) -> str:
+    return f"CAST(round({expr} * 100) AS BIGINT)"
+
+
+SE_CTE = ", ".join([
+    values("roles", "event_type, transaction_type_id, sign, channel", R.EVENT_ROLES),
+    values("ttypes", "transaction_type_id, type_name", S.TRANSACTION_TYPES),
+    f"""se AS (
+      SELECT e.event_id, e.user_id, e.ts, e.event_type, r.transaction_type_id,
+             t.type_name AS transaction_type, r.sign, r.channel,
+             CASE WHEN r.sign < 0 THEN -{cents('e.value')} ELSE {cents('e.value')} END AS amount_cents,
+             e.props
+      FROM events e JOIN roles r ON e.event_type = r.event_type
+      JOIN ttypes t ON r.transaction_type_id = t.transaction_type_id)"""])
+
+PERIOD = "se.ts >= TIMESTAMP '2023-02-01' AND se.ts < TIMESTAMP '2024-02-01'"
+
+LOANS_CTE = ", ".join([
+    values("prio", "code, id", R.ORDER_PRIORITY_ROLES),
+    values("stat", "code, id", R.ORDER_STATUS_ROLES),
+    values("ltypes", "loan_type_id, type_name", S.LOAN_TYPES),
+    values("lstatus", "status_id, status_name", S.LOAN_STATUS_TYPES),
+    """loans AS (
+      SELECT o.*, p.id AS loan_type_id, s.id AS loan_status_id,
+             lt.type_name AS loan_type, ls.status_name AS loan_status
+      FROM orders o JOIN prio p ON o.o_orderpriority = p.code
+      JOIN stat s ON o.o_orderstatus = s.code
+      JOIN ltypes lt ON p.id = lt.loan_type_id
+      JOIN lstatus ls ON s.id = ls.status_id)""",
+    f"""terms AS (
+      SELECT l_orderkey, CAST(count(*) * {R.TERM_MONTHS_PER_LINE} AS INTEGER) AS term
+      FROM lineitem GROUP BY l_orderkey)"""])
+
+LINE_SLICE = """SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice,
+       CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '{lo}' AND l_shipdate < TIMESTAMP '{hi}'"""
+
+WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _rule_union(table: str, rules: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, CAST(count(*) FILTER (WHERE coalesce({cond}, false)) AS BIGINT) AS n_bad FROM {table}"
+        for name, cond in rules)
+
+
+def _fk(name, child, fk, parent, pk):
+    return (f"SELECT '{name}' AS relation, CAST(count(*) AS BIGINT) AS n_orphans FROM {child} c "
+            f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
+
+
 ORACLE_SQL = {
     "latest_balance": """
         WITH ranked AS (
@@ -12,11 +83,322 @@ ORACLE_SQL = {
                  row_number() OVER (PARTITION BY o_custkey
                                     ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
           FROM orders)
-        SELECT account_id, balance_after FROM ranked WHERE rn = 1
-    """,
+        SELECT account_id, balance_after FROM ranked WHERE rn = 1""",
     "latest_balance_agg": """
         SELECT o_custkey AS account_id,
                arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS balance_after
-        FROM orders GROUP BY o_custkey
-    """,
+        FROM orders GROUP BY o_custkey""",
+    "latest_child": """
+        WITH n AS (
+          SELECT user_id, event_id, ts, event_type, value,
+                 row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+          FROM events)
+        SELECT c.c_custkey, c.c_name, n.event_id, n.ts, n.event_type, n.value
+        FROM customer c LEFT JOIN n ON n.user_id = c.c_custkey AND n.rn = 1""",
+    "scan_parquet": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "scan_month_range": LINE_SLICE.format(lo="1998-11-01", hi="1999-05-01"),
+    "scan_missing_month": LINE_SLICE.format(lo="2001-11-01", hi="2002-02-01"),
+    "union_slices": """
+        SELECT l_orderkey, l_linenumber, l_shipdate, 1996 AS year FROM lineitem
+        WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, l_shipdate, 1997 AS year FROM lineitem
+        WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01'""",
+    "payments_6m": """
+        SELECT l_orderkey AS loan_id, l_linenumber AS line, CAST(l_shipdate AS DATE) AS paid_date,
+               CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS paid_date_id,
+               l_extendedprice AS payment_amount,
+               CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
+        FROM lineitem
+        WHERE l_shipdate >= TIMESTAMP '1998-10-01' AND l_shipdate < TIMESTAMP '1999-10-01'""",
+    "transactions_12m": """
+        SELECT o_orderkey AS transaction_id, o_custkey AS account_id,
+               CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id,
+               o_orderdate AS timestamp, o_orderpriority AS type, o_totalprice AS amount,
+               CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+        FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1997-09-01' AND o_orderdate < TIMESTAMP '1998-09-01'""",
+    "conform_accounts": """
+        SELECT c.c_custkey AS account_id, n.n_name AS type, r.r_name AS status,
+               '****' || right(c.c_name, 4) AS number, c.c_acctbal AS balance
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "conform_customers": """
+        SELECT s.s_suppkey, s.s_name, s.s_acctbal, n.n_name AS customer_type, r.r_name AS status,
+               '****' || right(s.s_name, 3) AS phone_number
+        FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "conform_cards": f"""
+        WITH {values('roles', 'p_type, card_type_id', R.PART_TYPE_ROLES)},
+             {values('ctypes', 'card_type_id, type_name, monthly_fee, interest_rate', S.CARD_TYPES)}
+        SELECT p.p_partkey AS card_id, c.type_name AS card_type,
+               CAST(c.monthly_fee AS INTEGER) AS monthly_fee,
+               CAST(c.interest_rate AS DOUBLE) AS interest_rate,
+               '****' || CAST(((('0x' || substr(md5(CAST(p.p_partkey AS VARCHAR)), 1, 8))::BIGINT) % 9000 + 1000) AS VARCHAR) AS number
+        FROM part p JOIN roles r ON p.p_type = r.p_type
+        JOIN ctypes c ON r.card_type_id = c.card_type_id""",
+    "conform_loans": f"""
+        WITH {LOANS_CTE}
+        SELECT o_orderkey AS loan_id, o_custkey AS customer_id, o_totalprice AS amount,
+               CAST(o_orderdate AS DATE) AS start_date, loan_type, loan_status
+        FROM loans""",
+    "conform_transactions": f"""
+        WITH {SE_CTE}
+        SELECT event_id AS transaction_id, user_id AS account_id, transaction_type, amount_cents,
+               ts AS date, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(day(ts) AS INTEGER) AS day
+        FROM se""",
+    "dim_audit": f"""
+        SELECT s_suppkey AS branch_id, s_name AS name,
+               TIMESTAMP '{R.AUDIT_TS}' AS created_at, TIMESTAMP '{R.AUDIT_TS}' AS updated_at,
+               true AS is_active
+        FROM supplier""",
+    "customer360_one": """
+        SELECT c.c_custkey, c.c_name,
+               (SELECT count(*) FROM orders WHERE o_custkey = 7) AS n_loans,
+               CAST(coalesce((SELECT sum(CAST(round(o_totalprice * 100) AS BIGINT)) FROM orders
+                              WHERE o_custkey = 7), 0) AS BIGINT) AS loans_total_cents,
+               (SELECT count(*) FROM events WHERE user_id = 7) AS n_transactions,
+               CAST(coalesce((SELECT sum(CAST(round(value * 100) AS BIGINT)) FROM events
+                              WHERE user_id = 7), 0) AS BIGINT) AS tx_total_cents,
+               (SELECT arg_max(event_id, (ts, event_id)) FROM events WHERE user_id = 7)
+                 AS latest_event_id
+        FROM customer c WHERE c.c_custkey = 7""",
+    "customer360_arrays": """
+        SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice, o.o_orderstatus
+        FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey""",
+    "customer360_tx": """
+        SELECT c.c_custkey, e.event_id, e.ts, e.value
+        FROM customer c LEFT JOIN events e ON e.user_id = c.c_custkey""",
+    "customer_analytics": f"""
+        WITH {SE_CTE}
+        SELECT user_id, CAST(count(*) AS INTEGER) AS total_transactions,
+               CAST(coalesce(sum(amount_cents) FILTER (WHERE amount_cents > 0), 0) AS BIGINT) AS total_inflow,
+               CAST(coalesce(sum(-amount_cents) FILTER (WHERE amount_cents < 0), 0) AS BIGINT) AS total_outflow,
+               CAST(coalesce(sum(amount_cents) FILTER (WHERE amount_cents > 0), 0)
+                    - coalesce(sum(-amount_cents) FILTER (WHERE amount_cents < 0), 0) AS BIGINT) AS net_cashflow,
+               CAST(floor(count(*) / 12) AS INTEGER) AS avg_monthly_transactions
+        FROM se WHERE {PERIOD} GROUP BY user_id""",
+    "spending_by_type": f"""
+        WITH {SE_CTE},
+        g AS (SELECT user_id, transaction_type AS type, CAST(count(*) AS INTEGER) AS count,
+                     CAST(sum(abs(amount_cents)) AS BIGINT) AS amount_cents
+              FROM se WHERE {PERIOD} GROUP BY user_id, transaction_type)
+        SELECT user_id, type, count, amount_cents,
+               CAST(amount_cents AS DOUBLE) / CAST(sum(amount_cents) OVER (PARTITION BY user_id) AS DOUBLE) * 100 AS percentage
+        FROM g""",
+    "spending_by_channel": f"""
+        WITH {SE_CTE}
+        SELECT user_id,
+               CAST(sum(CASE WHEN channel = 'branch' THEN abs(amount_cents) ELSE 0 END) AS DOUBLE)
+                 / CAST(sum(abs(amount_cents)) AS DOUBLE) * 100 AS branch,
+               CAST(sum(CASE WHEN channel = 'atm' THEN abs(amount_cents) ELSE 0 END) AS DOUBLE)
+                 / CAST(sum(abs(amount_cents)) AS DOUBLE) * 100 AS atm,
+               CAST(sum(CASE WHEN channel = 'online' THEN abs(amount_cents) ELSE 0 END) AS DOUBLE)
+                 / CAST(sum(abs(amount_cents)) AS DOUBLE) * 100 AS online
+        FROM se WHERE {PERIOD} GROUP BY user_id""",
+    "max_id": """
+        SELECT 'customer' AS table_name,
+               CAST(coalesce(max(TRY_CAST(CASE WHEN starts_with(c_name, 'Customer#')
+                   THEN substr(c_name, 10) ELSE c_name END AS BIGINT)), 0) AS BIGINT) AS max_id
+        FROM customer
+        UNION ALL
+        SELECT 'supplier' AS table_name,
+               CAST(coalesce(max(TRY_CAST(CASE WHEN starts_with(s_name, 'Supplier#')
+                   THEN substr(s_name, 10) ELSE s_name END AS BIGINT)), 0) AS BIGINT) AS max_id
+        FROM supplier""",
+    "table_counts": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+        for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                  "events", "documents", "pages"]),
+    "duplicate_keys": """
+        SELECT o_custkey AS customer_id, o_orderdate AS date, count(*) AS n
+        FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""",
+    "fk_orphans": " UNION ALL ".join([
+        _fk("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
+        _fk("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+        _fk("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey"),
+        _fk("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        _fk("customer.c_nationkey->nation", "customer", "c_nationkey", "nation", "n_nationkey"),
+        _fk("supplier.s_nationkey->nation", "supplier", "s_nationkey", "nation", "n_nationkey"),
+        _fk("nation.n_regionkey->region", "nation", "n_regionkey", "region", "r_regionkey"),
+        _fk("events.user_id->customer", "events", "user_id", "customer", "c_custkey")]),
+    "required_fields": " UNION ALL ".join(
+        _rule_union(t, [(f"{t}.required:{c}", f"{c} IS NULL") for c in cols])
+        for t, cols in [("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]),
+                        ("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
+                                    "o_orderstatus"]),
+                        ("events", ["event_id", "user_id", "ts", "event_type", "value"])]),
+    "type_check": " UNION ALL ".join([
+        _rule_union("(SELECT json_extract_string(props, '$.k') AS props_k, CAST(value AS VARCHAR) AS value_text FROM events)",
+                    [("events.type:props_k:int", "props_k IS NOT NULL AND TRY_CAST(props_k AS INTEGER) IS NULL"),
+                     ("events.type:value_text:double", "value_text IS NOT NULL AND TRY_CAST(value_text AS DOUBLE) IS NULL")]),
+        _rule_union("(SELECT c_name, CAST(c_acctbal AS VARCHAR) AS bal FROM customer)",
+                    [("customer.type:c_name:bigint", "c_name IS NOT NULL AND TRY_CAST(c_name AS BIGINT) IS NULL"),
+                     ("customer.type:bal:double", "bal IS NOT NULL AND TRY_CAST(bal AS DOUBLE) IS NULL")])]),
+    "id_pattern": " UNION ALL ".join([
+        _rule_union("customer", [
+            ("customer.c_name", "NOT regexp_full_match(c_name, 'Customer#[0-9]{9}')"),
+            ("customer.cus_id", "NOT regexp_full_match(printf('CUS%07d', c_custkey), 'CUS[0-9]{7}')")]),
+        _rule_union("supplier", [("supplier.s_name", "NOT regexp_full_match(s_name, 'Supplier#[0-9]{9}')")]),
+        _rule_union("orders", [("orders.txn_id", "NOT regexp_full_match(printf('TXN%010d', o_orderkey), 'TXN[0-9]{10}')")])]),
+    "amount_range": f"""
+        WITH {SE_CTE}, {values('rules', 'transaction_type_id, lo, hi', R.EVENT_AMOUNT_RULES)}
+        SELECT transaction_type,
+               count(*) FILTER (WHERE NOT (abs(amount_cents) / CAST(100.0 AS DOUBLE) BETWEEN lo AND hi)) AS n_bad,
+               count(*) AS n_rows
+        FROM se JOIN rules ON se.transaction_type_id = rules.transaction_type_id
+        GROUP BY transaction_type""",
+    "amount_sign": f"""
+        WITH {SE_CTE}
+        SELECT transaction_type,
+               count(*) FILTER (WHERE (sign < 0 AND amount_cents > 0) OR (sign > 0 AND amount_cents < 0)) AS n_bad
+        FROM se GROUP BY transaction_type""",
+    "balance_range": f"""
+        WITH {values('rules', 'c_mktsegment, lo, hi, min_balance', R.SEGMENT_BALANCE_RULES)}
+        SELECT c.c_mktsegment,
+               count(*) FILTER (WHERE NOT (c.c_acctbal BETWEEN r.lo AND r.hi)) AS n_out_of_range,
+               count(*) FILTER (WHERE c.c_acctbal < r.min_balance) AS n_under_minimum
+        FROM customer c JOIN rules r ON c.c_mktsegment = r.c_mktsegment
+        GROUP BY c.c_mktsegment""",
+    "date_order": _rule_union(
+        "(SELECT l.l_shipdate, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)",
+        [("ship_before_order", "l_shipdate < o_orderdate"),
+         ("ship_over_year_after_order", "l_shipdate > CAST(o_orderdate AS DATE) + 365")]),
+    "date_add": f"""
+        SELECT o_orderkey, CAST(o_orderdate AS DATE) AS issue_date,
+               CAST(o_orderdate AS DATE) + {S.CARD_VALID_DAYS} AS expiration_date,
+               CAST(o_orderdate AS DATE) + 30 AS due_date
+        FROM orders""",
+    "loan_rules": f"""
+        WITH {LOANS_CTE}, {values('ranges', 'loan_type_id, lo, hi', R.ORDER_AMOUNT_RULES)},
+        j AS (SELECT l.o_totalprice, t.term, r.lo, r.hi FROM loans l
+              JOIN terms t ON l.o_orderkey = t.l_orderkey
+              JOIN ranges r ON l.loan_type_id = r.loan_type_id)
+        """ + _rule_union("j", [
+        ("term_not_allowed", f"term NOT IN ({', '.join(map(str, S.LOAN_TERMS))})"),
+        ("amount_out_of_range", "NOT (o_totalprice BETWEEN lo AND hi)")]),
+    "payment_rules": f"""
+        WITH {LOANS_CTE},
+        ln AS (SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice / t.term AS installment
+               FROM orders o JOIN terms t ON o.o_orderkey = t.l_orderkey),
+        j AS (SELECT l.l_extendedprice, l.l_shipdate, ln.o_orderdate, ln.installment
+              FROM lineitem l JOIN ln ON l.l_orderkey = ln.o_orderkey)
+        """ + _rule_union("j", [
+        ("payment_ratio", f"NOT (l_extendedprice / installment BETWEEN CAST({S.PAYMENT_RATIO[0]} AS DOUBLE) AND CAST({S.PAYMENT_RATIO[1]} AS DOUBLE))"),
+        ("paid_before_start", "l_shipdate < o_orderdate"),
+        ("paid_in_future", f"l_shipdate > TIMESTAMP '{R.LINEITEM_AS_OF}'")]),
+    "allowed_values": " UNION ALL ".join([
+        _rule_union("orders", [("orders.o_orderstatus", "o_orderstatus NOT IN ('F', 'O', 'P')")]),
+        _rule_union("customer", [("customer.c_mktsegment", "c_mktsegment NOT IN (" + ", ".join(
+            _lit(s) for s, *_ in R.SEGMENT_BALANCE_RULES) + ")")]),
+        _rule_union("lineitem", [("lineitem.l_returnflag", "l_returnflag NOT IN ('A', 'N', 'R')"),
+                                 ("lineitem.l_linestatus", "l_linestatus NOT IN ('F', 'O')")]),
+        _rule_union("events", [("events.event_type", "event_type NOT IN (" + ", ".join(
+            _lit(r[0]) for r in R.EVENT_ROLES) + ")")])]),
+    "date_parts": """
+        SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
+               CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day
+        FROM orders""",
+    "date_key": "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id FROM orders",
+    "dim_date": """
+        WITH b AS (SELECT CAST(min(l_shipdate) AS DATE) AS lo, CAST(max(l_shipdate) AS DATE) AS hi FROM lineitem),
+        d AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS full_date FROM b)
+        SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_id, full_date,
+               CAST(day(full_date) AS INTEGER) AS day, CAST(month(full_date) AS INTEGER) AS month,
+               CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
+               CAST(isodow(full_date) - 1 AS INTEGER) AS day_of_week, isodow(full_date) >= 6 AS is_weekend
+        FROM d""",
+    "mask_account": "SELECT c_custkey, '****' || right(c_name, 4) AS number FROM customer",
+    "mask_phone": "SELECT s_suppkey, '****' || right(s_name, 3) AS phone_number FROM supplier",
+    "mask_card": """
+        SELECT p_partkey, '****' || CAST(((('0x' || substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8))::BIGINT) % 9000 + 1000) AS VARCHAR) AS number
+        FROM part""",
+    "format_id": """
+        SELECT o_orderkey, printf('CUS%07d', o_custkey) AS customer_id,
+               printf('TXN%010d', o_orderkey) AS transaction_id
+        FROM orders""",
+    "clean_text": f"SELECT doc_id, trim(replace(text, chr(10), ' '), {WS}) AS text FROM documents",
+    "filter_contains": """
+        SELECT page_id, url FROM pages
+        WHERE starts_with(url, 'https://') AND (contains(url, '/fr/') OR contains(url, '/de/'))""",
+    "filter_type": f"WITH {SE_CTE} SELECT event_id, user_id, amount_cents FROM se WHERE transaction_type_id = 4",
+    "balance_after": f"""
+        WITH {SE_CTE},
+        acc AS (SELECT c_custkey, {cents('c_acctbal')} AS open_cents FROM customer),
+        j AS (SELECT se.*, acc.open_cents,
+                     (acc.open_cents + se.amount_cents < 0 AND se.transaction_type_id IN (2, 3)) AS flip
+              FROM se JOIN acc ON se.user_id = acc.c_custkey)
+        SELECT event_id, user_id,
+               CASE WHEN flip THEN -amount_cents ELSE amount_cents END AS amount_applied,
+               open_cents + CASE WHEN flip THEN -amount_cents ELSE amount_cents END AS balance_after,
+               flip AS overdraft_flip
+        FROM j""",
+    "normalize_status": f"""
+        SELECT o_orderkey,
+               CASE WHEN raw = '3' THEN {_lit(S.PAID_STATUS_NAME)}
+                    WHEN raw = 'O' THEN {_lit(dict(S.LOAN_STATUS_TYPES)[1])}
+                    WHEN raw = 'P' THEN {_lit(dict(S.LOAN_STATUS_TYPES)[2])}
+                    ELSE raw END AS status
+        FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN '3' ELSE o_orderstatus END AS raw
+              FROM orders)""",
+    "conditional_null": f"""
+        WITH {SE_CTE}
+        SELECT event_id,
+               CASE WHEN transaction_type_id = 3 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END
+                 AS receiver_account_id
+        FROM se""",
+    "round_even": """
+        SELECT l_orderkey, l_linenumber, CAST(round_even(l_extendedprice, 0) AS BIGINT) AS amount,
+               CAST(round_even(l_quantity / 2, 0) AS BIGINT) AS half_qty
+        FROM lineitem""",
+    "date_cap": f"""
+        SELECT l_orderkey, l_linenumber,
+               least(CAST(l_shipdate AS DATE) + 15, DATE '{R.LINEITEM_AS_OF}') AS paid_date
+        FROM lineitem""",
+    "date_format": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date_text FROM orders",
+    "array_first": """
+        SELECT doc_id, string_split(text, chr(10))[1] AS first_line,
+               list_filter(string_split(text, chr(10)), lambda x: length(x) > 200)[1] AS first_long_line
+        FROM documents""",
+    "stream_envelope": f"""
+        WITH {SE_CTE}
+        SELECT CAST(user_id AS VARCHAR) AS key,
+               CAST(json_object('transaction_id', event_id, 'account_id', CAST(user_id AS VARCHAR),
+                                'type', transaction_type, 'amount', amount_cents,
+                                'date', strftime(ts, '%Y-%m-%dT%H:%M:%S'),
+                                'k', CAST(json_extract(props, '$.k') AS INTEGER)) AS VARCHAR) AS value
+        FROM se""",
+    "tenure_months": f"""
+        SELECT o_orderkey, CAST(datesub('month', o_orderdate, TIMESTAMP '{R.TENURE_AS_OF}') AS INTEGER) AS months
+        FROM orders""",
+    "credit_utilisation": f"""
+        WITH op AS (SELECT l_orderkey, CAST(sum({cents('l_extendedprice')}) AS BIGINT) AS out_cents
+                    FROM lineitem WHERE l_linestatus = 'O' GROUP BY l_orderkey),
+        o AS (SELECT o_orderkey, {cents('o_totalprice')} AS limit_cents FROM orders)
+        SELECT o.o_orderkey, o.limit_cents AS credit_limit,
+               coalesce(op.out_cents, 0) AS outstanding_balance,
+               o.limit_cents - coalesce(op.out_cents, 0) AS available_credit,
+               CAST(coalesce(op.out_cents, 0) AS DOUBLE) / CAST(o.limit_cents AS DOUBLE) * 100 AS utilisation
+        FROM o LEFT JOIN op ON o.o_orderkey = op.l_orderkey""",
+    "loan_installment": f"""
+        WITH {LOANS_CTE}
+        SELECT o.o_orderkey, t.term, o.o_totalprice / t.term AS monthly_payment
+        FROM orders o JOIN terms t ON o.o_orderkey = t.l_orderkey""",
+    "lookup_default": f"""
+        WITH {SE_CTE}, {values('partial', 'transaction_type_id, range_name',
+                               [(1, 'deposit'), (2, 'withdrawal'), (3, 'transfer'), (5, 'interest')])}
+        SELECT se.event_id, coalesce(p.range_name, 'transfer') AS range_name
+        FROM se LEFT JOIN partial p ON se.transaction_type_id = p.transaction_type_id""",
+    "sequence_id": """
+        SELECT s_suppkey, s_name, printf('BRA%07d', row_number() OVER (ORDER BY s_suppkey)) AS branch_id
+        FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (1, 2))""",
+    "running_balance": f"""
+        WITH {SE_CTE},
+        acc AS (SELECT c_custkey, {cents('c_acctbal')} AS open_cents FROM customer)
+        SELECT se.event_id, se.user_id,
+               CAST(coalesce(acc.open_cents, 0) + sum(se.amount_cents) OVER (
+                    PARTITION BY se.user_id ORDER BY se.ts, se.event_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_balance
+        FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",
 }

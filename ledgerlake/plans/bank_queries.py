@@ -731,3 +731,115 @@ QUERIES = {
     "sequence_id": sequence_id,
     "running_balance": running_balance,
 }
+
+
+# --- Streams: S8, K9, R1, R2, R4, R5 -------------------------------------
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.streaming import queries as SQ
+    return SQ.parquet_stream(spark, sf_dir, "events.parquet")
+
+
+def _signed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events stream typed and signed like ``roles.signed_events``."""
+    roles = F.broadcast(R.event_roles(spark))
+    types = F.broadcast(lookup(spark, "transaction_types"))
+    e = _events_stream(spark, sf_dir).join(roles, "event_type", "inner").join(
+        types, "transaction_type_id", "inner")
+    amt = R.cents("value")
+    return e.select("event_id", "user_id", "ts", "value", "transaction_type_id",
+                    F.col("type_name").alias("transaction_type"),
+                    F.when(F.col("sign") < 0, -amt).otherwise(amt).alias("amount_cents"))
+
+
+def transaction_feed_record(e: DataFrame) -> DataFrame:
+    """An event as the live transaction feed record (S8 fields)."""
+    return e.select(FX.format_id("TXN", "event_id", S.TRANSACTION_ID_WIDTH).alias("transaction_id"),
+                    FX.format_id("ACC", "user_id", S.ID_WIDTH).alias("account_id"),
+                    F.lit(None).cast("string").alias("employee_id"),
+                    F.col("transaction_type").alias("type"),
+                    F.lit(S.CURRENCY).alias("currency"),
+                    FX.format_ts("ts").alias("date"),
+                    F.col("amount_cents").alias("amount"))
+
+
+def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + K9: events -> keyed JSON records -> parsed feed, as a stream."""
+    from ledgerlake.streaming import feeds
+    from ledgerlake.streaming import queries as SQ
+    records = feeds.envelope(transaction_feed_record(_signed_stream(spark, sf_dir)), "account_id")
+    parsed = feeds.typed_transactions(feeds.parse_feed(records, "transaction"))
+    out, ckpt = SQ.scratch(spark, "stream_transactions")
+    SQ.run_to_end(SQ.append_sink(parsed, out, ckpt))
+    return spark.read.parquet(out).select(
+        "transaction_id", "account_id", "type", "currency", "amount",
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest value per account by event time, continuously."""
+    from ledgerlake.streaming import queries as SQ
+    SQ.use_rocksdb_state(spark)
+    s = _events_stream(spark, sf_dir).select(F.col("user_id").alias("account_id"),
+                                              "event_id", "ts",
+                                              F.col("value").alias("balance_after"))
+    agg = SQ.latest_per_key(s, "account_id", ["ts", "event_id"], ["balance_after"])
+    out, ckpt = SQ.scratch(spark, "stream_latest_balance")
+    SQ.run_to_end(SQ.changelog_sink(agg, out, ckpt))
+    return SQ.current_view(spark, out, "account_id")
+
+
+def stream_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: opening balance + running sum of signed amounts per account."""
+    from ledgerlake.streaming import queries as SQ
+    SQ.use_rocksdb_state(spark)
+    t = Tables(spark, sf_dir)
+    opening = t.customer.select(F.col("c_custkey").alias("user_id"),
+                                R.cents("c_acctbal").alias("open_cents"))
+    agg = SQ.running_totals(_signed_stream(spark, sf_dir), "user_id", "amount_cents",
+                            "total_cents")
+
+    def with_opening(batch: DataFrame) -> DataFrame:
+        return batch.join(opening, "user_id", "left").select(
+            "user_id", "n_events",
+            (F.coalesce(F.col("open_cents"), F.lit(0)) + F.col("total_cents")).alias("balance_cents"))
+
+    out, ckpt = SQ.scratch(spark, "stream_running_balance")
+    SQ.run_to_end(SQ.changelog_sink(agg, out, ckpt, transform=with_opening))
+    return SQ.current_view(spark, out, "user_id")
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed delivered twice (at-least-once); replays are dropped."""
+    from ledgerlake.streaming import queries as SQ
+    SQ.use_rocksdb_state(spark)
+    cols = ["event_id", "user_id", "event_type", "value", "props"]
+    a = SQ.with_event_time(_events_stream(spark, sf_dir), "ts").select(*cols, "event_time")
+    b = SQ.with_event_time(_events_stream(spark, sf_dir), "ts").select(*cols, "event_time")
+    d = SQ.drop_replays(a.unionByName(b), "event_time", "10 minutes")
+    out, ckpt = SQ.scratch(spark, "stream_dedup")
+    SQ.run_to_end(SQ.append_sink(d, out, ckpt))
+    return spark.read.parquet(out).select(
+        "event_id", "user_id", F.col("event_time").cast("timestamp_ntz").alias("ts"),
+        "event_type", "value")
+
+
+def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-static joins to the type lookup and the customer table."""
+    from ledgerlake.streaming import queries as SQ
+    t = Tables(spark, sf_dir)
+    cust = t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    e = _signed_stream(spark, sf_dir)
+    j = SQ.enrich(e, [(cust, "user_id", False)])
+    out, ckpt = SQ.scratch(spark, "stream_enrich")
+    SQ.run_to_end(SQ.append_sink(j.select("event_id", "user_id", "transaction_type",
+                                          "c_nationkey"), out, ckpt))
+    return spark.read.parquet(out)
+
+
+QUERIES.update({
+    "stream_transactions": stream_transactions,
+    "stream_latest_balance": stream_latest_balance,
+    "stream_running_balance": stream_running_balance,
+    "stream_dedup": stream_dedup,
+    "stream_enrich": stream_enrich,
+})

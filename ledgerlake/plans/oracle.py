@@ -401,4 +401,24 @@ ORACLE_SQL = {
                     PARTITION BY se.user_id ORDER BY se.ts, se.event_id
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_balance
         FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",
+    "stream_transactions": f"""
+        WITH {SE_CTE}
+        SELECT printf('TXN%010d', event_id) AS transaction_id, printf('ACC%07d', user_id) AS account_id,
+               transaction_type AS type, 'VND' AS currency, amount_cents AS amount,
+               date_trunc('second', ts) AS timestamp
+        FROM se""",
+    "stream_latest_balance": """
+        SELECT user_id AS account_id, arg_max(value, (ts, event_id)) AS balance_after
+        FROM events GROUP BY user_id""",
+    "stream_running_balance": f"""
+        WITH {SE_CTE},
+        acc AS (SELECT c_custkey, {cents('c_acctbal')} AS open_cents FROM customer)
+        SELECT se.user_id, count(*) AS n_events,
+               CAST(coalesce(any_value(acc.open_cents), 0) + sum(se.amount_cents) AS BIGINT) AS balance_cents
+        FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey GROUP BY se.user_id""",
+    "stream_dedup": "SELECT DISTINCT event_id, user_id, ts, event_type, value FROM events",
+    "stream_enrich": f"""
+        WITH {SE_CTE}
+        SELECT se.event_id, se.user_id, se.transaction_type, c.c_nationkey
+        FROM se JOIN customer c ON se.user_id = c.c_custkey""",
 }

@@ -50,6 +50,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "8g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for key, value in CORE_CONF.items():

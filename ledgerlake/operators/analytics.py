@@ -115,11 +115,14 @@ def running_balance(tx: DataFrame, key: str, order_by: Sequence[str], amount: st
     over its buckets instead of landing in one task.
     """
     ts = order_by[0]
-    b = tx.withColumn("__bucket", F.date_trunc(bucket_unit, F.col(ts)))
+    tx = tx.withColumn("__bucket", F.date_trunc(bucket_unit, F.col(ts)))
     within = (Window.partitionBy(key, "__bucket").orderBy(*[F.col(c) for c in order_by])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    b = b.withColumn("__run", F.sum(amount).over(within))
-    totals = b.groupBy(key, "__bucket").agg(F.sum(amount).alias("__bt"))
+    b = tx.withColumn("__run", F.sum(amount).over(within))
+    # Bucket totals straight from the scan: a map-side partial aggregate, so
+    # this second pass reads three columns and shuffles one row per
+    # (key, bucket, map task) -- the rows themselves move once, above.
+    totals = tx.groupBy(key, "__bucket").agg(F.sum(amount).alias("__bt"))
     before = (Window.partitionBy(key).orderBy("__bucket")
               .rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.withColumn("__before", F.coalesce(F.sum("__bt").over(before), F.lit(0)))
@@ -146,7 +149,9 @@ def sequence_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "seq",
     every later read sees the same numbering, and per-partition counts
     (one row per partition, a proven small size) give the offsets.
     """
+    from ledgerlake.session import checkpoint_root
     spark = df.sparkSession
+    checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     numbered = ordered.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)

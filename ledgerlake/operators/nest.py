@@ -63,6 +63,18 @@ def nest_children(parent: DataFrame, parent_key: str, child: DataFrame, child_ke
 def child_rows(parent: DataFrame, parent_key: str, child: DataFrame, child_key: str,
                prefix: str = "") -> DataFrame:
     """The flat form of a nested lookup: one row per (parent, child), and
-    one row with NULL child fields for a parent without children."""
+    one row with NULL child fields for a parent without children.
+
+    Written as an inner join plus the childless parents, not as
+    ``parent LEFT JOIN child``: AQE can split a skewed side of an inner
+    join but not the right side of a left outer join, and a hot parent's
+    children are exactly that side.  The childless parents come from an
+    anti join against the child's keys, de-duplicated map-side first.
+    """
     c = child.select(*[F.col(x).alias(prefix + x) for x in child.columns])
-    return parent.join(c, parent[parent_key] == c[prefix + child_key], "left")
+    ck = prefix + child_key
+    matched = parent.join(c, parent[parent_key] == c[ck], "inner")
+    keys = c.select(F.col(ck).alias("__ck")).where(F.col("__ck").isNotNull()).distinct()
+    lonely = parent.join(keys, parent[parent_key] == keys["__ck"], "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in c.schema.fields]
+    return matched.unionByName(lonely.select(*parent.columns, *nulls))

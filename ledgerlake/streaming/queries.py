@@ -110,6 +110,16 @@ def current_view(spark: SparkSession, path: str, key: str) -> DataFrame:
                                 ).select(key, "__v.*")
 
 
+def compact_changelog(spark: SparkSession, path: str, key: str, snapshot_path: str) -> str:
+    """Fold a changelog into one snapshot (newest row per key), written as a
+    single batch folder of the same layout under ``snapshot_path``; readers
+    switch to it once written, and later batches are read on top of it."""
+    last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    current_view(spark, path, key).write.mode("overwrite").parquet(
+        f"{snapshot_path}/batch_id={last}")
+    return snapshot_path
+
+
 def append_sink(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
     """Append-mode parquet file sink (exactly-once through its log)."""
     w = (stream.writeStream.outputMode("append").format("parquet")

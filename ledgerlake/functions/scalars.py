@@ -101,7 +101,9 @@ def round_half_even(c) -> Column:
     return F.bround(as_col(c), 0).cast("bigint")
 
 
-# F17
+# half-even at 2 places on the double's shortest decimal text
+# (1738.935 -> 1738.94).  Python's round() uses the exact binary value
+# (1738.93499.. -> 1738.93); they differ only on such exact-text ties.
 def round2(c) -> Column:
     return F.bround(as_col(c), 2)
 

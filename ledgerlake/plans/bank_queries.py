@@ -211,6 +211,22 @@ def customer360_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nest.child_rows(cust, "c_custkey", ev, "user_id").drop("user_id")
 
 
+def id_array_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 in its own form: each transaction lists the accounts it touches
+    (sender and receiver) as an id array; the array is replaced by the
+    account documents -- a repeated id once, a dangling id dropped, no
+    match ``[]`` -- then shown flat, one row per (transaction, account)."""
+    t = Tables(spark, sf_dir)
+    recv = F.get_json_object("props", "$.k").cast("bigint")
+    tx = t.events.select("event_id", F.array("user_id", recv).alias("accounts"))
+    accounts = t.customer.select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("name"),
+                                 F.col("c_acctbal").alias("balance"))
+    docs = nest.lookup_by_ids(tx, "event_id", "accounts", accounts, "_id")
+    flat = docs.select("event_id", F.explode_outer("accounts").alias("a"))
+    return flat.select("event_id", F.col("a._id").alias("account_id"), F.col("a.name").alias("name"),
+                       F.col("a.balance").alias("balance"))
+
+
 CUSTOMER_ID = 7
 
 
@@ -688,6 +704,7 @@ QUERIES = {
     "customer360_one": customer360_one,
     "customer360_arrays": customer360_arrays,
     "customer360_tx": customer360_tx,
+    "id_array_lookup": id_array_lookup,
     "customer_analytics": customer_analytics,
     "spending_by_type": spending_by_type,
     "spending_by_channel": spending_by_channel,

@@ -170,6 +170,15 @@ ORACLE_SQL = {
     "customer360_tx": """
         SELECT c.c_custkey, e.event_id, e.ts, e.value
         FROM customer c LEFT JOIN events e ON e.user_id = c.c_custkey""",
+    "id_array_lookup": """
+        WITH ids AS (SELECT DISTINCT event_id, unnest([user_id, CAST(json_extract_string(props, '$.k') AS BIGINT)]) AS id
+                     FROM events),
+        m AS (SELECT ids.event_id, c.c_custkey AS account_id, c.c_name AS name, c.c_acctbal AS balance
+              FROM ids JOIN customer c ON c.c_custkey = ids.id)
+        SELECT * FROM m
+        UNION ALL
+        SELECT e.event_id, NULL::BIGINT, NULL::VARCHAR, NULL::DOUBLE FROM events e
+        WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.event_id = e.event_id)""",
     "customer_analytics": f"""
         WITH {SE_CTE}
         SELECT user_id, CAST(count(*) AS INTEGER) AS total_transactions,

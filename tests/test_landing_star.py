@@ -167,3 +167,16 @@ def test_branch_json_source(spark, tmp_path):
     p.write_text(doc, encoding="utf-8")
     rows = files.read_branches_json(spark, str(p)).collect()
     assert [(r["name"], r["phone_number"]) for r in rows] == [("CN Hà Nội", "1")]
+
+
+def test_business_rules_on_landing_csvs(spark, built):
+    from ledgerlake.operators import bank_rules
+    root, _, _ = built
+    src = files.read_landing_csvs(spark, os.path.join(root, "csv"), register=False)
+    got = {r["rule"]: r["n_bad"] for r in bank_rules.check_landing(spark, src, "2025-06-05").collect()}
+    bad = {k: v for k, v in got.items() if v}
+    assert bad == {"accounts.unknown_type": 1,
+                   "transactions.unknown_type": 1,
+                   "transactions.overdraft_flip": 1,
+                   "payments.scheduled_outside_loan": 2}   # PAY4 before start, PAY3 after end
+    assert len(got) == 35

@@ -89,3 +89,19 @@ def test_sql_functions_by_name(spark):
     assert r["n"] == one(spark, FX.mask_card("x"), rows=[("CRD1",)])[0]
     r2 = spark.range(1).select(F.call_function("hide_account_number", F.lit("12345678"))).first()[0]
     assert r2 == "****5678"
+
+
+def test_round2_is_half_even_on_the_decimal_text_whole_table(spark):
+    """F17 against brute force over every product of a driver table:
+    half-even on the shortest decimal text of the double.  (Python's
+    round() works on the exact binary value instead; the two differ only
+    when that text ends in an exact 5 at the third decimal.)"""
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    from tests.conftest import SF001
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    x = (li["l_extendedprice"] * li["l_discount"])
+    rows = li.select(x.alias("x"), FX.round2(x).alias("r")).collect()
+    assert len(rows) == 60000
+    want = [float(Decimal(repr(r["x"])).quantize(Decimal("0.01"), ROUND_HALF_EVEN)) for r in rows]
+    assert [r["r"] for r in rows] == want

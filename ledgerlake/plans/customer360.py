@@ -34,9 +34,15 @@ def newest_analytics(analytics: DataFrame) -> DataFrame:
 
 def assemble(customers: DataFrame, accounts: DataFrame, cards: DataFrame, loans: DataFrame,
              transactions: DataFrame, analytics: DataFrame, customer_id: str | None = None,
-             transactions_mode: str = "nested"):
-    """Build customer documents.  ``transactions_mode='rows'`` returns
-    ``(documents, transaction_rows)`` instead of nesting transactions."""
+             transactions_mode: str | None = None):
+    """Build customer documents.
+
+    ``transactions_mode``: ``'nested'`` puts every transaction of the
+    customer in the document; ``'rows'`` returns ``(documents,
+    transaction_rows)`` instead.  The default nests only under an id
+    filter, and keeps transactions as rows for a population run."""
+    if transactions_mode is None:
+        transactions_mode = "nested" if customer_id is not None else "rows"
     if customer_id is not None:
         customers = customers.where(F.col("_id") == customer_id)
         transactions = transactions.where(F.col("customer_id") == customer_id)

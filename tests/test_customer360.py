@@ -22,7 +22,8 @@ def _frames(spark, customers=None, accounts=None, cards=None, loans=None, tx=Non
 
 
 def _docs(spark, frames, cid=None):
-    out = C.to_json_documents(C.assemble(*frames, customer_id=cid)).collect()
+    out = C.to_json_documents(C.assemble(*frames, customer_id=cid,
+                                         transactions_mode="nested")).collect()
     return {r["_id"]: json.loads(r["json"]) for r in out}
 
 
@@ -64,6 +65,6 @@ def test_newest_analytics_wins(spark):
 
 
 def test_rows_mode_keeps_transactions_apart(spark):
-    docs, tx = C.assemble(*_frames(spark), transactions_mode="rows")
+    docs, tx = C.assemble(*_frames(spark))          # population run: rows by default
     assert "transactions" not in docs.columns
     assert tx.count() == 2

@@ -100,3 +100,18 @@ def test_envelope_round_trip_and_key_partitioning(spark):
     env = feeds.envelope(df, "account_id", num_partitions=2).first()
     assert env["key"] == "ACC1"
     assert json.loads(env["value"]) == {"account_id": "ACC1", "amount": 5, "date": "2025-06-04T09:15:00"}
+
+
+def test_running_totals_stream_equals_batch(spark, tmp_path):
+    src = str(tmp_path / "in")
+    recs = [_tx(i, f"ACC{i % 4}", f"2025-06-0{1 + i % 5} 10:00:00", (i * 37) % 101 - 50) for i in range(40)]
+    for j in range(4):
+        _write_records(src, f"p{j}.json", recs[j * 10:(j + 1) * 10], "account_id")
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).json(src)
+    out, ck = SQ.scratch(spark, "t_eq")
+    SQ.run_to_end(SQ.changelog_sink(SQ.running_totals(feeds.parse_feed(stream, "transaction"),
+                                                      "account_id", "amount"), out, ck))
+    got = {r["account_id"]: r["total"] for r in SQ.current_view(spark, out, "account_id").collect()}
+    batch = feeds.parse_feed(spark.read.schema(RAW).json(src), "transaction")
+    want = {r[0]: r[1] for r in batch.groupBy("account_id").agg(F.sum("amount")).collect()}
+    assert got == want

@@ -43,6 +43,38 @@ def latest_balance_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 ["balance_after"])
 
 
+LATEST_BALANCE_SQL = """
+WITH last_transaction AS (
+    SELECT account_id, balance_after,
+           row_number() OVER (PARTITION BY account_id
+                              ORDER BY `timestamp` DESC, transaction_id DESC) AS rn
+    FROM {facts}
+)
+SELECT account_id, balance_after FROM last_transaction WHERE rn = 1
+"""
+
+
+def latest_balance_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B18 through the SQL API: the ranking CTE as SQL text over the fact
+    table bound as a parameter (same plan as ``latest_balance``)."""
+    facts = _orders_as_tx(Tables(spark, sf_dir))
+    return spark.sql(LATEST_BALANCE_SQL, facts=facts)
+
+
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The masking and date-key functions called by name from SQL."""
+    from ledgerlake.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    t = Tables(spark, sf_dir)
+    return spark.sql("""
+        SELECT o.o_orderkey, hide_account_number(c.c_name) AS number,
+               hide_phone_number(c.c_name) AS phone_number,
+               add_number(CAST(o.o_orderkey AS STRING)) AS card_number,
+               date_to_int(CAST(o.o_orderdate AS DATE)) AS date_id
+        FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey""",
+                     orders=t.orders, customer=t.customer)
+
+
 def latest_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer with its newest event (NULLs if none)."""
     t = Tables(spark, sf_dir)
@@ -688,6 +720,8 @@ def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "latest_balance": latest_balance,
     "latest_balance_agg": latest_balance_agg,
+    "latest_balance_sql": latest_balance_sql,
+    "sql_functions": sql_functions,
     "latest_child": latest_child,
     "scan_parquet": scan_parquet,
     "scan_month_range": scan_month_range,

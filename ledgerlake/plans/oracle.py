@@ -88,6 +88,19 @@ ORACLE_SQL = {
         SELECT o_custkey AS account_id,
                arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS balance_after
         FROM orders GROUP BY o_custkey""",
+    "latest_balance_sql": """
+        WITH ranked AS (
+          SELECT o_custkey AS account_id, o_totalprice AS balance_after,
+                 row_number() OVER (PARTITION BY o_custkey
+                                    ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+          FROM orders)
+        SELECT account_id, balance_after FROM ranked WHERE rn = 1""",
+    "sql_functions": """
+        SELECT o.o_orderkey, '****' || right(c.c_name, 4) AS number,
+               '****' || right(c.c_name, 3) AS phone_number,
+               '****' || CAST(((('0x' || substr(md5(CAST(o.o_orderkey AS VARCHAR)), 1, 8))::BIGINT) % 9000 + 1000) AS VARCHAR) AS card_number,
+               CAST(strftime(o.o_orderdate, '%Y%m%d') AS INTEGER) AS date_id
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
     "latest_child": """
         WITH n AS (
           SELECT user_id, event_id, ts, event_type, value,

@@ -45,3 +45,13 @@ def test_running_balance_uses_partial_bucket_totals(spark):
 def test_cashflow_aggregates_are_partial(spark):
     p = plan(spark, "customer_analytics")
     assert "partial_count" in p or "partial_sum" in p
+
+
+def test_sql_text_form_plans_like_the_dataframe_form(spark):
+    p = plan(spark, "latest_balance_sql")
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_sql_functions_run_without_python(spark):
+    p = plan(spark, "sql_functions")
+    assert "EvalPython" not in p and "PythonUDF" not in p

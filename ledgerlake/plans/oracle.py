@@ -439,6 +439,7 @@ ORACLE_SQL = {
                CAST(coalesce(any_value(acc.open_cents), 0) + sum(se.amount_cents) AS BIGINT) AS balance_cents
         FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey GROUP BY se.user_id""",
     "stream_dedup": "SELECT DISTINCT event_id, user_id, ts, event_type, value FROM events",
+    "stream_dedup_watermark": "SELECT DISTINCT event_id, user_id, ts, event_type, value FROM events",
     "stream_enrich": f"""
         WITH {SE_CTE}
         SELECT se.event_id, se.user_id, se.transaction_type, c.c_nationkey

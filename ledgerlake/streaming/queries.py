@@ -69,12 +69,52 @@ def running_totals(stream: DataFrame, key: str, amount: str, out_col: str = "tot
 # R4 ------------------------------------------------------------------------
 def drop_replays(stream: DataFrame, event_time: str, delay: str = "10 minutes",
                  columns: Sequence[str] | None = None) -> DataFrame:
-    """Drop records seen again within the watermark delay, comparing the
-    whole record (not an id, which the source may repeat, D11)."""
+    """R4, low-latency form: drop records seen again within the watermark
+    delay, comparing the whole record (not an id, which the source may
+    repeat, D11).  Every copy of a record meets in one task; where one
+    record may be copied very many times use ``dedup_sink``."""
     cols = list(columns or stream.columns)
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(cols)
 
 
+def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
+               delay_seconds: int = 600, columns: Sequence[str] | None = None,
+               available_now: bool = True):
+    """R4, skew-safe form: each micro-batch is de-duplicated as a batch
+    (a partial aggregate, so a record sent a million times crosses the
+    shuffle once per map task), then rows already written by earlier
+    batches within ``delay_seconds`` of the batch's oldest event are
+    removed by a null-safe anti join.  Each batch overwrites its own
+    folder and ignores it when looking back, so a replayed batch writes
+    the same rows."""
+    cols = list(columns or stream.columns)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(cols)
+        try:
+            written = spark.read.parquet(path)
+        except Exception:  # nothing written yet
+            written = None
+        if written is not None:
+            lo = fresh.agg(F.min(event_time)).first()[0]
+            if lo is not None:
+                horizon = F.lit(lo).cast("timestamp") - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
+                seen = written.where((F.col("batch_id") != batch_id)
+                                     & (F.col(event_time) >= horizon)).select(*cols)
+                cond = None
+                for c in cols:
+                    e = fresh[c].eqNullSafe(seen[c])
+                    cond = e if cond is None else cond & e
+                fresh = fresh.join(seen, cond, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    w = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(write_batch))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
 # R5 ------------------------------------------------------------------------
 def enrich(stream: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str], bool]]
            ) -> DataFrame:

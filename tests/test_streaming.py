@@ -115,3 +115,16 @@ def test_running_totals_stream_equals_batch(spark, tmp_path):
     batch = feeds.parse_feed(spark.read.schema(RAW).json(src), "transaction")
     want = {r[0]: r[1] for r in batch.groupBy("account_id").agg(F.sum("amount")).collect()}
     assert got == want
+
+
+def test_dedup_sink_across_batches_and_hot_copies(spark, tmp_path):
+    src = str(tmp_path / "in")
+    hot = _tx(1, "ACC1", "2025-06-04 10:00:00", 100)
+    _write_records(src, "a.json", [hot] * 300 + [_tx(2, "ACC2", "2025-06-04 10:01:00", 5)], "account_id")
+    _write_records(src, "b.json", [hot] * 200 + [_tx(3, "ACC3", "2025-06-04 10:02:00", 7)], "account_id")
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).json(src)
+    tx = feeds.typed_transactions(feeds.parse_feed(stream, "transaction"))
+    out, ck = SQ.scratch(spark, "t_dedup_sink")
+    SQ.run_to_end(SQ.dedup_sink(tx, out, ck, "timestamp", 600))
+    got = sorted(r["transaction_id"] for r in spark.read.parquet(out).collect())
+    assert got == ["TXN0000000001", "TXN0000000002", "TXN0000000003"]

@@ -55,3 +55,40 @@ def typed_loans(parsed: DataFrame) -> DataFrame:
 def typed_payments(parsed: DataFrame) -> DataFrame:
     cols = ["scheduled_payment_date", "payment_date", "paid_date"]
     return parsed.withColumns({c: F.to_date(c) for c in cols})
+
+
+def transactions_to_fact(typed: DataFrame) -> DataFrame:
+    """Transaction feed -> ``fact_transactions`` columns (+ year, month).
+    The feed carries no ``balance_after``; it stays NULL here (see W4/R2)."""
+    from ledgerlake.functions.scalars import date_key
+    ts = F.col("timestamp")
+    return typed.select("transaction_id", "account_id", "employee_id",
+                        date_key(ts).alias("date_id"), ts.alias("timestamp"), "currency",
+                        "type", "amount", F.lit(None).cast("long").alias("balance_after"),
+                        F.year(ts).alias("year"), F.month(ts).alias("month"))
+
+
+def payments_to_fact(typed: DataFrame) -> DataFrame:
+    """Loan-payment feed -> ``fact_loan_payments`` columns (+ year, month of paid date)."""
+    from ledgerlake.functions.scalars import date_key
+    return typed.select(
+        "payment_id", "loan_id", "transaction_id",
+        date_key("scheduled_payment_date").alias("scheduled_payment_date_id"),
+        date_key("payment_date").alias("payment_date_id"),
+        date_key("paid_date").alias("paid_date_id"),
+        "payment_amount", "principal_amount", "paid_amount", "scheduled_payment_date",
+        "payment_date", "paid_date",
+        F.year("paid_date").alias("year"), F.month("paid_date").alias("month"))
+
+
+def loans_to_dim(typed: DataFrame) -> DataFrame:
+    """Loan feed -> ``dim_loans`` columns (+ year, month of the start date)."""
+    return typed.select("loan_id", "customer_id", "amount",
+                        F.col("interest_rate").cast("float").alias("interest_rate"), "term",
+                        "start_date", "end_date", "type", "status",
+                        F.year("start_date").alias("year"), F.month("start_date").alias("month"))
+
+
+TO_TABLE = {"transaction": (typed_transactions, transactions_to_fact),
+            "loan_payment": (typed_payments, payments_to_fact),
+            "loan": (typed_loans, loans_to_dim)}

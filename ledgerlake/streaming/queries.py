@@ -170,19 +170,21 @@ def append_sink(stream: DataFrame, path: str, checkpoint: str, available_now: bo
 
 def ingest_feed(records: DataFrame, feed: str, table_path: str, checkpoint: str,
                 available_now: bool = True):
-    """Parse a keyed JSON feed and append its rows to a table folder, by
-    column name, in ``foreachBatch`` (one write per micro-batch)."""
+    """Parse a keyed JSON feed into its fact/dimension shape
+    (``fact_transactions``, ``fact_loan_payments``, ``dim_loans``) and add
+    each micro-batch to a table partitioned by ``year``/``month``/``batch_id``.
+    Writes use dynamic partition overwrite, so a replayed batch replaces
+    exactly its own partitions (idempotent), and readers prune by month."""
     from ledgerlake.streaming import feeds
-    parsed = feeds.parse_feed(records, feed)
-    typer = {"transaction": feeds.typed_transactions, "loan": feeds.typed_loans,
-             "loan_payment": feeds.typed_payments}[feed]
-    typed = typer(parsed)
+    typer, shaper = feeds.TO_TABLE[feed]
+    rows = shaper(typer(feeds.parse_feed(records, feed)))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{table_path}/batch_id={batch_id}")
+        from ledgerlake.sinks.writers import write_partitioned
+        write_partitioned(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
+                          table_path, ("year", "month", "batch_id"), mode="overwrite")
 
-    w = (typed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    w = (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(write_batch))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

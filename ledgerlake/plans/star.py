@@ -109,8 +109,15 @@ def fact_transactions(transactions: DataFrame, as_of, months: int = 12) -> DataF
 
 
 def run_star(spark: SparkSession, landing: str, warehouse: str, as_of: str,
-             audit_ts: str | None = None) -> dict[str, str]:
-    """B8-B16 end to end over a landing folder; writes Parquet tables."""
+             audit_ts: str | None = None, catalog_db: str | None = None) -> dict[str, str]:
+    """B8-B16 end to end over a landing folder.
+
+    Without ``catalog_db`` each table is a Parquet folder under
+    ``warehouse``.  With it, each table is created in the catalog if it
+    does not exist (fixed columns, location under ``warehouse``, facts
+    partitioned by year/month; K3) and filled by name with an overwrite
+    (dynamic for the facts, so only the months present are replaced; K4,
+    K5, D13)."""
     from ledgerlake.sinks import writers
     from ledgerlake.sources.files import read_parquet
     root = landing.rstrip("/")
@@ -134,9 +141,16 @@ def run_star(spark: SparkSession, landing: str, warehouse: str, as_of: str,
     paths = {}
     for name, df in tables.items():
         path = f"{out}/{name}"
-        if name.startswith("fact_"):
-            writers.write_partitioned(df, path, ("year", "month"))
+        parts = ("year", "month") if name.startswith("fact_") else ()
+        if catalog_db:
+            table = f"{catalog_db}.{name}"
+            writers.create_table(spark, table, S.STAR[name], location=path, partition_cols=parts)
+            writers.insert_by_name(df, table, overwrite=True)
+            paths[name] = table
+        elif parts:
+            writers.write_partitioned(df, path, parts)
+            paths[name] = path
         else:
             writers.write_parquet(df, path)
-        paths[name] = path
+            paths[name] = path
     return paths

@@ -55,9 +55,16 @@ def create_table(spark, name: str, schema, location: str | None = None,
 
 def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """K4: append (or overwrite) into a table by column name, with the
-    table's types under ANSI store assignment (overflow raises)."""
-    target = df.sparkSession.table(table)
-    df.select(*target.columns).write.insertInto(table, overwrite=overwrite)
+    table's types under ANSI store assignment (overflow raises).  An
+    overwrite of a partitioned table replaces only the partitions present."""
+    spark = df.sparkSession
+    target = spark.table(table)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        rebalance(df.select(*target.columns)).write.insertInto(table, overwrite=overwrite)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
 def replace_table(df: DataFrame, table: str, partition_cols: Sequence[str] = ()) -> None:

@@ -180,3 +180,19 @@ def test_business_rules_on_landing_csvs(spark, built):
                    "transactions.overdraft_flip": 1,
                    "payments.scheduled_outside_loan": 2}   # PAY4 before start, PAY3 after end
     assert len(got) == 35
+
+
+def test_star_in_catalog_tables(spark, built):
+    root, _, sp = built
+    spark.sql("CREATE DATABASE IF NOT EXISTS bank_star")
+    for _ in range(2):   # a rerun replaces, never appends
+        t = star.run_star(spark, os.path.join(root, "landing"), os.path.join(root, "catalog"),
+                          as_of="2025-06-05", audit_ts="2025-06-05 00:33:00", catalog_db="bank_star")
+    assert spark.table(t["fact_transactions"]).count() == 3
+    assert spark.table(t["dim_date"]).count() == 18628
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {t['fact_transactions']}").collect()}
+    assert parts == {"year=2025/month=3", "year=2025/month=5"}
+    # the reference's own form: INSERT ... SELECT from a bound DataFrame
+    extra = spark.table(t["dim_loans"]).where("false")
+    spark.sql(f"INSERT INTO {t['dim_loans']} SELECT * FROM {{df}}", df=extra)
+    assert spark.table(t["dim_loans"]).count() == 2

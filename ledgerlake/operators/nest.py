@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _empty_like(arr_type: T.DataType):
-    return F.lit(None).cast(arr_type)
-
-
 def lookup_by_ids(parent: DataFrame, parent_key: str, ids_col: str, child: DataFrame,
                   child_key: str, as_col: str | None = None) -> DataFrame:
     """``$lookup`` by an id array.  No match -> ``[]``; a repeated id

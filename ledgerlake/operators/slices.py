@@ -31,10 +31,6 @@ def months_of(start: _dt.date | str, n: int) -> list[tuple[int, int]]:
     return [(m.year, m.month) for m in (add_months(s, i) for i in range(n))]
 
 
-def _as_ts(c: str, df: DataFrame) -> Column:
-    return F.col(c)
-
-
 def month_range_filter(df: DataFrame, ts_col: str, start, n_months: int,
                        partition_cols: Sequence[str] | None = None) -> DataFrame:
     """Rows whose ``ts_col`` lies in ``[month(start), month(start) + n)`` (half open, D6)."""

@@ -49,6 +49,11 @@ def assemble(customers: DataFrame, accounts: DataFrame, cards: DataFrame, loans:
         analytics = analytics.where(F.col("customer_id") == customer_id)
     doc = customers
     for field, coll in (("accounts", accounts), ("cards", cards), ("loans", loans)):
+        if customer_id is not None:
+            # one customer: cut the child collection to the ids in that
+            # customer's array first (a list bounded by one row, broadcast)
+            ids = customers.select(F.explode(F.array_distinct(F.col(field))).alias("__id"))
+            coll = coll.join(F.broadcast(ids), coll["_id"] == ids["__id"], "left_semi")
         doc = nest.lookup_by_ids(doc, "_id", field, coll, "_id")
     newest = newest_analytics(analytics)
     if transactions_mode == "nested":

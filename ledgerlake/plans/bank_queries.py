@@ -44,13 +44,14 @@ def latest_balance_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LATEST_BALANCE_SQL = """
-WITH last_transaction AS (
-    SELECT account_id, balance_after,
-           row_number() OVER (PARTITION BY account_id
-                              ORDER BY `timestamp` DESC, transaction_id DESC) AS rn
-    FROM {facts}
-)
-SELECT account_id, balance_after FROM last_transaction WHERE rn = 1
+SELECT account_id, balance_after
+FROM (
+    SELECT f.account_id, f.balance_after,
+           row_number() OVER (PARTITION BY f.account_id
+                              ORDER BY f.`timestamp` DESC, f.transaction_id DESC) AS newest_first
+    FROM {facts} AS f
+) AS ranked
+WHERE newest_first = 1
 """
 
 

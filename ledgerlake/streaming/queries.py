@@ -31,6 +31,25 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         pass
 
 
+class state_partitions:
+    """Context manager: the shuffle-partition count a stateful query is
+    started with.  It is written into the checkpoint at first start and
+    cannot change later, so size it for the key count at full scale
+    (e.g. one partition per ~10-50 M keys of state)."""
+
+    def __init__(self, spark: SparkSession, n: int):
+        self.spark, self.n, self.prev = spark, n, None
+
+    def __enter__(self):
+        self.prev = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.prev)
+        return False
+
+
 def parquet_stream(spark: SparkSession, folder: str, file_glob: str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Files as a stream (tests and file drops); schema from the files."""

@@ -149,3 +149,17 @@ def test_dedup_sink_across_batches_and_hot_copies(spark, tmp_path):
     SQ.run_to_end(SQ.dedup_sink(tx, out, ck, "timestamp", 600))
     got = sorted(r["transaction_id"] for r in spark.read.parquet(out).collect())
     assert got == ["TXN0000000001", "TXN0000000002", "TXN0000000003"]
+
+
+def test_state_partitions_fixed_at_start(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _write_records(src, "a.json", [_tx(1, "ACC1", "2025-06-04 10:00:00", 100)], "account_id")
+    stream = spark.readStream.schema(RAW).json(src)
+    out, ck = SQ.scratch(spark, "t_parts")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with SQ.state_partitions(spark, 3):
+        q = SQ.changelog_sink(SQ.running_totals(feeds.parse_feed(stream, "transaction"),
+                                                "account_id", "amount"), out, ck)
+        SQ.run_to_end(q)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert sorted(d for d in os.listdir(os.path.join(ck, "state", "0")) if d.isdigit()) == ["0", "1", "2"]

@@ -148,6 +148,77 @@ def transactions_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
 
 
+# --- Star plans on role-mapped data: B12, B15, B16 -------------------------
+def _ntz(df: DataFrame) -> DataFrame:
+    """Timestamps as TIMESTAMP_NTZ (the driver tables' type) for comparison."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def orders_as_landing_transactions(t: Tables) -> DataFrame:
+    """orders in the landing ``transactions`` shape (after B5)."""
+    o = t.orders
+    return o.select(FX.format_id("TXN", "o_orderkey", S.TRANSACTION_ID_WIDTH).alias("transaction_id"),
+                    FX.format_id("ACC", "o_custkey", S.ID_WIDTH).alias("account_id"),
+                    F.lit(None).cast("string").alias("employee_id"),
+                    F.lit(S.CURRENCY).alias("currency"),
+                    F.col("o_orderdate").cast("timestamp").alias("date"),
+                    R.cents("o_totalprice").alias("amount"),
+                    R.cents("o_totalprice").alias("balance_after"),
+                    F.col("o_orderpriority").alias("transaction_type"),
+                    F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+
+
+def star_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B16 plan code: trailing 12 months, date key, renames, year/month."""
+    from ledgerlake.plans import star
+    tx = orders_as_landing_transactions(Tables(spark, sf_dir))
+    return _ntz(star.fact_transactions(tx, R.ORDERS_AS_OF, 12))
+
+
+def lineitem_as_landing_payments(t: Tables) -> DataFrame:
+    """lineitem in the landing ``loan_payments`` shape (after B6)."""
+    li = t.lineitem
+    ship = F.col("l_shipdate").cast("date")
+    return li.select(F.concat(F.lit(S.ID_PREFIXES["payment"]), F.col("l_orderkey").cast("string"),
+                              F.lit("-"), F.col("l_linenumber").cast("string")).alias("payment_id"),
+                     FX.format_id("LOA", "l_orderkey", S.ID_WIDTH).alias("loan_id"),
+                     F.lit(None).cast("string").alias("transaction_id"),
+                     R.cents("l_extendedprice").alias("payment_amount"),
+                     F.date_sub(ship, 3).alias("scheduled_payment_date"),
+                     ship.alias("payment_date"),
+                     R.cents(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("principal_amount"),
+                     R.cents("l_extendedprice").alias("paid_amount"),
+                     ship.alias("paid_date"),
+                     F.year(ship).alias("year"), F.month(ship).alias("month"))
+
+
+def star_fact_loan_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B15 plan code: two half-open six-month windows, three date keys."""
+    from ledgerlake.plans import star
+    p = lineitem_as_landing_payments(Tables(spark, sf_dir))
+    return star.fact_loan_payments(p, "1998-10-15", 2)
+
+
+def star_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B12 plan code: customers with names resolved and audit columns."""
+    from ledgerlake.plans import star
+    t = Tables(spark, sf_dir)
+    c = t.customer.join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
+                        F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    c = c.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
+    landed = c.select(FX.format_id("CUS", "c_custkey", S.ID_WIDTH).alias("customer_id"),
+                      F.col("c_name").alias("name"), F.lit(S.COUNTRY).alias("country"),
+                      F.col("r_name").alias("city"), F.col("n_name").alias("street"),
+                      FX.mask_phone("c_name").alias("phone_number"),
+                      F.lit(None).cast("date").alias("registration_date"),
+                      F.lit(None).cast("string").alias("email"),
+                      F.col("c_mktsegment").alias("customer_type"),
+                      F.when(F.col("c_acctbal") < 0, "Tạm khóa").otherwise("Hoạt động").alias("status"))
+    return _ntz(star.dim_customers(landed, as_of=R.AUDIT_TS))
+
+
 # --- Landing shapes: J1-J8, P1-P5 -------------------------------------------
 def conform_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: J1 + J2 + P1 + F8 -- type and status by inner lookups, masked number."""
@@ -730,6 +801,9 @@ QUERIES = {
     "union_slices": union_slices,
     "payments_6m": payments_6m,
     "transactions_12m": transactions_12m,
+    "star_fact_transactions": star_fact_transactions,
+    "star_fact_loan_payments": star_fact_loan_payments,
+    "star_dim_customers": star_dim_customers,
     "conform_accounts": conform_accounts,
     "conform_customers": conform_customers,
     "conform_cards": conform_cards,

@@ -131,6 +131,43 @@ ORACLE_SQL = {
                CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
         FROM orders
         WHERE o_orderdate >= TIMESTAMP '1997-09-01' AND o_orderdate < TIMESTAMP '1998-09-01'""",
+    "star_fact_transactions": f"""
+        SELECT printf('TXN%010d', o_orderkey) AS transaction_id, printf('ACC%07d', o_custkey) AS account_id,
+               NULL::VARCHAR AS employee_id,
+               CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id, o_orderdate AS timestamp,
+               'VND' AS currency, o_orderpriority AS type,
+               {cents('o_totalprice')} AS amount, {cents('o_totalprice')} AS balance_after,
+               CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+        FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1997-09-01' AND o_orderdate < TIMESTAMP '1998-09-01'""",
+    "star_fact_loan_payments": f"""
+        WITH p AS (
+          SELECT 'PAY' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS payment_id,
+                 printf('LOA%07d', l_orderkey) AS loan_id, NULL::VARCHAR AS transaction_id,
+                 {cents('l_extendedprice')} AS payment_amount,
+                 CAST(l_shipdate AS DATE) - 3 AS scheduled_payment_date,
+                 CAST(l_shipdate AS DATE) AS payment_date,
+                 {cents('l_extendedprice * (1 - l_discount)')} AS principal_amount,
+                 {cents('l_extendedprice')} AS paid_amount,
+                 CAST(l_shipdate AS DATE) AS paid_date
+          FROM lineitem
+          WHERE l_shipdate >= TIMESTAMP '1998-10-01' AND l_shipdate < TIMESTAMP '1999-10-01')
+        SELECT payment_id, loan_id, transaction_id,
+               CAST(strftime(scheduled_payment_date, '%Y%m%d') AS INTEGER) AS scheduled_payment_date_id,
+               CAST(strftime(payment_date, '%Y%m%d') AS INTEGER) AS payment_date_id,
+               CAST(strftime(paid_date, '%Y%m%d') AS INTEGER) AS paid_date_id,
+               payment_amount, principal_amount, paid_amount, scheduled_payment_date, payment_date, paid_date,
+               CAST(year(paid_date) AS INTEGER) AS year, CAST(month(paid_date) AS INTEGER) AS month
+        FROM p""",
+    "star_dim_customers": f"""
+        SELECT printf('CUS%07d', c.c_custkey) AS customer_id, c.c_name AS name, 'Việt Nam' AS country,
+               r.r_name AS city, n.n_name AS street, '****' || right(c.c_name, 3) AS phone_number,
+               NULL::DATE AS registration_date, NULL::VARCHAR AS email, c.c_mktsegment AS customer_type,
+               CASE WHEN c.c_acctbal < 0 THEN 'Tạm khóa' ELSE 'Hoạt động' END AS status,
+               TIMESTAMP '{R.AUDIT_TS}' AS created_at, TIMESTAMP '{R.AUDIT_TS}' AS updated_at,
+               true AS is_active
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "conform_accounts": """
         SELECT c.c_custkey AS account_id, n.n_name AS type, r.r_name AS status,
                '****' || right(c.c_name, 4) AS number, c.c_acctbal AS balance

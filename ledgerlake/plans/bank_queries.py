@@ -219,6 +219,74 @@ def star_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(star.dim_customers(landed, as_of=R.AUDIT_TS))
 
 
+# --- Landing plans on role-mapped data: B1, B3, B4, B5 ---------------------
+def _constant_lookups(spark: SparkSession):
+    from ledgerlake.sources.lookups import lookups
+    return lookups(spark)
+
+
+def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 plan code on customers as accounts: 12-digit account numbers with
+    leading zeros, type by segment, status by sign of the balance."""
+    from ledgerlake.plans import landing
+    t = Tables(spark, sf_dir)
+    seg = F.broadcast(rows_frame(spark, R.SEGMENT_ACCOUNT_TYPES, "c_mktsegment string, type int"))
+    acc = t.customer.join(seg, "c_mktsegment", "left").select(
+        FX.format_id("ACC", "c_custkey", S.ID_WIDTH).alias("account_id"),
+        FX.format_id("CUS", "c_custkey", S.ID_WIDTH).alias("customer_id"),
+        FX.format_id("BRA", "c_nationkey", S.ID_WIDTH).alias("branch_id"),
+        F.col("type"), F.when(F.col("c_acctbal") < 0, 2).otherwise(1).alias("status"),
+        F.lit(S.CURRENCY).alias("currency"),
+        F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("number"),
+        R.cents("c_acctbal").alias("balance"), F.lit(0).alias("min_balance"),
+        F.lit(None).cast("date").alias("date_opened"), F.lit(None).cast("date").alias("date_closed"))
+    return landing.land_accounts(acc, _constant_lookups(spark))
+
+
+def landing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B5 plan code on events as transactions (type codes 1-5)."""
+    from ledgerlake.plans import landing
+    t = Tables(spark, sf_dir)
+    roles = F.broadcast(R.event_roles(spark))
+    e = t.events.join(roles, "event_type", "inner")
+    amt = R.cents("value")
+    tx = e.select(FX.format_id("TXN", "event_id", S.TRANSACTION_ID_WIDTH).alias("transaction_id"),
+                  FX.format_id("ACC", "user_id", S.ID_WIDTH).alias("account_id"),
+                  F.lit(None).cast("string").alias("receiver_account_id"),
+                  F.lit(None).cast("string").alias("employee_id"),
+                  F.col("transaction_type_id").alias("type"), F.lit(S.CURRENCY).alias("currency"),
+                  F.col("ts").alias("date"),
+                  F.when(F.col("sign") < 0, -amt).otherwise(amt).alias("amount"),
+                  F.lit(None).cast("long").alias("balance_after"))
+    return landing.land_transactions(tx, _constant_lookups(spark))
+
+
+def landing_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 plan code on orders as loans."""
+    from ledgerlake.plans import landing
+    t = Tables(spark, sf_dir)
+    prio = F.broadcast(rows_frame(spark, R.ORDER_PRIORITY_ROLES, "o_orderpriority string, loan_type_id int"))
+    stat = F.broadcast(rows_frame(spark, R.ORDER_STATUS_ROLES, "o_orderstatus string, loan_status_id int"))
+    o = t.orders.join(prio, "o_orderpriority", "left").join(stat, "o_orderstatus", "left")
+    loans = o.select(FX.format_id("LOA", "o_orderkey", S.ID_WIDTH).alias("loan_id"),
+                     FX.format_id("CUS", "o_custkey", S.ID_WIDTH).alias("customer_id"),
+                     "loan_type_id", R.cents("o_totalprice").alias("amount"),
+                     F.lit(S.CURRENCY).alias("currency"),
+                     F.col("o_orderdate").cast("date").alias("start_date"), "loan_status_id")
+    return landing.land_loans(loans, _constant_lookups(spark))
+
+
+def landing_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 plan code on parts as cards: type by lookup, masked number from the card id."""
+    from ledgerlake.plans import landing
+    t = Tables(spark, sf_dir)
+    roles = F.broadcast(rows_frame(spark, R.PART_TYPE_ROLES, "p_type string, card_type_id int"))
+    p = t.part.join(roles, "p_type", "left")
+    cards = p.select(FX.format_id("CRD", "p_partkey", S.ID_WIDTH).alias("card_id"),
+                     "card_type_id", F.col("p_size").alias("monthly_fee"))
+    return landing.land_cards(cards, _constant_lookups(spark))
+
+
 # --- Landing shapes: J1-J8, P1-P5 -------------------------------------------
 def conform_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: J1 + J2 + P1 + F8 -- type and status by inner lookups, masked number."""
@@ -801,6 +869,10 @@ QUERIES = {
     "union_slices": union_slices,
     "payments_6m": payments_6m,
     "transactions_12m": transactions_12m,
+    "landing_accounts": landing_accounts,
+    "landing_transactions": landing_transactions,
+    "landing_loans": landing_loans,
+    "landing_cards": landing_cards,
     "star_fact_transactions": star_fact_transactions,
     "star_fact_loan_payments": star_fact_loan_payments,
     "star_dim_customers": star_dim_customers,

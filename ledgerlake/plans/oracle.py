@@ -131,6 +131,39 @@ ORACLE_SQL = {
                CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
         FROM orders
         WHERE o_orderdate >= TIMESTAMP '1997-09-01' AND o_orderdate < TIMESTAMP '1998-09-01'""",
+    "landing_accounts": f"""
+        WITH {values('seg', 'c_mktsegment, type', R.SEGMENT_ACCOUNT_TYPES)},
+             {values('atypes', 'account_type_id, type_name', S.ACCOUNT_TYPES)},
+             {values('astatus', 'status_id, status_name', S.ACCOUNT_STATUS_TYPES)}
+        SELECT printf('ACC%07d', c.c_custkey) AS account_id, printf('CUS%07d', c.c_custkey) AS customer_id,
+               printf('BRA%07d', c.c_nationkey) AS branch_id, aty.type_name AS type, st.status_name AS status,
+               '****' || right(lpad(CAST(c.c_custkey AS VARCHAR), 12, '0'), 4) AS number,
+               {cents('c.c_acctbal')} AS balance, 0 AS min_balance,
+               NULL::DATE AS date_opened, NULL::DATE AS date_closed
+        FROM customer c JOIN seg ON c.c_mktsegment = seg.c_mktsegment
+        JOIN atypes aty ON seg.type = aty.account_type_id
+        JOIN astatus st ON (CASE WHEN c.c_acctbal < 0 THEN 2 ELSE 1 END) = st.status_id""",
+    "landing_transactions": f"""
+        WITH {SE_CTE}
+        SELECT printf('TXN%010d', event_id) AS transaction_id, printf('ACC%07d', user_id) AS account_id,
+               NULL::VARCHAR AS employee_id, 'VND' AS currency, ts AS date, amount_cents AS amount,
+               NULL::BIGINT AS balance_after, transaction_type,
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(day(ts) AS INTEGER) AS day
+        FROM se""",
+    "landing_loans": f"""
+        WITH {LOANS_CTE}
+        SELECT printf('LOA%07d', o_orderkey) AS loan_id, printf('CUS%07d', o_custkey) AS customer_id,
+               {cents('o_totalprice')} AS amount, 'VND' AS currency, CAST(o_orderdate AS DATE) AS start_date,
+               loan_type, loan_status
+        FROM loans""",
+    "landing_cards": f"""
+        WITH {values('roles', 'p_type, card_type_id', R.PART_TYPE_ROLES)},
+             {values('ctypes', 'card_type_id, type_name, monthly_fee, interest_rate', S.CARD_TYPES)}
+        SELECT printf('CRD%07d', p.p_partkey) AS card_id, p.p_size AS monthly_fee, c.type_name AS card_type,
+               '****' || CAST(((('0x' || substr(md5(printf('CRD%07d', p.p_partkey)), 1, 8))::BIGINT) % 9000 + 1000) AS VARCHAR) AS number
+        FROM part p JOIN roles r ON p.p_type = r.p_type
+        JOIN ctypes c ON r.card_type_id = c.card_type_id""",
     "star_fact_transactions": f"""
         SELECT printf('TXN%010d', o_orderkey) AS transaction_id, printf('ACC%07d', o_custkey) AS account_id,
                NULL::VARCHAR AS employee_id,

@@ -24,6 +24,8 @@ ORDER_STATUS_ROLES = [("O", 1), ("P", 2), ("F", 3)]
 ORDER_PRIORITY_ROLES = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4)]
 # p_type -> card type id (SMALL and MEDIUM have no card type and drop)
 PART_TYPE_ROLES = [("ECONOMY", 1), ("STANDARD", 2), ("PROMO", 3), ("LARGE", 4)]
+# c_mktsegment -> account type id ('MACHINERY' has no account type and drops)
+SEGMENT_ACCOUNT_TYPES = [("HOUSEHOLD", 1), ("AUTOMOBILE", 2), ("BUILDING", 3), ("FURNITURE", 4)]
 # amount magnitude range per transaction type id for the driver's event values
 EVENT_AMOUNT_RULES = [(1, 0.01, 400.0), (2, 0.01, 400.0), (3, 0.01, 400.0),
                       (4, 0.01, 400.0), (5, 0.01, 400.0)]

@@ -389,7 +389,7 @@ def id_array_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     account documents -- a repeated id once, a dangling id dropped, no
     match ``[]`` -- then shown flat, one row per (transaction, account)."""
     t = Tables(spark, sf_dir)
-    recv = F.get_json_object("props", "$.k").cast("bigint")
+    recv = F.get_json_object("props", "$.k").try_cast("bigint")
     tx = t.events.select("event_id", F.array("user_id", recv).alias("accounts"))
     accounts = t.customer.select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("name"),
                                  F.col("c_acctbal").alias("balance"))
@@ -737,7 +737,7 @@ def normalize_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conditional_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receiver only on transfers."""
     e = R.signed_events(spark, Tables(spark, sf_dir))
-    recv = F.get_json_object("props", "$.k").cast("bigint")
+    recv = F.get_json_object("props", "$.k").try_cast("bigint")
     return e.select("event_id", conform.only_for(F.col("transaction_type_id") == 3, recv)
                     .alias("receiver_account_id"))
 

@@ -39,22 +39,32 @@ def parse_feed(records: DataFrame, feed: str, value_col: str = "value") -> DataF
                           ).select("r.*")
 
 
+# Dates in feed records are text; a malformed one reads as NULL (the
+# quality checks report it) instead of failing the stream under ANSI mode.
+def _ts(c: str):
+    return F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd HH:mm:ss"))
+
+
+def _date(c: str):
+    return F.try_to_date(F.col(c), "yyyy-MM-dd")
+
+
 def typed_transactions(parsed: DataFrame) -> DataFrame:
     """The transaction feed with its text date read as a timestamp."""
-    return parsed.withColumn("timestamp", F.to_timestamp("date", "yyyy-MM-dd HH:mm:ss"))
+    return parsed.withColumn("timestamp", _ts("date"))
 
 
 def typed_loans(parsed: DataFrame) -> DataFrame:
     """The loan feed with dates read and the status normalised."""
     from ledgerlake.operators.conform import normalize_status
     return parsed.withColumns({
-        "start_date": F.to_date("start_date"), "end_date": F.to_date("end_date"),
+        "start_date": _date("start_date"), "end_date": _date("end_date"),
         "status": normalize_status(F.col("status"))})
 
 
 def typed_payments(parsed: DataFrame) -> DataFrame:
     cols = ["scheduled_payment_date", "payment_date", "paid_date"]
-    return parsed.withColumns({c: F.to_date(c) for c in cols})
+    return parsed.withColumns({c: _date(c) for c in cols})
 
 
 def transactions_to_fact(typed: DataFrame) -> DataFrame:

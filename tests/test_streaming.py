@@ -163,3 +163,19 @@ def test_state_partitions_fixed_at_start(spark, tmp_path):
         SQ.run_to_end(q)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert sorted(d for d in os.listdir(os.path.join(ck, "state", "0")) if d.isdigit()) == ["0", "1", "2"]
+
+
+def test_malformed_records_do_not_stop_the_stream(spark, tmp_path):
+    src = str(tmp_path / "in")
+    os.makedirs(src)
+    good = _tx(1, "ACC1", "2025-06-04 10:00:00", 100)
+    with open(os.path.join(src, "a.json"), "w", encoding="utf-8") as fh:
+        fh.write(json.dumps({"key": "ACC1", "value": json.dumps(good)}) + "\n")
+        fh.write(json.dumps({"key": "ACC2", "value": json.dumps(dict(good, transaction_id="T2", date="04/06/2025"))}) + "\n")
+        fh.write(json.dumps({"key": "ACC3", "value": "{not json"}) + "\n")
+    stream = spark.readStream.schema(RAW).json(src)
+    table, ck = SQ.scratch(spark, "t_bad")
+    SQ.run_to_end(SQ.ingest_feed(stream, "transaction", table, ck))
+    rows = {r["transaction_id"]: r["timestamp"] for r in spark.read.parquet(table).collect()}
+    assert rows["TXN0000000001"] == dt.datetime(2025, 6, 4, 10, 0)
+    assert rows["T2"] is None

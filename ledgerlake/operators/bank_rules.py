@@ -146,3 +146,63 @@ def check_landing(spark: SparkSession, src: dict[str, DataFrame], as_of) -> Data
         rule_counts(with_loan(src["loan_payments"], src["loans"]), payment_rules(as_of)),
         rule_counts(src["customers"], customer_rules()),
     ])
+
+
+def _leaf_paths(schema, prefix: str = ""):
+    """(dotted path, type) of every scalar field, arrays of scalars included."""
+    from pyspark.sql import types as T
+    for f in schema.fields:
+        path = f"{prefix}{f.name}"
+        if isinstance(f.dataType, T.StructType):
+            yield from _leaf_paths(f.dataType, path + ".")
+        elif isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StructType):
+            yield path + "[*]", f.dataType.elementType
+        elif not isinstance(f.dataType, T.ArrayType):
+            yield path, f.dataType
+
+
+def document_type_rules(json_col: str, collection: str) -> dict[str, Column]:
+    """V2 on raw documents: a value present in the JSON text that does not
+    read as the field's declared type (``try_cast`` / ``try_to_timestamp``).
+    Array items are checked together: any item that fails counts."""
+    from pyspark.sql import types as T
+    rules = {}
+    for path, dtype in _leaf_paths(S.DOCUMENTS[collection]):
+        raw = F.get_json_object(F.col(json_col), "$." + path)
+        if path.endswith("[*]"):
+            items = F.from_json(raw, "array<string>")
+            one = (lambda x: x.try_cast(dtype.simpleString()).isNull())
+            bad = raw.isNotNull() & F.exists(items, lambda x: x.isNotNull() & one(x))
+        elif isinstance(dtype, T.TimestampType):
+            bad = raw.isNotNull() & F.try_to_timestamp(raw).isNull()
+        elif isinstance(dtype, T.StringType):
+            continue
+        else:
+            bad = raw.isNotNull() & raw.try_cast(dtype.simpleString()).isNull()
+        rules[f"{collection}.type:{path}"] = bad
+    return rules
+
+
+def document_required_rules(json_col: str, collection: str) -> dict[str, Column]:
+    """V1 on raw documents: a required field absent (or JSON null) in the
+    text; a nested one counts only when its parent is present."""
+    rules = {}
+    for p in S.REQUIRED_FIELDS[collection]:
+        bad = F.get_json_object(F.col(json_col), "$." + p).isNull()
+        if "." in p:
+            parent = p.rsplit(".", 1)[0]
+            bad = F.get_json_object(F.col(json_col), "$." + parent).isNotNull() & bad
+        rules[f"{collection}.required:{p}"] = bad
+    return rules
+
+
+def check_documents(raw: dict[str, DataFrame], json_col: str = "value") -> DataFrame:
+    """V1 + V2 over the six document collections given as raw JSON text
+    (one document per row in ``json_col``): presence of the validator's
+    required fields, and readability as the declared type -- two separate
+    findings for one field.  One scan per collection; returns (rule, n_bad)."""
+    from ledgerlake.operators.quality import rule_counts, union_counts
+    return union_counts([
+        rule_counts(df, {**document_required_rules(json_col, coll),
+                         **document_type_rules(json_col, coll)})
+        for coll, df in raw.items()])

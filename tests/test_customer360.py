@@ -68,3 +68,25 @@ def test_rows_mode_keeps_transactions_apart(spark):
     docs, tx = C.assemble(*_frames(spark))          # population run: rows by default
     assert "transactions" not in docs.columns
     assert tx.count() == 2
+
+
+def test_document_checks_required_and_types(spark):
+    from ledgerlake.operators.bank_rules import check_documents
+    good = {n: [json.dumps(FX._jsonable(r), ensure_ascii=False) for r in rows] for n, rows in [
+        ("customers", FX.CUSTOMERS), ("accounts", FX.ACCOUNTS), ("cards", FX.CARDS),
+        ("loans", FX.LOANS), ("transactions", FX.TRANSACTIONS), ("analytics", FX.ANALYTICS)]}
+    bad_acc = dict(FX._jsonable(FX.ACCOUNTS[0]), balance="a lot")
+    bad_acc.pop("currency")
+    bad_cust = FX._jsonable(FX.CUSTOMERS[0])
+    bad_cust["personal_info"] = dict(bad_cust["personal_info"], customer_since_months="x")
+    del bad_cust["personal_info"]["address"]["city"]
+    bad_cust["accounts"] = [1001, "abc"]
+    good["accounts"].append(json.dumps(bad_acc))
+    good["customers"].append(json.dumps(bad_cust, ensure_ascii=False))
+    raw = {k: spark.createDataFrame([(v,) for v in vals], "value string") for k, vals in good.items()}
+    got = {r["rule"]: r["n_bad"] for r in check_documents(raw).collect() if r["n_bad"]}
+    assert got == {"accounts.required:currency": 1,
+                   "accounts.type:balance": 1,
+                   "customers.required:personal_info.address.city": 1,
+                   "customers.type:personal_info.customer_since_months": 1,
+                   "customers.type:accounts[*]": 1}

@@ -196,3 +196,26 @@ def test_star_in_catalog_tables(spark, built):
     extra = spark.table(t["dim_loans"]).where("false")
     spark.sql(f"INSERT INTO {t['dim_loans']} SELECT * FROM {{df}}", df=extra)
     assert spark.table(t["dim_loans"]).count() == 2
+
+
+def test_end_to_end_latest_balance_from_star(spark, built):
+    """CSV -> landing -> star -> B18: the newest balance per account,
+    with the same-second tie broken by transaction id (D1)."""
+    from ledgerlake import jobs
+    root, _, sp = built
+    out = os.path.join(root, "latest")
+    jobs.main(["latest-balance", "--facts", sp["fact_transactions"], "--out", out])
+    got = {r["account_id"]: r["balance_after"] for r in spark.read.parquet(out).collect()}
+    assert got == {"ACC0000001": 9800000, "ACC0000002": 1900000}
+
+
+def test_replace_table_and_catalog_scan(spark, built):
+    root, paths, _ = built
+    from ledgerlake.sinks.writers import replace_table, to_json_text
+    tx = spark.read.parquet(paths["transactions"])
+    spark.sql("DROP TABLE IF EXISTS t_full_refresh")
+    replace_table(tx, "t_full_refresh", ("year", "month"))
+    replace_table(tx, "t_full_refresh", ("year", "month"))     # full refresh, not append
+    assert files.read_table(spark, "t_full_refresh").count() == tx.count()
+    j = to_json_text(tx.select("transaction_id", "date").where("transaction_id = 'TXN0000000003'")).first()[0]
+    assert j == '{"transaction_id":"TXN0000000003","date":"2025-03-31T23:59:59"}'

@@ -135,12 +135,18 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
 
 
 # R5 ------------------------------------------------------------------------
-def enrich(stream: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str], bool]]
-           ) -> DataFrame:
+def enrich(stream: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str], bool]],
+           persist_static: bool = False) -> DataFrame:
     """Stream-static inner joins; ``(dim, on, fixed_size)`` -- fixed-size
-    dimensions are broadcast, the rest are left to the planner."""
+    dimensions are broadcast, the rest are left to the planner.  A static
+    side is read again by every micro-batch; for a long-running stream on a
+    large dimension ``persist_static`` keeps it on the executors
+    (memory and disk; lost blocks are recomputed from the source)."""
+    from pyspark import StorageLevel
     out = stream
     for dim, on, fixed in dims:
+        if persist_static and not fixed:
+            dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
         out = out.join(F.broadcast(dim) if fixed else dim, on, "inner")
     return out
 

@@ -44,7 +44,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ledgerlake") -> SparkSession:
+                  app_name: str = "ledgerlake", extra_conf: dict | None = None) -> SparkSession:
     """Local/test session.  ``master`` defaults to ``local[$BENCH_CPUS or *]``."""
     if master is None:
         master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
@@ -53,7 +53,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "8g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
-    for key, value in CORE_CONF.items():
+    for key, value in {**CORE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -12,7 +12,11 @@ SF0001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from ledgerlake.session import build_session
-    s = build_session("local[4]", 4, app_name="ledgerlake-tests")
+    warehouse = tempfile.mkdtemp(prefix="ledgerlake-warehouse-")
+    s = build_session("local[4]", 4, app_name="ledgerlake-tests",
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

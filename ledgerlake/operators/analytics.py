@@ -153,7 +153,12 @@ def sequence_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "seq",
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    # Ties in ``order_by`` have no order of their own; a row-position
+    # tiebreak (fixed by the input files) lets the range partitioner cut a
+    # value that holds a third of the rows into many ranges.
+    keyed = df.withColumn("__tb", F.monotonically_increasing_id())
+    keys = [*order_by, "__tb"]
+    ordered = keyed.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("__tb")
     numbered = ordered.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     part = F.shiftright(F.col("__mid"), 33)
     local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))

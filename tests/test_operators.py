@@ -119,3 +119,17 @@ def test_max_id_and_table_counts(spark):
     assert analytics.max_id(df.where("false"), "id", "CUS").first()[0] == 0
     c = {r["table_name"]: r["row_count"] for r in analytics.table_counts({"a": df, "b": df.where("false")}).collect()}
     assert c == {"a": 2, "b": 0}
+
+
+def test_sequence_ids_with_a_hot_value_are_spread_and_ordered(spark):
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]     # value 0 holds a third
+    df = spark.createDataFrame(rows, "k long, payload long")
+    out = analytics.sequence_ids(df, ["k"], num_partitions=6)
+    got = sorted((r["seq"], r["k"]) for r in out.collect())
+    assert [s for s, _ in got] == list(range(1, 3001))
+    assert [k for _, k in got] == sorted(r[0] for r in rows)
+    from pyspark.sql import functions as F
+    parts = (df.withColumn("__tb", F.monotonically_increasing_id())
+             .repartitionByRange(6, "k", "__tb").where("k = 0")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts > 1

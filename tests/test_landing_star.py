@@ -219,3 +219,17 @@ def test_replace_table_and_catalog_scan(spark, built):
     assert files.read_table(spark, "t_full_refresh").count() == tx.count()
     j = to_json_text(tx.select("transaction_id", "date").where("transaction_id = 'TXN0000000003'")).first()[0]
     assert j == '{"transaction_id":"TXN0000000003","date":"2025-03-31T23:59:59"}'
+
+
+def test_write_to_catalog_falls_back_to_derived_partitions(spark, built):
+    _, paths, _ = built
+    from ledgerlake.sinks.writers import write_to_catalog
+    tx = spark.read.parquet(paths["transactions"]).drop("year", "month", "day")
+    spark.sql("DROP TABLE IF EXISTS t_v2_facts")
+    assert write_to_catalog(tx, "t_v2_facts", "date") == "derived"
+    parts = {r[0] for r in spark.sql("SHOW PARTITIONS t_v2_facts").collect()}
+    assert "year=2025/month=5" in parts and spark.table("t_v2_facts").count() == 5
+    # rerun with one month: only that month's partition is replaced
+    may = tx.where("date >= '2025-05-01' AND date < '2025-06-01'")
+    assert write_to_catalog(may, "t_v2_facts", "date") == "overwrite"
+    assert spark.table("t_v2_facts").count() == 5

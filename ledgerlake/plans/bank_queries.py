@@ -427,6 +427,28 @@ def customer360_one(spark: SparkSession, sf_dir: str, customer_id: int = CUSTOME
                       "latest_event_id")
 
 
+def customer360_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B17 at population scale: every customer's document summarised --
+    loan count and total, transaction count and total, newest event.  The
+    child summaries are partial aggregates (one row per customer leaves
+    each map task), joined to the customers; nothing is collected per key."""
+    t = Tables(spark, sf_dir)
+    cust = t.customer.select("c_custkey", "c_name")
+    loans = t.orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_loans"), F.sum(R.cents("o_totalprice")).alias("loans_total_cents"))
+    txs = t.events.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_transactions"), F.sum(R.cents("value")).alias("tx_total_cents"),
+        F.max_by("event_id", F.struct("ts", "event_id")).alias("latest_event_id"))
+    doc = cust.join(loans, cust["c_custkey"] == loans["o_custkey"], "left").drop("o_custkey")
+    doc = doc.join(txs, doc["c_custkey"] == txs["user_id"], "left").drop("user_id")
+    return doc.select("c_custkey", "c_name",
+                      F.coalesce("n_loans", F.lit(0)).alias("n_loans"),
+                      F.coalesce("loans_total_cents", F.lit(0)).alias("loans_total_cents"),
+                      F.coalesce("n_transactions", F.lit(0)).alias("n_transactions"),
+                      F.coalesce("tx_total_cents", F.lit(0)).alias("tx_total_cents"),
+                      "latest_event_id")
+
+
 # --- Analytics: A1, A4-A8 ---------------------------------------------------
 def _events_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = R.signed_events(spark, Tables(spark, sf_dir))
@@ -1003,6 +1025,7 @@ QUERIES = {
     "conform_transactions": conform_transactions,
     "dim_audit": dim_audit,
     "customer360_one": customer360_one,
+    "customer360_summary": customer360_summary,
     "customer360_arrays": customer360_arrays,
     "customer360_tx": customer360_tx,
     "id_array_lookup": id_array_lookup,

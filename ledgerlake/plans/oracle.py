@@ -247,6 +247,20 @@ ORACLE_SQL = {
                (SELECT arg_max(event_id, (ts, event_id)) FROM events WHERE user_id = 7)
                  AS latest_event_id
         FROM customer c WHERE c.c_custkey = 7""",
+    "customer360_summary": f"""
+        WITH l AS (SELECT o_custkey, count(*) AS n_loans,
+                          CAST(sum({cents('o_totalprice')}) AS BIGINT) AS loans_total_cents
+                   FROM orders GROUP BY o_custkey),
+        t AS (SELECT user_id, count(*) AS n_transactions,
+                     CAST(sum({cents('value')}) AS BIGINT) AS tx_total_cents,
+                     arg_max(event_id, (ts, event_id)) AS latest_event_id
+              FROM events GROUP BY user_id)
+        SELECT c.c_custkey, c.c_name, coalesce(l.n_loans, 0) AS n_loans,
+               coalesce(l.loans_total_cents, 0) AS loans_total_cents,
+               coalesce(t.n_transactions, 0) AS n_transactions,
+               coalesce(t.tx_total_cents, 0) AS tx_total_cents, t.latest_event_id
+        FROM customer c LEFT JOIN l ON l.o_custkey = c.c_custkey
+        LEFT JOIN t ON t.user_id = c.c_custkey""",
     "customer360_arrays": """
         SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice, o.o_orderstatus
         FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey""",

@@ -148,6 +148,32 @@ def transactions_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
 
 
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8 + S1: a table written as CSV with a header, read back with an
+    explicit schema (no inference pass)."""
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sinks.writers import write_csv
+    from ledgerlake.sources.files import read_csv
+    path = scratch_path(spark, "customer_csv")
+    write_csv(Tables(spark, sf_dir).customer, path)
+    return read_csv(spark, path, CUSTOMER_SCHEMA)
+
+
+def partitioned_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + S4 on a real Hive-partitioned table: lineitem written by
+    year/month of the ship date, then six months across a year end read
+    back -- the month set prunes directories, the date predicate pushes to
+    the files."""
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sinks.writers import write_partitioned
+    from ledgerlake.sources.files import read_month_slices
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    path = scratch_path(spark, "lineitem_by_month")
+    write_partitioned(li.withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")}),
+                      path, ("year", "month"))
+    return read_month_slices(spark, path, "l_shipdate", slices.months_of("1998-11-01", 6))
+
+
 # --- Star plans on role-mapped data: B12, B15, B16 -------------------------
 def _ntz(df: DataFrame) -> DataFrame:
     """Timestamps as TIMESTAMP_NTZ (the driver tables' type) for comparison."""
@@ -923,6 +949,26 @@ def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 + S8 + R3: events published as keyed JSON records (files stand
+    in for the stream), consumed as a stream and ingested into the
+    ``fact_transactions`` shape, partitioned by year/month/batch."""
+    from pyspark.sql import types as T2
+
+    from ledgerlake.session import scratch_path
+    from ledgerlake.streaming import feeds
+    from ledgerlake.streaming import queries as SQ
+    t = Tables(spark, sf_dir)
+    records = feeds.envelope(transaction_feed_record(R.signed_events(spark, t)), "account_id")
+    topic = scratch_path(spark, "transaction_records")
+    records.write.mode("overwrite").json(topic)
+    raw = T2.StructType([T2.StructField("key", T2.StringType()), T2.StructField("value", T2.StringType())])
+    stream = spark.readStream.schema(raw).json(topic)
+    table, ckpt = SQ.scratch(spark, "fact_transactions_live")
+    SQ.run_to_end(SQ.ingest_feed(stream, "transaction", table, ckpt))
+    return _ntz(spark.read.parquet(table).drop("batch_id"))
+
+
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest value per account by event time, continuously."""
     from ledgerlake.streaming import queries as SQ
@@ -1008,6 +1054,8 @@ QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_month_range": scan_month_range,
     "scan_missing_month": scan_missing_month,
+    "csv_round_trip": csv_round_trip,
+    "partitioned_month_scan": partitioned_month_scan,
     "union_slices": union_slices,
     "payments_6m": payments_6m,
     "transactions_12m": transactions_12m,
@@ -1072,6 +1120,7 @@ QUERIES = {
     "sequence_id": sequence_id,
     "running_balance": running_balance,
     "stream_transactions": stream_transactions,
+    "stream_ingest": stream_ingest,
     "stream_latest_balance": stream_latest_balance,
     "stream_running_balance": stream_running_balance,
     "stream_dedup": stream_dedup,

@@ -111,6 +111,11 @@ ORACLE_SQL = {
     "scan_parquet": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "scan_month_range": LINE_SLICE.format(lo="1998-11-01", hi="1999-05-01"),
     "scan_missing_month": LINE_SLICE.format(lo="2001-11-01", hi="2002-02-01"),
+    "csv_round_trip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "partitioned_month_scan": """
+        SELECT l_orderkey, l_linenumber, l_shipdate,
+               CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
+        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-11-01' AND l_shipdate < TIMESTAMP '1999-05-01'""",
     "union_slices": """
         SELECT l_orderkey, l_linenumber, l_shipdate, 1996 AS year FROM lineitem
         WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'
@@ -513,6 +518,14 @@ ORACLE_SQL = {
                transaction_type AS type, 'VND' AS currency, amount_cents AS amount,
                date_trunc('second', ts) AS timestamp
         FROM se""",
+    "stream_ingest": f"""
+        WITH {SE_CTE}
+        SELECT printf('TXN%010d', event_id) AS transaction_id, printf('ACC%07d', user_id) AS account_id,
+               NULL::VARCHAR AS employee_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_id,
+               date_trunc('second', ts) AS timestamp, 'VND' AS currency, transaction_type AS type,
+               amount_cents AS amount, NULL::BIGINT AS balance_after,
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
+        FROM se""",
     "stream_latest_balance": """
         SELECT user_id AS account_id, arg_max(value, (ts, event_id)) AS balance_after
         FROM events GROUP BY user_id""",

@@ -475,6 +475,33 @@ def customer360_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "latest_event_id")
 
 
+def analytics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5-A7 as documents + K11 + S11 + J11: the analytics collection built
+    from the period's transactions, written as JSON documents, read back
+    with the collection schema, newest per customer, shown flat."""
+    from ledgerlake.plans import customer360 as C
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sinks.writers import write_documents
+    from ledgerlake.sources.files import read_documents
+    e = _events_period(spark, sf_dir).withColumn("amount", F.col("amount_cents") / 100.0)
+    docs = C.analytics_documents(e, "user_id", "transaction_type", "channel", "amount",
+                                 as_of=R.EVENTS_AS_OF)
+    path = scratch_path(spark, "analytics_documents")
+    write_documents(docs, path)
+    back = C.newest_analytics(read_documents(spark, path, "analytics"))
+    a = F.col("analytics.transaction_analytics")
+    return back.select(
+        F.col("__cid").alias("customer_id"), F.col("analytics._id").alias("doc_id"),
+        a["total_transactions"].alias("total_transactions"), a["total_inflow"].alias("total_inflow"),
+        a["total_outflow"].alias("total_outflow"), a["net_cashflow"].alias("net_cashflow"),
+        a["avg_monthly_transactions"].alias("avg_monthly_transactions"),
+        F.size(a["spending_patterns"]["by_type"]).alias("n_types"),
+        a["spending_patterns"]["by_channel"]["branch"].alias("branch"),
+        a["spending_patterns"]["by_channel"]["atm"].alias("atm"),
+        a["spending_patterns"]["by_channel"]["online"].alias("online"),
+        F.col("analytics.last_updated").cast("timestamp_ntz").alias("last_updated"))
+
+
 # --- Analytics: A1, A4-A8 ---------------------------------------------------
 def _events_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = R.signed_events(spark, Tables(spark, sf_dir))
@@ -1080,6 +1107,7 @@ QUERIES = {
     "customer_analytics": customer_analytics,
     "spending_by_type": spending_by_type,
     "spending_by_channel": spending_by_channel,
+    "analytics_documents": analytics_documents,
     "max_id": max_id,
     "table_counts": table_counts,
     "duplicate_keys": duplicate_keys,

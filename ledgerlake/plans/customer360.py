@@ -72,3 +72,31 @@ def to_json_documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("_id"), F.to_json(
         F.struct(*docs.columns),
         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "ignoreNullFields": "true"}).alias("json"))
+
+
+def analytics_documents(tx: DataFrame, key: str, type_col: str, channel_col: str, amount: str,
+                        as_of: str, period: str = "last_12_months", months: int = 12,
+                        last_updated=None) -> DataFrame:
+    """The ``analytics`` collection from a period's transactions (A5-A7):
+    cash-flow totals, spending by type (an array bounded by the number of
+    types) and by channel, one document per customer.  ``amount`` is signed;
+    the health score has no formula in the source and stays NULL."""
+    from ledgerlake import schemas as S
+    from ledgerlake.operators import analytics as A
+    flow = A.cashflow_summary(tx, key, amount, months=months, places=2)
+    by_type = A.nest_by_type(A.spending_by_type(tx, key, type_col, amount), key)
+    by_channel = A.spending_by_channel(tx, key, channel_col, amount)
+    j = flow.join(by_type, key, "left").join(by_channel, key, "left")
+    stamp = F.lit(as_of).cast("timestamp") if last_updated is None else F.lit(last_updated).cast("timestamp")
+    doc_id = F.concat(F.col(key).cast("string"), F.lit("_"),
+                      F.date_format(F.lit(as_of).cast("date"), "yyyyMM"))
+    ta = F.struct(
+        "total_transactions", "total_inflow", "total_outflow", "net_cashflow",
+        "avg_monthly_transactions",
+        F.struct(F.col("by_type"), F.struct("branch", "atm", "online").alias("by_channel")
+                 ).alias("spending_patterns"))
+    out = j.select(doc_id.alias("_id"), F.col(key).cast("string").alias("customer_id"),
+                   F.lit(period).alias("period"), ta.alias("transaction_analytics"),
+                   F.lit(None).cast(S.HEALTH).alias("financial_health_score"),
+                   stamp.alias("last_updated"))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.DOC_ANALYTICS.fields])

@@ -308,6 +308,28 @@ ORACLE_SQL = {
                CAST(sum(CASE WHEN channel = 'online' THEN abs(amount_cents) ELSE 0 END) AS DOUBLE)
                  / CAST(sum(abs(amount_cents)) AS DOUBLE) * 100 AS online
         FROM se WHERE {PERIOD} GROUP BY user_id""",
+    "analytics_documents": f"""
+        WITH {SE_CTE},
+        p AS (SELECT user_id, transaction_type, channel, amount_cents / CAST(100.0 AS DOUBLE) AS amount
+              FROM se WHERE {PERIOD}),
+        flow AS (SELECT user_id, CAST(count(*) AS INTEGER) AS total_transactions,
+                        coalesce(sum(amount) FILTER (WHERE amount > 0), 0) AS inflow,
+                        coalesce(sum(-amount) FILTER (WHERE amount < 0), 0) AS outflow
+                 FROM p GROUP BY user_id),
+        ch AS (SELECT user_id,
+                      sum(CASE WHEN channel = 'branch' THEN abs(amount) ELSE 0 END) / sum(abs(amount)) * 100 AS branch,
+                      sum(CASE WHEN channel = 'atm' THEN abs(amount) ELSE 0 END) / sum(abs(amount)) * 100 AS atm,
+                      sum(CASE WHEN channel = 'online' THEN abs(amount) ELSE 0 END) / sum(abs(amount)) * 100 AS online
+               FROM p GROUP BY user_id),
+        ty AS (SELECT user_id, count(DISTINCT transaction_type) AS n_types FROM p GROUP BY user_id)
+        SELECT CAST(f.user_id AS VARCHAR) AS customer_id, CAST(f.user_id AS VARCHAR) || '_202401' AS doc_id,
+               f.total_transactions, round(f.inflow, 2) AS total_inflow, round(f.outflow, 2) AS total_outflow,
+               round(f.inflow - f.outflow, 2) AS net_cashflow,
+               CAST(floor(f.total_transactions / 12) AS INTEGER) AS avg_monthly_transactions,
+               CAST(ty.n_types AS INTEGER) AS n_types,
+               round(ch.branch, 1) AS branch, round(ch.atm, 1) AS atm, round(ch.online, 1) AS online,
+               TIMESTAMP '{R.EVENTS_AS_OF}' AS last_updated
+        FROM flow f JOIN ch ON f.user_id = ch.user_id JOIN ty ON f.user_id = ty.user_id""",
     "max_id": """
         SELECT 'customer' AS table_name,
                CAST(coalesce(max(TRY_CAST(CASE WHEN starts_with(c_name, 'Customer#')

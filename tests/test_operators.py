@@ -133,3 +133,23 @@ def test_sequence_ids_with_a_hot_value_are_spread_and_ordered(spark):
              .repartitionByRange(6, "k", "__tb").where("k = 0")
              .select(F.spark_partition_id().alias("p")).distinct().count())
     assert parts > 1
+
+
+def test_small_helpers(spark):
+    from ledgerlake.operators import conform
+    df = spark.createDataFrame([("a", 3, -5), ("b", 1, 7)], "x string, t int, amt int")
+    assert conform.select_as(df, [("t", "type"), ("x", "id")]).columns == ["type", "id"]
+    r = df.select(conform.only_for(F.col("t") == 3, F.col("x")).alias("o"),
+                  analytics.signed_amount(F.col("amt"), F.lit(-1)).alias("neg"),
+                  analytics.signed_amount(F.col("amt"), F.lit(0)).alias("keep")).collect()
+    assert [(x["o"], x["neg"], x["keep"]) for x in r] == [("a", -5, -5), (None, -7, 7)]
+    st = spark.createDataFrame([("3",), ("O",), ("Quá hạn",)], "s string")
+    got = [x[0] for x in st.select(conform.normalize_status(F.col("s"), {"O": "Đang vay"})).collect()]
+    assert got == ["Đã thanh toán", "Đang vay", "Quá hạn"]
+
+
+def test_top_k_per_key_with_rank(spark):
+    df = spark.createDataFrame([(1, i, float(i)) for i in range(5)] + [(2, 9, 1.0)], "k int, id int, v double")
+    out = latest.latest_by_rank(df, ["k"], ["v", "id"], n=2, rank_col="rank")
+    got = sorted((r["k"], r["id"], r["rank"]) for r in out.collect())
+    assert got == [(1, 3, 2), (1, 4, 1), (2, 9, 1)]

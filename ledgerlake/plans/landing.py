@@ -90,7 +90,8 @@ def run_landing(spark: SparkSession, csv_folder: str, out_folder: str) -> dict[s
     for name, (df, parts) in plan.items():
         path = f"{out}/{name}"
         if parts:
-            writers.write_partitioned(df, path, parts)
+            # the export is complete each time: replace the whole table
+            writers.write_partitioned(df, path, parts, dynamic=False)
         else:
             writers.write_parquet(df, path)
         paths[name] = path

@@ -26,11 +26,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, parts: Sequence[str],
-                      mode: str = "overwrite") -> None:
-    """K2/K6: Parquet partitioned by derived columns; dynamic overwrite."""
+                      mode: str = "overwrite", dynamic: bool = True) -> None:
+    """K2/K6: Parquet partitioned by derived columns.  ``dynamic`` overwrite
+    replaces only the partitions present in ``df`` (incremental loads and
+    rolling windows); ``dynamic=False`` replaces the whole table (a full
+    export reloaded)."""
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
     try:
         (rebalance(df, *parts).write.mode(mode).option("compression", "snappy")
          .partitionBy(*parts).parquet(path))

@@ -233,3 +233,18 @@ def test_write_to_catalog_falls_back_to_derived_partitions(spark, built):
     may = tx.where("date >= '2025-05-01' AND date < '2025-06-01'")
     assert write_to_catalog(may, "t_v2_facts", "date") == "overwrite"
     assert spark.table("t_v2_facts").count() == 5
+
+
+def test_landing_reload_replaces_whole_export(spark, tmp_path):
+    src = tmp_path / "csv"
+    src.mkdir()
+    for name, lines in CSV.items():
+        (src / f"{name}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    out = str(tmp_path / "landing")
+    landing.run_landing(spark, str(src), out)
+    # the next export no longer holds the 2024 transactions
+    keep = [CSV["transactions"][0]] + [l for l in CSV["transactions"][1:] if ",2025-" in l]
+    (src / "transactions.csv").write_text("\n".join(keep) + "\n", encoding="utf-8")
+    landing.run_landing(spark, str(src), out)
+    years = {r[0] for r in spark.read.parquet(os.path.join(out, "transactions")).select("year").distinct().collect()}
+    assert years == {2025}

@@ -3,8 +3,12 @@
 Each dimension is a projection of its landing table (plus audit columns
 for branches, customers, employees).  The two facts are built in one job
 each: a single month-filtered scan replaces the per-slice loop, and the
-write is partitioned by derived ``year``/``month`` (overwrite of those
-partitions, so reruns are idempotent, D13).
+write is partitioned by derived ``year``/``month``.  ``fact_transactions``
+is rebuilt whole on each run (the trailing twelve months only, as a drop
+and rebuild, K5); ``fact_loan_payments`` replaces the months of its
+windows and keeps older ones, so reruns are idempotent (D13).  A window
+with no rows leaves a table without data files; read the folders with
+``star_schema(name)``.
 """
 
 from __future__ import annotations
@@ -37,6 +41,16 @@ def dim_date(spark: SparkSession, start: str = "2000-01-01", end: str = "2050-12
     return dim_date_between(b, "lo", "hi")
 
 
+def star_schema(name: str):
+    """Schema of a star table as stored (facts carry year/month partitions)."""
+    from pyspark.sql import types as T
+    schema = S.STAR[name]
+    if name.startswith("fact_"):
+        schema = T.StructType(schema.fields + [T.StructField("year", T.IntegerType()),
+                                               T.StructField("month", T.IntegerType())])
+    return schema
+
+
 def _conform_to(df: DataFrame, schema) -> DataFrame:
     """Select the target columns by name and cast to the target types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -142,13 +156,16 @@ def run_star(spark: SparkSession, landing: str, warehouse: str, as_of: str,
     for name, df in tables.items():
         path = f"{out}/{name}"
         parts = ("year", "month") if name.startswith("fact_") else ()
+        # fact_transactions is rebuilt whole (the trailing window only, K5);
+        # loan-payment windows replace just their own months
+        dynamic = name != "fact_transactions"
         if catalog_db:
             table = f"{catalog_db}.{name}"
             writers.create_table(spark, table, S.STAR[name], location=path, partition_cols=parts)
-            writers.insert_by_name(df, table, overwrite=True)
+            writers.insert_by_name(df, table, overwrite=True, dynamic=dynamic)
             paths[name] = table
         elif parts:
-            writers.write_partitioned(df, path, parts)
+            writers.write_partitioned(df, path, parts, dynamic=dynamic)
             paths[name] = path
         else:
             writers.write_parquet(df, path)

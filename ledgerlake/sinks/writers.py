@@ -56,14 +56,16 @@ def create_table(spark, name: str, schema, location: str | None = None,
     spark.sql(sql)
 
 
-def insert_by_name(df: DataFrame, table: str, overwrite: bool = False) -> None:
+def insert_by_name(df: DataFrame, table: str, overwrite: bool = False,
+                   dynamic: bool = True) -> None:
     """K4: append (or overwrite) into a table by column name, with the
     table's types under ANSI store assignment (overflow raises).  An
-    overwrite of a partitioned table replaces only the partitions present."""
+    overwrite of a partitioned table replaces only the partitions present,
+    or the whole table with ``dynamic=False`` (K5 full refresh)."""
     spark = df.sparkSession
     target = spark.table(table)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
     try:
         rebalance(df.select(*target.columns)).write.insertInto(table, overwrite=overwrite)
     finally:

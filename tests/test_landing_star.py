@@ -248,3 +248,14 @@ def test_landing_reload_replaces_whole_export(spark, tmp_path):
     landing.run_landing(spark, str(src), out)
     years = {r[0] for r in spark.read.parquet(os.path.join(out, "transactions")).select("year").distinct().collect()}
     assert years == {2025}
+
+
+def test_star_next_year_rebuilds_transactions_keeps_payment_months(spark, built):
+    root, _, _ = built
+    wh = os.path.join(root, "star_next")
+    star.run_star(spark, os.path.join(root, "landing"), wh, as_of="2025-06-05")
+    before = spark.read.parquet(os.path.join(wh, "fact_loan_payments")).count()
+    sp = star.run_star(spark, os.path.join(root, "landing"), wh, as_of="2026-06-05")
+    read = lambda n: spark.read.schema(star.star_schema(n)).parquet(sp[n])
+    assert read("fact_transactions").count() == 0          # whole rebuild, no rows in the window
+    assert read("fact_loan_payments").count() >= before    # earlier months kept

@@ -106,36 +106,145 @@ def balance_after(tx: DataFrame, accounts: DataFrame, tx_account: str, acc_key:
 def running_balance(tx: DataFrame, key: str, order_by: Sequence[str], amount: str,
                     opening: DataFrame | None = None, opening_key: str | None = None,
                     opening_balance: str | None = None, bucket_unit: str = "minute",
-                    out_col: str = "running_balance") -> DataFrame:
+                    out_col: str = "running_balance",
+                    max_bucket_rows: int | None = 50_000_000,
+                    method: str = "buckets") -> DataFrame:
     """Opening balance + cumulative amount in event order, per key.
 
-    Skew-safe two-level prefix sum: rows are windowed per (key, time
-    bucket), bucket totals are pre-aggregated map-side and prefix-summed
-    per key (one row per bucket), then added back.  A hot key is spread
-    over its buckets instead of landing in one task.
+    ``method="buckets"`` (all JVM, one large shuffle): a two-level prefix
+    sum.  Rows are windowed per (key, time bucket); bucket totals are
+    pre-aggregated map-side and prefix-summed per key (one row per bucket),
+    then added back, so a hot key is spread over its buckets.  A bucket
+    holding more than ``max_bucket_rows`` rows is cut into equal slices of
+    its own time span (found by the same map-side aggregate; there are at
+    most total rows / ``max_bucket_rows`` such buckets, so that table is
+    broadcast).  Exact in every case; balanced unless a burst inside a
+    burst defeats even slicing.
+
+    ``method="ranges"``: balanced whatever the skew -- see
+    ``running_balance_ranges``.
     """
+    if method == "ranges":
+        out = running_balance_ranges(tx, key, order_by, amount, out_col=out_col)
+        return _add_opening(out, key, out_col, opening, opening_key, opening_balance)
     ts = order_by[0]
     tx = tx.withColumn("__bucket", F.date_trunc(bucket_unit, F.col(ts)))
-    within = (Window.partitionBy(key, "__bucket").orderBy(*[F.col(c) for c in order_by])
+    if max_bucket_rows:
+        micros = F.unix_micros(F.col(ts).cast("timestamp"))
+        hot = (tx.groupBy(key, "__bucket")
+               .agg(F.count(F.lit(1)).alias("__n"), F.min(micros).alias("__lo"),
+                    F.max(micros).alias("__hi"))
+               .where(F.col("__n") > max_bucket_rows)
+               .select(key, "__bucket", "__lo", F.greatest(F.lit(1).cast("long"), F.floor(
+                   (F.col("__hi") - F.col("__lo") + 1).cast("double") * float(max_bucket_rows)
+                   / F.col("__n")).cast("long")).alias("__step")))
+        tx = tx.join(F.broadcast(hot), [key, "__bucket"], "left")
+        tx = tx.withColumn("__sub", F.when(F.col("__step").isNull(), F.lit(0)).otherwise(
+            F.floor((micros - F.col("__lo")) / F.col("__step"))).cast("long")).drop("__step", "__lo")
+    else:
+        tx = tx.withColumn("__sub", F.lit(0).cast("long"))
+    parts = [key, "__bucket", "__sub"]
+    within = (Window.partitionBy(*parts).orderBy(*[F.col(c) for c in order_by])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     b = tx.withColumn("__run", F.sum(amount).over(within))
-    # Bucket totals straight from the scan: a map-side partial aggregate, so
-    # this second pass reads three columns and shuffles one row per
-    # (key, bucket, map task) -- the rows themselves move once, above.
-    totals = tx.groupBy(key, "__bucket").agg(F.sum(amount).alias("__bt"))
-    before = (Window.partitionBy(key).orderBy("__bucket")
+    # Slice totals straight from the scan: a map-side partial aggregate, so
+    # this pass reads a few columns and shuffles one row per (key, slice,
+    # map task) -- the rows themselves move once, above.
+    totals = tx.groupBy(*parts).agg(F.sum(amount).alias("__bt"))
+    before = (Window.partitionBy(key).orderBy("__bucket", "__sub")
               .rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.withColumn("__before", F.coalesce(F.sum("__bt").over(before), F.lit(0)))
-    out = b.join(totals.drop("__bt"), [key, "__bucket"], "inner")
-    total = F.col("__before") + F.col("__run")
-    if opening is not None:
-        op = opening.select(F.col(opening_key).alias("__ok"), F.col(opening_balance).alias("__ob"))
-        out = out.join(op, out[key] == op["__ok"], "left")
-        total = F.coalesce(F.col("__ob"), F.lit(0)) + total
-        out = out.withColumn(out_col, total).drop("__ok", "__ob")
-    else:
-        out = out.withColumn(out_col, total)
-    return out.drop("__bucket", "__run", "__before")
+    out = b.join(totals.drop("__bt"), parts, "inner")
+    out = out.withColumn(out_col, F.col("__before") + F.col("__run"))
+    out = out.drop("__bucket", "__sub", "__run", "__before")
+    return _add_opening(out, key, out_col, opening, opening_key, opening_balance)
+
+
+def _add_opening(out: DataFrame, key: str, out_col: str, opening, opening_key, opening_balance):
+    if opening is None:
+        return out
+    op = opening.select(F.col(opening_key).alias("__ok"), F.col(opening_balance).alias("__ob"))
+    out = out.join(op, out[key] == op["__ok"], "left")
+    return out.withColumn(out_col, F.coalesce(F.col("__ob"), F.lit(0)) + F.col(out_col)).drop(
+        "__ok", "__ob")
+
+
+def running_balance_ranges(tx: DataFrame, key: str, order_by: Sequence[str], amount: str,
+                           out_col: str = "running_balance",
+                           num_partitions: int | None = None) -> DataFrame:
+    """W4, balanced for any skew: a distributed prefix sum.
+
+    1. Range-partition on (key, order_by...): Spark's sampler cuts even a
+       key -- or one instant -- that holds a third of the rows into many
+       ranges, and each range is sorted.
+    2. One vectorised pass per partition (``mapInPandas`` over Arrow
+       batches, carrying the sum across batches) gives running sums within
+       the partition.  The built-ins cannot scan a partition in order
+       without shuffling it again.  The result is checkpointed to the
+       shared folder, so the reads below see the same rows and the shuffle
+       runs once.
+    3. Only a partition's first and last key can continue into a
+       neighbour, so the offsets that must cross partitions form a table of
+       at most two rows per partition: computed from the partitions' last
+       keys and broadcast back.
+    ``order_by`` (with ``key``) must order rows totally (end with an id).
+    """
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    spark = tx.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [key, *order_by]
+    ranged = (tx.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("__pid", F.spark_partition_id()))
+    integral = isinstance(tx.schema[amount].dataType,
+                          (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    np_type = "int64" if integral else "float64"       # integer sums stay exact
+    local_type = T.LongType() if integral else T.DoubleType()
+    schema = T.StructType(ranged.schema.fields + [T.StructField("__local", local_type)])
+    kpos = ranged.columns.index(key)
+    apos = ranged.columns.index(amount)
+
+    def scan(batches):
+        carry_key, carry = None, 0
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(__local=pd.Series([], dtype=np_type))
+                continue
+            k = pdf.iloc[:, kpos].to_numpy()
+            a = pdf.iloc[:, apos].fillna(0).to_numpy(dtype=np_type)
+            starts = np.empty(len(k), dtype=bool)
+            starts[0] = True
+            starts[1:] = k[1:] != k[:-1]
+            group = np.cumsum(starts)
+            local = pd.Series(a).groupby(group).cumsum().to_numpy()
+            if carry_key is not None and k[0] == carry_key:
+                local[group == group[0]] += carry
+            carry_key, carry = k[-1], local[-1]
+            yield pdf.assign(__local=local)
+
+    # The per-partition sums feed three reads that must agree; materialise
+    # them once in the shared checkpoint folder (one write instead of
+    # repeating the range shuffle and the scan for every read).
+    from ledgerlake.session import checkpoint_root
+    checkpoint_root(spark)
+    local = ranged.mapInPandas(scan, schema).checkpoint(eager=True)
+    bounds = local.groupBy("__pid").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
+    last_tot = (local.join(F.broadcast(bounds.select("__pid", F.col("__last").alias(key))),
+                           ["__pid", key], "left_semi")
+                .groupBy("__pid").agg(F.sum(amount).alias("__tot")))
+    edges = bounds.join(last_tot, "__pid", "left")
+    # offset of partition p's first key = totals of that key in earlier partitions
+    earlier = edges.select(F.col("__pid").alias("__p2"), F.col("__last").alias("__k2"),
+                           F.col("__tot").alias("__t2"))
+    offsets = (edges.select("__pid", "__first")
+               .join(earlier, (F.col("__k2") == F.col("__first")) & (F.col("__p2") < F.col("__pid")))
+               .groupBy("__pid", F.col("__first").alias(key)).agg(F.sum("__t2").alias("__off")))
+    out = local.join(F.broadcast(offsets), ["__pid", key], "left")
+    total = F.col("__local") + F.coalesce(F.col("__off"), F.lit(0))
+    src_type = tx.schema[amount].dataType
+    return out.withColumn(out_col, total.cast(src_type)).drop("__pid", "__local", "__off")
 
 
 def sequence_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "seq",

@@ -1072,6 +1072,18 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def running_balance_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4, balanced for any skew: range-partitioned prefix sum (same result)."""
+    t = Tables(spark, sf_dir)
+    e = R.signed_events(spark, t).select("event_id", "user_id", "ts", "amount_cents")
+    acc = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
+    out = analytics.running_balance(e, "user_id", ["ts", "event_id"], "amount_cents",
+                                    opening=acc, opening_key="c_custkey",
+                                    opening_balance="open_cents", method="ranges")
+    return out.select("event_id", "user_id", F.col("running_balance").cast("bigint")
+                      .alias("running_balance"))
+
+
 QUERIES = {
     "latest_balance": latest_balance,
     "latest_balance_agg": latest_balance_agg,
@@ -1147,6 +1159,7 @@ QUERIES = {
     "lookup_default": lookup_default,
     "sequence_id": sequence_id,
     "running_balance": running_balance,
+    "running_balance_ranges": running_balance_ranges,
     "stream_transactions": stream_transactions,
     "stream_ingest": stream_ingest,
     "stream_latest_balance": stream_latest_balance,

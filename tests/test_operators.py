@@ -153,3 +153,45 @@ def test_top_k_per_key_with_rank(spark):
     out = latest.latest_by_rank(df, ["k"], ["v", "id"], n=2, rank_col="rank")
     got = sorted((r["k"], r["id"], r["rank"]) for r in out.collect())
     assert got == [(1, 3, 2), (1, 4, 1), (2, 9, 1)]
+
+
+def test_running_balance_hot_bucket_is_cut_and_exact(spark):
+    base = dt.datetime(2024, 1, 1, 10, 0)
+    # one minute of one key holds 3000 rows, packed into three seconds
+    rows = [(i, 0, base + dt.timedelta(microseconds=i * 997), (i % 7) - 3) for i in range(3000)]
+    rows += [(10000 + i, 1, base + dt.timedelta(minutes=i), 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, amt long")
+    want, tot = {}, {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        tot[r[1]] = tot.get(r[1], 0) + r[3]
+        want[r[0]] = tot[r[1]]
+    for method in ("buckets", "ranges"):
+        got = {r["id"]: r["running_balance"] for r in analytics.running_balance(
+            df, "k", ["ts", "id"], "amt", bucket_unit="minute", max_bucket_rows=200,
+            method=method).collect()}
+        assert got == want, method
+    # slices follow the bucket's own span: 3000 rows / 200 -> about 15 slices
+    span = (rows[2999][2] - base).total_seconds() * 10**6 + 1
+    step = int(span * 200 // 3000)
+    subs = {int((r[2] - base).total_seconds() * 10**6) // step for r in rows if r[1] == 0}
+    assert len(subs) >= 10
+
+
+def test_running_balance_ranges_one_instant_holds_a_third(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, 7, t0, 1) for i in range(2000)]                                  # one instant
+    rows += [(5000 + i, i % 50, t0 + dt.timedelta(seconds=i), 2) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, amt long")
+    opening = spark.createDataFrame([(7, 100)], "ok long, ob long")
+    out = analytics.running_balance(df, "k", ["ts", "id"], "amt", opening, "ok", "ob",
+                                    method="ranges")
+    got = {r["id"]: r["running_balance"] for r in out.collect()}
+    want, tot = {}, {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        tot[r[1]] = tot.get(r[1], 100 if r[1] == 7 else 0) + r[3]
+        want[r[0]] = tot[r[1]]
+    assert got == want
+    from pyspark.sql import functions as F
+    spread = (df.repartitionByRange(8, "k", "ts", "id").where("k = 7")
+              .select(F.spark_partition_id()).distinct().count())
+    assert spread > 1

@@ -6,8 +6,8 @@
     python -m ledgerlake.jobs latest-balance --facts DIR --out DIR
     python -m ledgerlake.jobs ingest    --feed transaction --source DIR --out DIR
 
-On a cluster, submit with ``spark-submit -m ledgerlake.jobs ...``; the
-session is taken as configured by the platform and only the job settings
+On a cluster, submit ``ledgerlake/jobs.py`` with the package zipped in
+``--py-files``; the session is taken as configured by the platform and only the job settings
 of ``session.configure`` are added.
 """
 

@@ -44,3 +44,23 @@ def test_latest_balance_job_and_compaction(spark, tmp_path):
     snap = SQ.compact_changelog(spark, str(log), "account_id", str(tmp_path / "snap"))
     view = {r[0]: r[1] for r in SQ.current_view(spark, snap, "account_id").collect()}
     assert view["B"] == 5 and view["A"] in (11, 21)
+
+
+def test_landing_star_and_ingest_jobs(spark, tmp_path):
+    from tests.test_landing_star import CSV
+    src = tmp_path / "csv"
+    src.mkdir()
+    for name, lines in CSV.items():
+        (src / f"{name}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    jobs.main(["landing", "--csv", str(src), "--out", str(tmp_path / "landing")])
+    jobs.main(["star", "--landing", str(tmp_path / "landing"), "--out", str(tmp_path / "star"),
+               "--as-of", "2025-06-05", "--audit-ts", "2025-06-05 00:33:00"])
+    assert spark.read.parquet(str(tmp_path / "star" / "fact_transactions")).count() == 3
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    rec = {"transaction_id": "TXN0000000099", "account_id": "ACC0000001", "employee_id": None,
+           "type": "Gửi tiền", "currency": "VND", "date": "2025-06-04 09:15:00", "amount": 5}
+    (feed / "a.json").write_text(json.dumps({"key": "ACC0000001", "value": json.dumps(rec)}) + "\n")
+    jobs.main(["ingest", "--feed", "transaction", "--source", str(feed), "--out", str(tmp_path / "live")])
+    row = spark.read.parquet(str(tmp_path / "live")).first()
+    assert (row["transaction_id"], row["date_id"], row["year"], row["month"]) == ("TXN0000000099", 20250604, 2025, 6)

@@ -492,7 +492,7 @@ ORACLE_SQL = {
     "date_format": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date_text FROM orders",
     "array_first": """
         SELECT doc_id, string_split(text, chr(10))[1] AS first_line,
-               list_filter(string_split(text, chr(10)), lambda x: length(x) > 200)[1] AS first_long_line
+               [x FOR x IN string_split(text, chr(10)) IF length(x) > 200][1] AS first_long_line
         FROM documents""",
     "stream_envelope": f"""
         WITH {SE_CTE}

@@ -996,6 +996,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(spark.read.parquet(table).drop("batch_id"))
 
 
+def stream_balance_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 per event: the balance after every live transaction, from the
+    opening balance and the amounts so far (skew-safe within each batch)."""
+    from ledgerlake.streaming import queries as SQ
+    t = Tables(spark, sf_dir)
+    opening = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
+    s = _signed_stream(spark, sf_dir).select("event_id", "user_id", "ts", "amount_cents")
+    out, ckpt = SQ.scratch(spark, "stream_balance_after")
+    SQ.run_to_end(SQ.balance_after_sink(s, "user_id", ["ts", "event_id"], "amount_cents",
+                                        opening, "c_custkey", "open_cents", out, ckpt))
+    return spark.read.parquet(f"{out}/rows").select(
+        "event_id", "user_id", F.col("balance_after").cast("bigint").alias("balance_after"))
+
+
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest value per account by event time, continuously."""
     from ledgerlake.streaming import queries as SQ
@@ -1164,6 +1178,7 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_latest_balance": stream_latest_balance,
     "stream_running_balance": stream_running_balance,
+    "stream_balance_after": stream_balance_after,
     "stream_dedup": stream_dedup,
     "stream_dedup_watermark": stream_dedup_watermark,
     "stream_enrich": stream_enrich,

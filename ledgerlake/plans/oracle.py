@@ -533,7 +533,16 @@ ORACLE_SQL = {
                CAST(coalesce(acc.open_cents, 0) + sum(se.amount_cents) OVER (
                     PARTITION BY se.user_id ORDER BY se.ts, se.event_id
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_balance
-        FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",    "running_balance_ranges": f"""
+        FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",
+    "stream_balance_after": f"""
+        WITH {SE_CTE},
+        acc AS (SELECT c_custkey, {cents('c_acctbal')} AS open_cents FROM customer)
+        SELECT se.event_id, se.user_id,
+               CAST(coalesce(acc.open_cents, 0) + sum(se.amount_cents) OVER (
+                    PARTITION BY se.user_id ORDER BY se.ts, se.event_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS balance_after
+        FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",
+    "running_balance_ranges": f"""
         WITH {SE_CTE},
         acc AS (SELECT c_custkey, {cents('c_acctbal')} AS open_cents FROM customer)
         SELECT se.event_id, se.user_id,

@@ -134,6 +134,50 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
     return w.start()
 
 
+def balance_after_sink(stream: DataFrame, key: str, order_by: Sequence[str], amount: str,
+                       opening: DataFrame, opening_key: str, opening_balance: str,
+                       path: str, checkpoint: str, available_now: bool = True):
+    """R2, per event: the balance after every transaction of a stream
+    (what the live feed lacks and the latest-balance query reads).
+
+    Each micro-batch: the batch's rows get the skew-safe running sum (W4);
+    each account starts from its total after the previous batches (a
+    per-batch totals changelog under ``path/totals``) or, the first time,
+    from its opening balance.  Rows go to ``path/rows/batch_id=n`` and new
+    totals to ``path/totals/batch_id=n``; a replayed batch ignores its own
+    earlier output and overwrites it, so the result is the same.  Events
+    are applied in arrival order across batches and in event order within
+    a batch."""
+    from ledgerlake.operators.analytics import running_balance
+    rows_path, totals_path = f"{path}/rows", f"{path}/totals"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        keys = batch.select(key).distinct()
+        base = opening.select(F.col(opening_key).alias(key), F.col(opening_balance).alias("__base"))
+        try:
+            log = spark.read.parquet(totals_path).where(F.col("batch_id") != batch_id)
+            prev = (log.join(keys, key, "left_semi").groupBy(key)
+                    .agg(F.max_by("total", F.col("batch_id")).alias("__prev")))
+            base = (keys.join(base, key, "left").join(prev, key, "left")
+                    .select(key, F.coalesce("__prev", "__base", F.lit(0)).alias("__base")))
+        except Exception:  # first batch: nothing written yet
+            base = keys.join(base, key, "left").select(
+                key, F.coalesce("__base", F.lit(0)).alias("__base"))
+        run = running_balance(batch, key, order_by, amount, out_col="__in_batch")
+        rows = run.join(base, key, "left").withColumn(
+            "balance_after", F.col("__base") + F.col("__in_batch")).drop("__base", "__in_batch")
+        rows.write.mode("overwrite").parquet(f"{rows_path}/batch_id={batch_id}")
+        totals = (batch.groupBy(key).agg(F.sum(amount).alias("__sum")).join(base, key, "left")
+                  .select(key, (F.col("__base") + F.col("__sum")).alias("total")))
+        totals.write.mode("overwrite").parquet(f"{totals_path}/batch_id={batch_id}")
+
+    w = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(write_batch))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
 # R5 ------------------------------------------------------------------------
 def enrich(stream: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[str], bool]],
            persist_static: bool = False) -> DataFrame:

@@ -179,3 +179,27 @@ def test_malformed_records_do_not_stop_the_stream(spark, tmp_path):
     rows = {r["transaction_id"]: r["timestamp"] for r in spark.read.parquet(table).collect()}
     assert rows["TXN0000000001"] == dt.datetime(2025, 6, 4, 10, 0)
     assert rows["T2"] is None
+
+
+def test_balance_after_per_event_across_batches(spark, tmp_path):
+    src = str(tmp_path / "in")
+    recs = [_tx(i, f"ACC{i % 3}", f"2025-06-0{1 + i // 10} {10 + i % 10}:00:00", (i * 13) % 40 - 20)
+            for i in range(40)]
+    for j in range(4):
+        _write_records(src, f"p{j}.json", recs[j * 10:(j + 1) * 10], "account_id")
+    opening = spark.createDataFrame([("ACC0", 1000), ("ACC1", 500)], "acc string, bal long")
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).json(src)
+    tx = feeds.typed_transactions(feeds.parse_feed(stream, "transaction"))
+    out, ck = SQ.scratch(spark, "t_balance")
+    SQ.run_to_end(SQ.balance_after_sink(tx, "account_id", ["timestamp", "transaction_id"], "amount",
+                                        opening, "acc", "bal", out, ck))
+    rows = spark.read.parquet(out + "/rows").collect()
+    got = {r["transaction_id"]: r["balance_after"] for r in rows}
+    # arrival order across micro-batches, event order within one
+    arrival = {r["transaction_id"]: r["batch_id"] for r in rows}
+    want, tot = {}, {"ACC0": 1000, "ACC1": 500, "ACC2": 0}
+    for r in sorted(recs, key=lambda r: (arrival[r["transaction_id"]], r["date"], r["transaction_id"])):
+        tot[r["account_id"]] += r["amount"]
+        want[r["transaction_id"]] = tot[r["account_id"]]
+    assert got == want
+    assert spark.read.parquet(out + "/rows").select("batch_id").distinct().count() == 4

@@ -184,9 +184,10 @@ def running_balance_ranges(tx: DataFrame, key: str, order_by: Sequence[str], amo
        shared folder, so the reads below see the same rows and the shuffle
        runs once.
     3. Only a partition's first and last key can continue into a
-       neighbour, so the offsets that must cross partitions form a table of
-       at most two rows per partition: computed from the partitions' last
-       keys and broadcast back.
+       neighbour, so the offsets that must cross partitions come from a
+       table of one row per partition (first key, last key, last key's
+       sum): a cumulative window over it gives each continuing key its
+       offset, broadcast back.
     ``order_by`` (with ``key``) must order rows totally (end with an id).
     """
     import numpy as np
@@ -235,12 +236,19 @@ def running_balance_ranges(tx: DataFrame, key: str, order_by: Sequence[str], amo
                            ["__pid", key], "left_semi")
                 .groupBy("__pid").agg(F.sum(amount).alias("__tot")))
     edges = bounds.join(last_tot, "__pid", "left")
-    # offset of partition p's first key = totals of that key in earlier partitions
-    earlier = edges.select(F.col("__pid").alias("__p2"), F.col("__last").alias("__k2"),
-                           F.col("__tot").alias("__t2"))
-    offsets = (edges.select("__pid", "__first")
-               .join(earlier, (F.col("__k2") == F.col("__first")) & (F.col("__p2") < F.col("__pid")))
-               .groupBy("__pid", F.col("__first").alias(key)).agg(F.sum("__t2").alias("__off")))
+    # Key ranges are contiguous, so a key that continues into partition p is
+    # the last key of the previous non-empty partition; its offset is the
+    # running total of that key's last-key sums up to there.  One window
+    # over at most one row per partition, no pairs.
+    by_pid = Window.orderBy("__pid")
+    cum = F.sum("__tot").over(Window.partitionBy("__last").orderBy("__pid")
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edges = edges.withColumn("__cum", cum)
+    offsets = (edges.select("__pid", "__first",
+                            F.lag("__last").over(by_pid).alias("__prev_last"),
+                            F.lag("__cum").over(by_pid).alias("__prev_cum"))
+               .where(F.col("__prev_last") == F.col("__first"))
+               .select("__pid", F.col("__first").alias(key), F.col("__prev_cum").alias("__off")))
     out = local.join(F.broadcast(offsets), ["__pid", key], "left")
     total = F.col("__local") + F.coalesce(F.col("__off"), F.lit(0))
     src_type = tx.schema[amount].dataType

@@ -195,3 +195,11 @@ def test_running_balance_ranges_one_instant_holds_a_third(spark):
     spread = (df.repartitionByRange(8, "k", "ts", "id").where("k = 7")
               .select(F.spark_partition_id()).distinct().count())
     assert spread > 1
+
+
+def test_driver_tables_as_sql_views(spark):
+    from ledgerlake.sources.tables import Tables
+    from tests.conftest import SF0001
+    Tables(spark, SF0001).register_views()
+    n = spark.sql("SELECT count(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey").first()[0]
+    assert n == spark.read.parquet(f"{SF0001}/orders.parquet").count()

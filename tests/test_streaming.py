@@ -203,3 +203,16 @@ def test_balance_after_per_event_across_batches(spark, tmp_path):
         want[r["transaction_id"]] = tot[r["account_id"]]
     assert got == want
     assert spark.read.parquet(out + "/rows").select("batch_id").distinct().count() == 4
+
+
+def test_enrich_with_persisted_static_dimension(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _write_records(src, "a.json", [_tx(1, "ACC1", "2025-06-04 10:00:00", 100),
+                                   _tx(2, "ACC9", "2025-06-04 11:00:00", 5)], "account_id")
+    stream = feeds.parse_feed(spark.readStream.schema(RAW).json(src), "transaction")
+    dim = spark.createDataFrame([("ACC1", "BRA0000001")], "account_id string, branch_id string")
+    out, ck = SQ.scratch(spark, "t_enrich")
+    SQ.run_to_end(SQ.append_sink(SQ.enrich(stream, [(dim, "account_id", False)], persist_static=True),
+                                 out, ck))
+    assert [(r["transaction_id"], r["branch_id"]) for r in spark.read.parquet(out).collect()] == [
+        ("TXN0000000001", "BRA0000001")]

@@ -409,6 +409,20 @@ def customer360_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nest.child_rows(cust, "c_custkey", ev, "user_id").drop("user_id")
 
 
+TX_CHUNK = 16
+
+
+def customer360_tx_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J10 nested in bounded chunks: every customer's transactions, in time
+    order, in arrays of at most ``TX_CHUNK`` -- shown as one summary row per
+    chunk (size, first and last transaction)."""
+    ev = Tables(spark, sf_dir).events.select("user_id", "event_id", "ts", "value")
+    chunks = nest.nest_children_chunked(ev, "user_id", ["ts", "event_id"], TX_CHUNK, "tx")
+    return chunks.select("user_id", "chunk", F.col("n").cast("bigint").alias("n"),
+                         F.col("tx")[0]["event_id"].alias("first_event_id"),
+                         F.element_at("tx", -1)["event_id"].alias("last_event_id"))
+
+
 def id_array_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9 in its own form: each transaction lists the accounts it touches
     (sender and receiver) as an id array; the array is replaced by the
@@ -1129,6 +1143,7 @@ QUERIES = {
     "customer360_summary": customer360_summary,
     "customer360_arrays": customer360_arrays,
     "customer360_tx": customer360_tx,
+    "customer360_tx_chunks": customer360_tx_chunks,
     "id_array_lookup": id_array_lookup,
     "customer_analytics": customer_analytics,
     "spending_by_type": spending_by_type,

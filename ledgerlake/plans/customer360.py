@@ -34,13 +34,15 @@ def newest_analytics(analytics: DataFrame) -> DataFrame:
 
 def assemble(customers: DataFrame, accounts: DataFrame, cards: DataFrame, loans: DataFrame,
              transactions: DataFrame, analytics: DataFrame, customer_id: str | None = None,
-             transactions_mode: str | None = None):
+             transactions_mode: str | None = None, chunk_size: int = 1000):
     """Build customer documents.
 
     ``transactions_mode``: ``'nested'`` puts every transaction of the
     customer in the document; ``'rows'`` returns ``(documents,
-    transaction_rows)`` instead.  The default nests only under an id
-    filter, and keeps transactions as rows for a population run."""
+    transaction_rows)`` instead; ``'chunks'`` returns ``(documents,
+    transaction_chunks)`` with every transaction nested, in date order, in
+    chunks of at most ``chunk_size`` per customer.  The default nests only
+    under an id filter, and keeps transactions as rows for a population run."""
     if transactions_mode is None:
         transactions_mode = "nested" if customer_id is not None else "rows"
     if customer_id is not None:
@@ -64,6 +66,9 @@ def assemble(customers: DataFrame, accounts: DataFrame, cards: DataFrame, loans:
     doc = doc.select(*cols, *[c for c in doc.columns if c not in cols])
     if transactions_mode == "nested":
         return doc
+    if transactions_mode == "chunks":
+        return doc, nest.nest_children_chunked(transactions, "customer_id", ["date", "_id"],
+                                               chunk_size, "transactions")
     return doc, transactions
 
 

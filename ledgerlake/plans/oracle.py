@@ -272,6 +272,13 @@ ORACLE_SQL = {
     "customer360_tx": """
         SELECT c.c_custkey, e.event_id, e.ts, e.value
         FROM customer c LEFT JOIN events e ON e.user_id = c.c_custkey""",
+    "customer360_tx_chunks": """
+        WITH r AS (SELECT user_id, event_id,
+                          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos
+                   FROM events)
+        SELECT user_id, CAST(pos // 16 AS BIGINT) AS chunk, count(*) AS n,
+               arg_min(event_id, pos) AS first_event_id, arg_max(event_id, pos) AS last_event_id
+        FROM r GROUP BY user_id, pos // 16""",
     "id_array_lookup": """
         WITH ids AS (SELECT DISTINCT event_id, unnest([user_id, CAST(json_extract_string(props, '$.k') AS BIGINT)]) AS id
                      FROM events),

@@ -90,3 +90,10 @@ def test_document_checks_required_and_types(spark):
                    "customers.required:personal_info.address.city": 1,
                    "customers.type:personal_info.customer_since_months": 1,
                    "customers.type:accounts[*]": 1}
+
+
+def test_chunked_transactions_mode(spark):
+    docs, chunks = C.assemble(*_frames(spark), transactions_mode="chunks", chunk_size=1)
+    rows = sorted((r["customer_id"], r["chunk"], r["n"], r["transactions"][0]["_id"]) for r in chunks.collect())
+    assert rows == [("CUST_12345", 0, 1, "TXN_20250604_002"), ("CUST_12345", 1, 1, "TXN_20250604_001")]
+    assert "transactions" not in docs.columns

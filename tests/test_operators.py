@@ -203,3 +203,16 @@ def test_driver_tables_as_sql_views(spark):
     Tables(spark, SF0001).register_views()
     n = spark.sql("SELECT count(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey").first()[0]
     assert n == spark.read.parquet(f"{SF0001}/orders.parquet").count()
+
+
+def test_nest_children_chunked_is_whole_ordered_and_bounded(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", i, t0 + dt.timedelta(seconds=(i * 7) % 2500)) for i in range(2500)]
+    rows += [("c2", 9000 + i, t0 + dt.timedelta(seconds=i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "cid string, tid long, ts timestamp")
+    out = nest.nest_children_chunked(df, "cid", ["ts", "tid"], chunk_size=1000, as_col="tx").collect()
+    sizes = sorted((r["cid"], r["chunk"], r["n"]) for r in out)
+    assert sizes == [("c2", 0, 3), ("hot", 0, 1000), ("hot", 1, 1000), ("hot", 2, 500)]
+    hot = [t["tid"] for r in sorted((r for r in out if r["cid"] == "hot"), key=lambda r: r["chunk"])
+           for t in r["tx"]]
+    assert hot == [r[1] for r in sorted((r for r in rows if r[0] == "hot"), key=lambda r: (r[2], r[1]))]

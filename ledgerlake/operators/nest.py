@@ -4,9 +4,10 @@
 documents; the collect is bounded by the array the parent row already
 holds.  ``nest_children`` gathers every child of a key into one array
 (the reference's correlated lookup); its size is that key's fan-out, so
-callers use it where fan-out is bounded or after an id filter, and use
-the keyed child rows themselves (``child_rows``) for population-scale
-work.
+callers use it where fan-out is bounded or after an id filter.  For
+population-scale work there are the keyed child rows (``child_rows``) and
+``nest_children_chunked``, which nests every child in ordered arrays of a
+bounded size.
 """
 
 from __future__ import annotations

@@ -47,6 +47,20 @@ def _norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def type_mismatches(df, con, sql):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return {c: (spark_types.get(c), duck_types.get(c)) for c in set(spark_types) | set(duck_types)
+            if spark_types.get(c) != duck_types.get(c)}
+
+
 def digest(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     lines = sorted("|".join(str(_norm(r[i])) for i in order) for r in rows)

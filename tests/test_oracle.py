@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF001, SF0001
-from tests.oracle_compare import digest, duck
+from tests.oracle_compare import digest, duck, type_mismatches
 
 NAMES = sorted(E.queries())
 
@@ -28,6 +28,7 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert type_mismatches(df, con, E.oracle_sql()[name]) == {}
     assert len(rows) == len(drows)
     h1, l1 = digest(df.columns, rows)
     h2, l2 = digest(dcols, drows)

@@ -16,7 +16,7 @@ from ledgerlake.functions import scalars as FX
 from ledgerlake.operators import conform
 from ledgerlake.sinks import writers
 from ledgerlake.sources import files
-from ledgerlake.sources.lookups import lookups as constant_lookups
+from ledgerlake.sources.lookups import lookups_from
 
 
 def land_accounts(accounts: DataFrame, lk: Mapping[str, DataFrame]) -> DataFrame:
@@ -68,13 +68,15 @@ def land_loan_payments(payments: DataFrame) -> DataFrame:
 
 
 def run_landing(spark: SparkSession, csv_folder: str, out_folder: str) -> dict[str, str]:
-    """B1-B7 end to end: read the eight CSVs, shape, write Parquet.
+    """B1-B7 end to end: read the eight CSVs (and any lookup CSVs the export
+    carries, e.g. ``account_types.csv``; missing ones use the constant
+    tables), shape, write Parquet.
 
     Unpartitioned tables are rebalanced to ~128 MB files (not one file);
     transactions and loan payments are written by year/month/day.
     """
     src = files.read_landing_csvs(spark, csv_folder)
-    lk = constant_lookups(spark)
+    lk = lookups_from(spark, csv_folder)   # the export's lookup CSVs, else the constants
     out = out_folder.rstrip("/")
     plan = {
         "accounts": (land_accounts(src["accounts"], lk), None),

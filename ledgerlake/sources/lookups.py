@@ -44,3 +44,29 @@ def lookups(spark: SparkSession) -> dict[str, DataFrame]:
 def rows_frame(spark: SparkSession, rows, ddl: str) -> DataFrame:
     """A small constant table from rows and a DDL schema string."""
     return spark.createDataFrame(rows, ddl)
+
+
+def lookup_schema(name: str) -> T.StructType:
+    if name == "card_types":
+        return T.StructType([T.StructField("card_type_id", T.IntegerType()),
+                             T.StructField("type_name", T.StringType()),
+                             T.StructField("monthly_fee", T.IntegerType()),
+                             T.StructField("interest_rate", T.DoubleType())])
+    key, value, _ = _TWO[name]
+    return T.StructType([T.StructField(key, T.IntegerType()), T.StructField(value, T.StringType())])
+
+
+def lookups_from(spark: SparkSession, folder: str | None) -> dict[str, DataFrame]:
+    """The lookup tables of an export folder (``<name>.csv`` with a header),
+    each falling back to the constant table when the export lacks it."""
+    from ledgerlake.sources.files import read_csv
+    out = {}
+    for name in LOOKUP_NAMES:
+        df = None
+        if folder:
+            try:   # a missing file raises when the reader resolves its path
+                df = read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", lookup_schema(name))
+            except Exception:
+                df = None
+        out[name] = df if df is not None else lookup(spark, name)
+    return out

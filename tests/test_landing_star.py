@@ -259,3 +259,19 @@ def test_star_next_year_rebuilds_transactions_keeps_payment_months(spark, built)
     read = lambda n: spark.read.schema(star.star_schema(n)).parquet(sp[n])
     assert read("fact_transactions").count() == 0          # whole rebuild, no rows in the window
     assert read("fact_loan_payments").count() >= before    # earlier months kept
+
+
+def test_landing_reads_lookup_csvs_of_the_export(spark, tmp_path):
+    src = tmp_path / "csv"
+    src.mkdir()
+    for name, lines in CSV.items():
+        (src / f"{name}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    (src / "account_types.csv").write_text("account_type_id,type_name\n1,Savings\n2,Checking\n",
+                                           encoding="utf-8")
+    out = str(tmp_path / "landing")
+    landing.run_landing(spark, str(src), out)
+    a = {r["account_id"]: r["type"] for r in spark.read.parquet(os.path.join(out, "accounts")).collect()}
+    assert a == {"ACC0000001": "Savings", "ACC0000002": "Checking"}
+    # status names still come from the constant table (no CSV for them)
+    st = {r["status"] for r in spark.read.parquet(os.path.join(out, "accounts")).collect()}
+    assert st == {"Hoạt động", "Đóng"}

@@ -5,6 +5,7 @@
     python -m ledgerlake.jobs customer360 --docs DIR --out DIR [--customer-id ID]
     python -m ledgerlake.jobs latest-balance --facts DIR --out DIR
     python -m ledgerlake.jobs ingest    --feed transaction --source DIR --out DIR
+    python -m ledgerlake.jobs checks    [--csv DIR --as-of DATE] [--docs DIR] --out DIR
 
 On a cluster, submit ``ledgerlake/jobs.py`` with the package zipped in
 ``--py-files``; the session is taken as configured by the platform and only the job settings
@@ -78,6 +79,33 @@ def ingest_job(args) -> dict:
     return {args.feed: args.out}
 
 
+def checks_job(args) -> dict:
+    """Data-quality report: business rules over a CSV export (V3-V11) and/or
+    required fields and types over raw JSON document collections (V1, V2).
+    Writes (rule, n_bad) as CSV and returns the rules that found rows."""
+    from ledgerlake.operators import bank_rules
+    from ledgerlake.operators.quality import union_counts
+    from ledgerlake.sinks.writers import write_csv
+    from ledgerlake.sources import files
+    spark = _session()
+    parts = []
+    if args.csv:
+        src = files.read_landing_csvs(spark, args.csv, register=False)
+        parts.append(bank_rules.check_landing(spark, src, args.as_of))
+    if args.docs:
+        root = args.docs.rstrip("/")
+        raw = {c: spark.read.text(f"{root}/{c}") for c in
+               ("customers", "accounts", "cards", "loans", "transactions", "analytics")}
+        parts.append(bank_rules.check_documents(raw))
+    if not parts:
+        raise SystemExit("checks: give --csv and/or --docs")
+    report = union_counts(parts)
+    write_csv(report, args.out)
+    found = spark.read.schema("rule string, n_bad long").option("header", True).csv(args.out)
+    return {"report": args.out,
+            "violations": {r["rule"]: r["n_bad"] for r in found.where("n_bad > 0").collect()}}
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="ledgerlake.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -107,6 +135,12 @@ def main(argv=None) -> None:
     e.add_argument("--checkpoint", default=None)
     e.add_argument("--continuous", action="store_true")
     e.set_defaults(fn=ingest_job)
+    f = sub.add_parser("checks")
+    f.add_argument("--csv", default=None)
+    f.add_argument("--as-of", default=None)
+    f.add_argument("--docs", default=None)
+    f.add_argument("--out", required=True)
+    f.set_defaults(fn=checks_job)
     args = p.parse_args(argv)
     print(json.dumps(args.fn(args)))
 

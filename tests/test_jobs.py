@@ -64,3 +64,21 @@ def test_landing_star_and_ingest_jobs(spark, tmp_path):
     jobs.main(["ingest", "--feed", "transaction", "--source", str(feed), "--out", str(tmp_path / "live")])
     row = spark.read.parquet(str(tmp_path / "live")).first()
     assert (row["transaction_id"], row["date_id"], row["year"], row["month"]) == ("TXN0000000099", 20250604, 2025, 6)
+
+
+def test_checks_job_on_csv_export_and_documents(spark, tmp_path, capsys):
+    from tests.test_landing_star import CSV
+    src = tmp_path / "csv"
+    src.mkdir()
+    for name, lines in CSV.items():
+        (src / f"{name}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    docs = tmp_path / "docs"
+    for name, rows in [("customers", FX.CUSTOMERS), ("accounts", FX.ACCOUNTS), ("cards", FX.CARDS),
+                       ("loans", FX.LOANS), ("transactions", FX.TRANSACTIONS), ("analytics", FX.ANALYTICS)]:
+        write_documents(spark.createDataFrame(rows, S.DOCUMENTS[name]), str(docs / name))
+    jobs.main(["checks", "--csv", str(src), "--as-of", "2025-06-05", "--docs", str(docs),
+               "--out", str(tmp_path / "report")])
+    result = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert result["violations"] == {"accounts.unknown_type": 1, "transactions.unknown_type": 1,
+                                    "transactions.overdraft_flip": 1,
+                                    "payments.scheduled_outside_loan": 2}

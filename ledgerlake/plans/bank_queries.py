@@ -7,1110 +7,110 @@ sums are exact.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ledgerlake import schemas as S
-from ledgerlake.functions import scalars as FX
-from ledgerlake.operators import analytics, conform, latest, nest, quality, slices
-from ledgerlake.plans import roles as R
-from ledgerlake.sources.lookups import lookup, rows_frame
-from ledgerlake.sources.tables import Tables
-
-
-def _orders_as_tx(t: Tables) -> DataFrame:
-    return t.orders.select(F.col("o_custkey").alias("account_id"),
-                           F.col("o_orderkey").alias("transaction_id"),
-                           F.col("o_orderdate").alias("timestamp"),
-                           F.col("o_totalprice").alias("balance_after"))
-
-
-# --- W1, P8, A3, J11 --------------------------------------------------------
-def latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 + P8 (flagship): newest order per customer, its total as balance."""
-    o = _orders_as_tx(Tables(spark, sf_dir))
-    ranked = latest.latest_by_rank(o, ["account_id"], ["timestamp", "transaction_id"])
-    return ranked.select("account_id", "balance_after")
-
-
-def latest_balance_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: the same answer as a partial aggregate (max_by)."""
-    o = _orders_as_tx(Tables(spark, sf_dir))
-    return latest.latest_by_agg(o, ["account_id"], ["timestamp", "transaction_id"],
-                                ["balance_after"])
-
-
-LATEST_BALANCE_SQL = """
-SELECT account_id, balance_after
-FROM (
-    SELECT f.account_id, f.balance_after,
-           row_number() OVER (PARTITION BY f.account_id
-                              ORDER BY f.`timestamp` DESC, f.transaction_id DESC) AS newest_first
-    FROM {facts} AS f
-) AS ranked
-WHERE newest_first = 1
-"""
-
-
-def latest_balance_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B18 through the SQL API: the ranking CTE as SQL text over the fact
-    table bound as a parameter (same plan as ``latest_balance``)."""
-    facts = _orders_as_tx(Tables(spark, sf_dir))
-    return spark.sql(LATEST_BALANCE_SQL, facts=facts)
-
-
-def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The masking and date-key functions called by name from SQL."""
-    from ledgerlake.functions.sql_functions import register_sql_functions
-    register_sql_functions(spark)
-    t = Tables(spark, sf_dir)
-    return spark.sql("""
-        SELECT o.o_orderkey, hide_account_number(c.c_name) AS number,
-               hide_phone_number(c.c_name) AS phone_number,
-               add_number(CAST(o.o_orderkey AS STRING)) AS card_number,
-               date_to_int(CAST(o.o_orderdate AS DATE)) AS date_id
-        FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey""",
-                     orders=t.orders, customer=t.customer)
-
-
-def latest_child(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer with its newest event (NULLs if none)."""
-    t = Tables(spark, sf_dir)
-    cust = t.customer.select("c_custkey", "c_name")
-    ev = t.events.select("user_id", "event_id", "ts", "event_type", "value")
-    return latest.attach_latest(cust, "c_custkey", ev, "user_id", ["ts", "event_id"])
-
-
-# --- Sources ------------------------------------------------------------------
-CUSTOMER_SCHEMA = T.StructType([
-    T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
-    T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
-    T.StructField("c_mktsegment", T.StringType())])
-
-
-def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parquet scan with an explicit schema."""
-    return Tables(spark, sf_dir).read("customer", CUSTOMER_SCHEMA)
-
-
-def _line_slice_cols(df: DataFrame) -> DataFrame:
-    return df.select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice",
-                     F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
-
-
-def scan_month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six months across a year end (1998-11 .. 1999-04) in one scan."""
-    li = Tables(spark, sf_dir).lineitem
-    return _line_slice_cols(slices.month_range_filter(li, "l_shipdate", "1998-11-01", 6))
-
-
-def scan_missing_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month scans where some months have no rows (typed empty, D7)."""
-    li = Tables(spark, sf_dir).lineitem
-    return _line_slice_cols(slices.scan_months(li, "l_shipdate", [(2001, 11), (2001, 12),
-                                                                 (2002, 1)]))
-
-
-def union_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O3: UNION ALL of two year slices."""
-    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
-    parts = [slices.between_dates(li, "l_shipdate", _dt.date(y, 1, 1), _dt.date(y + 1, 1, 1))
-             .withColumn("year", F.lit(y)) for y in (1996, 1997)]
-    return slices.union_slices(parts)
-
-
-def payments_6m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O4 + F2 (B15 shape): two half-open six-month windows from 1998-10."""
-    li = Tables(spark, sf_dir).lineitem
-    (lo, _), (_, hi) = slices.half_year_windows("1998-10-15", 2)
-    p = slices.between_dates(li, "l_shipdate", lo, hi)
-    paid = F.col("l_shipdate").cast("date")
-    return p.select(F.col("l_orderkey").alias("loan_id"), F.col("l_linenumber").alias("line"),
-                    paid.alias("paid_date"), FX.date_key(paid).alias("paid_date_id"),
-                    F.col("l_extendedprice").alias("payment_amount"),
-                    F.year(paid).alias("year"), F.month(paid).alias("month"))
-
-
-def transactions_12m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O5 + F1 + F2 + P4 (B16 shape): trailing 12 months as of a day."""
-    o = Tables(spark, sf_dir).orders
-    lo, hi = slices.trailing_months(R.ORDERS_AS_OF, 12)
-    o = slices.between_dates(o, "o_orderdate", lo, hi)
-    return o.select(F.col("o_orderkey").alias("transaction_id"),
-                    F.col("o_custkey").alias("account_id"),
-                    FX.date_key("o_orderdate").alias("date_id"),
-                    F.col("o_orderdate").alias("timestamp"),
-                    F.col("o_orderpriority").alias("type"),
-                    F.col("o_totalprice").alias("amount"),
-                    F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-
-
-def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K8 + S1: a table written as CSV with a header, read back with an
-    explicit schema (no inference pass)."""
-    from ledgerlake.session import scratch_path
-    from ledgerlake.sinks.writers import write_csv
-    from ledgerlake.sources.files import read_csv
-    path = scratch_path(spark, "customer_csv")
-    write_csv(Tables(spark, sf_dir).customer, path)
-    return read_csv(spark, path, CUSTOMER_SCHEMA)
-
-
-def partitioned_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2 + S4 on a real Hive-partitioned table: lineitem written by
-    year/month of the ship date, then six months across a year end read
-    back -- the month set prunes directories, the date predicate pushes to
-    the files."""
-    from ledgerlake.session import scratch_path
-    from ledgerlake.sinks.writers import write_partitioned
-    from ledgerlake.sources.files import read_month_slices
-    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
-    path = scratch_path(spark, "lineitem_by_month")
-    write_partitioned(li.withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")}),
-                      path, ("year", "month"))
-    return read_month_slices(spark, path, "l_shipdate", slices.months_of("1998-11-01", 6))
-
-
-# --- Star plans on role-mapped data: B12, B15, B16 -------------------------
-def _ntz(df: DataFrame) -> DataFrame:
-    """Timestamps as TIMESTAMP_NTZ (the driver tables' type) for comparison."""
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
-                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
-def orders_as_landing_transactions(t: Tables) -> DataFrame:
-    """orders in the landing ``transactions`` shape (after B5)."""
-    o = t.orders
-    return o.select(FX.format_id("TXN", "o_orderkey", S.TRANSACTION_ID_WIDTH).alias("transaction_id"),
-                    FX.format_id("ACC", "o_custkey", S.ID_WIDTH).alias("account_id"),
-                    F.lit(None).cast("string").alias("employee_id"),
-                    F.lit(S.CURRENCY).alias("currency"),
-                    F.col("o_orderdate").cast("timestamp").alias("date"),
-                    R.cents("o_totalprice").alias("amount"),
-                    R.cents("o_totalprice").alias("balance_after"),
-                    F.col("o_orderpriority").alias("transaction_type"),
-                    F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-
-
-def star_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B16 plan code: trailing 12 months, date key, renames, year/month."""
-    from ledgerlake.plans import star
-    tx = orders_as_landing_transactions(Tables(spark, sf_dir))
-    return _ntz(star.fact_transactions(tx, R.ORDERS_AS_OF, 12))
-
-
-def lineitem_as_landing_payments(t: Tables) -> DataFrame:
-    """lineitem in the landing ``loan_payments`` shape (after B6)."""
-    li = t.lineitem
-    ship = F.col("l_shipdate").cast("date")
-    return li.select(F.concat(F.lit(S.ID_PREFIXES["payment"]), F.col("l_orderkey").cast("string"),
-                              F.lit("-"), F.col("l_linenumber").cast("string")).alias("payment_id"),
-                     FX.format_id("LOA", "l_orderkey", S.ID_WIDTH).alias("loan_id"),
-                     F.lit(None).cast("string").alias("transaction_id"),
-                     R.cents("l_extendedprice").alias("payment_amount"),
-                     F.date_sub(ship, 3).alias("scheduled_payment_date"),
-                     ship.alias("payment_date"),
-                     R.cents(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("principal_amount"),
-                     R.cents("l_extendedprice").alias("paid_amount"),
-                     ship.alias("paid_date"),
-                     F.year(ship).alias("year"), F.month(ship).alias("month"))
-
-
-def star_fact_loan_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B15 plan code: two half-open six-month windows, three date keys."""
-    from ledgerlake.plans import star
-    p = lineitem_as_landing_payments(Tables(spark, sf_dir))
-    return star.fact_loan_payments(p, "1998-10-15", 2)
-
-
-def star_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B12 plan code: customers with names resolved and audit columns."""
-    from ledgerlake.plans import star
-    t = Tables(spark, sf_dir)
-    c = t.customer.join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
-                        F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-    c = c.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
-    landed = c.select(FX.format_id("CUS", "c_custkey", S.ID_WIDTH).alias("customer_id"),
-                      F.col("c_name").alias("name"), F.lit(S.COUNTRY).alias("country"),
-                      F.col("r_name").alias("city"), F.col("n_name").alias("street"),
-                      FX.mask_phone("c_name").alias("phone_number"),
-                      F.lit(None).cast("date").alias("registration_date"),
-                      F.lit(None).cast("string").alias("email"),
-                      F.col("c_mktsegment").alias("customer_type"),
-                      F.when(F.col("c_acctbal") < 0, "Tạm khóa").otherwise("Hoạt động").alias("status"))
-    return _ntz(star.dim_customers(landed, as_of=R.AUDIT_TS))
-
-
-# --- Landing plans on role-mapped data: B1, B3, B4, B5 ---------------------
-def _constant_lookups(spark: SparkSession):
-    from ledgerlake.sources.lookups import lookups
-    return lookups(spark)
-
-
-def landing_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1 plan code on customers as accounts: 12-digit account numbers with
-    leading zeros, type by segment, status by sign of the balance."""
-    from ledgerlake.plans import landing
-    t = Tables(spark, sf_dir)
-    seg = F.broadcast(rows_frame(spark, R.SEGMENT_ACCOUNT_TYPES, "c_mktsegment string, type int"))
-    acc = t.customer.join(seg, "c_mktsegment", "left").select(
-        FX.format_id("ACC", "c_custkey", S.ID_WIDTH).alias("account_id"),
-        FX.format_id("CUS", "c_custkey", S.ID_WIDTH).alias("customer_id"),
-        FX.format_id("BRA", "c_nationkey", S.ID_WIDTH).alias("branch_id"),
-        F.col("type"), F.when(F.col("c_acctbal") < 0, 2).otherwise(1).alias("status"),
-        F.lit(S.CURRENCY).alias("currency"),
-        F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("number"),
-        R.cents("c_acctbal").alias("balance"), F.lit(0).alias("min_balance"),
-        F.lit(None).cast("date").alias("date_opened"), F.lit(None).cast("date").alias("date_closed"))
-    return landing.land_accounts(acc, _constant_lookups(spark))
-
-
-def landing_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B5 plan code on events as transactions (type codes 1-5)."""
-    from ledgerlake.plans import landing
-    t = Tables(spark, sf_dir)
-    roles = F.broadcast(R.event_roles(spark))
-    e = t.events.join(roles, "event_type", "inner")
-    amt = R.cents("value")
-    tx = e.select(FX.format_id("TXN", "event_id", S.TRANSACTION_ID_WIDTH).alias("transaction_id"),
-                  FX.format_id("ACC", "user_id", S.ID_WIDTH).alias("account_id"),
-                  F.lit(None).cast("string").alias("receiver_account_id"),
-                  F.lit(None).cast("string").alias("employee_id"),
-                  F.col("transaction_type_id").alias("type"), F.lit(S.CURRENCY).alias("currency"),
-                  F.col("ts").alias("date"),
-                  F.when(F.col("sign") < 0, -amt).otherwise(amt).alias("amount"),
-                  F.lit(None).cast("long").alias("balance_after"))
-    return landing.land_transactions(tx, _constant_lookups(spark))
-
-
-def landing_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B4 plan code on orders as loans."""
-    from ledgerlake.plans import landing
-    t = Tables(spark, sf_dir)
-    prio = F.broadcast(rows_frame(spark, R.ORDER_PRIORITY_ROLES, "o_orderpriority string, loan_type_id int"))
-    stat = F.broadcast(rows_frame(spark, R.ORDER_STATUS_ROLES, "o_orderstatus string, loan_status_id int"))
-    o = t.orders.join(prio, "o_orderpriority", "left").join(stat, "o_orderstatus", "left")
-    loans = o.select(FX.format_id("LOA", "o_orderkey", S.ID_WIDTH).alias("loan_id"),
-                     FX.format_id("CUS", "o_custkey", S.ID_WIDTH).alias("customer_id"),
-                     "loan_type_id", R.cents("o_totalprice").alias("amount"),
-                     F.lit(S.CURRENCY).alias("currency"),
-                     F.col("o_orderdate").cast("date").alias("start_date"), "loan_status_id")
-    return landing.land_loans(loans, _constant_lookups(spark))
-
-
-def landing_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B3 plan code on parts as cards: type by lookup, masked number from the card id."""
-    from ledgerlake.plans import landing
-    t = Tables(spark, sf_dir)
-    roles = F.broadcast(rows_frame(spark, R.PART_TYPE_ROLES, "p_type string, card_type_id int"))
-    p = t.part.join(roles, "p_type", "left")
-    cards = p.select(FX.format_id("CRD", "p_partkey", S.ID_WIDTH).alias("card_id"),
-                     "card_type_id", F.col("p_size").alias("monthly_fee"))
-    return landing.land_cards(cards, _constant_lookups(spark))
-
-
-# --- Landing shapes: J1-J8, P1-P5 -------------------------------------------
-def conform_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1: J1 + J2 + P1 + F8 -- type and status by inner lookups, masked number."""
-    t = Tables(spark, sf_dir)
-    c = conform.resolve_code(t.customer, "c_nationkey", t.nation, "n_nationkey", "n_name",
-                             "type", fixed_size=False)
-    nat = t.nation.select("n_nationkey", "n_regionkey")
-    c = c.join(nat, c["c_nationkey"] == nat["n_nationkey"], "inner")
-    c = conform.resolve_code(c, "n_regionkey", t.region, "r_regionkey", "r_name", "status",
-                             fixed_size=False)
-    return c.select(F.col("c_custkey").alias("account_id"), "type", "status",
-                    FX.mask_account("c_name").alias("number"),
-                    F.col("c_acctbal").alias("balance"))
-
-
-def conform_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B2: J3 + J4 + P2-P4 + F9 -- ``t.*`` plus names, codes dropped, renamed."""
-    t = Tables(spark, sf_dir)
-    s = t.supplier.join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
-                        F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-    s = s.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
-    s = s.drop("s_nationkey", "n_nationkey", "n_regionkey", "r_regionkey")
-    s = s.withColumnsRenamed({"n_name": "customer_type", "r_name": "status"})
-    return s.withColumn("phone_number", FX.mask_phone("s_name"))
-
-
-def conform_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J5 + P3 + F10 -- card type by lookup, repeatable masked number."""
-    t = Tables(spark, sf_dir)
-    roles = rows_frame(spark, R.PART_TYPE_ROLES, "p_type string, card_type_id int")
-    p = t.part.join(F.broadcast(roles), "p_type", "inner")
-    p = p.join(F.broadcast(lookup(spark, "card_types")), "card_type_id", "inner")
-    p = p.drop("card_type_id", "p_type").withColumnRenamed("type_name", "card_type")
-    return p.select(F.col("p_partkey").alias("card_id"), "card_type", "monthly_fee",
-                    "interest_rate", FX.mask_card("p_partkey").alias("number"))
-
-
-def _loans(spark: SparkSession, t: Tables) -> DataFrame:
-    lk = {"loan_types": lookup(spark, "loan_types"),
-          "loan_status_types": lookup(spark, "loan_status_types"),
-          "prio": rows_frame(spark, R.ORDER_PRIORITY_ROLES, "code string, id int"),
-          "status": rows_frame(spark, R.ORDER_STATUS_ROLES, "code string, id int")}
-    o = conform.resolve_codes(t.orders, [
-        ("o_orderpriority", "prio", "code", "id", "loan_type_id"),
-        ("o_orderstatus", "status", "code", "id", "loan_status_id"),
-        ("loan_type_id", "loan_types", "loan_type_id", "type_name", "loan_type"),
-        ("loan_status_id", "loan_status_types", "status_id", "status_name", "loan_status"),
-    ], lk)
-    return o
-
-
-def conform_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J6 + J7 + P3 -- loan type and status by inner lookups."""
-    o = _loans(spark, Tables(spark, sf_dir))
-    return o.select(F.col("o_orderkey").alias("loan_id"),
-                    F.col("o_custkey").alias("customer_id"),
-                    F.col("o_totalprice").alias("amount"),
-                    F.col("o_orderdate").cast("date").alias("start_date"),
-                    "loan_type", "loan_status")
-
-
-def conform_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J8 + P3 + F1 -- type name, signed amount, year/month/day."""
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    return e.select(F.col("event_id").alias("transaction_id"),
-                    F.col("user_id").alias("account_id"), "transaction_type",
-                    "amount_cents", F.col("ts").alias("date"), *FX.date_parts("ts"))
-
-
-def dim_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5 + F7 + F11 (B10 shape): audit columns at a fixed as-of time."""
-    s = Tables(spark, sf_dir).supplier.select(
-        F.col("s_suppkey").alias("branch_id"), F.col("s_name").alias("name"))
-    out = conform.add_audit_columns(s, as_of=R.AUDIT_TS)
-    return out.withColumns({"created_at": F.col("created_at").cast("timestamp_ntz"),
-                            "updated_at": F.col("updated_at").cast("timestamp_ntz")})
-
-
-# --- Customer 360: P6, J9, J10 ----------------------------------------------
-def customer360_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J9/A2 flattened: each customer's loans (orders), one row per pair,
-    one row of NULLs for a customer without loans."""
-    t = Tables(spark, sf_dir)
-    cust = t.customer.select("c_custkey", "c_name")
-    loans = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
-    return nest.child_rows(cust, "c_custkey", loans, "o_custkey").drop("o_custkey")
-
-
-def customer360_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J10/P7 flattened: each customer's transactions (events)."""
-    t = Tables(spark, sf_dir)
-    cust = t.customer.select("c_custkey")
-    ev = t.events.select("user_id", "event_id", "ts", "value")
-    return nest.child_rows(cust, "c_custkey", ev, "user_id").drop("user_id")
-
-
-TX_CHUNK = 16
-
-
-def customer360_tx_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J10 nested in bounded chunks: every customer's transactions, in time
-    order, in arrays of at most ``TX_CHUNK`` -- shown as one summary row per
-    chunk (size, first and last transaction)."""
-    ev = Tables(spark, sf_dir).events.select("user_id", "event_id", "ts", "value")
-    chunks = nest.nest_children_chunked(ev, "user_id", ["ts", "event_id"], TX_CHUNK, "tx")
-    return chunks.select("user_id", "chunk", F.col("n").cast("bigint").alias("n"),
-                         F.col("tx")[0]["event_id"].alias("first_event_id"),
-                         F.element_at("tx", -1)["event_id"].alias("last_event_id"))
-
-
-def id_array_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J9 in its own form: each transaction lists the accounts it touches
-    (sender and receiver) as an id array; the array is replaced by the
-    account documents -- a repeated id once, a dangling id dropped, no
-    match ``[]`` -- then shown flat, one row per (transaction, account)."""
-    t = Tables(spark, sf_dir)
-    recv = F.get_json_object("props", "$.k").try_cast("bigint")
-    tx = t.events.select("event_id", F.array("user_id", recv).alias("accounts"))
-    accounts = t.customer.select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("name"),
-                                 F.col("c_acctbal").alias("balance"))
-    docs = nest.lookup_by_ids(tx, "event_id", "accounts", accounts, "_id")
-    flat = docs.select("event_id", F.explode_outer("accounts").alias("a"))
-    return flat.select("event_id", F.col("a._id").alias("account_id"), F.col("a.name").alias("name"),
-                       F.col("a.balance").alias("balance"))
-
-
-CUSTOMER_ID = 7
-
-
-def customer360_one(spark: SparkSession, sf_dir: str, customer_id: int = CUSTOMER_ID
-                    ) -> DataFrame:
-    """P6 (B17 for one id): the customer's document summarised -- loans,
-    transactions and newest event.  The id filter reaches every scan; the
-    child summaries are partial aggregates.  An unknown id gives 0 rows."""
-    t = Tables(spark, sf_dir)
-    cust = t.customer.where(F.col("c_custkey") == customer_id).select("c_custkey", "c_name")
-    loans = (t.orders.where(F.col("o_custkey") == customer_id).groupBy("o_custkey")
-             .agg(F.count(F.lit(1)).alias("n_loans"),
-                  F.sum(R.cents("o_totalprice")).alias("loans_total_cents")))
-    ev = t.events.where(F.col("user_id") == customer_id)
-    txs = ev.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_transactions"),
-        F.sum(R.cents("value")).alias("tx_total_cents"),
-        F.max_by("event_id", F.struct("ts", "event_id")).alias("latest_event_id"))
-    doc = cust.join(loans, cust["c_custkey"] == loans["o_custkey"], "left").drop("o_custkey")
-    doc = doc.join(txs, doc["c_custkey"] == txs["user_id"], "left").drop("user_id")
-    return doc.select("c_custkey", "c_name",
-                      F.coalesce("n_loans", F.lit(0)).alias("n_loans"),
-                      F.coalesce("loans_total_cents", F.lit(0)).alias("loans_total_cents"),
-                      F.coalesce("n_transactions", F.lit(0)).alias("n_transactions"),
-                      F.coalesce("tx_total_cents", F.lit(0)).alias("tx_total_cents"),
-                      "latest_event_id")
-
-
-def customer360_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B17 at population scale: every customer's document summarised --
-    loan count and total, transaction count and total, newest event.  The
-    child summaries are partial aggregates (one row per customer leaves
-    each map task), joined to the customers; nothing is collected per key."""
-    t = Tables(spark, sf_dir)
-    cust = t.customer.select("c_custkey", "c_name")
-    loans = t.orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_loans"), F.sum(R.cents("o_totalprice")).alias("loans_total_cents"))
-    txs = t.events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_transactions"), F.sum(R.cents("value")).alias("tx_total_cents"),
-        F.max_by("event_id", F.struct("ts", "event_id")).alias("latest_event_id"))
-    doc = cust.join(loans, cust["c_custkey"] == loans["o_custkey"], "left").drop("o_custkey")
-    doc = doc.join(txs, doc["c_custkey"] == txs["user_id"], "left").drop("user_id")
-    return doc.select("c_custkey", "c_name",
-                      F.coalesce("n_loans", F.lit(0)).alias("n_loans"),
-                      F.coalesce("loans_total_cents", F.lit(0)).alias("loans_total_cents"),
-                      F.coalesce("n_transactions", F.lit(0)).alias("n_transactions"),
-                      F.coalesce("tx_total_cents", F.lit(0)).alias("tx_total_cents"),
-                      "latest_event_id")
-
-
-def analytics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5-A7 as documents + K11 + S11 + J11: the analytics collection built
-    from the period's transactions, written as JSON documents, read back
-    with the collection schema, newest per customer, shown flat."""
-    from ledgerlake.plans import customer360 as C
-    from ledgerlake.session import scratch_path
-    from ledgerlake.sinks.writers import write_documents
-    from ledgerlake.sources.files import read_documents
-    e = _events_period(spark, sf_dir).withColumn("amount", F.col("amount_cents") / 100.0)
-    docs = C.analytics_documents(e, "user_id", "transaction_type", "channel", "amount",
-                                 as_of=R.EVENTS_AS_OF)
-    path = scratch_path(spark, "analytics_documents")
-    write_documents(docs, path)
-    back = C.newest_analytics(read_documents(spark, path, "analytics"))
-    a = F.col("analytics.transaction_analytics")
-    return back.select(
-        F.col("__cid").alias("customer_id"), F.col("analytics._id").alias("doc_id"),
-        a["total_transactions"].alias("total_transactions"), a["total_inflow"].alias("total_inflow"),
-        a["total_outflow"].alias("total_outflow"), a["net_cashflow"].alias("net_cashflow"),
-        a["avg_monthly_transactions"].alias("avg_monthly_transactions"),
-        F.size(a["spending_patterns"]["by_type"]).alias("n_types"),
-        a["spending_patterns"]["by_channel"]["branch"].alias("branch"),
-        a["spending_patterns"]["by_channel"]["atm"].alias("atm"),
-        a["spending_patterns"]["by_channel"]["online"].alias("online"),
-        F.col("analytics.last_updated").cast("timestamp_ntz").alias("last_updated"))
-
-
-# --- Analytics: A1, A4-A8 ---------------------------------------------------
-def _events_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    lo, hi = slices.trailing_months(R.EVENTS_AS_OF, 12)
-    return slices.between_dates(e, "ts", lo, hi)
-
-
-def customer_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A5: per customer, trailing 12 months: count, inflow, outflow, net,
-    average per month (in cents)."""
-    e = _events_period(spark, sf_dir)
-    s = analytics.cashflow_summary(e, "user_id", "amount_cents", months=12, places=0)
-    return s.select("user_id", "total_transactions",
-                    F.col("total_inflow").cast("bigint").alias("total_inflow"),
-                    F.col("total_outflow").cast("bigint").alias("total_outflow"),
-                    F.col("net_cashflow").cast("bigint").alias("net_cashflow"),
-                    "avg_monthly_transactions")
-
-
-def spending_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer and type: count, amount, share of the amount (%)."""
-    e = _events_period(spark, sf_dir)
-    g = e.groupBy("user_id", "transaction_type").agg(
-        F.count(F.lit(1)).cast("int").alias("count"),
-        F.sum(F.abs("amount_cents")).alias("amount_cents"))
-    total = F.sum("amount_cents").over(Window.partitionBy("user_id"))
-    return g.select("user_id", F.col("transaction_type").alias("type"), "count", "amount_cents",
-                    (F.col("amount_cents") / total * 100).alias("percentage"))
-
-
-def spending_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per customer, share of the amount by channel (branch/atm/online)."""
-    e = _events_period(spark, sf_dir).withColumn("abs_cents", F.abs("amount_cents"))
-    return analytics.spending_by_channel(e, "user_id", "channel", "abs_cents",
-                                         pct_places=None)
-
-
-def max_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 + F13: largest numeric id behind a text prefix, per table."""
-    t = Tables(spark, sf_dir)
-    c = analytics.max_id(t.customer, "c_name", "Customer#").select(
-        F.lit("customer").alias("table_name"), "max_id")
-    s = analytics.max_id(t.supplier, "s_name", "Supplier#").select(
-        F.lit("supplier").alias("table_name"), "max_id")
-    return c.unionByName(s)
-
-
-def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: rows per table."""
-    t = Tables(spark, sf_dir)
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-             "events", "documents", "pages"]
-    return analytics.table_counts({n: t.read(n) for n in names})
-
-
-def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8 + F24: (customer, day) pairs with more than one order, read
-    through nested field paths."""
-    o = Tables(spark, sf_dir).orders.select(
-        F.struct(F.col("o_custkey").alias("customer_id"),
-                 F.col("o_orderdate").alias("date")).alias("tx"))
-    d = quality.duplicate_keys(o, ["tx.customer_id", "tx.date"])
-    return d.select(F.col("customer_id"), F.col("date"), F.col("n"))
-
-
-# --- Quality: J12, V1-V11 -----------------------------------------------------
-def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows whose foreign key has no parent, per relation."""
-    t = Tables(spark, sf_dir)
-    rels = [("orders.o_custkey->customer", t.orders, "o_custkey", t.customer, "c_custkey"),
-            ("lineitem.l_orderkey->orders", t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-            ("lineitem.l_partkey->part", t.lineitem, "l_partkey", t.part, "p_partkey"),
-            ("lineitem.l_suppkey->supplier", t.lineitem, "l_suppkey", t.supplier, "s_suppkey"),
-            ("customer.c_nationkey->nation", t.customer, "c_nationkey", t.nation, "n_nationkey"),
-            ("supplier.s_nationkey->nation", t.supplier, "s_nationkey", t.nation, "n_nationkey"),
-            ("nation.n_regionkey->region", t.nation, "n_regionkey", t.region, "r_regionkey"),
-            ("events.user_id->customer", t.events, "user_id", t.customer, "c_custkey")]
-    return quality.union_counts([quality.fk_orphans(c, fk, p, pk, name)
-                                 for name, c, fk, p, pk in rels])
-
-
-def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1: missing required fields, per table and field."""
-    t = Tables(spark, sf_dir)
-    parts = [quality.rule_counts(t.read(n), quality.required_rules(cols, prefix=f"{n}."))
-             for n, cols in [("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]),
-                             ("orders", ["o_orderkey", "o_custkey", "o_orderdate",
-                                         "o_totalprice", "o_orderstatus"]),
-                             ("events", ["event_id", "user_id", "ts", "event_type", "value"])]]
-    return quality.union_counts(parts)
-
-
-def type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2: values present as text that do not read as their declared type."""
-    t = Tables(spark, sf_dir)
-    ev = t.events.select(F.get_json_object("props", "$.k").alias("props_k"),
-                         F.col("value").cast("string").alias("value_text"))
-    r1 = quality.rule_counts(ev, quality.type_rules(ev, {"props_k": "int",
-                                                         "value_text": "double"},
-                                                    prefix="events."))
-    c = t.customer.select(F.col("c_name"), F.col("c_acctbal").cast("string").alias("bal"))
-    r2 = quality.rule_counts(c, quality.type_rules(c, {"c_name": "bigint", "bal": "double"},
-                                                   prefix="customer."))
-    return r1.unionByName(r2)
-
-
-def id_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3: id text patterns (prefix + fixed number of digits)."""
-    t = Tables(spark, sf_dir)
-    c = t.customer.select("c_name", FX.format_id("CUS", "c_custkey", 7).alias("cus_id"))
-    r1 = quality.rule_counts(c, {"customer.c_name": quality.pattern_rule("c_name", r"^Customer#[0-9]{9}$"),
-                                 "customer.cus_id": quality.pattern_rule("cus_id", r"^CUS[0-9]{7}$")})
-    s = t.supplier.select("s_name")
-    r2 = quality.rule_counts(s, {"supplier.s_name": quality.pattern_rule("s_name", r"^Supplier#[0-9]{9}$")})
-    o = t.orders.select(FX.format_id("TXN", "o_orderkey", 10).alias("txn_id"))
-    r3 = quality.rule_counts(o, {"orders.txn_id": quality.pattern_rule("txn_id", r"^TXN[0-9]{10}$")})
-    return quality.union_counts([r1, r2, r3])
-
-
-def amount_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4: amount magnitude outside its type's range, per type."""
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    rules = rows_frame(spark, R.EVENT_AMOUNT_RULES, "transaction_type_id int, lo double, hi double")
-    j = e.join(F.broadcast(rules), "transaction_type_id", "inner")
-    bad = quality.outside(F.abs(F.col("amount_cents")) / 100.0, F.col("lo"), F.col("hi"))
-    return j.groupBy("transaction_type").agg(F.count_if(bad).alias("n_bad"),
-                                             F.count(F.lit(1)).alias("n_rows"))
-
-
-def amount_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: sign of the amount against its type (transfers take either)."""
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    bad = (((F.col("sign") < 0) & (F.col("amount_cents") > 0))
-           | ((F.col("sign") > 0) & (F.col("amount_cents") < 0)))
-    return e.groupBy("transaction_type").agg(F.count_if(bad).alias("n_bad"))
-
-
-def balance_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V6: balance outside its segment's range or under its minimum."""
-    c = Tables(spark, sf_dir).customer
-    rules = rows_frame(spark, R.SEGMENT_BALANCE_RULES,
-                       "c_mktsegment string, lo double, hi double, min_balance double")
-    j = c.join(F.broadcast(rules), "c_mktsegment", "inner")
-    return j.groupBy("c_mktsegment").agg(
-        F.count_if(quality.outside(F.col("c_acctbal"), F.col("lo"), F.col("hi"))).alias("n_out_of_range"),
-        F.count_if(F.col("c_acctbal") < F.col("min_balance")).alias("n_under_minimum"))
-
-
-def date_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7: a line shipped before its order date (closed before opened)."""
-    t = Tables(spark, sf_dir)
-    j = t.lineitem.select("l_orderkey", "l_shipdate").join(
-        t.orders.select("o_orderkey", "o_orderdate"),
-        F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-    return quality.rule_counts(j, {"ship_before_order": F.col("l_shipdate") < F.col("o_orderdate"),
-                                   "ship_over_year_after_order":
-                                       F.col("l_shipdate") > F.date_add(F.col("o_orderdate").cast("date"), 365)})
-
-
-def date_add(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F18 + V8: expiry = issue + 1,095 days, due = start + 30 days."""
-    o = Tables(spark, sf_dir).orders
-    issue = F.col("o_orderdate").cast("date")
-    return o.select("o_orderkey", issue.alias("issue_date"),
-                    FX.add_days(issue, S.CARD_VALID_DAYS).alias("expiration_date"),
-                    FX.add_days(issue, 30).alias("due_date"))
-
-
-def _loan_terms(t: Tables) -> DataFrame:
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    return lines.select("l_orderkey", (F.col("n_lines") * R.TERM_MONTHS_PER_LINE).cast("int")
-                        .alias("term"))
-
-
-def loan_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V9: term in the allowed set; amount within its loan type's range."""
-    t = Tables(spark, sf_dir)
-    loans = _loans(spark, t)
-    terms = _loan_terms(t)
-    j = loans.join(terms, loans["o_orderkey"] == terms["l_orderkey"], "inner")
-    ranges = rows_frame(spark, R.ORDER_AMOUNT_RULES, "loan_type_id int, lo double, hi double")
-    j = j.join(F.broadcast(ranges), "loan_type_id", "inner")
-    return quality.rule_counts(j, {
-        "term_not_allowed": quality.not_in(F.col("term"), S.LOAN_TERMS),
-        "amount_out_of_range": quality.outside(F.col("o_totalprice"), F.col("lo"), F.col("hi")),
-    })
-
-
-def payment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payment against its loan -- ratio to the instalment, paid before
-    the loan starts, paid in the future."""
-    t = Tables(spark, sf_dir)
-    terms = _loan_terms(t)
-    loans = t.orders.join(terms, F.col("o_orderkey") == F.col("l_orderkey"), "inner").select(
-        "o_orderkey", "o_orderdate",
-        FX.monthly_installment("o_totalprice", "term").alias("installment"))
-    p = t.lineitem.select("l_orderkey", "l_extendedprice", "l_shipdate")
-    j = p.join(loans, p["l_orderkey"] == loans["o_orderkey"], "inner")
-    ratio = F.col("l_extendedprice") / F.col("installment")
-    lo, hi = S.PAYMENT_RATIO
-    return quality.rule_counts(j, {
-        "payment_ratio": quality.outside(ratio, lo, hi),
-        "paid_before_start": F.col("l_shipdate") < F.col("o_orderdate"),
-        "paid_in_future": F.col("l_shipdate") > F.lit(R.LINEITEM_AS_OF).cast("timestamp_ntz"),
-    })
-
-
-def allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values outside their allowed sets."""
-    t = Tables(spark, sf_dir)
-    parts = [
-        quality.rule_counts(t.orders, {"orders.o_orderstatus": quality.not_in(F.col("o_orderstatus"), ["F", "O", "P"])}),
-        quality.rule_counts(t.customer, {"customer.c_mktsegment": quality.not_in(
-            F.col("c_mktsegment"), [s for s, *_ in R.SEGMENT_BALANCE_RULES])}),
-        quality.rule_counts(t.lineitem, {
-            "lineitem.l_returnflag": quality.not_in(F.col("l_returnflag"), ["A", "N", "R"]),
-            "lineitem.l_linestatus": quality.not_in(F.col("l_linestatus"), ["F", "O"])}),
-        quality.rule_counts(t.events, {"events.event_type": quality.not_in(
-            F.col("event_type"), [r[0] for r in R.EVENT_ROLES])}),
-    ]
-    return quality.union_counts(parts)
-
-
-# --- Scalar functions -------------------------------------------------------
-def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1."""
-    return Tables(spark, sf_dir).orders.select("o_orderkey", *FX.date_parts("o_orderdate"))
-
-
-def date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F2."""
-    return Tables(spark, sf_dir).orders.select("o_orderkey",
-                                               FX.date_key("o_orderdate").alias("date_id"))
-
-
-def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B8 + F2-F6: one row per day over the span of the ship dates."""
-    from ledgerlake.plans.star import dim_date_between
-    span = Tables(spark, sf_dir).lineitem.agg(
-        F.min("l_shipdate").cast("date").alias("lo"), F.max("l_shipdate").cast("date").alias("hi"))
-    return dim_date_between(span, "lo", "hi")
-
-
-def mask_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F8/U1."""
-    return Tables(spark, sf_dir).customer.select("c_custkey",
-                                                 FX.mask_account("c_name").alias("number"))
-
-
-def mask_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F9/U2."""
-    return Tables(spark, sf_dir).supplier.select("s_suppkey",
-                                                 FX.mask_phone("s_name").alias("phone_number"))
-
-
-def mask_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F10/U3."""
-    return Tables(spark, sf_dir).part.select("p_partkey",
-                                             FX.mask_card("p_partkey").alias("number"))
-
-
-def format_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F12."""
-    return Tables(spark, sf_dir).orders.select(
-        "o_orderkey", FX.format_id("CUS", "o_custkey", S.ID_WIDTH).alias("customer_id"),
-        FX.format_id("TXN", "o_orderkey", S.TRANSACTION_ID_WIDTH).alias("transaction_id"))
-
-
-def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F15 + P11: whole texts, newlines to spaces, trimmed."""
-    return Tables(spark, sf_dir).documents.select("doc_id", FX.clean_text("text").alias("text"))
-
-
-def filter_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P9 + F14: flag and 'contains one of two'."""
-    p = Tables(spark, sf_dir).pages.select("page_id", "url")
-    return p.where(F.col("url").startswith("https://")
-                   & conform.contains_any(F.col("url"), ["/fr/", "/de/"]))
-
-
-def filter_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P10: loan-payment transactions only (type 4)."""
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    return e.where(F.col("transaction_type_id") == 4).select("event_id", "user_id",
-                                                            "amount_cents")
-
-
-def balance_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Opening balance + amount with the overdraft flip (cents)."""
-    t = Tables(spark, sf_dir)
-    e = R.signed_events(spark, t)
-    acc = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
-    out = analytics.balance_after(e, acc, "user_id", "c_custkey", "open_cents", "amount_cents",
-                                  "transaction_type_id", [2, 3])
-    return out.select("event_id", "user_id", "amount_applied", "balance_after",
-                      "overdraft_flip")
-
-
-def normalize_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A status that may arrive as the paid code '3' or as a code."""
-    o = Tables(spark, sf_dir).orders
-    raw = F.when(F.col("o_orderstatus") == "F", F.lit("3")).otherwise(F.col("o_orderstatus"))
-    names = dict(S.LOAN_STATUS_TYPES)
-    code_names = {code: names[i] for code, i in R.ORDER_STATUS_ROLES if code != "F"}
-    return o.select("o_orderkey", conform.normalize_status(raw, code_names).alias("status"))
-
-
-def conditional_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Receiver only on transfers."""
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    recv = F.get_json_object("props", "$.k").try_cast("bigint")
-    return e.select("event_id", conform.only_for(F.col("transaction_type_id") == 3, recv)
-                    .alias("receiver_account_id"))
-
-
-def round_even(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F16: round half to even, to whole units."""
-    li = Tables(spark, sf_dir).lineitem
-    return li.select("l_orderkey", "l_linenumber",
-                     FX.round_half_even("l_extendedprice").alias("amount"),
-                     FX.round_half_even(F.col("l_quantity") / 2).alias("half_qty"))
-
-
-def date_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """date + 15 days, capped at the as-of day."""
-    li = Tables(spark, sf_dir).lineitem
-    return li.select("l_orderkey", "l_linenumber",
-                     FX.date_cap(FX.add_days("l_shipdate", 15),
-                                 F.lit(R.LINEITEM_AS_OF)).alias("paid_date"))
-
-
-def date_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F20."""
-    return Tables(spark, sf_dir).orders.select("o_orderkey",
-                                               FX.format_ts("o_orderdate").alias("date_text"))
-
-
-def array_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """element 0 of an array, NULL when empty (whole texts split)."""
-    d = Tables(spark, sf_dir).documents
-    lines = F.split(F.col("text"), "\n")
-    long_lines = F.filter(lines, lambda x: F.length(x) > 200)
-    return d.select("doc_id", FX.first_element(lines).alias("first_line"),
-                    FX.first_element(long_lines).alias("first_long_line"))
-
-
-def stream_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K9 + F22 + F23: keyed JSON record per event (batch form)."""
-    from ledgerlake.streaming.feeds import envelope
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    return envelope(event_record(e), "account_id")
-
-
-def event_record(e: DataFrame) -> DataFrame:
-    """An event as the live transaction record (ids, type name, amount, ISO time)."""
-    k = F.from_json("props", "k INT").getField("k")
-    return e.select(F.col("event_id").alias("transaction_id"),
-                    F.col("user_id").cast("string").alias("account_id"),
-                    F.col("transaction_type").alias("type"),
-                    F.col("amount_cents").alias("amount"),
-                    FX.iso_timestamp("ts").alias("date"),
-                    k.alias("k"))
-
-
-def tenure_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """whole months since a date at the as-of day."""
-    o = Tables(spark, sf_dir).orders
-    return o.select("o_orderkey",
-                    FX.months_since("o_orderdate", F.lit(R.TENURE_AS_OF).cast("date"))
-                    .alias("months"))
-
-
-def credit_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """limit (order total) - outstanding (open lines), and the share."""
-    t = Tables(spark, sf_dir)
-    open_lines = (t.lineitem.where(F.col("l_linestatus") == "O").groupBy("l_orderkey")
-                  .agg(F.sum(R.cents("l_extendedprice")).alias("outstanding_cents")))
-    o = t.orders.select("o_orderkey", R.cents("o_totalprice").alias("limit_cents"))
-    j = o.join(open_lines, o["o_orderkey"] == open_lines["l_orderkey"], "left")
-    out = F.coalesce(F.col("outstanding_cents"), F.lit(0))
-    return j.select("o_orderkey", F.col("limit_cents").alias("credit_limit"),
-                    out.alias("outstanding_balance"),
-                    FX.available_credit("limit_cents", out).alias("available_credit"),
-                    (out / F.col("limit_cents") * 100).alias("utilisation"))
-
-
-def loan_installment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """monthly payment = amount / term."""
-    t = Tables(spark, sf_dir)
-    terms = _loan_terms(t)
-    j = t.orders.join(terms, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
-    return j.select("o_orderkey", "term",
-                    FX.monthly_installment("o_totalprice", "term").alias("monthly_payment"))
-
-
-def lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """code lookup with a default for codes the table lacks."""
-    e = R.signed_events(spark, Tables(spark, sf_dir))
-    partial = rows_frame(spark, [(1, "deposit"), (2, "withdrawal"), (3, "transfer"), (5, "interest")],
-                         "transaction_type_id int, range_name string")
-    out = conform.resolve_code(e, "transaction_type_id", partial, "transaction_type_id",
-                               "range_name", "range_name", how="left", default="transfer")
-    return out.select("event_id", "range_name")
-
-
-# --- Windows: W3, W4 --------------------------------------------------------
-def sequence_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W3 + F12: sequential branch ids over filtered suppliers."""
-    t = Tables(spark, sf_dir)
-    nat = t.nation.where(F.col("n_regionkey").isin(1, 2)).select("n_nationkey")
-    s = t.supplier.join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
-    s = s.select("s_suppkey", "s_name")
-    numbered = analytics.sequence_ids(s, ["s_suppkey"], "seq")
-    return numbered.select("s_suppkey", "s_name",
-                           FX.format_id(S.ID_PREFIXES["branch"], "seq", S.ID_WIDTH).alias("branch_id"))
-
-
-def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Opening balance + cumulative signed amount per customer (cents)."""
-    t = Tables(spark, sf_dir)
-    e = R.signed_events(spark, t).select("event_id", "user_id", "ts", "amount_cents")
-    acc = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
-    out = analytics.running_balance(e, "user_id", ["ts", "event_id"], "amount_cents",
-                                    opening=acc, opening_key="c_custkey",
-                                    opening_balance="open_cents", bucket_unit="hour",
-                                    out_col="running_balance")
-    return out.select("event_id", "user_id", F.col("running_balance").cast("bigint")
-                      .alias("running_balance"))
-
-
-
-
-# --- Streams: S8, K9, R1, R2, R4, R5 -------------------------------------
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ledgerlake.streaming import queries as SQ
-    return SQ.parquet_stream(spark, sf_dir, "events.parquet")
-
-
-def _signed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events stream typed and signed like ``roles.signed_events``."""
-    roles = F.broadcast(R.event_roles(spark))
-    types = F.broadcast(lookup(spark, "transaction_types"))
-    e = _events_stream(spark, sf_dir).join(roles, "event_type", "inner").join(
-        types, "transaction_type_id", "inner")
-    amt = R.cents("value")
-    return e.select("event_id", "user_id", "ts", "value", "transaction_type_id",
-                    F.col("type_name").alias("transaction_type"),
-                    F.when(F.col("sign") < 0, -amt).otherwise(amt).alias("amount_cents"))
-
-
-def transaction_feed_record(e: DataFrame) -> DataFrame:
-    """An event as the live transaction feed record (S8 fields)."""
-    return e.select(FX.format_id("TXN", "event_id", S.TRANSACTION_ID_WIDTH).alias("transaction_id"),
-                    FX.format_id("ACC", "user_id", S.ID_WIDTH).alias("account_id"),
-                    F.lit(None).cast("string").alias("employee_id"),
-                    F.col("transaction_type").alias("type"),
-                    F.lit(S.CURRENCY).alias("currency"),
-                    FX.format_ts("ts").alias("date"),
-                    F.col("amount_cents").alias("amount"))
-
-
-def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 + K9: events -> keyed JSON records -> parsed feed, as a stream."""
-    from ledgerlake.streaming import feeds
-    from ledgerlake.streaming import queries as SQ
-    records = feeds.envelope(transaction_feed_record(_signed_stream(spark, sf_dir)), "account_id")
-    parsed = feeds.typed_transactions(feeds.parse_feed(records, "transaction"))
-    out, ckpt = SQ.scratch(spark, "stream_transactions")
-    SQ.run_to_end(SQ.append_sink(parsed, out, ckpt))
-    return spark.read.parquet(out).select(
-        "transaction_id", "account_id", "type", "currency", "amount",
-        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
-
-
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K9 + S8 + R3: events published as keyed JSON records (files stand
-    in for the stream), consumed as a stream and ingested into the
-    ``fact_transactions`` shape, partitioned by year/month/batch."""
-    from pyspark.sql import types as T2
-
-    from ledgerlake.session import scratch_path
-    from ledgerlake.streaming import feeds
-    from ledgerlake.streaming import queries as SQ
-    t = Tables(spark, sf_dir)
-    records = feeds.envelope(transaction_feed_record(R.signed_events(spark, t)), "account_id")
-    topic = scratch_path(spark, "transaction_records")
-    records.write.mode("overwrite").json(topic)
-    raw = T2.StructType([T2.StructField("key", T2.StringType()), T2.StructField("value", T2.StringType())])
-    stream = spark.readStream.schema(raw).json(topic)
-    table, ckpt = SQ.scratch(spark, "fact_transactions_live")
-    SQ.run_to_end(SQ.ingest_feed(stream, "transaction", table, ckpt))
-    return _ntz(spark.read.parquet(table).drop("batch_id"))
-
-
-def stream_balance_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2 per event: the balance after every live transaction, from the
-    opening balance and the amounts so far (skew-safe within each batch)."""
-    from ledgerlake.streaming import queries as SQ
-    t = Tables(spark, sf_dir)
-    opening = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
-    s = _signed_stream(spark, sf_dir).select("event_id", "user_id", "ts", "amount_cents")
-    out, ckpt = SQ.scratch(spark, "stream_balance_after")
-    SQ.run_to_end(SQ.balance_after_sink(s, "user_id", ["ts", "event_id"], "amount_cents",
-                                        opening, "c_custkey", "open_cents", out, ckpt))
-    return spark.read.parquet(f"{out}/rows").select(
-        "event_id", "user_id", F.col("balance_after").cast("bigint").alias("balance_after"))
-
-
-def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest value per account by event time, continuously."""
-    from ledgerlake.streaming import queries as SQ
-    SQ.use_rocksdb_state(spark)
-    s = _events_stream(spark, sf_dir).select(F.col("user_id").alias("account_id"),
-                                              "event_id", "ts",
-                                              F.col("value").alias("balance_after"))
-    agg = SQ.latest_per_key(s, "account_id", ["ts", "event_id"], ["balance_after"])
-    out, ckpt = SQ.scratch(spark, "stream_latest_balance")
-    SQ.run_to_end(SQ.changelog_sink(agg, out, ckpt))
-    return SQ.current_view(spark, out, "account_id")
-
-
-def stream_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R2: opening balance + running sum of signed amounts per account.
-
-    The stream keeps only the per-account sums (state: one row per key);
-    the opening balances are joined when the current view is read, so no
-    micro-batch scans the account table."""
-    from ledgerlake.streaming import queries as SQ
-    SQ.use_rocksdb_state(spark)
-    t = Tables(spark, sf_dir)
-    agg = SQ.running_totals(_signed_stream(spark, sf_dir), "user_id", "amount_cents",
-                            "total_cents")
-    out, ckpt = SQ.scratch(spark, "stream_running_balance")
-    SQ.run_to_end(SQ.changelog_sink(agg, out, ckpt))
-    opening = t.customer.select(F.col("c_custkey").alias("user_id"),
-                                R.cents("c_acctbal").alias("open_cents"))
-    view = SQ.current_view(spark, out, "user_id")
-    return view.join(opening, "user_id", "left").select(
-        "user_id", "n_events",
-        (F.coalesce(F.col("open_cents"), F.lit(0)) + F.col("total_cents")).alias("balance_cents"))
-
-
-def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed delivered twice (at-least-once); replays are dropped.
-    Skew-safe form: copies collapse map-side inside each micro-batch."""
-    from ledgerlake.streaming import queries as SQ
-    cols = ["event_id", "user_id", "event_type", "value", "props"]
-    a = SQ.with_event_time(_events_stream(spark, sf_dir), "ts").select(*cols, "event_time")
-    b = SQ.with_event_time(_events_stream(spark, sf_dir), "ts").select(*cols, "event_time")
-    out, ckpt = SQ.scratch(spark, "stream_dedup")
-    SQ.run_to_end(SQ.dedup_sink(a.unionByName(b), out, ckpt, "event_time", 600))
-    return spark.read.parquet(out).select(
-        "event_id", "user_id", F.col("event_time").cast("timestamp_ntz").alias("ts"),
-        "event_type", "value")
-
-
-def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R4, low-latency form: ``dropDuplicatesWithinWatermark`` on the whole record."""
-    from ledgerlake.streaming import queries as SQ
-    SQ.use_rocksdb_state(spark)
-    cols = ["event_id", "user_id", "event_type", "value", "props"]
-    a = SQ.with_event_time(_events_stream(spark, sf_dir), "ts").select(*cols, "event_time")
-    b = SQ.with_event_time(_events_stream(spark, sf_dir), "ts").select(*cols, "event_time")
-    d = SQ.drop_replays(a.unionByName(b), "event_time", "10 minutes")
-    out, ckpt = SQ.scratch(spark, "stream_dedup_wm")
-    SQ.run_to_end(SQ.append_sink(d, out, ckpt))
-    return spark.read.parquet(out).select(
-        "event_id", "user_id", F.col("event_time").cast("timestamp_ntz").alias("ts"),
-        "event_type", "value")
-
-
-def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream-static joins to the type lookup and the customer table."""
-    from ledgerlake.streaming import queries as SQ
-    t = Tables(spark, sf_dir)
-    cust = t.customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-    e = _signed_stream(spark, sf_dir)
-    j = SQ.enrich(e, [(cust, "user_id", False)])
-    out, ckpt = SQ.scratch(spark, "stream_enrich")
-    SQ.run_to_end(SQ.append_sink(j.select("event_id", "user_id", "transaction_type",
-                                          "c_nationkey"), out, ckpt))
-    return spark.read.parquet(out)
-
-
-def running_balance_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W4, balanced for any skew: range-partitioned prefix sum (same result)."""
-    t = Tables(spark, sf_dir)
-    e = R.signed_events(spark, t).select("event_id", "user_id", "ts", "amount_cents")
-    acc = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
-    out = analytics.running_balance(e, "user_id", ["ts", "event_id"], "amount_cents",
-                                    opening=acc, opening_key="c_custkey",
-                                    opening_balance="open_cents", method="ranges")
-    return out.select("event_id", "user_id", F.col("running_balance").cast("bigint")
-                      .alias("running_balance"))
-
+from ledgerlake.plans.catalog.latest_queries import (  # noqa: F401
+    latest_balance,
+    latest_balance_agg,
+    latest_balance_sql,
+    sql_functions,
+    latest_child,
+)
+from ledgerlake.plans.catalog.scan_queries import (  # noqa: F401
+    scan_parquet,
+    scan_month_range,
+    scan_missing_month,
+    csv_round_trip,
+    partitioned_month_scan,
+    union_slices,
+    payments_6m,
+    transactions_12m,
+)
+from ledgerlake.plans.catalog.star_queries import (  # noqa: F401
+    star_fact_transactions,
+    star_fact_loan_payments,
+    star_dim_customers,
+)
+from ledgerlake.plans.catalog.landing_queries import (  # noqa: F401
+    landing_accounts,
+    landing_transactions,
+    landing_loans,
+    landing_cards,
+    conform_accounts,
+    conform_customers,
+    conform_cards,
+    conform_loans,
+    conform_transactions,
+    dim_audit,
+)
+from ledgerlake.plans.catalog.customer_queries import (  # noqa: F401
+    customer360_one,
+    customer360_summary,
+    customer360_arrays,
+    customer360_tx,
+    customer360_tx_chunks,
+    id_array_lookup,
+    analytics_documents,
+)
+from ledgerlake.plans.catalog.analytics_queries import (  # noqa: F401
+    customer_analytics,
+    spending_by_type,
+    spending_by_channel,
+    max_id,
+    table_counts,
+    duplicate_keys,
+)
+from ledgerlake.plans.catalog.quality_queries import (  # noqa: F401
+    fk_orphans,
+    required_fields,
+    type_check,
+    id_pattern,
+    amount_range,
+    amount_sign,
+    balance_range,
+    date_order,
+    date_add,
+    loan_rules,
+    payment_rules,
+    allowed_values,
+)
+from ledgerlake.plans.catalog.scalar_queries import (  # noqa: F401
+    date_parts,
+    date_key,
+    dim_date,
+    mask_account,
+    mask_phone,
+    mask_card,
+    format_id,
+    clean_text,
+    filter_contains,
+    filter_type,
+    balance_after,
+    normalize_status,
+    conditional_null,
+    round_even,
+    date_cap,
+    date_format,
+    array_first,
+    stream_envelope,
+    tenure_months,
+    credit_utilisation,
+    loan_installment,
+    lookup_default,
+)
+from ledgerlake.plans.catalog.window_queries import (  # noqa: F401
+    sequence_id,
+    running_balance,
+    running_balance_ranges,
+)
+from ledgerlake.plans.catalog.stream_queries import (  # noqa: F401
+    stream_transactions,
+    stream_ingest,
+    stream_latest_balance,
+    stream_running_balance,
+    stream_balance_after,
+    stream_dedup,
+    stream_dedup_watermark,
+    stream_enrich,
+)
 
 QUERIES = {
     "latest_balance": latest_balance,
@@ -1198,3 +198,4 @@ QUERIES = {
     "stream_dedup_watermark": stream_dedup_watermark,
     "stream_enrich": stream_enrich,
 }
+

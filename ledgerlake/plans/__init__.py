@@ -1,2 +1,3 @@
-"""Compositions of operators: landing, star schema, customer 360, latest
-balance, and the query set over the driver's tables (``bank_queries``)."""
+"""Compositions of operators: landing, star schema, customer 360, and the
+query catalogue over the driver's tables (``catalog/``, registered in
+``bank_queries.QUERIES``, with DuckDB equivalents in ``oracle``)."""

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import analytics, quality
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _events_period
+from ledgerlake.plans.catalog.common import events_in_period
 
 
 def customer_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: per customer, trailing 12 months: count, inflow, outflow, net,
     average per month (in cents)."""
-    e = _events_period(spark, sf_dir)
+    e = events_in_period(spark, sf_dir)
     s = analytics.cashflow_summary(e, "user_id", "amount_cents", months=12, places=0)
     return s.select("user_id", "total_transactions",
                     F.col("total_inflow").cast("bigint").alias("total_inflow"),
@@ -24,7 +24,7 @@ def customer_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spending_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer and type: count, amount, share of the amount (%)."""
-    e = _events_period(spark, sf_dir)
+    e = events_in_period(spark, sf_dir)
     g = e.groupBy("user_id", "transaction_type").agg(
         F.count(F.lit(1)).cast("int").alias("count"),
         F.sum(F.abs("amount_cents")).alias("amount_cents"))
@@ -35,7 +35,7 @@ def spending_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spending_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer, share of the amount by channel (branch/atm/online)."""
-    e = _events_period(spark, sf_dir).withColumn("abs_cents", F.abs("amount_cents"))
+    e = events_in_period(spark, sf_dir).withColumn("abs_cents", F.abs("amount_cents"))
     return analytics.spending_by_channel(e, "user_id", "channel", "abs_cents",
                                          pct_places=None)
 

@@ -12,21 +12,21 @@ from ledgerlake.sources.lookups import lookup, rows_frame
 from ledgerlake.sources.tables import Tables
 
 
-def _orders_as_tx(t: Tables) -> DataFrame:
+def orders_as_balances(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_custkey").alias("account_id"),
                            F.col("o_orderkey").alias("transaction_id"),
                            F.col("o_orderdate").alias("timestamp"),
                            F.col("o_totalprice").alias("balance_after"))
 
 
-def _ntz(df: DataFrame) -> DataFrame:
+def as_ntz(df: DataFrame) -> DataFrame:
     """Timestamps as TIMESTAMP_NTZ (the driver tables' type) for comparison."""
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
                        if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
                        for f in df.schema.fields])
 
 
-def _loans(spark: SparkSession, t: Tables) -> DataFrame:
+def orders_as_loans(spark: SparkSession, t: Tables) -> DataFrame:
     lk = {"loan_types": lookup(spark, "loan_types"),
           "loan_status_types": lookup(spark, "loan_status_types"),
           "prio": rows_frame(spark, R.ORDER_PRIORITY_ROLES, "code string, id int"),
@@ -40,13 +40,13 @@ def _loans(spark: SparkSession, t: Tables) -> DataFrame:
     return o
 
 
-def _events_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_in_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = R.signed_events(spark, Tables(spark, sf_dir))
     lo, hi = slices.trailing_months(R.EVENTS_AS_OF, 12)
     return slices.between_dates(e, "ts", lo, hi)
 
 
-def _loan_terms(t: Tables) -> DataFrame:
+def loan_terms(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     return lines.select("l_orderkey", (F.col("n_lines") * R.TERM_MONTHS_PER_LINE).cast("int")
                         .alias("term"))

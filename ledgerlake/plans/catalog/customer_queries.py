@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import nest
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _events_period
+from ledgerlake.plans.catalog.common import events_in_period
 
 
 def customer360_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def analytics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.session import scratch_path
     from ledgerlake.sinks.writers import write_documents
     from ledgerlake.sources.files import read_documents
-    e = _events_period(spark, sf_dir).withColumn("amount", F.col("amount_cents") / 100.0)
+    e = events_in_period(spark, sf_dir).withColumn("amount", F.col("amount_cents") / 100.0)
     docs = C.analytics_documents(e, "user_id", "transaction_type", "channel", "amount",
                                  as_of=R.EVENTS_AS_OF)
     path = scratch_path(spark, "analytics_documents")

@@ -11,7 +11,7 @@ from ledgerlake.operators import conform
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.lookups import lookup, rows_frame
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _loans
+from ledgerlake.plans.catalog.common import orders_as_loans
 
 
 def _constant_lookups(spark: SparkSession):
@@ -119,7 +119,7 @@ def conform_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conform_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6 + J7 + P3 -- loan type and status by inner lookups."""
-    o = _loans(spark, Tables(spark, sf_dir))
+    o = orders_as_loans(spark, Tables(spark, sf_dir))
     return o.select(F.col("o_orderkey").alias("loan_id"),
                     F.col("o_custkey").alias("customer_id"),
                     F.col("o_totalprice").alias("amount"),

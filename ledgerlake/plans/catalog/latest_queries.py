@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.operators import latest
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _orders_as_tx
+from ledgerlake.plans.catalog.common import orders_as_balances
 
 
 def latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + P8 (flagship): newest order per customer, its total as balance."""
-    o = _orders_as_tx(Tables(spark, sf_dir))
+    o = orders_as_balances(Tables(spark, sf_dir))
     ranked = latest.latest_by_rank(o, ["account_id"], ["timestamp", "transaction_id"])
     return ranked.select("account_id", "balance_after")
 
 
 def latest_balance_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: the same answer as a partial aggregate (max_by)."""
-    o = _orders_as_tx(Tables(spark, sf_dir))
+    o = orders_as_balances(Tables(spark, sf_dir))
     return latest.latest_by_agg(o, ["account_id"], ["timestamp", "transaction_id"],
                                 ["balance_after"])
 
@@ -38,7 +38,7 @@ WHERE newest_first = 1
 def latest_balance_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B18 through the SQL API: the ranking CTE as SQL text over the fact
     table bound as a parameter (same plan as ``latest_balance``)."""
-    facts = _orders_as_tx(Tables(spark, sf_dir))
+    facts = orders_as_balances(Tables(spark, sf_dir))
     return spark.sql(LATEST_BALANCE_SQL, facts=facts)
 
 

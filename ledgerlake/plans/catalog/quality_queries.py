@@ -11,7 +11,7 @@ from ledgerlake.operators import quality
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.lookups import rows_frame
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _loans, _loan_terms
+from ledgerlake.plans.catalog.common import orders_as_loans, loan_terms
 
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +119,8 @@ def date_add(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loan_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V9: term in the allowed set; amount within its loan type's range."""
     t = Tables(spark, sf_dir)
-    loans = _loans(spark, t)
-    terms = _loan_terms(t)
+    loans = orders_as_loans(spark, t)
+    terms = loan_terms(t)
     j = loans.join(terms, loans["o_orderkey"] == terms["l_orderkey"], "inner")
     ranges = rows_frame(spark, R.ORDER_AMOUNT_RULES, "loan_type_id int, lo double, hi double")
     j = j.join(F.broadcast(ranges), "loan_type_id", "inner")
@@ -134,7 +134,7 @@ def payment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payment against its loan -- ratio to the instalment, paid before
     the loan starts, paid in the future."""
     t = Tables(spark, sf_dir)
-    terms = _loan_terms(t)
+    terms = loan_terms(t)
     loans = t.orders.join(terms, F.col("o_orderkey") == F.col("l_orderkey"), "inner").select(
         "o_orderkey", "o_orderdate",
         FX.monthly_installment("o_totalprice", "term").alias("installment"))

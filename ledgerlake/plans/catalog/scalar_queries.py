@@ -11,7 +11,7 @@ from ledgerlake.operators import analytics, conform
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.lookups import rows_frame
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _loan_terms
+from ledgerlake.plans.catalog.common import loan_terms
 
 
 def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +179,7 @@ def credit_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loan_installment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """monthly payment = amount / term."""
     t = Tables(spark, sf_dir)
-    terms = _loan_terms(t)
+    terms = loan_terms(t)
     j = t.orders.join(terms, F.col("o_orderkey") == F.col("l_orderkey"), "inner")
     return j.select("o_orderkey", "term",
                     FX.monthly_installment("o_totalprice", "term").alias("monthly_payment"))

@@ -9,7 +9,7 @@ from ledgerlake import schemas as S
 from ledgerlake.functions import scalars as FX
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _ntz
+from ledgerlake.plans.catalog.common import as_ntz
 
 
 def orders_as_landing_transactions(t: Tables) -> DataFrame:
@@ -30,7 +30,7 @@ def star_fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B16 plan code: trailing 12 months, date key, renames, year/month."""
     from ledgerlake.plans import star
     tx = orders_as_landing_transactions(Tables(spark, sf_dir))
-    return _ntz(star.fact_transactions(tx, R.ORDERS_AS_OF, 12))
+    return as_ntz(star.fact_transactions(tx, R.ORDERS_AS_OF, 12))
 
 
 def lineitem_as_landing_payments(t: Tables) -> DataFrame:
@@ -72,4 +72,4 @@ def star_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("string").alias("email"),
                       F.col("c_mktsegment").alias("customer_type"),
                       F.when(F.col("c_acctbal") < 0, "Tạm khóa").otherwise("Hoạt động").alias("status"))
-    return _ntz(star.dim_customers(landed, as_of=R.AUDIT_TS))
+    return as_ntz(star.dim_customers(landed, as_of=R.AUDIT_TS))

@@ -10,7 +10,7 @@ from ledgerlake.functions import scalars as FX
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.lookups import lookup
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import _ntz
+from ledgerlake.plans.catalog.common import as_ntz
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(raw).json(topic)
     table, ckpt = SQ.scratch(spark, "fact_transactions_live")
     SQ.run_to_end(SQ.ingest_feed(stream, "transaction", table, ckpt))
-    return _ntz(spark.read.parquet(table).drop("batch_id"))
+    return as_ntz(spark.read.parquet(table).drop("batch_id"))
 
 
 def stream_balance_after(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -286,3 +286,15 @@ def sequence_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "seq",
     out = numbered.join(F.broadcast(offsets), part == F.col("__p"), "inner")
     return out.withColumn(id_col, (F.col("__off") + local + 1).cast("bigint")).drop(
         "__mid", "__p", "__off")
+
+
+def next_ids(new_rows: DataFrame, existing: DataFrame, existing_id: str, prefix: str,
+             order_by: Sequence[str], id_col: str = "id", width: int = 7) -> DataFrame:
+    """A1 + W3 + F12: ids for new rows that continue after the largest id in
+    ``existing`` (``prefix`` + zero-padded number), in ``order_by`` order.
+    The largest id is a scalar subquery (computed once, no join); the
+    numbering is the skew-safe ``sequence_ids``."""
+    from ledgerlake.functions.scalars import format_id
+    top = max_id(existing, existing_id, prefix).scalar()
+    numbered = sequence_ids(new_rows, order_by, "__seq")
+    return numbered.withColumn(id_col, format_id(prefix, top + F.col("__seq"), width)).drop("__seq")

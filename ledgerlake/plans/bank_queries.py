@@ -97,6 +97,7 @@ from ledgerlake.plans.catalog.scalar_queries import (  # noqa: F401
     lookup_default,
 )
 from ledgerlake.plans.catalog.window_queries import (  # noqa: F401
+    next_ids,
     sequence_id,
     running_balance,
     running_balance_ranges,
@@ -187,6 +188,7 @@ QUERIES = {
     "loan_installment": loan_installment,
     "lookup_default": lookup_default,
     "sequence_id": sequence_id,
+    "next_ids": next_ids,
     "running_balance": running_balance,
     "running_balance_ranges": running_balance_ranges,
     "stream_transactions": stream_transactions,

@@ -46,3 +46,14 @@ def running_balance_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     opening_balance="open_cents", method="ranges")
     return out.select("event_id", "user_id", F.col("running_balance").cast("bigint")
                       .alias("running_balance"))
+
+
+def next_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + W3 + F12: transaction ids for the live events that continue after
+    the largest id of the batch transactions (orders), in event order."""
+    t = Tables(spark, sf_dir)
+    existing = t.orders.select(FX.format_id("TXN", "o_orderkey", S.TRANSACTION_ID_WIDTH).alias("tid"))
+    ev = t.events.select("event_id", "ts")
+    out = analytics.next_ids(ev, existing, "tid", "TXN", ["ts", "event_id"], "transaction_id",
+                             S.TRANSACTION_ID_WIDTH)
+    return out.select("event_id", "transaction_id")

@@ -530,6 +530,11 @@ ORACLE_SQL = {
                                [(1, 'deposit'), (2, 'withdrawal'), (3, 'transfer'), (5, 'interest')])}
         SELECT se.event_id, coalesce(p.range_name, 'transfer') AS range_name
         FROM se LEFT JOIN partial p ON se.transaction_type_id = p.transaction_type_id""",
+    "next_ids": """
+        SELECT event_id,
+               printf('TXN%010d', (SELECT max(o_orderkey) FROM orders)
+                                  + row_number() OVER (ORDER BY ts, event_id)) AS transaction_id
+        FROM events""",
     "sequence_id": """
         SELECT s_suppkey, s_name, printf('BRA%07d', row_number() OVER (ORDER BY s_suppkey)) AS branch_id
         FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (1, 2))""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, simhash, urls
+from . import encoding, langid, mixing, simhash, spotsigs, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(list(urls.RULES), "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in urls.RULES])))
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
@@ -25,5 +25,17 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_url_filter, op6_simhash_dedup)}
-ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL}
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.encode_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_language_id, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op9_sentencepiece)}
+ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL, "op7_spotsigs": spotsigs.EDITED_SQL}

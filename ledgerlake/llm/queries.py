@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, langid, mixing, simhash, spotsigs, urls
+from . import encoding, langid, mixing, neighbours, pii, simhash, spotsigs, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +33,17 @@ def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_language_id, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op9_sentencepiece)}
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_language_id, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data)}
 ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL, "op7_spotsigs": spotsigs.EDITED_SQL}

@@ -5,13 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, langid, mixing, neighbours, pii, simhash, spotsigs, urls
+from . import encoding, langid, licences, mixing, neighbours, pii, simhash, spotsigs, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op3_language_id, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_licence_scan, op2_mix_sources, op3_language_id, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data)}
 ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL, "op7_spotsigs": spotsigs.EDITED_SQL}

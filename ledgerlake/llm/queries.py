@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, langid, licences, mixing, neighbours, pii, simhash, spotsigs, urls
+from . import encoding, langid, licences, mixing, neighbours, pii, simhash, spotsigs, suffixes, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in urls.RULES])))
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
@@ -49,5 +53,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_scan, op2_mix_sources, op3_language_id, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_licence_scan, op2_mix_sources, op3_language_id, op4_suffix_dedup, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data)}
 ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL, "op7_spotsigs": spotsigs.EDITED_SQL}

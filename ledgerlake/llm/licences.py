@@ -1,13 +1,18 @@
 """Licence scans by a trained paragraph classifier.
 
 A paragraph is a line; lines over ``LONG`` characters are cut at sentence
-ends.  Its features are its distinct words and word pairs, hashed (numbers
-count as 0).  A multinomial logistic regression, made sparse by an L1 share
-in its penalty, gives each licence family and the class ``unknown`` a
-probability; a temperature chosen on held-out rows calibrates it.  A
-paragraph is reported where a family has a calibrated probability of
-``LEAST`` or more and a notice of that family confirms it: enough of the
-notice's word pairs are in the paragraph.
+ends.  Its features are its distinct words (runs of letters) and word pairs,
+hashed into ``FEATURES`` buckets.  A multinomial logistic regression, made
+sparse by an L1 share in its penalty, gives each licence family and the
+class ``unknown`` a probability; a temperature chosen on held-out rows
+calibrates it.  A paragraph is reported where a family has a calibrated
+probability of ``LEAST`` or more and a notice of that family confirms it:
+enough of the notice's word pairs are in the paragraph.
+
+Most paragraphs can't reach any family: the sum, over their features, of the
+most by which a family's weight exceeds that of ``unknown`` is an upper
+bound of every family's lead.  Only where the bound leaves room are all
+classes scored, so no result changes.
 
 Training rows: variants of public notices with words left out, sentences
 that speak of licences without giving one, and at most ``NEGATIVES``
@@ -24,18 +29,19 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import written
 
 UNKNOWN = "unknown"
 LONG, LEAST, CONFIRMED = 400, 0.5, 0.6
-NEGATIVES, VARIANTS, FEATURES = 3000, 16, 1 << 12
+NEGATIVES, VARIANTS, FEATURES = 3000, 16, 1 << 11
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 
 #: Public notices by family (fixed values).
@@ -83,19 +89,27 @@ def paragraphs(text: Column) -> Column:
     return F.flatten(F.transform(lines, lambda x: F.when(F.length(x) > LONG, F.split(x, r"(?<=[.!?;])\s+")).when(x != "", F.array(x)).otherwise(F.slice(long, 1, 0))))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def words(paragraph: Column) -> Column:
-    """Lower-cased runs of letters, and 0 for each number."""
-    return F.filter(F.split(F.regexp_replace(F.lower(paragraph), r"[0-9]+([.][0-9]+)*", "0"), r"[^\p{L}0]+"), lambda w: w != "")
+    """Lower-cased runs of letters."""
+    return F.filter(F.split(F.lower(paragraph), r"[^\p{L}]+"), lambda w: w != "")
 
 
-def pairs(w: Column) -> Column:
-    return F.when(F.size(w) > 1, F.transform(F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(1))), lambda x, i: F.concat_ws(" ", F.element_at(w, i + 1), x))).otherwise(F.slice(w, 1, 0))
+def features(w: Column, of=lambda bucket: bucket) -> Column:
+    """``of`` the buckets (from 1) of words and word pairs."""
+    bucket = lambda *x: (F.pmod(F.xxhash64(*x), F.lit(FEATURES)) + 1).cast("int")
+    ones = F.transform(w, lambda x: of(bucket(x)))
+    twos = F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, i: of(bucket(F.get(w, i), x)))
+    return F.concat(ones, twos)
 
 
-def with_grams(df: DataFrame, paragraph: str) -> DataFrame:
-    df = df.withColumn("words", words(F.col(paragraph)))
-    df = df.withColumn("pairs", pairs(F.col("words")))
-    return df.withColumn("grams", F.concat("words", "pairs"))
+def pairs(paragraph: Column) -> Column:
+    """Distinct word pairs of a paragraph as text."""
+    return let(words(paragraph), lambda w: F.array_distinct(F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, i: F.concat_ws(" ", F.get(w, i), x))))
 
 
 def rows_of(spark: SparkSession, names: str, rows) -> DataFrame:
@@ -105,8 +119,8 @@ def rows_of(spark: SparkSession, names: str, rows) -> DataFrame:
 
 
 def notice_pairs(text: str) -> list[str]:
-    """Distinct word pairs of a notice, as ``words`` and ``pairs`` make them."""
-    w = re.findall(r"[^\W\d_]+|0", re.sub(r"[0-9]+([.][0-9]+)*", "0", text.lower()))
+    """Distinct word pairs of a notice, as ``pairs`` makes them."""
+    w = re.findall(r"[^\W\d_]+", text.lower())
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
@@ -124,19 +138,36 @@ def overlap(found: Column, family: Column) -> Column:
 
 
 class Classifier:
-    def __init__(self, model: LogisticRegressionModel, families: list[str], temperature: float):
-        self.model, self.families, self.temperature = model, families, temperature
-
-    def scored(self, df: DataFrame) -> DataFrame:
-        """``df`` (with grams) with family and probability of the best class."""
-        out = self.model.transform(hashing().transform(df)).withColumn("raw", vector_to_array("rawPrediction"))
-        top = F.array_max("raw")
-        out = out.withColumns({"family": F.element_at(F.array(*map(F.lit, self.families)), F.array_position("raw", top).cast("int")), "probability": probability(F.col("raw"), top, self.temperature)})
-        return out.drop("features", "rawPrediction", "probabilities", "prediction", "raw")
-
-
-def hashing() -> HashingTF:
-    return HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
+    """Weights of the buckets that any class uses, and how to apply them."""
+
+    def __init__(self, model, families: list[str], temperature: float):
+        weights, self.start = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+        used = np.flatnonzero(np.abs(weights).max(0) > 0)
+        self.families, self.temperature = families, temperature
+        self.number = np.zeros(FEATURES, int)  # of each bucket in use, from 1
+        self.number[used] = np.arange(1, len(used) + 1)
+        self.weights = weights[:, used].T
+        self.unknown = families.index(UNKNOWN)
+
+    def active(self, paragraph: Column) -> Column:
+        """Numbers of a paragraph's buckets that are in use."""
+        table = F.array(*map(F.lit, self.number.tolist()))
+        return F.array_distinct(F.filter(let(words(paragraph), lambda w: features(w, lambda b: F.element_at(table, b))), lambda n: n > 0))
+
+    def scored(self, df: DataFrame, paragraph: str) -> DataFrame:
+        """Rows of ``df`` whose paragraph has a family, with family and
+        probability."""
+        lead = (self.weights - self.weights[:, [self.unknown]]).max(1)
+        most = F.array(F.lit(0.0), *map(F.lit, lead.tolist()))
+        least = self.temperature * math.log(LEAST / (1 - LEAST)) - (self.start - self.start[self.unknown]).max() - 1e-9
+        df = df.withColumn("active", self.active(F.col(paragraph)))
+        df = df.where(F.aggregate("active", F.lit(0.0), lambda a, n: a + F.get(most, n)) >= least)
+        table = F.array(*[F.array(*map(F.lit, w)) for w in self.weights.tolist()])
+        raw = F.aggregate("active", F.array(*map(F.lit, self.start.tolist())), lambda a, n: F.zip_with(a, F.element_at(table, n), lambda x, y: x + y))
+        names = F.array(*map(F.lit, self.families))
+        best = let(raw, lambda r: let(F.array_max(r), lambda top: F.struct(F.element_at(names, F.array_position(r, top).cast("int")).alias("family"), probability(r, top, self.temperature).alias("probability"))))
+        df = df.withColumn("best", best)
+        return df.select(*df.drop("active", "best").columns, "best.*").where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST))
 
 
 def probability(raw: Column, of: Column, temperature: float) -> Column:
@@ -145,7 +176,7 @@ def probability(raw: Column, of: Column, temperature: float) -> Column:
 
 
 def train(docs: DataFrame, negatives: int = NEGATIVES) -> Classifier:
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
     families = sorted({f for f, _ in NOTICES} | {UNKNOWN})
     given = rows_of(spark, "family paragraph", list(NOTICES) + [(UNKNOWN, t) for t in PLAIN])
     # variants leave out about an eighth of the words; the first is whole
@@ -156,13 +187,14 @@ def train(docs: DataFrame, negatives: int = NEGATIVES) -> Classifier:
     texts = docs.where("text is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(negatives // 4)
     lines = docs.join(texts.select(F.col("doc_id").alias("i")).distinct(), F.col("doc_id").eqNullSafe(F.col("i")), "left_semi").select(F.explode(paragraphs(F.col("text"))).alias("paragraph")).distinct()
     lines = lines.withColumn("h", F.xxhash64("paragraph")).orderBy("h", "paragraph").limit(negatives)
-    lines = written(with_grams(lines, "paragraph").select("h", "paragraph", "pairs"), "licence-negatives")
+    lines = written(lines.withColumn("pairs", pairs(F.col("paragraph"))), "licence-negatives")
     matched = F.greatest(*[overlap(F.col("pairs"), F.lit(f)) for f in families if f != UNKNOWN])
     lines = lines.where(matched < CONFIRMED).select(F.lit(UNKNOWN).alias("family"), "paragraph", F.pmod("h", F.lit(VARIANTS)).cast("int").alias("variant"))
 
-    rows = with_grams(given.union(lines), "paragraph")
-    rows = rows.withColumn("label", F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1)
-    rows = written(hashing().transform(rows).select("label", "features", "variant"), "licence-training").coalesce(2)
+    rows = given.union(lines)
+    vector = let(let(words(F.col("paragraph")), lambda w: features(w)), lambda have: F.transform(F.sequence(F.lit(1), F.lit(FEATURES)), lambda b: F.array_contains(have, b).cast("double")))
+    label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
+    rows = written(rows.select(label.alias("label"), array_to_vector(vector).alias("features"), "variant"), "licence-training").coalesce(2)
     fit = LogisticRegression(family="multinomial", maxIter=25, regParam=0.002, elasticNetParam=0.5, probabilityCol="probabilities")
     held = F.col("variant") % 4 == 3
     tested = fit.fit(rows.where(~held)).transform(rows.where(held)).select((F.col("label") + 1).cast("int").alias("k"), vector_to_array("rawPrediction").alias("raw"))
@@ -176,6 +208,5 @@ def scan(docs: DataFrame) -> DataFrame:
     place among the text's paragraphs, from 0), family, probability, overlap."""
     model = train(docs)
     rows = docs.select("doc_id", F.posexplode(paragraphs(F.col("text"))).alias("paragraph", "line"))
-    found = model.scored(with_grams(rows, "line")).where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST))
-    found = found.withColumn("overlap", overlap(F.col("pairs"), F.col("family"))).where(F.col("overlap") >= CONFIRMED)
+    found = model.scored(rows, "line").withColumn("overlap", overlap(pairs(F.col("line")), F.col("family"))).where(F.col("overlap") >= CONFIRMED)
     return found.select("doc_id", "paragraph", "family", F.round("probability", 3).alias("probability"), F.round("overlap", 3).alias("overlap"))

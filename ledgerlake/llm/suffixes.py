@@ -54,7 +54,8 @@ _BYTES = np.random.default_rng(400).integers(1, 2**63, 256, dtype=np.uint64)
 _PIECE_BITS = 22
 _powers: dict = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
-ANCHOR = "array<struct<j:int,a:int,s:int,e:int,gram:long,c:long,f:int,need:int>>"
+TYPES = {"j": np.int32, "a": np.int32, "s": np.int32, "e": np.int32, "gram": np.int64, "c": np.int64, "f": np.int32, "need": np.int32, "known": np.bool_}
+ANCHOR = "array<struct<j:int,a:int,s:int,e:int,gram:long,c:long,f:int,need:int,known:boolean>>"
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,10 +101,15 @@ def least(h: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> dict | None:
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[dict, list] | None:
     """Arrays by anchor: place a, block of starts s..e, gram's hash, phrase c
     to the next anchor (0: none), first phrase f and number of phrases that
-    cover the block's strings (0: they reach beyond the first or last anchor)."""
+    cover the block's strings (0: no row of anchors left here covers them),
+    and whether the block is known to be repeated; and runs of starts that
+    are repeated within the text.
+
+    Equal blocks of one text (a word or line written over and over) are
+    repeated by each other; only the first stays, to be met by other texts."""
     if len(text) < length:
         return None
     hashes = Hashes(text)
@@ -116,8 +122,18 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> dict | None:
     c[:-1] = hashes.of(a[:-1], a[1:] + gram) | np.uint64(1)
     f = np.searchsorted(a, s, side="right") - 1
     to = np.searchsorted(a, e + length - gram, side="left")
-    need = np.where((f >= 0) & (to < len(a)), to - f, 0)
-    return {"j": np.arange(len(a)), "a": a, "s": s, "e": e, "gram": grams[a].view(np.int64), "c": c.view(np.int64), "f": f, "need": need}
+    whole = hashes.of(s, e + length) + (a - s).astype(np.uint64)
+    _, first, kind, times = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+    known = times[kind] > 1
+    stays = first[kind] == np.arange(len(a))
+    gone = np.concatenate([[0], np.cumsum(~stays)])  # anchors that leave, before each
+    inside = (f >= 0) & (to < len(a))
+    need = np.where(inside & (gone[np.minimum(to, len(a) - 1) + 1] == gone[np.maximum(f, 0)]), to - f, 0)
+    out = {"j": np.arange(len(a)), "a": a, "s": s, "e": e, "gram": grams[a].view(np.int64), "c": c.view(np.int64), "f": f, "need": need, "known": known}
+    mask = np.zeros(len(place) + 1, np.int32)
+    np.add.at(mask, s[known], 1)
+    np.add.at(mask, e[known] + 1, -1)
+    return {k: v[stays] for k, v in out.items()}, runs(np.cumsum(mask)[:-1] > 0)
 
 
 def repeated_starts(blocks: list[tuple[int, int, bytes]], length: int = LENGTH) -> list[np.ndarray]:
@@ -143,6 +159,12 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist()))
 
 
+def listed(sizes: list[int], columns: list[np.ndarray], names) -> pa.ListArray:
+    """Rows of some columns as lists of the given sizes."""
+    rows = pa.StructArray.from_arrays([pa.array(x) for x in columns], list(names))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), rows)
+
+
 def with_row(docs: DataFrame) -> DataFrame:
     """doc_id, text, row: identity of (doc_id, text)."""
     text = F.coalesce("text", F.lit("")).alias("text")
@@ -205,31 +227,31 @@ def prefixes(places: DataFrame, depth: int) -> DataFrame:
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Rows of ``with_row`` -> row, first, last: runs of starts of repeated strings."""
-    @F.arrow_udf(ANCHOR)
+    @F.arrow_udf(f"struct<found:{ANCHOR},within:array<struct<first:int,last:int>>>")
     def cut(texts: pa.Array) -> pa.Array:
-        found = [anchors(t.as_py().encode(), length, gram) for t in texts]
-        sizes = [0 if x is None else len(x["j"]) for x in found]
-        some = [x for x in found if x is not None]
-        types = {"j": np.int32, "a": np.int32, "s": np.int32, "e": np.int32, "gram": np.int64, "c": np.int64, "f": np.int32, "need": np.int32}
-        columns = [np.concatenate([np.zeros(0, t), *[x[name].astype(t) for x in some]]) for name, t in types.items()]
-        rows = pa.StructArray.from_arrays([pa.array(x) for x in columns], list(types))
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), rows)
-
-    cuts = written(docs.select("row", cut("text").alias("found")).where(F.size("found") > 0), "anchors")
+        none = ({name: [] for name in TYPES}, [])
+        found = [anchors(t.as_py().encode(), length, gram) or none for t in texts]
+        columns = [np.concatenate([np.zeros(0, t), *[x[name] for x, _ in found]]).astype(t) for name, t in TYPES.items()]
+        rows = listed([len(x["j"]) for x, _ in found], columns, TYPES)
+        spans = np.array([r for _, x in found for r in x], np.int32).reshape(-1, 2)
+        return pa.StructArray.from_arrays([rows, listed([len(x) for _, x in found], [spans[:, 0], spans[:, 1]], ["first", "last"])], ["found", "within"])
+
+    cuts = written(docs.select("row", cut("text").alias("x")).select("row", "x.*").where(F.size("found") > 0), "anchors")
     every = cuts.select("row", F.inline("found"))
     twice = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     hot = written(every.join(twice, "gram", "left_semi").dropDuplicates(["row", "j"]), "repeated-grams")
+    within = cuts.select("row", F.inline("within"))
     depth = hot.agg(F.max("need")).first()[0] or 0
     copies = docs.groupBy("row").agg(F.count("*").alias("n"), F.first(F.octet_length("text")).alias("size")).where(f"n > 1 AND size >= {length}")
     copies = copies.select("row", F.lit(0).alias("first"), (F.col("size") - length).alias("last"))
 
     common = prefixes(hot.where("c <> 0").select("row", "j", "c"), max(depth, 1))
     blocks = hot.join(common.select("row", F.col("j").alias("f"), "common", "key"), ["row", "f"], "left")
-    whole = (F.col("need") > 0) & (F.coalesce("common", F.lit(0)) >= F.col("need"))
+    whole = F.col("known") | (F.col("need") > 0) & (F.coalesce("common", F.lit(0)) >= F.col("need"))
     blocks = written(blocks.select("row", "a", "s", "e", "gram", "key", "need", F.coalesce(whole, F.lit(False)).alias("whole")), "blocks")
     done = blocks.where("whole").select("row", F.col("s").alias("first"), F.col("e").alias("last"))
     edges = edge_runs(docs, blocks, length)
-    return done.union(edges).union(copies)
+    return done.union(edges).union(copies).union(within)
 
 
 def edge_runs(docs: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
@@ -237,7 +259,7 @@ def edge_runs(docs: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
     block of each kind of the same gram."""
     open_grams = blocks.where("NOT whole").select("gram").distinct()
     # blocks of equal suffix key and extent have equal bytes: one stands for all
-    kind = F.when(F.col("whole"), F.xxhash64("key", F.col("a") - F.col("s"), F.col("e") - F.col("s"), "need")).otherwise(F.xxhash64("row", "a"))
+    kind = F.when(F.col("whole") & (F.col("need") > 0) & F.col("key").isNotNull(), F.xxhash64("key", F.col("a") - F.col("s"), F.col("e") - F.col("s"), "need")).otherwise(F.xxhash64("row", "a"))
     some = blocks.join(open_grams, "gram", "left_semi").withColumn("kind", kind)
     one = some.groupBy("gram", "kind").agg(F.min(F.struct("row", "a", "s", "e", "whole")).alias("b")).select("gram", "b.*")
     sizes = one.groupBy("gram").agg(F.count("*").alias("v")).where("v > 1")

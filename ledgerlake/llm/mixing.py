@@ -135,11 +135,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: in
     the order of virtual finish time over the whole result."""
     queued, total = queue(docs, word_count(F.col("text")), weights, max_repeat, seed)
     chosen = decide(queued, total, max_repeat).where("times > 0")
-    chosen = chosen.select(F.col("key").alias("k"), F.col("source").alias("s"), F.transform(F.sequence(F.lit(0), F.col("times") - 1), finish).alias("finishes"))
-    key, when = fresh(docs, "mix_key", "mix_finish")
+    key, when, k, s, finishes = fresh(docs, "mix_key", "mix_finish", "mix_entry", "mix_source", "mix_finishes")
+    chosen = chosen.select(F.col("key").alias(k), F.col("source").alias(s), F.transform(F.sequence(F.lit(0), F.col("times") - 1), finish).alias(finishes))
     keyed = docs.withColumn(key, entry_key(F.col("doc_id"), F.col("text"), seed))
-    rows = keyed.join(chosen, (F.col(key) == F.col("k")) & F.col("source").eqNullSafe(F.col("s")))
-    rows = rows.select(*docs.columns, key, F.explode("finishes").alias(when))
+    rows = keyed.join(chosen, (F.col(key) == F.col(k)) & F.col("source").eqNullSafe(F.col(s)))
+    rows = rows.select(*docs.columns, key, F.explode(finishes).alias(when))
     return rows.orderBy(when, key).select(*docs.columns)
 
 

@@ -214,6 +214,7 @@ def joined(spans: list) -> str:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
     """Weights from the base labels of a bounded sample of documents."""
+    docs = docs.select("doc_id", "text")
     ids = docs.where("text is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(sample).select(F.col("doc_id").alias("i"))
     texts = docs.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("i")), "left_semi").where("text is not null")
     texts = texts.select("doc_id", F.xxhash64("text").alias("t"), "text").dropDuplicates(["doc_id", "t"]).select("text")

@@ -215,8 +215,8 @@ def deduplicated(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFram
     prints = written(prints.select("doc_id", F.xxhash64("text").alias("t"), "fp"), "fingerprints")
     found = group_of(prints.select("doc_id", "fp"), radius)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
-    kept = prints.join(found, "fp").groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.t").alias("t"))
-    (name,) = fresh(docs, "text_hash")
+    name, id, t = fresh(docs, "text_hash", "kept_id", "kept_hash")
+    kept = prints.join(found, "fp").groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(id), F.col("k.t").alias(t))
     rows = docs.withColumn(name, F.xxhash64("text"))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col(name) == F.col("t")), "left_semi")
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(id)) & (F.col(name) == F.col(t)), "left_semi")
     return rows.dropDuplicates(["doc_id", name]).select(*docs.columns)

@@ -45,7 +45,7 @@ def digest(host: Column, path: Column) -> Column:
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule (text of the rule that decides, else
     null) and verdict.  ``rules``: host, path, verdict."""
-    host, path, rule, verdict = fresh(pages, "host", "path", "rule", "verdict")
+    host, path, rule, verdict, h, p, best = fresh(pages, "host", "path", "rule", "verdict", "of_host", "of_path", "best")
     parsed = pages.withColumns({host: host_of(F.col(url)), path: path_of(F.col(url))})
 
     r = rules.where("host is not null and path is not null and verdict is not null").select("host", "path", "verdict").distinct()
@@ -60,11 +60,11 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     e = distinct.select("h", "p", F.explode(suffixes).alias("s"), prefixes.alias("prefixes")).select("h", "p", "s", F.explode("prefixes").alias("q"))
     e = e.withColumn("d", digest(F.col("s"), F.col("q"))).withColumn("short", F.substring("d", 1, SHORT))
     met = e.join(r, F.col("short") == F.col("rule_short")).where(F.col("d") == F.col("rule_digest"))
-    best = F.max(F.struct(F.length("rule").alias("n"), "host_len", (F.col("rule_verdict") == "block").alias("block"), "rule", "rule_verdict"))
-    decided = met.groupBy("h", "p").agg(best.alias("best"))
+    longest = F.max(F.struct(F.length("rule").alias("n"), "host_len", (F.col("rule_verdict") == "block").alias("block"), "rule", "rule_verdict"))
+    decided = met.groupBy(F.col("h").alias(h), F.col("p").alias(p)).agg(longest.alias(best))
 
-    out = parsed.join(decided, (F.col(host) == F.col("h")) & (F.col(path) == F.col("p")), "left")
-    return out.select(*pages.columns, host, path, F.col("best.rule").alias(rule), F.coalesce("best.rule_verdict", F.lit(default)).alias(verdict))
+    out = parsed.join(decided, (F.col(host) == F.col(h)) & (F.col(path) == F.col(p)), "left")
+    return out.select(*pages.columns, host, path, F.col(f"{best}.rule").alias(rule), F.coalesce(f"{best}.rule_verdict", F.lit(default)).alias(verdict))
 
 
 #: The query in DuckDB's SQL.

@@ -105,58 +105,14 @@ def balance_after(tx: DataFrame, accounts: DataFrame, tx_account: str, acc_key:
 
 def running_balance(tx: DataFrame, key: str, order_by: Sequence[str], amount: str,
                     opening: DataFrame | None = None, opening_key: str | None = None,
-                    opening_balance: str | None = None, bucket_unit: str = "minute",
-                    out_col: str = "running_balance",
-                    max_bucket_rows: int | None = 50_000_000,
-                    method: str = "buckets") -> DataFrame:
+                    opening_balance: str | None = None,
+                    out_col: str = "running_balance") -> DataFrame:
     """Opening balance + cumulative amount in event order, per key.
 
-    ``method="buckets"`` (all JVM, one large shuffle): a two-level prefix
-    sum.  Rows are windowed per (key, time bucket); bucket totals are
-    pre-aggregated map-side and prefix-summed per key (one row per bucket),
-    then added back, so a hot key is spread over its buckets.  A bucket
-    holding more than ``max_bucket_rows`` rows is cut into equal slices of
-    its own time span (found by the same map-side aggregate; there are at
-    most total rows / ``max_bucket_rows`` such buckets, so that table is
-    broadcast).  Exact in every case; balanced unless a burst inside a
-    burst defeats even slicing.
-
-    ``method="ranges"``: balanced whatever the skew -- see
-    ``running_balance_ranges``.
-    """
-    if method == "ranges":
-        out = running_balance_ranges(tx, key, order_by, amount, out_col=out_col)
-        return _add_opening(out, key, out_col, opening, opening_key, opening_balance)
-    ts = order_by[0]
-    tx = tx.withColumn("__bucket", F.date_trunc(bucket_unit, F.col(ts)))
-    if max_bucket_rows:
-        micros = F.unix_micros(F.col(ts).cast("timestamp"))
-        hot = (tx.groupBy(key, "__bucket")
-               .agg(F.count(F.lit(1)).alias("__n"), F.min(micros).alias("__lo"),
-                    F.max(micros).alias("__hi"))
-               .where(F.col("__n") > max_bucket_rows)
-               .select(key, "__bucket", "__lo", F.greatest(F.lit(1).cast("long"), F.floor(
-                   (F.col("__hi") - F.col("__lo") + 1).cast("double") * float(max_bucket_rows)
-                   / F.col("__n")).cast("long")).alias("__step")))
-        tx = tx.join(F.broadcast(hot), [key, "__bucket"], "left")
-        tx = tx.withColumn("__sub", F.when(F.col("__step").isNull(), F.lit(0)).otherwise(
-            F.floor((micros - F.col("__lo")) / F.col("__step"))).cast("long")).drop("__step", "__lo")
-    else:
-        tx = tx.withColumn("__sub", F.lit(0).cast("long"))
-    parts = [key, "__bucket", "__sub"]
-    within = (Window.partitionBy(*parts).orderBy(*[F.col(c) for c in order_by])
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    b = tx.withColumn("__run", F.sum(amount).over(within))
-    # Slice totals straight from the scan: a map-side partial aggregate, so
-    # this pass reads a few columns and shuffles one row per (key, slice,
-    # map task) -- the rows themselves move once, above.
-    totals = tx.groupBy(*parts).agg(F.sum(amount).alias("__bt"))
-    before = (Window.partitionBy(key).orderBy("__bucket", "__sub")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    totals = totals.withColumn("__before", F.coalesce(F.sum("__bt").over(before), F.lit(0)))
-    out = b.join(totals.drop("__bt"), parts, "inner")
-    out = out.withColumn(out_col, F.col("__before") + F.col("__run"))
-    out = out.drop("__bucket", "__sub", "__run", "__before")
+    One method at every size: ``running_balance_ranges``.  No row is lost:
+    a NULL key is a key of its own (opening balance 0), a NULL in
+    ``order_by`` sorts first, a NULL amount counts as 0."""
+    out = running_balance_ranges(tx, key, order_by, amount, out_col=out_col)
     return _add_opening(out, key, out_col, opening, opening_key, opening_balance)
 
 
@@ -170,113 +126,118 @@ def _add_opening(out: DataFrame, key: str, out_col: str, opening, opening_key, o
 
 
 def running_balance_ranges(tx: DataFrame, key: str, order_by: Sequence[str], amount: str,
-                           out_col: str = "running_balance",
-                           num_partitions: int | None = None) -> DataFrame:
+                           out_col: str = "running_balance") -> DataFrame:
     """W4, balanced for any skew: a distributed prefix sum.
 
     1. Range-partition on (key, order_by...): Spark's sampler cuts even a
        key -- or one instant -- that holds a third of the rows into many
-       ranges, and each range is sorted.
-    2. One vectorised pass per partition (``mapInPandas`` over Arrow
-       batches, carrying the sum across batches) gives running sums within
-       the partition.  The built-ins cannot scan a partition in order
-       without shuffling it again.  The result is checkpointed to the
-       shared folder, so the reads below see the same rows and the shuffle
-       runs once.
+       ranges, and each range is sorted (NULLs first).  AQE sizes the
+       partitions.
+    2. One vectorised pass per partition (``mapInArrow``, carrying the sum
+       across batches) gives running sums within the partition.  The
+       built-ins cannot scan a partition in order without shuffling it
+       again.  The result is written to the shared folder, so the reads
+       below see the same rows, the shuffle runs once, and the small read
+       touches only the key and two added columns.
     3. Only a partition's first and last key can continue into a
        neighbour, so the offsets that must cross partitions come from a
        table of one row per partition (first key, last key, last key's
        sum): a cumulative window over it gives each continuing key its
-       offset, broadcast back.
-    ``order_by`` (with ``key``) must order rows totally (end with an id).
+       offset, broadcast back (one row per partition).
+    Keys are compared null-safely.  ``order_by`` (with ``key``) must order
+    rows totally (end with an id).
     """
     import numpy as np
     import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark.sql import types as T
 
+    from ledgerlake.session import scratch_path
+
     spark = tx.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [key, *order_by]
-    ranged = (tx.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = (tx.repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("__pid", F.spark_partition_id()))
     integral = isinstance(tx.schema[amount].dataType,
                           (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     np_type = "int64" if integral else "float64"       # integer sums stay exact
     local_type = T.LongType() if integral else T.DoubleType()
-    schema = T.StructType(ranged.schema.fields + [T.StructField("__local", local_type)])
+    schema = T.StructType(ranged.schema.fields + [T.StructField("__n", T.LongType()),
+                                                  T.StructField("__local", local_type)])
     kpos = ranged.columns.index(key)
     apos = ranged.columns.index(amount)
 
     def scan(batches):
-        carry_key, carry = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(__local=pd.Series([], dtype=np_type))
+        carry_key, carry, done = None, 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            k = pdf.iloc[:, kpos].to_numpy()
-            a = pdf.iloc[:, apos].fillna(0).to_numpy(dtype=np_type)
-            starts = np.empty(len(k), dtype=bool)
-            starts[0] = True
-            starts[1:] = k[1:] != k[:-1]
-            group = np.cumsum(starts)
+            k = batch.column(kpos)
+            a = pc.fill_null(batch.column(apos).cast(np_type), 0).to_numpy(zero_copy_only=False)
+            x, y = k.slice(1), k.slice(0, n - 1)
+            same = pc.or_(pc.fill_null(pc.equal(x, y), False), pc.and_(pc.is_null(x), pc.is_null(y)))
+            group = np.concatenate([[0], np.cumsum(~same.to_numpy(zero_copy_only=False))])
             local = pd.Series(a).groupby(group).cumsum().to_numpy()
-            if carry_key is not None and k[0] == carry_key:
-                local[group == group[0]] += carry
-            carry_key, carry = k[-1], local[-1]
-            yield pdf.assign(__local=local)
-
-    # The per-partition sums feed three reads that must agree; materialise
-    # them once in the shared checkpoint folder (one write instead of
-    # repeating the range shuffle and the scan for every read).
-    from ledgerlake.session import checkpoint_root
-    checkpoint_root(spark)
-    local = ranged.mapInPandas(scan, schema).checkpoint(eager=True)
-    bounds = local.groupBy("__pid").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
-    last_tot = (local.join(F.broadcast(bounds.select("__pid", F.col("__last").alias(key))),
-                           ["__pid", key], "left_semi")
-                .groupBy("__pid").agg(F.sum(amount).alias("__tot")))
-    edges = bounds.join(last_tot, "__pid", "left")
+            if done and k[0].as_py() == carry_key:
+                local[group == 0] += carry
+            carry_key, carry = k[n - 1].as_py(), local[-1]
+            number = pa.array(np.arange(done, done + n))
+            done += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, number, pa.array(local)],
+                                             [*batch.schema.names, "__n", "__local"])
+
+    path = scratch_path(spark, "running-balance")
+    ranged.mapInArrow(scan, schema).write.parquet(path)
+    local = spark.read.schema(schema).parquet(path)
     # Key ranges are contiguous, so a key that continues into partition p is
     # the last key of the previous non-empty partition; its offset is the
     # running total of that key's last-key sums up to there.  One window
     # over at most one row per partition, no pairs.
+    edges = local.groupBy("__pid").agg(F.min_by(key, "__n").alias("__first"),
+                                       F.max_by(key, "__n").alias("__last"),
+                                       F.max_by("__local", "__n").alias("__tot"))
     by_pid = Window.orderBy("__pid")
     cum = F.sum("__tot").over(Window.partitionBy("__last").orderBy("__pid")
                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     edges = edges.withColumn("__cum", cum)
-    offsets = (edges.select("__pid", "__first",
+    offsets = (edges.select(F.col("__pid").alias("__p"), "__first",
+                            F.lag("__pid").over(by_pid).alias("__prev"),
                             F.lag("__last").over(by_pid).alias("__prev_last"),
-                            F.lag("__cum").over(by_pid).alias("__prev_cum"))
-               .where(F.col("__prev_last") == F.col("__first"))
-               .select("__pid", F.col("__first").alias(key), F.col("__prev_cum").alias("__off")))
-    out = local.join(F.broadcast(offsets), ["__pid", key], "left")
+                            F.lag("__cum").over(by_pid).alias("__off"))
+               .where(F.col("__prev").isNotNull() & F.col("__prev_last").eqNullSafe(F.col("__first")))
+               .select("__p", "__first", "__off"))
+    out = local.join(F.broadcast(offsets), (F.col("__pid") == F.col("__p"))
+                     & F.col(key).eqNullSafe(F.col("__first")), "left")
     total = F.col("__local") + F.coalesce(F.col("__off"), F.lit(0))
     src_type = tx.schema[amount].dataType
-    return out.withColumn(out_col, total.cast(src_type)).drop("__pid", "__local", "__off")
+    return out.withColumn(out_col, total.cast(src_type)).select(*tx.columns, out_col)
 
 
-def sequence_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "seq",
-                 num_partitions: int | None = None) -> DataFrame:
+def sequence_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "seq") -> DataFrame:
     """1-based sequential numbers in ``order_by`` order, without a
     single-partition window.
 
     Rows are range-partitioned and sorted within partitions; each row gets
     its partition index and local offset (``monotonically_increasing_id``),
-    the numbered rows are checkpointed to the shared checkpoint folder so
-    every later read sees the same numbering, and per-partition counts
-    (one row per partition, a proven small size) give the offsets.
+    the numbered rows are written to the shared folder so every later read
+    sees the same numbering, and per-partition counts (one row per
+    partition, a proven small size) give the offsets.  AQE sizes the
+    partitions.
     """
-    from ledgerlake.session import checkpoint_root
+    from ledgerlake.session import scratch_path
     spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Ties in ``order_by`` have no order of their own; a row-position
     # tiebreak (fixed by the input files) lets the range partitioner cut a
     # value that holds a third of the rows into many ranges.
     keyed = df.withColumn("__tb", F.monotonically_increasing_id())
     keys = [*order_by, "__tb"]
-    ordered = keyed.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("__tb")
-    numbered = ordered.withColumn("__mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ordered = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tb")
+    path = scratch_path(spark, "sequence")
+    ordered = ordered.withColumn("__mid", F.monotonically_increasing_id())
+    ordered.write.parquet(path)
+    numbered = spark.read.schema(ordered.schema).parquet(path)
     part = F.shiftright(F.col("__mid"), 33)
     local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
     counts = numbered.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))

@@ -28,6 +28,12 @@ from ledgerlake.plans.catalog.star_queries import (  # noqa: F401
     star_fact_transactions,
     star_fact_loan_payments,
     star_dim_customers,
+    star_dim_accounts,
+    star_dim_branches,
+    star_dim_cards,
+    star_dim_employees,
+    star_dim_loans,
+    star_tables,
 )
 from ledgerlake.plans.catalog.landing_queries import (  # noqa: F401
     landing_accounts,
@@ -40,6 +46,9 @@ from ledgerlake.plans.catalog.landing_queries import (  # noqa: F401
     conform_loans,
     conform_transactions,
     dim_audit,
+    landing_customers,
+    landing_loan_payments,
+    landing_files,
 )
 from ledgerlake.plans.catalog.customer_queries import (  # noqa: F401
     customer360_one,
@@ -95,6 +104,7 @@ from ledgerlake.plans.catalog.scalar_queries import (  # noqa: F401
     credit_utilisation,
     loan_installment,
     lookup_default,
+    round2,
 )
 from ledgerlake.plans.catalog.window_queries import (  # noqa: F401
     next_ids,
@@ -111,6 +121,9 @@ from ledgerlake.plans.catalog.stream_queries import (  # noqa: F401
     stream_dedup,
     stream_dedup_watermark,
     stream_enrich,
+    stream_ingest_payments,
+    stream_ingest_loans,
+    feed_shards,
 )
 
 QUERIES = {
@@ -199,5 +212,18 @@ QUERIES = {
     "stream_dedup": stream_dedup,
     "stream_dedup_watermark": stream_dedup_watermark,
     "stream_enrich": stream_enrich,
+    "star_dim_accounts": star_dim_accounts,
+    "star_dim_branches": star_dim_branches,
+    "star_dim_cards": star_dim_cards,
+    "star_dim_employees": star_dim_employees,
+    "star_dim_loans": star_dim_loans,
+    "star_tables": star_tables,
+    "landing_customers": landing_customers,
+    "landing_loan_payments": landing_loan_payments,
+    "landing_files": landing_files,
+    "stream_ingest_payments": stream_ingest_payments,
+    "stream_ingest_loans": stream_ingest_loans,
+    "feed_shards": feed_shards,
+    "round2": round2,
 }
 

@@ -54,7 +54,8 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: rows per table."""
     t = Tables(spark, sf_dir)
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-             "events", "documents", "pages"]
+             "events", "documents", "embeddings", "pages", "benchmark", "labels",
+             "conversations"]
     return analytics.table_counts({n: t.read(n) for n in names})
 
 

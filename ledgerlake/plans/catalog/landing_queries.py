@@ -84,10 +84,8 @@ def landing_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conform_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: J1 + J2 + P1 + F8 -- type and status by inner lookups, masked number."""
     t = Tables(spark, sf_dir)
-    c = conform.resolve_code(t.customer, "c_nationkey", t.nation, "n_nationkey", "n_name",
-                             "type", fixed_size=False)
-    nat = t.nation.select("n_nationkey", "n_regionkey")
-    c = c.join(nat, c["c_nationkey"] == nat["n_nationkey"], "inner")
+    nat = t.nation.select("n_nationkey", F.col("n_name").alias("type"), "n_regionkey")
+    c = t.customer.join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
     c = conform.resolve_code(c, "n_regionkey", t.region, "r_regionkey", "r_name", "status",
                              fixed_size=False)
     return c.select(F.col("c_custkey").alias("account_id"), "type", "status",
@@ -142,3 +140,63 @@ def dim_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = conform.add_audit_columns(s, as_of=R.AUDIT_TS)
     return out.withColumns({"created_at": F.col("created_at").cast("timestamp_ntz"),
                             "updated_at": F.col("updated_at").cast("timestamp_ntz")})
+
+
+def landing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 plan code (J3, J4, P2-P4, F9) on customers: type by nation, status
+    by sign of the balance, phone masked."""
+    from ledgerlake.plans import landing
+    c = Tables(spark, sf_dir).customer
+    cust = c.select(FX.format_id("CUS", "c_custkey", S.ID_WIDTH).alias("customer_id"),
+                    F.col("c_name").alias("name"), F.lit(S.COUNTRY).alias("country"),
+                    F.col("c_mktsegment").alias("city"), F.lit(None).cast("string").alias("street"),
+                    F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("phone_number"),
+                    F.lit(None).cast("date").alias("registration_date"),
+                    F.lit(None).cast("string").alias("email"),
+                    (F.col("c_nationkey") % 4).cast("int").alias("customer_type_id"),
+                    F.when(F.col("c_acctbal") < 0, 2).otherwise(1).alias("status"))
+    return landing.land_customers(cust, _constant_lookups(spark))
+
+
+def landing_loan_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6 plan code on lineitem as loan payments: F1 on the paid date."""
+    from ledgerlake.plans import landing
+    from ledgerlake.plans.catalog.star_queries import lineitem_as_landing_payments
+    p = lineitem_as_landing_payments(Tables(spark, sf_dir)).drop("year", "month")
+    return landing.land_loan_payments(p)
+
+
+def suppliers_as_branches(t: Tables) -> DataFrame:
+    """supplier in the landing ``branches`` shape (B7: taken as it is)."""
+    return t.supplier.select(FX.format_id("BRA", "s_suppkey", S.ID_WIDTH).alias("branch_id"),
+                             F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("address"),
+                             F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("phone_number"))
+
+
+def customers_as_employees(t: Tables) -> DataFrame:
+    """customer in the landing ``employees`` shape (B7: taken as it is)."""
+    return t.customer.select(FX.format_id("EMP", "c_custkey", S.ID_WIDTH).alias("employee_id"),
+                             F.col("c_name").alias("name"), F.col("c_mktsegment").alias("position"),
+                             FX.format_id("BRA", "c_nationkey", S.ID_WIDTH).alias("branch_id"))
+
+
+def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + B7 + K1: branches and employees written as the export's CSV
+    files, read by schema with a view each, landed as Parquet and read back
+    through the views' names."""
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sinks import writers
+    from ledgerlake.sources import files
+    t = Tables(spark, sf_dir)
+    root = scratch_path(spark, "landing-files")
+    schemas = {n: S.LANDING_CSV[n] for n in ("branches", "employees")}
+    writers.write_csv(suppliers_as_branches(t), f"{root}/branches.csv")
+    writers.write_csv(customers_as_employees(t), f"{root}/employees.csv")
+    files.read_landing_csvs(spark, root, schemas)
+    for name in schemas:
+        writers.write_parquet(spark.table(name), f"{root}/{name}")
+    b, e = (files.read_parquet(spark, f"{root}/{n}", schemas[n]) for n in ("branches", "employees"))
+    return e.select(F.lit("employee").alias("kind"), F.col("employee_id").alias("id"), "name",
+                    F.col("position").alias("detail"), "branch_id").unionByName(
+        b.select(F.lit("branch").alias("kind"), F.col("branch_id").alias("id"), "name",
+                 F.concat_ws(" ", "address", "phone_number").alias("detail"), "branch_id"))

@@ -193,3 +193,12 @@ def lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = conform.resolve_code(e, "transaction_type_id", partial, "transaction_type_id",
                                "range_name", "range_name", how="left", default="transfer")
     return out.select("event_id", "range_name")
+
+
+def round2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """discounted prices rounded to 2 places (on exact decimals, half to
+    even, so every engine agrees)."""
+    li = Tables(spark, sf_dir).lineitem
+    price = R.cents("l_extendedprice").cast("decimal(18,0)") * (100 - F.round(F.col("l_discount") * 100)).cast("decimal(3,0)")
+    return li.select("l_orderkey", "l_linenumber",
+                     FX.round2(price.cast("decimal(24,4)") / F.lit(10000).cast("decimal(5,0)")).cast("double").alias("net"))

@@ -162,3 +162,56 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     SQ.run_to_end(SQ.append_sink(j.select("event_id", "user_id", "transaction_type",
                                           "c_nationkey"), out, ckpt))
     return spark.read.parquet(out)
+
+
+def _through_feed(spark: SparkSession, rows: DataFrame, feed: str, table: str) -> DataFrame:
+    """Rows published as keyed JSON records on two shards (K9, R6: all records
+    of a key on one), consumed as a stream and ingested (R3)."""
+    from pyspark.sql import types as T2
+
+    from ledgerlake.session import scratch_path
+    from ledgerlake.streaming import feeds
+    from ledgerlake.streaming import queries as SQ
+    records = feeds.envelope(rows, S.FEED_KEYS[feed], num_partitions=2)
+    topic = scratch_path(spark, f"{feed}_records")
+    records.withColumn("shard", F.spark_partition_id()).write.partitionBy("shard").json(topic)
+    raw = T2.StructType([T2.StructField("key", T2.StringType()), T2.StructField("value", T2.StringType())])
+    stream = spark.readStream.schema(raw).json(f"{topic}/*")
+    out, ckpt = SQ.scratch(spark, table)
+    SQ.run_to_end(SQ.ingest_feed(stream, feed, out, ckpt))
+    return as_ntz(spark.read.parquet(out).drop("batch_id"))
+
+
+def stream_ingest_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + K9 + R3 + R6: lineitem as the loan-payment feed -> ``fact_loan_payments``."""
+    from ledgerlake.plans.catalog.star_queries import lineitem_as_landing_payments
+    p = lineitem_as_landing_payments(Tables(spark, sf_dir)).drop("year", "month")
+    dates = ("scheduled_payment_date", "payment_date", "paid_date")
+    p = p.withColumns({c: F.col(c).cast("string") for c in dates}).select(*S.FEED_LOAN_PAYMENT.names)
+    return _through_feed(spark, p, "loan_payment", "fact_loan_payments_live")
+
+
+def stream_ingest_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + K9 + R3 + R6: orders as the loan feed -> ``dim_loans``; paid
+    loans carry their status as the number 3 (P14)."""
+    from ledgerlake.plans.catalog.common import orders_as_loans
+    o = orders_as_loans(spark, Tables(spark, sf_dir))
+    paid = F.col("loan_status_id") == S.PAID_STATUS_CODE
+    loans = o.select(FX.format_id("LOA", "o_orderkey", S.ID_WIDTH).alias("loan_id"),
+                     FX.format_id("CUS", "o_custkey", S.ID_WIDTH).alias("customer_id"),
+                     F.col("loan_type").alias("type"), R.cents("o_totalprice").alias("amount"),
+                     F.lit(S.CURRENCY).alias("currency"), F.lit(7.5).alias("interest_rate"),
+                     F.lit(12).alias("term"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
+                     F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 360), "yyyy-MM-dd").alias("end_date"),
+                     F.when(paid, F.lit(str(S.PAID_STATUS_CODE))).otherwise(F.col("loan_status")).alias("status"))
+    return _through_feed(spark, loans, "loan", "dim_loans_live")
+
+
+def feed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as feed records over eight shards: records of each account
+    and the number of shards they lie on."""
+    from ledgerlake.streaming import feeds
+    rows = transaction_feed_record(R.signed_events(spark, Tables(spark, sf_dir)))
+    on = feeds.envelope(rows, S.FEED_KEYS["transaction"], num_partitions=8).withColumn("shard", F.spark_partition_id())
+    per = on.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("key").agg(F.sum("n").alias("n_records"), F.count(F.lit(1)).alias("n_shards"))

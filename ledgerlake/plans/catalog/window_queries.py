@@ -30,20 +30,20 @@ def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     acc = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
     out = analytics.running_balance(e, "user_id", ["ts", "event_id"], "amount_cents",
                                     opening=acc, opening_key="c_custkey",
-                                    opening_balance="open_cents", bucket_unit="hour",
-                                    out_col="running_balance")
+                                    opening_balance="open_cents", out_col="running_balance")
     return out.select("event_id", "user_id", F.col("running_balance").cast("bigint")
                       .alias("running_balance"))
 
 
 def running_balance_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W4, balanced for any skew: range-partitioned prefix sum (same result)."""
-    t = Tables(spark, sf_dir)
-    e = R.signed_events(spark, t).select("event_id", "user_id", "ts", "amount_cents")
-    acc = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
-    out = analytics.running_balance(e, "user_id", ["ts", "event_id"], "amount_cents",
-                                    opening=acc, opening_key="c_custkey",
-                                    opening_balance="open_cents", method="ranges")
+    """W4's prefix sum itself, on events whose every third key, every fifth
+    time and every seventh amount is NULL: NULL keys are one key, NULL times
+    come first, NULL amounts count as 0."""
+    e = R.signed_events(spark, Tables(spark, sf_dir))
+    e = e.select("event_id", F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("user_id"),
+                 F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("ts"),
+                 F.when(F.col("event_id") % 7 != 0, F.col("amount_cents")).alias("amount_cents"))
+    out = analytics.running_balance_ranges(e, "user_id", ["ts", "event_id"], "amount_cents")
     return out.select("event_id", "user_id", F.col("running_balance").cast("bigint")
                       .alias("running_balance"))
 

@@ -89,12 +89,8 @@ ORACLE_SQL = {
                arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS balance_after
         FROM orders GROUP BY o_custkey""",
     "latest_balance_sql": """
-        WITH ranked AS (
-          SELECT o_custkey AS account_id, o_totalprice AS balance_after,
-                 row_number() OVER (PARTITION BY o_custkey
-                                    ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-          FROM orders)
-        SELECT account_id, balance_after FROM ranked WHERE rn = 1""",
+        SELECT o_custkey AS account_id, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS balance_after
+        FROM orders GROUP BY o_custkey""",
     "sql_functions": """
         SELECT o.o_orderkey, '****' || right(c.c_name, 4) AS number,
                '****' || right(c.c_name, 3) AS phone_number,
@@ -189,7 +185,7 @@ ORACLE_SQL = {
                  {cents('l_extendedprice')} AS paid_amount,
                  CAST(l_shipdate AS DATE) AS paid_date
           FROM lineitem
-          WHERE l_shipdate >= TIMESTAMP '1998-10-01' AND l_shipdate < TIMESTAMP '1999-10-01')
+          WHERE l_shipdate >= TIMESTAMP '1998-10-01' AND l_shipdate < TIMESTAMP '1999-11-01')
         SELECT payment_id, loan_id, transaction_id,
                CAST(strftime(scheduled_payment_date, '%Y%m%d') AS INTEGER) AS scheduled_payment_date_id,
                CAST(strftime(payment_date, '%Y%m%d') AS INTEGER) AS payment_date_id,
@@ -350,7 +346,8 @@ ORACLE_SQL = {
     "table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                  "events", "documents", "pages"]),
+                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
+                  "conversations"]),
     "duplicate_keys": """
         SELECT o_custkey AS customer_id, o_orderdate AS date, count(*) AS n
         FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""",
@@ -556,12 +553,14 @@ ORACLE_SQL = {
         FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",
     "running_balance_ranges": f"""
         WITH {SE_CTE},
-        acc AS (SELECT c_custkey, {cents('c_acctbal')} AS open_cents FROM customer)
-        SELECT se.event_id, se.user_id,
-               CAST(coalesce(acc.open_cents, 0) + sum(se.amount_cents) OVER (
-                    PARTITION BY se.user_id ORDER BY se.ts, se.event_id
+        e AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN user_id END AS user_id,
+                     CASE WHEN event_id % 5 <> 0 THEN ts END AS ts,
+                     CASE WHEN event_id % 7 <> 0 THEN amount_cents ELSE 0 END AS amount_cents FROM se)
+        SELECT event_id, user_id,
+               CAST(sum(amount_cents) OVER (
+                    PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_balance
-        FROM se LEFT JOIN acc ON se.user_id = acc.c_custkey""",
+        FROM e""",
     "stream_transactions": f"""
         WITH {SE_CTE}
         SELECT printf('TXN%010d', event_id) AS transaction_id, printf('ACC%07d', user_id) AS account_id,
@@ -592,3 +591,76 @@ ORACLE_SQL = {
         SELECT se.event_id, se.user_id, se.transaction_type, c.c_nationkey
         FROM se JOIN customer c ON se.user_id = c.c_custkey""",
 }
+
+_BRANCHES = """SELECT printf('BRA%07d', s_suppkey) AS branch_id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS address,
+       lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS phone_number FROM supplier"""
+_EMPLOYEES = """SELECT printf('EMP%07d', c_custkey) AS employee_id, c_name AS name, c_mktsegment AS position,
+       printf('BRA%07d', c_nationkey) AS branch_id FROM customer"""
+_AUDIT = f"TIMESTAMP '{R.AUDIT_TS}' AS created_at, TIMESTAMP '{R.AUDIT_TS}' AS updated_at, true AS is_active"
+_PAYMENTS = f"""SELECT 'PAY' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS payment_id,
+       printf('LOA%07d', l_orderkey) AS loan_id, NULL::VARCHAR AS transaction_id,
+       {cents('l_extendedprice')} AS payment_amount, CAST(l_shipdate AS DATE) - 3 AS scheduled_payment_date,
+       CAST(l_shipdate AS DATE) AS payment_date, {cents('l_extendedprice * (1 - l_discount)')} AS principal_amount,
+       {cents('l_extendedprice')} AS paid_amount, CAST(l_shipdate AS DATE) AS paid_date FROM lineitem"""
+_TERMS = "[" + ", ".join(map(str, S.LOAN_TERMS)) + "]"
+
+# B2, B6, B7, B9-B11, B13, B14, K1-K6, S1, S2, S6, S9, S10, R3, R6, F17
+ORACLE_SQL |= {
+    "landing_customers": f"""
+        WITH {values('ct', 'id, type_name', S.CUSTOMER_TYPES)}, {values('cs', 'id, status_name', S.CUSTOMER_STATUS_TYPES)}
+        SELECT printf('CUS%07d', c.c_custkey) AS customer_id, c.c_name AS name, {_lit(S.COUNTRY)} AS country,
+               c.c_mktsegment AS city, NULL::VARCHAR AS street,
+               '****' || right(lpad(CAST(c.c_custkey AS VARCHAR), 10, '0'), 3) AS phone_number,
+               NULL::DATE AS registration_date, NULL::VARCHAR AS email, ct.type_name AS customer_type, cs.status_name AS status
+        FROM customer c JOIN ct ON c.c_nationkey % 4 = ct.id
+        JOIN cs ON (CASE WHEN c.c_acctbal < 0 THEN 2 ELSE 1 END) = cs.id""",
+    "landing_loan_payments": f"""
+        SELECT *, CAST(year(paid_date) AS INTEGER) AS year, CAST(month(paid_date) AS INTEGER) AS month,
+               CAST(day(paid_date) AS INTEGER) AS day FROM ({_PAYMENTS})""",
+    "landing_files": f"""
+        SELECT 'employee' AS kind, employee_id AS id, name, position AS detail, branch_id FROM ({_EMPLOYEES})
+        UNION ALL SELECT 'branch', branch_id, name, address || ' ' || phone_number, branch_id FROM ({_BRANCHES})""",
+    "star_dim_accounts": f"""
+        SELECT account_id, customer_id, branch_id, type, status, number, CAST(min_balance AS INTEGER) AS min_balance,
+               date_opened, date_closed FROM ({ORACLE_SQL['landing_accounts']})""",
+    "star_dim_branches": f"SELECT *, {_AUDIT} FROM ({_BRANCHES})",
+    "star_dim_employees": f"SELECT *, {_AUDIT} FROM ({_EMPLOYEES})",
+    "star_dim_cards": f"""
+        SELECT card_id, 'ACC' || substr(card_id, 4, 7) AS account_id, CAST(monthly_fee AS INTEGER) AS monthly_fee,
+               CAST((n % 8) / 4 AS FLOAT) AS interest_rate, DATE '2020-01-01' + n % 1000 + {S.CARD_VALID_DAYS} AS expiration_date,
+               DATE '2020-01-01' + n % 1000 AS issuance_date, card_type, number
+        FROM (SELECT *, CAST(substr(card_id, 4, 7) AS INTEGER) AS n FROM ({ORACLE_SQL['landing_cards']}))""",
+    "star_dim_loans": f"""
+        SELECT loan_id, customer_id, amount, CAST(6 + (n % 36) / 4 AS FLOAT) AS interest_rate, term, start_date,
+               start_date + term * 30 AS end_date, loan_type AS type, loan_status AS status
+        FROM (SELECT *, {_TERMS}[n % {len(S.LOAN_TERMS)} + 1] AS term
+              FROM (SELECT *, CAST(substr(loan_id, 4) AS INTEGER) AS n FROM ({ORACLE_SQL['landing_loans']})))""",
+    "star_tables": f"""
+        SELECT 'dim' AS kind, branch_id AS id, f AS detail FROM ({_BRANCHES}), (SELECT unnest(['true', 'false']) AS f)
+        UNION ALL SELECT 'copy', branch_id, upper(name) FROM ({_BRANCHES})
+        UNION ALL SELECT 'fact', transaction_id, CASE WHEN year = 1998 AND month = 7 THEN 'again' ELSE currency END
+                  FROM ({ORACLE_SQL['star_fact_transactions']})""",
+    "stream_ingest_payments": f"""
+        SELECT payment_id, loan_id, transaction_id,
+               CAST(strftime(scheduled_payment_date, '%Y%m%d') AS INTEGER) AS scheduled_payment_date_id,
+               CAST(strftime(payment_date, '%Y%m%d') AS INTEGER) AS payment_date_id,
+               CAST(strftime(paid_date, '%Y%m%d') AS INTEGER) AS paid_date_id,
+               payment_amount, principal_amount, paid_amount, scheduled_payment_date, payment_date, paid_date,
+               CAST(year(paid_date) AS INTEGER) AS year, CAST(month(paid_date) AS INTEGER) AS month FROM ({_PAYMENTS})""",
+    "stream_ingest_loans": f"""
+        WITH {LOANS_CTE}
+        SELECT printf('LOA%07d', o_orderkey) AS loan_id, printf('CUS%07d', o_custkey) AS customer_id,
+               {cents('o_totalprice')} AS amount, CAST(7.5 AS FLOAT) AS interest_rate, 12 AS term,
+               CAST(o_orderdate AS DATE) AS start_date, CAST(o_orderdate AS DATE) + 360 AS end_date,
+               loan_type AS type, loan_status AS status,
+               CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM loans""",
+    "feed_shards": f"""
+        WITH {SE_CTE}
+        SELECT printf('ACC%07d', user_id) AS key, count(*) AS n_records, CAST(1 AS BIGINT) AS n_shards FROM se GROUP BY 1""",
+    "round2": """
+        SELECT l_orderkey, l_linenumber,
+               CAST(v // 100 + CASE WHEN v % 100 > 50 OR (v % 100 = 50 AND (v // 100) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 100 AS net
+        FROM (SELECT l_orderkey, l_linenumber,
+                     CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) AS v
+              FROM lineitem)""",
+}

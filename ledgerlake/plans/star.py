@@ -87,13 +87,22 @@ def dim_loans(loans: DataFrame) -> DataFrame:
                        S.DIM_LOANS)
 
 
+def payments_start(as_of) -> _dt.date:
+    """Start of the two windows that end in the month of ``as_of``."""
+    return slices.add_months(slices.month_start(as_of), -12)
+
+
 def fact_loan_payments(payments: DataFrame, start, windows: int = 2) -> DataFrame:
-    """Payments of ``windows`` half-open six-month windows from the
-    month of ``start`` (D6), with the three date keys (payment_date_id from
-    payment_date, D5) and year/month of the paid date."""
-    (lo, _), *_rest = slices.half_year_windows(start, windows)
-    hi = slices.half_year_windows(start, windows)[-1][1]
-    months = slices.months_of(lo, windows * 6)
+    """Payments of ``windows`` six-month windows from the month of
+    ``start``, the month that ends the last window included: 13 calendar
+    months for two windows, each loaded once (D6).  Started at
+    ``payments_start(as_of)`` the last is the month of ``as_of``.  With the
+    three date keys (payment_date_id from payment_date, D5) and year/month
+    of the paid date."""
+    n = windows * 6 + 1
+    lo = slices.month_start(start)
+    hi = slices.add_months(lo, n)
+    months = slices.months_of(lo, n)
     p = payments
     if "year" in p.columns and "month" in p.columns:
         p = p.where(slices.partition_predicate(months))
@@ -147,8 +156,7 @@ def run_star(spark: SparkSession, landing: str, warehouse: str, as_of: str,
         "dim_customers": dim_customers(rd["customers"], audit_ts),
         "dim_employees": dim_employees(rd["employees"], audit_ts),
         "dim_loans": dim_loans(rd["loans"]),
-        "fact_loan_payments": fact_loan_payments(rd["loan_payments"],
-                                                 as_of_d - _dt.timedelta(days=365)),
+        "fact_loan_payments": fact_loan_payments(rd["loan_payments"], payments_start(as_of_d)),
         "fact_transactions": fact_transactions(rd["transactions"], as_of_d),
     }
     out = warehouse.rstrip("/")

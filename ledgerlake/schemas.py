@@ -90,8 +90,8 @@ DIM_ACCOUNTS = struct(("account_id", S), ("customer_id", S), ("branch_id", S), (
                       ("date_closed", DT))
 DIM_BRANCHES = struct(("branch_id", S), ("name", S), ("address", S), ("phone_number", S),
                       ("created_at", TS), ("updated_at", TS), ("is_active", B))
-DIM_CARDS = struct(("card_id", S), ("account_id", S), ("card_type", S), ("monthly_fee", I),
-                   ("interest_rate", F), ("expiration_date", DT), ("issuance_date", DT),
+DIM_CARDS = struct(("card_id", S), ("account_id", S), ("monthly_fee", I), ("interest_rate", F),
+                   ("expiration_date", DT), ("issuance_date", DT), ("card_type", S),
                    ("number", S))
 DIM_CUSTOMERS = struct(("customer_id", S), ("name", S), ("country", S), ("city", S),
                        ("street", S), ("phone_number", S), ("registration_date", DT),

@@ -9,6 +9,7 @@ bench and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,10 +36,8 @@ CORE_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings (safe on an existing session)."""
     for key, value in CORE_CONF.items():
-        try:
+        if spark.conf.isModifiable(key):  # a static one stays the platform's
             spark.conf.set(key, value)
-        except Exception:  # static conf on a managed cluster: keep theirs
-            pass
     checkpoint_root(spark)
     return spark
 
@@ -63,23 +62,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the platform to a shared file system and
-    is used as is.  Only where it is unset (local tests) a fresh folder is
-    made under the system temp dir.
+    On a cluster the platform sets it to a shared file system; without it
+    there is no folder that every executor reads, so that is an error.  In
+    local mode, where driver and executors are one process, a fresh folder
+    is set if there is none (tests, bench).
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
+        if not re.match(r"local(\[[^-]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:
-            pass
-    spark.sparkContext.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names; a failure to
+    look is an error."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")

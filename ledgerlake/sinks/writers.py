@@ -31,14 +31,9 @@ def write_partitioned(df: DataFrame, path: str, parts: Sequence[str],
     replaces only the partitions present in ``df`` (incremental loads and
     rolling windows); ``dynamic=False`` replaces the whole table (a full
     export reloaded)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        (rebalance(df, *parts).write.mode(mode).option("compression", "snappy")
-         .partitionBy(*parts).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (rebalance(df, *parts).write.mode(mode).option("compression", "snappy")
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .partitionBy(*parts).parquet(path))
 
 
 def create_table(spark, name: str, schema, location: str | None = None,
@@ -64,12 +59,19 @@ def insert_by_name(df: DataFrame, table: str, overwrite: bool = False,
     or the whole table with ``dynamic=False`` (K5 full refresh)."""
     spark = df.sparkSession
     target = spark.table(table)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not (overwrite and dynamic and parts):
         rebalance(df.select(*target.columns)).write.insertInto(table, overwrite=overwrite)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        return
+    # insertInto takes no overwrite mode of its own and the session's setting
+    # is shared by all writes, so the folder is written with the writer's
+    # option and its new partitions are made known
+    place = next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+                 if r["col_name"] == "Location")
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    write_partitioned(typed, place, parts)
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def replace_table(df: DataFrame, table: str, partition_cols: Sequence[str] = ()) -> None:

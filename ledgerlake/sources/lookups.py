@@ -58,15 +58,13 @@ def lookup_schema(name: str) -> T.StructType:
 
 def lookups_from(spark: SparkSession, folder: str | None) -> dict[str, DataFrame]:
     """The lookup tables of an export folder (``<name>.csv`` with a header),
-    each falling back to the constant table when the export lacks it."""
+    each falling back to the constant table when the export lacks it.  A
+    file that is there but can't be read is an error."""
+    from ledgerlake.session import path_exists
     from ledgerlake.sources.files import read_csv
     out = {}
     for name in LOOKUP_NAMES:
-        df = None
-        if folder:
-            try:   # a missing file raises when the reader resolves its path
-                df = read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", lookup_schema(name))
-            except Exception:
-                df = None
-        out[name] = df if df is not None else lookup(spark, name)
+        path = f"{folder.rstrip('/')}/{name}.csv" if folder else None
+        out[name] = (read_csv(spark, path, lookup_schema(name))
+                     if path and path_exists(spark, path) else lookup(spark, name))
     return out

@@ -25,10 +25,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Large keyed state (one row per account, kept for ever) off the JVM heap."""
-    try:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    except Exception:
-        pass
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 class state_partitions:
@@ -96,6 +93,14 @@ def drop_replays(stream: DataFrame, event_time: str, delay: str = "10 minutes",
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(cols)
 
 
+def same(a: DataFrame, b: DataFrame, cols: Sequence[str]):
+    """Null-safe equality of columns of two frames."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond
+
+
 def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
                delay_seconds: int = 600, columns: Sequence[str] | None = None,
                available_now: bool = True):
@@ -103,30 +108,33 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
     (a partial aggregate, so a record sent a million times crosses the
     shuffle once per map task), then rows already written by earlier
     batches within ``delay_seconds`` of the batch's oldest event are
-    removed by a null-safe anti join.  Each batch overwrites its own
-    folder and ignores it when looking back, so a replayed batch writes
-    the same rows."""
+    removed by a null-safe anti join.  Rows without an event time are
+    compared with all earlier rows without one.  The output is partitioned
+    by batch and event day, so looking back lists and reads only the days in
+    reach.  Each batch overwrites its own folder and ignores it when looking
+    back, so a replayed batch writes the same rows."""
+    from ledgerlake.session import path_exists
     cols = list(columns or stream.columns)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(cols)
+        day = F.to_date(F.col(event_time))
+        fresh = batch.dropDuplicates(cols).persist()
         try:
-            written = spark.read.parquet(path)
-        except Exception:  # nothing written yet
-            written = None
-        if written is not None:
-            lo = fresh.agg(F.min(event_time)).first()[0]
-            if lo is not None:
-                horizon = F.lit(lo).cast("timestamp") - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
-                seen = written.where((F.col("batch_id") != batch_id)
-                                     & (F.col(event_time) >= horizon)).select(*cols)
-                cond = None
-                for c in cols:
-                    e = fresh[c].eqNullSafe(seen[c])
-                    cond = e if cond is None else cond & e
-                fresh = fresh.join(seen, cond, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            out = fresh
+            if path_exists(spark, path):
+                lo = fresh.agg(F.min(event_time)).first()[0]
+                near = F.col("event_day").isNull()
+                if lo is not None:
+                    horizon = F.lit(lo).cast("timestamp") - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
+                    near = near | ((F.col("event_day") >= F.to_date(horizon)) & (F.col(event_time) >= horizon))
+                seen = spark.read.schema(_with_parts(batch)).parquet(path)
+                seen = seen.where((F.col("batch_id") != batch_id) & near).select(*cols)
+                out = fresh.join(seen, same(fresh, seen, cols), "left_anti")
+            (out.withColumn("event_day", day).write.mode("overwrite").partitionBy("event_day")
+             .parquet(f"{path}/batch_id={batch_id}"))
+        finally:
+            fresh.unpersist()
 
     w = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(write_batch))
@@ -134,6 +142,44 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
     return w.start()
 
 
+def _with_parts(batch: DataFrame):
+    """Schema of the rows that ``dedup_sink`` has written."""
+    from pyspark.sql import types as T
+    return T.StructType(batch.schema.fields + [T.StructField("batch_id", T.LongType()),
+                                               T.StructField("event_day", T.DateType())])
+
+
+#: Batches between two folded states of the carried totals.
+FOLD_EVERY = 16
+
+
+def carried_totals(spark: SparkSession, path: str, batch_id: int, key: str, schema,
+                   fold_every: int = FOLD_EVERY) -> DataFrame:
+    """(key, total) after all batches before ``batch_id``.
+
+    Every ``fold_every`` batches the totals so far are folded into one
+    folder (written once, when the first batch after it starts), so a batch
+    reads one folded folder and fewer than ``fold_every`` batch folders,
+    however long the stream has run."""
+    from ledgerlake.session import path_exists
+
+    def read(base: int, upto: int) -> DataFrame:
+        at = [(-1, f"{path}/folded/upto={base}")] if base else []
+        at += [(n, f"{path}/batch_id={n}") for n in range(base, upto)]
+        out = spark.createDataFrame([], schema).withColumn("__at", F.lit(-2))
+        for n, p in at:
+            if path_exists(spark, p):
+                out = out.unionByName(spark.read.schema(schema).parquet(p).withColumn("__at", F.lit(n)))
+        return out.groupBy(key).agg(F.max_by("total", "__at").alias("total"))
+
+    base = batch_id // fold_every * fold_every
+    for upto in range(fold_every, base + 1, fold_every):
+        done = f"{path}/folded/upto={upto}"
+        if upto == base and not path_exists(spark, f"{done}/_SUCCESS"):
+            read(upto - fold_every, upto).write.mode("overwrite").parquet(done)
+    return read(base, batch_id)
+
+
 def balance_after_sink(stream: DataFrame, key: str, order_by: Sequence[str], amount: str,
                        opening: DataFrame, opening_key: str, opening_balance: str,
                        path: str, checkpoint: str, available_now: bool = True):
@@ -141,36 +187,42 @@ def balance_after_sink(stream: DataFrame, key: str, order_by: Sequence[str], amo
     (what the live feed lacks and the latest-balance query reads).
 
     Each micro-batch: the batch's rows get the skew-safe running sum (W4);
-    each account starts from its total after the previous batches (a
-    per-batch totals changelog under ``path/totals``) or, the first time,
-    from its opening balance.  Rows go to ``path/rows/batch_id=n`` and new
-    totals to ``path/totals/batch_id=n``; a replayed batch ignores its own
-    earlier output and overwrites it, so the result is the same.  Events
-    are applied in arrival order across batches and in event order within
-    a batch."""
+    each account starts from its total after the previous batches
+    (``carried_totals``) or, the first time, from its opening balance.  Rows
+    go to ``path/rows/batch_id=n`` and new totals to
+    ``path/totals/batch_id=n``; a replayed batch ignores its own earlier
+    output and overwrites it, so the result is the same.  A NULL key is an
+    account of its own without an opening balance.
+
+    Events are applied in arrival order across batches and in event order
+    within a batch, so an event that arrives after later ones gets another
+    balance than W4 over the whole history gives it."""
+    from pyspark.sql import types as T
+
     from ledgerlake.operators.analytics import running_balance
     rows_path, totals_path = f"{path}/rows", f"{path}/totals"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        keys = batch.select(key).distinct()
-        base = opening.select(F.col(opening_key).alias(key), F.col(opening_balance).alias("__base"))
+        batch = batch.persist()
         try:
-            log = spark.read.parquet(totals_path).where(F.col("batch_id") != batch_id)
-            prev = (log.join(keys, key, "left_semi").groupBy(key)
-                    .agg(F.max_by("total", F.col("batch_id")).alias("__prev")))
-            base = (keys.join(base, key, "left").join(prev, key, "left")
-                    .select(key, F.coalesce("__prev", "__base", F.lit(0)).alias("__base")))
-        except Exception:  # first batch: nothing written yet
-            base = keys.join(base, key, "left").select(
-                key, F.coalesce("__base", F.lit(0)).alias("__base"))
-        run = running_balance(batch, key, order_by, amount, out_col="__in_batch")
-        rows = run.join(base, key, "left").withColumn(
-            "balance_after", F.col("__base") + F.col("__in_batch")).drop("__base", "__in_batch")
-        rows.write.mode("overwrite").parquet(f"{rows_path}/batch_id={batch_id}")
-        totals = (batch.groupBy(key).agg(F.sum(amount).alias("__sum")).join(base, key, "left")
-                  .select(key, (F.col("__base") + F.col("__sum")).alias("total")))
-        totals.write.mode("overwrite").parquet(f"{totals_path}/batch_id={batch_id}")
+            schema = T.StructType([batch.schema[key], T.StructField("total", batch.schema[amount].dataType)])
+            sums = batch.groupBy(F.col(key).alias("__k")).agg(F.coalesce(F.sum(amount), F.lit(0)).alias("__sum"))
+            prev = carried_totals(spark, totals_path, batch_id, key, schema).select(
+                F.col(key).alias("__pk"), F.col("total").alias("__prev"))
+            first = opening.select(F.col(opening_key).alias("__ok"), F.col(opening_balance).alias("__open"))
+            base = (sums.join(prev, F.col("__k").eqNullSafe(F.col("__pk")), "left")
+                    .join(first, F.col("__k") == F.col("__ok"), "left")
+                    .select("__k", "__sum", F.coalesce("__prev", "__open", F.lit(0)).alias("__base")))
+            run = running_balance(batch, key, order_by, amount, out_col="__in_batch")
+            rows = run.join(base, F.col(key).eqNullSafe(F.col("__k")), "left").withColumn(
+                "balance_after", F.col("__base") + F.col("__in_batch")).drop("__k", "__sum", "__base", "__in_batch")
+            rows.write.mode("overwrite").parquet(f"{rows_path}/batch_id={batch_id}")
+            totals = base.select(F.col("__k").alias(key),
+                                 (F.col("__base") + F.col("__sum")).cast(schema["total"].dataType).alias("total"))
+            totals.write.mode("overwrite").parquet(f"{totals_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = (stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(write_batch))

@@ -73,6 +73,7 @@ def card_rules() -> dict[str, Column]:
     """V8 and the fee/rate of the card type."""
     return {
         "cards.id": id_rule("card_id", "card"),
+        "cards.unknown_type": F.col("__name").isNull(),
         "cards.expiry": F.col("expiration_date") != F.date_add("issuance_date", S.CARD_VALID_DAYS),
         "cards.fee": F.col("monthly_fee") != F.col("__fee"),
         "cards.rate": F.abs(F.col("interest_rate").cast("double") - F.col("__rate")) > 1e-6,
@@ -89,6 +90,7 @@ def loan_rules() -> dict[str, Column]:
     lo, hi = S.LOAN_RATE_RANGE
     return {
         "loans.id": id_rule("loan_id", "loan"),
+        "loans.unknown_type": F.col("__lo").isNull(),
         "loans.term": not_in(F.col("term"), S.LOAN_TERMS),
         "loans.end_date": F.col("end_date") != F.date_add("start_date", F.col("term") * 30),
         "loans.rate": outside(F.col("interest_rate"), lo, hi),
@@ -148,50 +150,80 @@ def check_landing(spark: SparkSession, src: dict[str, DataFrame], as_of) -> Data
     ])
 
 
-def _leaf_paths(schema, prefix: str = ""):
-    """(dotted path, type) of every scalar field, arrays of scalars included."""
+def _fields(schema, prefix: str = ""):
+    """(dotted path, type) of every scalar field and array; structs are entered."""
     from pyspark.sql import types as T
     for f in schema.fields:
-        path = f"{prefix}{f.name}"
         if isinstance(f.dataType, T.StructType):
-            yield from _leaf_paths(f.dataType, path + ".")
-        elif isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, T.StructType):
-            yield path + "[*]", f.dataType.elementType
-        elif not isinstance(f.dataType, T.ArrayType):
-            yield path, f.dataType
+            yield from _fields(f.dataType, f"{prefix}{f.name}.")
+        else:
+            yield f"{prefix}{f.name}", f.dataType
+
+
+def _kind(value: Column) -> Column:
+    """Type of a JSON value: STRING, BIGINT, ..., VOID for null."""
+    return F.upper(F.schema_of_variant(value))
+
+
+def _misread(value: Column, dtype) -> Column:
+    """V2: a JSON value, there and not null, that isn't of the declared type.
+    Text must be text; integers (the validator's int) must fit 32 bits."""
+    from pyspark.sql import types as T
+    kind = _kind(value)
+    there = value.isNotNull() & (kind != "VOID")
+    as_text = F.try_variant_get(value, "$", "string")
+    if isinstance(dtype, T.StringType):
+        return there & (kind != "STRING")
+    if isinstance(dtype, T.TimestampType):
+        return there & F.try_to_timestamp(as_text).isNull()
+    if isinstance(dtype, (T.IntegerType, T.LongType)):
+        return there & as_text.try_cast("int").isNull()
+    return there & as_text.try_cast(dtype.simpleString()).isNull()
+
+
+def _items(doc: Column, path: str) -> Column:
+    return F.try_variant_get(doc, "$." + path, "array<variant>")
 
 
 def document_type_rules(json_col: str, collection: str) -> dict[str, Column]:
     """V2 on raw documents: a value present in the JSON text that does not
-    read as the field's declared type (``try_cast`` / ``try_to_timestamp``).
-    Array items are checked together: any item that fails counts."""
+    read as the field's declared type.  Items of an array are checked
+    together, each field of them: any item that fails counts."""
     from pyspark.sql import types as T
+    doc = F.try_parse_json(F.col(json_col))
     rules = {}
-    for path, dtype in _leaf_paths(S.DOCUMENTS[collection]):
-        raw = F.get_json_object(F.col(json_col), "$." + path)
-        if path.endswith("[*]"):
-            items = F.from_json(raw, "array<string>")
-            one = (lambda x: x.try_cast(dtype.simpleString()).isNull())
-            bad = raw.isNotNull() & F.exists(items, lambda x: x.isNotNull() & one(x))
-        elif isinstance(dtype, T.TimestampType):
-            bad = raw.isNotNull() & F.try_to_timestamp(raw).isNull()
-        elif isinstance(dtype, T.StringType):
-            continue
+    for path, dtype in _fields(S.DOCUMENTS[collection]):
+        if not isinstance(dtype, T.ArrayType):
+            rules[f"{collection}.type:{path}"] = _misread(F.try_variant_get(doc, "$." + path, "variant"), dtype)
+        elif isinstance(dtype.elementType, T.StructType):
+            for f in dtype.elementType.fields:
+                rules[f"{collection}.type:{path}[*].{f.name}"] = F.exists(
+                    _items(doc, path), lambda x, f=f: F.coalesce(_misread(F.try_variant_get(x, "$." + f.name, "variant"), f.dataType), F.lit(False)))
         else:
-            bad = raw.isNotNull() & raw.try_cast(dtype.simpleString()).isNull()
-        rules[f"{collection}.type:{path}"] = bad
+            rules[f"{collection}.type:{path}[*]"] = F.exists(
+                _items(doc, path), lambda x, t=dtype.elementType: F.coalesce(_misread(x, t), F.lit(False)))
     return rules
 
 
 def document_required_rules(json_col: str, collection: str) -> dict[str, Column]:
     """V1 on raw documents: a required field absent (or JSON null) in the
-    text; a nested one counts only when its parent is present."""
+    text; a nested one counts only when its parent is present, an item's when
+    any item lacks it."""
+    def absent(value: Column) -> Column:
+        return value.isNull() | (_kind(value) == "VOID")
+
+    doc = F.try_parse_json(F.col(json_col))
     rules = {}
     for p in S.REQUIRED_FIELDS[collection]:
-        bad = F.get_json_object(F.col(json_col), "$." + p).isNull()
+        array, star, field = p.partition("[*].")
+        if star:
+            rules[f"{collection}.required:{p}"] = F.exists(
+                _items(doc, array), lambda x, f=field: F.coalesce(absent(F.try_variant_get(x, "$." + f, "variant")), F.lit(True)))
+            continue
+        bad = F.coalesce(absent(F.try_variant_get(doc, "$." + p, "variant")), F.lit(True))
         if "." in p:
             parent = p.rsplit(".", 1)[0]
-            bad = F.get_json_object(F.col(json_col), "$." + parent).isNotNull() & bad
+            bad = ~F.coalesce(absent(F.try_variant_get(doc, "$." + parent, "variant")), F.lit(True)) & bad
         rules[f"{collection}.required:{p}"] = bad
     return rules
 

@@ -40,19 +40,28 @@ def union_counts(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str, relation: str
-               ) -> DataFrame:
-    """Rows of ``child`` whose non-NULL ``fk`` has no ``parent.pk``.
-
-    The child's keys are counted first (map-side partial aggregate), so a
-    hot key crosses the shuffle as one row per map task; the anti join then
-    runs on distinct keys.  Returns (relation, n_orphans)."""
-    keys = child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("__k")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    parents = parent.select(F.col(pk).alias("__p")).distinct()
-    orphans = keys.join(parents, keys["__k"] == parents["__p"], "left_anti")
-    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_orphans")
-                       ).select(F.lit(relation).alias("relation"), "n_orphans")
+def fk_orphans(child: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """Rows of ``child`` whose non-NULL key has no parent, one row
+    (relation, n_orphans) for each of ``relations`` (relation, fk, parent, pk).
+
+    One scan of the child: its keys are unrolled with the relation's number
+    and counted (a map-side partial aggregate, so a hot key crosses the
+    shuffle as one row per map task).  The parents' keys, tagged the same
+    way, are the right side of one anti join, which needs no distinct."""
+    keys = F.array(*[F.struct(F.lit(n).alias("r"), F.col(fk).cast("string").alias("k"))
+                     for n, (_, fk, _, _) in enumerate(relations)])
+    counted = (child.select(F.inline(keys)).where(F.col("k").isNotNull())
+               .groupBy("r", "k").agg(F.count(F.lit(1)).alias("n")))
+    parents = None
+    for n, (_, _, parent, pk) in enumerate(relations):
+        p = parent.select(F.lit(n).alias("r"), F.col(pk).cast("string").alias("k"))
+        parents = p if parents is None else parents.unionByName(p)
+    orphans = counted.join(parents, ["r", "k"], "left_anti")
+    wide = orphans.agg(*[F.coalesce(F.sum(F.when(F.col("r") == n, F.col("n"))), F.lit(0)).cast("bigint").alias(f"__r{n}")
+                         for n in range(len(relations))])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("relation"), F.col(f"__r{n}").alias("n_orphans"))
+        for n, (name, *_) in enumerate(relations)])))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

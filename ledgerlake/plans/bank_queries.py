@@ -80,6 +80,8 @@ from ledgerlake.plans.catalog.quality_queries import (  # noqa: F401
     loan_rules,
     payment_rules,
     allowed_values,
+    landing_rule_checks,
+    document_checks,
 )
 from ledgerlake.plans.catalog.scalar_queries import (  # noqa: F401
     date_parts,
@@ -225,5 +227,7 @@ QUERIES = {
     "stream_ingest_loans": stream_ingest_loans,
     "feed_shards": feed_shards,
     "round2": round2,
+    "landing_rule_checks": landing_rule_checks,
+    "document_checks": document_checks,
 }
 

@@ -7,36 +7,46 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
 from ledgerlake.functions import scalars as FX
-from ledgerlake.operators import quality
+from ledgerlake.operators import bank_rules, quality
 from ledgerlake.plans import roles as R
 from ledgerlake.sources.lookups import rows_frame
 from ledgerlake.sources.tables import Tables
-from ledgerlake.plans.catalog.common import orders_as_loans, loan_terms
+from ledgerlake.plans.catalog.common import loan_terms
 
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows whose foreign key has no parent, per relation."""
+    """Rows whose foreign key has no parent, per relation.  Parents are
+    those in good standing (``roles.PARENT_FILTERS``), so each relation has
+    orphans."""
     t = Tables(spark, sf_dir)
-    rels = [("orders.o_custkey->customer", t.orders, "o_custkey", t.customer, "c_custkey"),
-            ("lineitem.l_orderkey->orders", t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-            ("lineitem.l_partkey->part", t.lineitem, "l_partkey", t.part, "p_partkey"),
-            ("lineitem.l_suppkey->supplier", t.lineitem, "l_suppkey", t.supplier, "s_suppkey"),
-            ("customer.c_nationkey->nation", t.customer, "c_nationkey", t.nation, "n_nationkey"),
-            ("supplier.s_nationkey->nation", t.supplier, "s_nationkey", t.nation, "n_nationkey"),
-            ("nation.n_regionkey->region", t.nation, "n_regionkey", t.region, "r_regionkey"),
-            ("events.user_id->customer", t.events, "user_id", t.customer, "c_custkey")]
-    return quality.union_counts([quality.fk_orphans(c, fk, p, pk, name)
-                                 for name, c, fk, p, pk in rels])
+
+    def parent(name):
+        return t.read(name).where(R.PARENT_FILTERS[name])
+
+    def rel(child, fk, name, pk):
+        return (f"{child}.{fk}->{name}", fk, parent(name), pk)
+
+    children = [("orders", [("o_custkey", "customer", "c_custkey")]),
+                ("lineitem", [("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"),
+                              ("l_suppkey", "supplier", "s_suppkey")]),
+                ("customer", [("c_nationkey", "nation", "n_nationkey")]),
+                ("supplier", [("s_nationkey", "nation", "n_nationkey")]),
+                ("nation", [("n_regionkey", "region", "r_regionkey")]),
+                ("events", [("user_id", "customer", "c_custkey")])]
+    return quality.union_counts([quality.fk_orphans(t.read(c), [rel(c, *x) for x in rels])
+                                 for c, rels in children])
+
+
+def with_missing(t: Tables) -> dict[str, DataFrame]:
+    """customer, orders and events with the values that have no role in the
+    bank as missing ones."""
+    return {n: t.read(n).withColumns({c: F.expr(e) for c, e in R.MISSING[n].items()}) for n in R.MISSING}
 
 
 def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: missing required fields, per table and field."""
-    t = Tables(spark, sf_dir)
-    parts = [quality.rule_counts(t.read(n), quality.required_rules(cols, prefix=f"{n}."))
-             for n, cols in [("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]),
-                             ("orders", ["o_orderkey", "o_custkey", "o_orderdate",
-                                         "o_totalprice", "o_orderstatus"]),
-                             ("events", ["event_id", "user_id", "ts", "event_type", "value"])]]
+    parts = [quality.rule_counts(df, quality.required_rules(list(R.MISSING[n]), prefix=f"{n}."))
+             for n, df in with_missing(Tables(spark, sf_dir)).items()]
     return quality.union_counts(parts)
 
 
@@ -55,16 +65,15 @@ def type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3: id text patterns (prefix + fixed number of digits)."""
+    """V3: id text patterns (prefix + fixed number of digits) on ids that
+    were not padded."""
     t = Tables(spark, sf_dir)
-    c = t.customer.select("c_name", FX.format_id("CUS", "c_custkey", 7).alias("cus_id"))
-    r1 = quality.rule_counts(c, {"customer.c_name": quality.pattern_rule("c_name", r"^Customer#[0-9]{9}$"),
-                                 "customer.cus_id": quality.pattern_rule("cus_id", r"^CUS[0-9]{7}$")})
-    s = t.supplier.select("s_name")
-    r2 = quality.rule_counts(s, {"supplier.s_name": quality.pattern_rule("s_name", r"^Supplier#[0-9]{9}$")})
-    o = t.orders.select(FX.format_id("TXN", "o_orderkey", 10).alias("txn_id"))
-    r3 = quality.rule_counts(o, {"orders.txn_id": quality.pattern_rule("txn_id", r"^TXN[0-9]{10}$")})
-    return quality.union_counts([r1, r2, r3])
+    parts = []
+    for table, key, entity, times in (("customer", "c_custkey", "customer", 10_000), ("supplier", "s_suppkey", "branch", 50_000),
+                                      ("orders", "o_orderkey", "transaction", 1_000_000)):
+        raw = t.read(table).select(F.concat(F.lit(S.ID_PREFIXES[entity]), (F.col(key) * times).cast("string")).alias("id"))
+        parts.append(quality.rule_counts(raw, {f"{table}.{entity}_id": bank_rules.id_rule("id", entity)}))
+    return quality.union_counts(parts)
 
 
 def amount_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,20 +87,24 @@ def amount_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amount_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: sign of the amount against its type (transfers take either)."""
+    """V5: sign of the amount against its type (transfers take either).  The
+    amount is the event's value over a fixed fee, as the feed gives it: its
+    sign doesn't come from the type."""
     e = R.signed_events(spark, Tables(spark, sf_dir))
-    bad = (((F.col("sign") < 0) & (F.col("amount_cents") > 0))
-           | ((F.col("sign") > 0) & (F.col("amount_cents") < 0)))
+    raw = F.abs(F.col("amount_cents")) - R.EVENT_FEE_CENTS
+    bad = ((F.col("sign") < 0) & (raw > 0)) | ((F.col("sign") > 0) & (raw < 0))
     return e.groupBy("transaction_type").agg(F.count_if(bad).alias("n_bad"))
 
 
 def balance_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V6: balance outside its segment's range or under its minimum."""
+    """V6: balance outside its segment's range or under its minimum; a
+    segment without a rule is a finding of its own."""
     c = Tables(spark, sf_dir).customer
     rules = rows_frame(spark, R.SEGMENT_BALANCE_RULES,
                        "c_mktsegment string, lo double, hi double, min_balance double")
-    j = c.join(F.broadcast(rules), "c_mktsegment", "inner")
+    j = c.join(F.broadcast(rules), "c_mktsegment", "left")
     return j.groupBy("c_mktsegment").agg(
+        F.count_if(F.col("lo").isNull()).alias("n_unknown_segment"),
         F.count_if(quality.outside(F.col("c_acctbal"), F.col("lo"), F.col("hi"))).alias("n_out_of_range"),
         F.count_if(F.col("c_acctbal") < F.col("min_balance")).alias("n_under_minimum"))
 
@@ -117,32 +130,37 @@ def date_add(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loan_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V9: term in the allowed set; amount within its loan type's range."""
+    """V9: term in the allowed set; amount within its loan type's range; a
+    loan of unknown type or without a term is a finding, not left out."""
     t = Tables(spark, sf_dir)
-    loans = orders_as_loans(spark, t)
-    terms = loan_terms(t)
-    j = loans.join(terms, loans["o_orderkey"] == terms["l_orderkey"], "inner")
+    prio = rows_frame(spark, R.ORDER_PRIORITY_ROLES, "o_orderpriority string, loan_type_id int")
     ranges = rows_frame(spark, R.ORDER_AMOUNT_RULES, "loan_type_id int, lo double, hi double")
-    j = j.join(F.broadcast(ranges), "loan_type_id", "inner")
+    terms = loan_terms(t)
+    j = t.orders.join(F.broadcast(prio), "o_orderpriority", "left").join(F.broadcast(ranges), "loan_type_id", "left")
+    j = j.join(terms, j["o_orderkey"] == terms["l_orderkey"], "left")
     return quality.rule_counts(j, {
+        "unknown_type": F.col("lo").isNull(),
+        "no_term": F.col("term").isNull(),
         "term_not_allowed": quality.not_in(F.col("term"), S.LOAN_TERMS),
         "amount_out_of_range": quality.outside(F.col("o_totalprice"), F.col("lo"), F.col("hi")),
     })
 
 
 def payment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payment against its loan -- ratio to the instalment, paid before
-    the loan starts, paid in the future."""
+    """Payment against its loan (orders not yet finished) -- unknown
+    loan, ratio to the instalment, paid before the loan starts, paid in the
+    future."""
     t = Tables(spark, sf_dir)
     terms = loan_terms(t)
-    loans = t.orders.join(terms, F.col("o_orderkey") == F.col("l_orderkey"), "inner").select(
+    loans = t.orders.where("o_orderstatus <> 'F'").join(terms, F.col("o_orderkey") == F.col("l_orderkey"), "inner").select(
         "o_orderkey", "o_orderdate",
         FX.monthly_installment("o_totalprice", "term").alias("installment"))
     p = t.lineitem.select("l_orderkey", "l_extendedprice", "l_shipdate")
-    j = p.join(loans, p["l_orderkey"] == loans["o_orderkey"], "inner")
+    j = p.join(loans, p["l_orderkey"] == loans["o_orderkey"], "left")
     ratio = F.col("l_extendedprice") / F.col("installment")
     lo, hi = S.PAYMENT_RATIO
     return quality.rule_counts(j, {
+        "unknown_loan": F.col("o_orderkey").isNull(),
         "payment_ratio": quality.outside(ratio, lo, hi),
         "paid_before_start": F.col("l_shipdate") < F.col("o_orderdate"),
         "paid_in_future": F.col("l_shipdate") > F.lit(R.LINEITEM_AS_OF).cast("timestamp_ntz"),
@@ -150,16 +168,34 @@ def payment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values outside their allowed sets."""
+    """Values outside their allowed sets (``roles.ALLOWED``)."""
     t = Tables(spark, sf_dir)
-    parts = [
-        quality.rule_counts(t.orders, {"orders.o_orderstatus": quality.not_in(F.col("o_orderstatus"), ["F", "O", "P"])}),
-        quality.rule_counts(t.customer, {"customer.c_mktsegment": quality.not_in(
-            F.col("c_mktsegment"), [s for s, *_ in R.SEGMENT_BALANCE_RULES])}),
-        quality.rule_counts(t.lineitem, {
-            "lineitem.l_returnflag": quality.not_in(F.col("l_returnflag"), ["A", "N", "R"]),
-            "lineitem.l_linestatus": quality.not_in(F.col("l_linestatus"), ["F", "O"])}),
-        quality.rule_counts(t.events, {"events.event_type": quality.not_in(
-            F.col("event_type"), [r[0] for r in R.EVENT_ROLES])}),
-    ]
-    return quality.union_counts(parts)
+    return quality.union_counts([
+        quality.rule_counts(t.read(n), {f"{n}.{c}": quality.not_in(F.col(c), allowed) for c, allowed in cols.items()})
+        for n, cols in R.ALLOWED.items()])
+
+
+def landing_rule_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule set of the bank over the driver's tables in
+    landing shape (``roles.raw_landing``), whose values break each rule."""
+    return bank_rules.check_landing(spark, R.raw_landing(Tables(spark, sf_dir)), R.LINEITEM_AS_OF)
+
+
+def document_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 + V2 + K11 on raw documents: events written as JSON documents of the
+    transactions collection, some with a fault that depends on the event
+    (amount as text, no payment method, numeric customer id, an account id
+    beyond 32 bits, no date), read back as text and checked."""
+    from ledgerlake.session import scratch_path
+    e = Tables(spark, sf_dir).events
+    n = F.col("event_id")
+    text = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    fields = [("_id", text(n)), ("customer_id", F.when(n % 10 == 0, F.col("user_id").cast("string")).otherwise(text(F.col("user_id")))),
+              ("account_id", F.when(n % 11 == 0, F.lit("3000000000")).otherwise(F.col("user_id").cast("string"))),
+              ("date", F.when(n % 13 != 0, text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")))),
+              ("amount", F.when(F.col("event_type") == "error", F.lit('"a lot"')).otherwise(F.col("value").cast("string"))),
+              ("type", text(F.col("event_type"))), ("payment_method", F.when(F.col("event_type") != "click", F.lit('"card"')))]
+    body = F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in fields])  # null fields are left out
+    path = scratch_path(spark, "documents")
+    e.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value")).write.text(path)
+    return bank_rules.check_documents({"transactions": spark.read.text(path)})

@@ -352,20 +352,13 @@ ORACLE_SQL = {
         SELECT o_custkey AS customer_id, o_orderdate AS date, count(*) AS n
         FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""",
     "fk_orphans": " UNION ALL ".join([
-        _fk("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
-        _fk("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
-        _fk("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey"),
-        _fk("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
-        _fk("customer.c_nationkey->nation", "customer", "c_nationkey", "nation", "n_nationkey"),
-        _fk("supplier.s_nationkey->nation", "supplier", "s_nationkey", "nation", "n_nationkey"),
-        _fk("nation.n_regionkey->region", "nation", "n_regionkey", "region", "r_regionkey"),
-        _fk("events.user_id->customer", "events", "user_id", "customer", "c_custkey")]),
+        _fk(f"{c}.{fk}->{p}", c, fk, f"(SELECT * FROM {p} WHERE {R.PARENT_FILTERS[p]})", pk) for c, fk, p, pk in [
+            ("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"), ("events", "user_id", "customer", "c_custkey")]]),
     "required_fields": " UNION ALL ".join(
-        _rule_union(t, [(f"{t}.required:{c}", f"{c} IS NULL") for c in cols])
-        for t, cols in [("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]),
-                        ("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
-                                    "o_orderstatus"]),
-                        ("events", ["event_id", "user_id", "ts", "event_type", "value"])]),
+        _rule_union(t, [(f"{t}.required:{c}", f"({e}) IS NULL") for c, e in cols.items()]) for t, cols in R.MISSING.items()),
     "type_check": " UNION ALL ".join([
         _rule_union("(SELECT json_extract_string(props, '$.k') AS props_k, CAST(value AS VARCHAR) AS value_text FROM events)",
                     [("events.type:props_k:int", "props_k IS NOT NULL AND TRY_CAST(props_k AS INTEGER) IS NULL"),
@@ -373,12 +366,10 @@ ORACLE_SQL = {
         _rule_union("(SELECT c_name, CAST(c_acctbal AS VARCHAR) AS bal FROM customer)",
                     [("customer.type:c_name:bigint", "c_name IS NOT NULL AND TRY_CAST(c_name AS BIGINT) IS NULL"),
                      ("customer.type:bal:double", "bal IS NOT NULL AND TRY_CAST(bal AS DOUBLE) IS NULL")])]),
-    "id_pattern": " UNION ALL ".join([
-        _rule_union("customer", [
-            ("customer.c_name", "NOT regexp_full_match(c_name, 'Customer#[0-9]{9}')"),
-            ("customer.cus_id", "NOT regexp_full_match(printf('CUS%07d', c_custkey), 'CUS[0-9]{7}')")]),
-        _rule_union("supplier", [("supplier.s_name", "NOT regexp_full_match(s_name, 'Supplier#[0-9]{9}')")]),
-        _rule_union("orders", [("orders.txn_id", "NOT regexp_full_match(printf('TXN%010d', o_orderkey), 'TXN[0-9]{10}')")])]),
+    "id_pattern": " UNION ALL ".join(
+        _rule_union(t, [(f"{t}.{n}_id", f"NOT regexp_matches('{p}' || CAST({k} * {x} AS VARCHAR), '^{p}[0-9]{{{w}}}$')")])
+        for t, k, n, p, x, w in [("customer", "c_custkey", "customer", "CUS", 10_000, 7), ("supplier", "s_suppkey", "branch", "BRA", 50_000, 7),
+                                 ("orders", "o_orderkey", "transaction", "TXN", 1_000_000, 10)]),
     "amount_range": f"""
         WITH {SE_CTE}, {values('rules', 'transaction_type_id, lo, hi', R.EVENT_AMOUNT_RULES)}
         SELECT transaction_type,
@@ -389,14 +380,14 @@ ORACLE_SQL = {
     "amount_sign": f"""
         WITH {SE_CTE}
         SELECT transaction_type,
-               count(*) FILTER (WHERE (sign < 0 AND amount_cents > 0) OR (sign > 0 AND amount_cents < 0)) AS n_bad
-        FROM se GROUP BY transaction_type""",
+               count(*) FILTER (WHERE (sign < 0 AND raw > 0) OR (sign > 0 AND raw < 0)) AS n_bad
+        FROM (SELECT *, abs(amount_cents) - {R.EVENT_FEE_CENTS} AS raw FROM se) GROUP BY transaction_type""",
     "balance_range": f"""
         WITH {values('rules', 'c_mktsegment, lo, hi, min_balance', R.SEGMENT_BALANCE_RULES)}
-        SELECT c.c_mktsegment,
+        SELECT c.c_mktsegment, count(*) FILTER (WHERE r.lo IS NULL) AS n_unknown_segment,
                count(*) FILTER (WHERE NOT (c.c_acctbal BETWEEN r.lo AND r.hi)) AS n_out_of_range,
                count(*) FILTER (WHERE c.c_acctbal < r.min_balance) AS n_under_minimum
-        FROM customer c JOIN rules r ON c.c_mktsegment = r.c_mktsegment
+        FROM customer c LEFT JOIN rules r ON c.c_mktsegment = r.c_mktsegment
         GROUP BY c.c_mktsegment""",
     "date_order": _rule_union(
         "(SELECT l.l_shipdate, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)",
@@ -409,30 +400,26 @@ ORACLE_SQL = {
         FROM orders""",
     "loan_rules": f"""
         WITH {LOANS_CTE}, {values('ranges', 'loan_type_id, lo, hi', R.ORDER_AMOUNT_RULES)},
-        j AS (SELECT l.o_totalprice, t.term, r.lo, r.hi FROM loans l
-              JOIN terms t ON l.o_orderkey = t.l_orderkey
-              JOIN ranges r ON l.loan_type_id = r.loan_type_id)
+        j AS (SELECT o.o_totalprice, t.term, r.lo, r.hi FROM orders o LEFT JOIN prio p ON o.o_orderpriority = p.code
+              LEFT JOIN ranges r ON p.id = r.loan_type_id LEFT JOIN terms t ON o.o_orderkey = t.l_orderkey)
         """ + _rule_union("j", [
+        ("unknown_type", "lo IS NULL"), ("no_term", "term IS NULL"),
         ("term_not_allowed", f"term NOT IN ({', '.join(map(str, S.LOAN_TERMS))})"),
         ("amount_out_of_range", "NOT (o_totalprice BETWEEN lo AND hi)")]),
     "payment_rules": f"""
         WITH {LOANS_CTE},
         ln AS (SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice / t.term AS installment
-               FROM orders o JOIN terms t ON o.o_orderkey = t.l_orderkey),
-        j AS (SELECT l.l_extendedprice, l.l_shipdate, ln.o_orderdate, ln.installment
-              FROM lineitem l JOIN ln ON l.l_orderkey = ln.o_orderkey)
+               FROM orders o JOIN terms t ON o.o_orderkey = t.l_orderkey WHERE o.o_orderstatus <> 'F'),
+        j AS (SELECT l.l_extendedprice, l.l_shipdate, ln.o_orderkey, ln.o_orderdate, ln.installment
+              FROM lineitem l LEFT JOIN ln ON l.l_orderkey = ln.o_orderkey)
         """ + _rule_union("j", [
+        ("unknown_loan", "o_orderkey IS NULL"),
         ("payment_ratio", f"NOT (l_extendedprice / installment BETWEEN CAST({S.PAYMENT_RATIO[0]} AS DOUBLE) AND CAST({S.PAYMENT_RATIO[1]} AS DOUBLE))"),
         ("paid_before_start", "l_shipdate < o_orderdate"),
         ("paid_in_future", f"l_shipdate > TIMESTAMP '{R.LINEITEM_AS_OF}'")]),
-    "allowed_values": " UNION ALL ".join([
-        _rule_union("orders", [("orders.o_orderstatus", "o_orderstatus NOT IN ('F', 'O', 'P')")]),
-        _rule_union("customer", [("customer.c_mktsegment", "c_mktsegment NOT IN (" + ", ".join(
-            _lit(s) for s, *_ in R.SEGMENT_BALANCE_RULES) + ")")]),
-        _rule_union("lineitem", [("lineitem.l_returnflag", "l_returnflag NOT IN ('A', 'N', 'R')"),
-                                 ("lineitem.l_linestatus", "l_linestatus NOT IN ('F', 'O')")]),
-        _rule_union("events", [("events.event_type", "event_type NOT IN (" + ", ".join(
-            _lit(r[0]) for r in R.EVENT_ROLES) + ")")])]),
+    "allowed_values": " UNION ALL ".join(
+        _rule_union(t, [(f"{t}.{c}", f"{c} NOT IN ({', '.join(map(_lit, allowed))})") for c, allowed in cols.items()])
+        for t, cols in R.ALLOWED.items()),
     "date_parts": """
         SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
                CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day
@@ -664,3 +651,68 @@ ORACLE_SQL |= {
                      CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) AS v
               FROM lineitem)""",
 }
+
+
+def _raw(name: str) -> str:
+    """A table of ``roles.RAW_LANDING`` in SQL."""
+    table, cols = R.RAW_LANDING[name]
+    return f"(SELECT {', '.join(f'{e} AS {c}' for c, e in cols.items())} FROM {table})"
+
+
+def _id(col: str, entity: str) -> str:
+    w = S.TRANSACTION_ID_WIDTH if entity == "transaction" else S.ID_WIDTH
+    return f"NOT regexp_matches({col}, '^{S.ID_PREFIXES[entity]}[0-9]{{{w}}}$')"
+
+
+_NAMES = {i: n for i, n in S.ACCOUNT_TYPES}
+_ACCOUNT_LIMITS = [(i, *r[1:]) for i, n in S.ACCOUNT_TYPES for r in S.ACCOUNT_BALANCE_RULES if r[0] == n]
+_CURRENCY = f"currency NOT IN ({_lit(S.CURRENCY)})"
+
+# V3-V11, P15 and V1, V2 on documents
+ORACLE_SQL |= {
+    "landing_rule_checks": "WITH " + ", ".join([
+        values("al", "t, lo, hi, least", _ACCOUNT_LIMITS), values("tl", "t, lo, hi, sign", S.TRANSACTION_AMOUNT_RULES),
+        values("ct", "t, name, fee, rate", S.CARD_TYPES), values("ll", "t, lo, hi", S.LOAN_AMOUNT_RULES),
+        f"a AS (SELECT * FROM {_raw('accounts')} x LEFT JOIN al ON x.type = al.t)",
+        f"t AS (SELECT * FROM {_raw('transactions')} x LEFT JOIN tl ON x.type = tl.t)",
+        f"c AS (SELECT * FROM {_raw('cards')} x LEFT JOIN ct ON x.card_type_id = ct.t)",
+        f"l AS (SELECT * FROM {_raw('loans')} x LEFT JOIN ll ON x.loan_type_id = ll.t)",
+        f"""p AS (SELECT x.*, y.loan_id AS known, y.start_date, y.end_date, CAST(y.amount AS DOUBLE) / y.term AS inst
+              FROM {_raw('loan_payments')} x LEFT JOIN {_raw('loans')} y ON x.loan_id = y.loan_id)"""]) + " " + " UNION ALL ".join([
+        _rule_union("a", [
+            ("accounts.id", _id("account_id", "account")), ("accounts.unknown_type", "t IS NULL"),
+            ("accounts.balance_range", "NOT (balance BETWEEN lo AND hi)"), ("accounts.min_balance", "min_balance <> least"),
+            ("accounts.closed_before_opened", "date_closed < date_opened"), ("accounts.currency", _CURRENCY)]),
+        _rule_union("t", [
+            ("transactions.id", _id("transaction_id", "transaction")), ("transactions.unknown_type", "sign IS NULL"),
+            ("transactions.amount_range", "NOT (abs(amount) BETWEEN lo AND hi)"),
+            ("transactions.sign", "(sign < 0 AND amount > 0 AND type <> 2) OR (sign > 0 AND amount < 0)"),
+            ("transactions.overdraft_flip", "type = 2 AND amount > 0"),
+            ("transactions.receiver_not_transfer", "receiver_account_id IS NOT NULL AND type <> 3"), ("transactions.currency", _CURRENCY)]),
+        _rule_union("c", [
+            ("cards.id", _id("card_id", "card")), ("cards.unknown_type", "name IS NULL"),
+            ("cards.expiry", f"expiration_date <> issuance_date + {S.CARD_VALID_DAYS}"),
+            ("cards.fee", "monthly_fee <> fee"), ("cards.rate", "abs(interest_rate - rate) > 1e-6")]),
+        _rule_union("l", [
+            ("loans.id", _id("loan_id", "loan")), ("loans.unknown_type", "t IS NULL"),
+            ("loans.term", f"term NOT IN ({', '.join(map(str, S.LOAN_TERMS))})"), ("loans.end_date", "end_date <> start_date + term * 30"),
+            ("loans.rate", f"NOT (interest_rate BETWEEN {S.LOAN_RATE_RANGE[0]} AND {S.LOAN_RATE_RANGE[1]})"),
+            ("loans.amount_range", "NOT (amount BETWEEN lo AND hi)"), ("loans.currency", _CURRENCY)]),
+        _rule_union("p", [
+            ("payments.id", _id("payment_id", "payment")), ("payments.unknown_loan", "known IS NULL"),
+            ("payments.amount_vs_instalment", f"NOT (payment_amount BETWEEN inst * CAST({S.PAYMENT_RATIO[0]} AS DOUBLE) - 0.5 AND inst * CAST({S.PAYMENT_RATIO[1]} AS DOUBLE) + 0.5)"),
+            ("payments.principal_share", f"NOT (principal_amount BETWEEN payment_amount * CAST({S.PRINCIPAL_RATIO[0]} AS DOUBLE) - 0.5 AND payment_amount * CAST({S.PRINCIPAL_RATIO[1]} AS DOUBLE) + 0.5)"),
+            ("payments.paid_amount", "paid_amount <> payment_amount"), ("payments.paid_date", "paid_date <> payment_date"),
+            ("payments.lateness", f"NOT (payment_date - scheduled_payment_date BETWEEN -{S.PAYMENT_EARLY_DAYS} AND {S.PAYMENT_LATE_DAYS})"),
+            ("payments.scheduled_outside_loan", "NOT (scheduled_payment_date BETWEEN start_date AND end_date)"),
+            ("payments.in_future", f"payment_date > DATE '{R.LINEITEM_AS_OF}'")]),
+        _rule_union(_raw("customers") + " u", [
+            ("customers.id", _id("customer_id", "customer")), ("customers.country", f"country NOT IN ({_lit(S.COUNTRY)})"),
+            ("customers.city", f"city NOT IN ({', '.join(map(_lit, S.CITIES))})")])]),
+    "document_checks": _rule_union("events", [
+        (f"transactions.required:{f}", {"date": "event_id % 13 = 0", "payment_method": "event_type = 'click'"}.get(f, "false"))
+        for f in S.REQUIRED_FIELDS["transactions"]] + [
+        (f"transactions.type:{f}", {"customer_id": "event_id % 10 = 0", "account_id": "event_id % 11 = 0",
+                                    "amount": "event_type = 'error'"}.get(f, "false"))
+        for f in S.DOCUMENTS["transactions"].names]),
+}

@@ -197,5 +197,9 @@ REQUIRED_FIELDS = {
                   "financial_health_score.overall_score", "financial_health_score.breakdown",
                   "financial_health_score.debt_to_income_ratio",
                   "financial_health_score.savings_rate", "financial_health_score.liquidity_ratio",
-                  "financial_health_score.risk_category"],
+                  "financial_health_score.risk_category",
+                  *[f"transaction_analytics.spending_patterns.by_type[*].{f}" for f in ("type", "count", "amount", "percentage")],
+                  *[f"transaction_analytics.spending_patterns.by_channel.{f}" for f in ("branch", "atm", "online")],
+                  *[f"financial_health_score.breakdown.{f}" for f in ("payment_history", "account_balance", "credit_utilization",
+                                                                     "relationship_depth")]],
 }

@@ -181,6 +181,13 @@ def _misread(value: Column, dtype) -> Column:
     return there & as_text.try_cast(dtype.simpleString()).isNull()
 
 
+def _bad_item(dtype, field: str | None = None):
+    """Whether an array's item, or a field of it, isn't of the declared type."""
+    def bad(x: Column) -> Column:
+        return F.coalesce(_misread(F.try_variant_get(x, f"$.{field}", "variant") if field else x, dtype), F.lit(False))
+    return bad
+
+
 def _items(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, "$." + path, "array<variant>")
 
@@ -197,11 +204,9 @@ def document_type_rules(json_col: str, collection: str) -> dict[str, Column]:
             rules[f"{collection}.type:{path}"] = _misread(F.try_variant_get(doc, "$." + path, "variant"), dtype)
         elif isinstance(dtype.elementType, T.StructType):
             for f in dtype.elementType.fields:
-                rules[f"{collection}.type:{path}[*].{f.name}"] = F.exists(
-                    _items(doc, path), lambda x, f=f: F.coalesce(_misread(F.try_variant_get(x, "$." + f.name, "variant"), f.dataType), F.lit(False)))
+                rules[f"{collection}.type:{path}[*].{f.name}"] = F.exists(_items(doc, path), _bad_item(f.dataType, f.name))
         else:
-            rules[f"{collection}.type:{path}[*]"] = F.exists(
-                _items(doc, path), lambda x, t=dtype.elementType: F.coalesce(_misread(x, t), F.lit(False)))
+            rules[f"{collection}.type:{path}[*]"] = F.exists(_items(doc, path), _bad_item(dtype.elementType))
     return rules
 
 
@@ -210,20 +215,21 @@ def document_required_rules(json_col: str, collection: str) -> dict[str, Column]
     text; a nested one counts only when its parent is present, an item's when
     any item lacks it."""
     def absent(value: Column) -> Column:
-        return value.isNull() | (_kind(value) == "VOID")
+        return F.coalesce(value.isNull() | (_kind(value) == "VOID"), F.lit(True))
+
+    def without(field: str):
+        return lambda x: absent(F.try_variant_get(x, f"$.{field}", "variant"))
 
     doc = F.try_parse_json(F.col(json_col))
     rules = {}
     for p in S.REQUIRED_FIELDS[collection]:
         array, star, field = p.partition("[*].")
         if star:
-            rules[f"{collection}.required:{p}"] = F.exists(
-                _items(doc, array), lambda x, f=field: F.coalesce(absent(F.try_variant_get(x, "$." + f, "variant")), F.lit(True)))
+            rules[f"{collection}.required:{p}"] = F.exists(_items(doc, array), without(field))
             continue
-        bad = F.coalesce(absent(F.try_variant_get(doc, "$." + p, "variant")), F.lit(True))
+        bad = without(p)(doc)
         if "." in p:
-            parent = p.rsplit(".", 1)[0]
-            bad = ~F.coalesce(absent(F.try_variant_get(doc, "$." + parent, "variant")), F.lit(True)) & bad
+            bad = ~without(p.rsplit(".", 1)[0])(doc) & bad
         rules[f"{collection}.required:{p}"] = bad
     return rules
 

@@ -58,6 +58,7 @@ from ledgerlake.plans.catalog.customer_queries import (  # noqa: F401
     customer360_tx_chunks,
     id_array_lookup,
     analytics_documents,
+    customer360_documents,
 )
 from ledgerlake.plans.catalog.analytics_queries import (  # noqa: F401
     customer_analytics,
@@ -229,5 +230,6 @@ QUERIES = {
     "round2": round2,
     "landing_rule_checks": landing_rule_checks,
     "document_checks": document_checks,
+    "customer360_documents": customer360_documents,
 }
 

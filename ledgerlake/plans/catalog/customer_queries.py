@@ -88,18 +88,22 @@ def customer360_one(spark: SparkSession, sf_dir: str, customer_id: int = CUSTOME
 
 def customer360_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B17 at population scale: every customer's document summarised --
-    loan count and total, transaction count and total, newest event.  The
-    child summaries are partial aggregates (one row per customer leaves
-    each map task), joined to the customers; nothing is collected per key."""
+    loan count and total, transaction count and total, newest event.  Counts
+    and sums are hash aggregates (one row per customer leaves each map
+    task); the newest event is found by rank, limited on both sides of the
+    shuffle; nothing is collected per key."""
+    from ledgerlake.operators import latest
     t = Tables(spark, sf_dir)
     cust = t.customer.select("c_custkey", "c_name")
     loans = t.orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_loans"), F.sum(R.cents("o_totalprice")).alias("loans_total_cents"))
     txs = t.events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_transactions"), F.sum(R.cents("value")).alias("tx_total_cents"),
-        F.max_by("event_id", F.struct("ts", "event_id")).alias("latest_event_id"))
+        F.count(F.lit(1)).alias("n_transactions"), F.sum(R.cents("value")).alias("tx_total_cents"))
+    newest = latest.latest_by_rank(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"]).select(
+        F.col("user_id").alias("n_user"), F.col("event_id").alias("latest_event_id"))
     doc = cust.join(loans, cust["c_custkey"] == loans["o_custkey"], "left").drop("o_custkey")
     doc = doc.join(txs, doc["c_custkey"] == txs["user_id"], "left").drop("user_id")
+    doc = doc.join(newest, doc["c_custkey"] == newest["n_user"], "left").drop("n_user")
     return doc.select("c_custkey", "c_name",
                       F.coalesce("n_loans", F.lit(0)).alias("n_loans"),
                       F.coalesce("loans_total_cents", F.lit(0)).alias("loans_total_cents"),
@@ -108,6 +112,37 @@ def customer360_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "latest_event_id")
 
 
+def customer360_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B17 + K10 + J9 + J11: the whole document of every customer (without
+    the transactions, which a population run keeps as rows) as JSON text,
+    with some of its fields read back from the text.  A customer holds an
+    account, up to two cards and up to two loans, by id arrays of fixed
+    length in which ids repeat or dangle."""
+    from ledgerlake.functions.scalars import mask_account
+    from ledgerlake.plans import customer360 as C
+    t = Tables(spark, sf_dir)
+    k = F.col("c_custkey")
+    key = lambda c: F.concat(F.lit("CUST_"), c.cast("string"))
+    customers = t.customer.select(
+        key(k).alias("_id"), F.struct(F.col("c_name").alias("name")).alias("personal_info"), F.array(k).alias("accounts"),
+        F.array(k % 100 + 1, k % 7 + 1).alias("cards"), F.array(k + 1, k * 20).alias("loans"), F.col("c_mktsegment").alias("primary_branch"))
+    accounts = t.customer.select(k.alias("_id"), mask_account("c_name").alias("account_number"), F.col("c_acctbal").alias("balance"))
+    cards = t.part.select(F.col("p_partkey").alias("_id"), F.col("p_type").alias("card_type"))
+    loans = t.orders.select(F.col("o_orderkey").alias("_id"), F.col("o_orderpriority").alias("loan_type"), F.col("o_totalprice").alias("original_amount"))
+    e = events_in_period(spark, sf_dir).withColumns({"amount": F.col("amount_cents") / 100.0, "customer": key(F.col("user_id"))})
+    analytics = C.analytics_documents(e, "customer", "transaction_type", "channel", "amount", as_of=R.EVENTS_AS_OF)
+    tx = e.select(F.col("event_id").alias("_id"), F.col("customer").alias("customer_id"), F.col("ts").alias("date"))
+    docs, _rows = C.assemble(customers, accounts, cards, loans, tx, analytics)
+    json = lambda path: F.get_json_object("json", "$." + path)
+    size = lambda path: F.size(F.from_json(json(path), "array<string>"))
+    return C.to_json_documents(docs).select(
+        F.col("_id").alias("customer_id"), json("personal_info.name").alias("name"), json("accounts[0].account_number").alias("account_number"),
+        size("cards").alias("n_cards"), size("loans").alias("n_loans"), json("loans[0]._id").cast("bigint").alias("first_loan"),
+        json("analytics._id").alias("analytics_id"),
+        json("analytics.transaction_analytics.total_transactions").cast("int").alias("total_transactions"),
+        json("analytics.transaction_analytics.total_inflow").cast("double").alias("total_inflow"))
+
+
 def analytics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5-A7 as documents + K11 + S11 + J11: the analytics collection built
     from the period's transactions, written as JSON documents, read back

@@ -31,7 +31,7 @@ def main():
     rows = [(i, i % 5 if i % 3 else 0, i * 3 % 7 - 3) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, k long, amt long").repartition(3)
     flaky = df.where(fail_first_attempt(F.col("id")))
-    seq = sorted((r["id"], r["seq"]) for r in analytics.sequence_ids(flaky, ["id"], num_partitions=4).collect())
+    seq = sorted((r["id"], r["seq"]) for r in analytics.sequence_ids(flaky, ["id"]).collect())
     assert seq == [(i, i + 1) for i in range(3000)], "sequence ids"
     run = {r["id"]: r["rb"] for r in analytics.running_balance_ranges(
         flaky.withColumn("ts", F.lit(0)), "k", ["ts", "id"], "amt", out_col="rb").collect()}

@@ -28,13 +28,13 @@ def _docs(spark, frames, cid=None):
 
 
 def test_golden_document(spark):
-    docs = _docs(spark, _frames(spark), "CUST_12345")
-    assert docs["CUST_12345"] == FX.EXPECTED
+    docs = _docs(spark, _frames(spark), FX.CUSTOMER_ID)
+    assert docs[FX.CUSTOMER_ID] == FX.EXPECTED
 
 
 def test_golden_document_without_filter(spark):
     docs = _docs(spark, _frames(spark))
-    assert docs == {"CUST_12345": FX.EXPECTED}
+    assert docs == {FX.CUSTOMER_ID: FX.EXPECTED}
 
 
 def test_unknown_id_gives_no_rows(spark):
@@ -51,23 +51,22 @@ def test_customer_without_children(spark):
 
 
 def test_repeated_and_dangling_ids(spark):
-    c = dict(FX.CUSTOMERS[0], accounts=[1002, 1001, 1002, 9999])
+    c = dict(FX.CUSTOMERS[0], accounts=[9, 8, 9, 77])
     docs = _docs(spark, _frames(spark, customers=[c]))
-    assert [a["_id"] for a in docs["CUST_12345"]["accounts"]] == [1001, 1002]
+    assert [a["_id"] for a in docs[FX.CUSTOMER_ID]["accounts"]] == [8, 9]
 
 
 def test_newest_analytics_wins(spark):
-    older = dict(FX.ANALYTICS[0], _id="CUST_12345_202505", last_updated=datetime(2025, 5, 1))
-    newer = dict(FX.ANALYTICS[0], _id="CUST_12345_202507", period="newer",
-                 last_updated=datetime(2025, 7, 1))
-    docs = _docs(spark, _frames(spark, an=[older, FX.ANALYTICS[0], newer]))
-    assert docs["CUST_12345"]["analytics"]["_id"] == "CUST_12345_202507"
+    older = FX.analytics(1, 10)
+    newer = dict(FX.ANALYTICS[0], _id="newest", last_updated=datetime(2031, 7, 1))
+    docs = _docs(spark, _frames(spark, an=[older, newer, *FX.ANALYTICS]))
+    assert docs[FX.CUSTOMER_ID]["analytics"]["_id"] == "newest"
 
 
 def test_rows_mode_keeps_transactions_apart(spark):
     docs, tx = C.assemble(*_frames(spark))          # population run: rows by default
     assert "transactions" not in docs.columns
-    assert tx.count() == 2
+    assert tx.count() == 3
 
 
 def test_document_checks_required_and_types(spark):
@@ -80,7 +79,7 @@ def test_document_checks_required_and_types(spark):
     bad_cust = FX._jsonable(FX.CUSTOMERS[0])
     bad_cust["personal_info"] = dict(bad_cust["personal_info"], customer_since_months="x")
     del bad_cust["personal_info"]["address"]["city"]
-    bad_cust["accounts"] = [1001, "abc"]
+    bad_cust["accounts"] = [5, "abc"]
     good["accounts"].append(json.dumps(bad_acc))
     good["customers"].append(json.dumps(bad_cust, ensure_ascii=False))
     raw = {k: spark.createDataFrame([(v,) for v in vals], "value string") for k, vals in good.items()}
@@ -95,5 +94,24 @@ def test_document_checks_required_and_types(spark):
 def test_chunked_transactions_mode(spark):
     docs, chunks = C.assemble(*_frames(spark), transactions_mode="chunks", chunk_size=1)
     rows = sorted((r["customer_id"], r["chunk"], r["n"], r["transactions"][0]["_id"]) for r in chunks.collect())
-    assert rows == [("CUST_12345", 0, 1, "TXN_20250604_002"), ("CUST_12345", 1, 1, "TXN_20250604_001")]
+    assert rows == [(FX.CUSTOMER_ID, n, 1, t) for n, t in enumerate(("T2", "T3", "T1"))]
     assert "transactions" not in docs.columns
+
+
+def test_document_checks_inside_arrays_text_and_ids(spark):
+    from ledgerlake.operators.bank_rules import check_documents
+    doc = FX._jsonable(FX.ANALYTICS[0])
+    doc["customer_id"] = 12
+    patterns = doc["transaction_analytics"]["spending_patterns"]
+    patterns["by_channel"], doc["financial_health_score"]["breakdown"] = {}, {}
+    patterns["by_type"][1]["count"] = "abc"
+    del patterns["by_type"][0]["amount"]
+    account = dict(FX._jsonable(FX.ACCOUNTS[0]), _id=3_000_000_000)
+    raw = {k: spark.createDataFrame([(json.dumps(v),)], "value string") for k, v in (("analytics", doc), ("accounts", account))}
+    got = {r["rule"] for r in check_documents(raw).collect() if r["n_bad"]}
+    path = "transaction_analytics.spending_patterns"
+    assert got == {"accounts.type:_id", "analytics.type:customer_id", f"analytics.type:{path}.by_type[*].count",
+                   f"analytics.required:{path}.by_type[*].amount",
+                   *(f"analytics.required:{path}.by_channel.{c}" for c in ("branch", "atm", "online")),
+                   *(f"analytics.required:financial_health_score.breakdown.{c}"
+                     for c in ("payment_history", "account_balance", "credit_utilization", "relationship_depth"))}

@@ -118,12 +118,12 @@ def test_star_fact_transactions_trailing_12_months(spark, built):
     assert row["timestamp"] == dt.datetime(2025, 3, 31, 23, 59, 59)
 
 
-def test_star_fact_loan_payments_half_open_windows(spark, built):
+def test_star_fact_loan_payments_months(spark, built):
     _, _, sp = built
     f = spark.read.parquet(sp["fact_loan_payments"])
     ids = sorted(r["payment_id"] for r in f.collect())
-    # windows from 2024-06: [2024-06-01, 2024-12-01) and [2024-12-01, 2025-06-01)
-    assert ids == ["PAY0000001", "PAY0000002"]
+    # the 13 months 2024-06 .. 2025-06
+    assert ids == ["PAY0000001", "PAY0000002", "PAY0000003"]
     r = f.where("payment_id = 'PAY0000002'").first()
     assert (r["scheduled_payment_date_id"], r["payment_date_id"], r["paid_date_id"]) == (20241230, 20250101, 20250101)
 
@@ -179,7 +179,7 @@ def test_business_rules_on_landing_csvs(spark, built):
                    "transactions.unknown_type": 1,
                    "transactions.overdraft_flip": 1,
                    "payments.scheduled_outside_loan": 2}   # PAY4 before start, PAY3 after end
-    assert len(got) == 35
+    assert len(got) == 37
 
 
 def test_star_in_catalog_tables(spark, built):
@@ -275,3 +275,27 @@ def test_landing_reads_lookup_csvs_of_the_export(spark, tmp_path):
     # status names still come from the constant table (no CSV for them)
     st = {r["status"] for r in spark.read.parquet(os.path.join(out, "accounts")).collect()}
     assert st == {"Hoạt động", "Đóng"}
+
+
+def test_payments_keep_the_as_of_month(spark):
+    days = ["2024-05-31", "2024-06-01", "2024-11-30", "2024-12-01", "2024-12-31", "2025-05-02", "2025-06-02", "2025-07-01"]
+    rows = [(f"P{i}", "L", "T", 1, d, d, 1, 1, d) for i, d in enumerate(days)]
+    from ledgerlake import schemas as S
+    p = spark.createDataFrame(rows, "payment_id string, loan_id string, transaction_id string, payment_amount long, scheduled_payment_date string,"
+                              "payment_date string, principal_amount long, paid_amount long, paid_date string")
+    p = p.select(*[p[f.name].cast(f.dataType) for f in S.LOAN_PAYMENTS.fields])
+    got = sorted(r["payment_id"] for r in star.fact_loan_payments(p, star.payments_start("2025-06-05")).collect())
+    assert got == ["P1", "P2", "P3", "P4", "P5", "P6"]
+
+
+def test_an_unreadable_lookup_csv_is_an_error(spark, tmp_path, monkeypatch):
+    from ledgerlake.sources import lookups
+
+    def refuse(*_):
+        raise PermissionError("no access")
+
+    (tmp_path / "account_types.csv").write_text("account_type_id,type_name\n1,A\n", encoding="utf-8")
+    assert lookups.lookups_from(spark, str(tmp_path / "none"))["account_types"].count() == 4
+    monkeypatch.setattr(files, "read_csv", refuse)
+    with pytest.raises(PermissionError):
+        lookups.lookups_from(spark, str(tmp_path))

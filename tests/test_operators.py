@@ -27,7 +27,7 @@ def test_running_balance_hot_key_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp, amt long")
     opening = spark.createDataFrame([(k, 1000 * k) for k in range(0, 41)], "k2 long, bal long")
     got = {r["id"]: r["running_balance"] for r in analytics.running_balance(
-        df, "k", ["ts", "id"], "amt", opening, "k2", "bal", bucket_unit="hour").collect()}
+        df, "k", ["ts", "id"], "amt", opening, "k2", "bal").collect()}
     want = {}
     for k in set(r[1] for r in rows):
         total = 1000 * k
@@ -40,7 +40,7 @@ def test_running_balance_hot_key_matches_brute_force(spark):
 def test_sequence_ids_match_row_number(spark):
     rows = [(i * 7 % 1001, f"n{i}") for i in range(1001)]
     df = spark.createDataFrame(rows, "k long, name string")
-    got = sorted((r["k"], r["seq"]) for r in analytics.sequence_ids(df, ["k"], num_partitions=5).collect())
+    got = sorted((r["k"], r["seq"]) for r in analytics.sequence_ids(df, ["k"]).collect())
     want = [(k, i + 1) for i, k in enumerate(sorted(r[0] for r in rows))]
     assert got == want
 
@@ -48,8 +48,9 @@ def test_sequence_ids_match_row_number(spark):
 def test_fk_orphans_counts_rows_of_missing_parents(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (9,), (9,), (9,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
-    r = quality.fk_orphans(child, "fk", parent, "pk", "c->p").first()
-    assert (r["relation"], r["n_orphans"]) == ("c->p", 3)
+    other = spark.createDataFrame([(9,), (9,)], "pk int")
+    got = quality.fk_orphans(child, [("c->p", "fk", parent, "pk"), ("c->q", "fk", other, "pk")]).collect()
+    assert [tuple(r) for r in got] == [("c->p", 3), ("c->q", 3)]
 
 
 def test_rule_counts_and_violations(spark):
@@ -124,7 +125,7 @@ def test_max_id_and_table_counts(spark):
 def test_sequence_ids_with_a_hot_value_are_spread_and_ordered(spark):
     rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]     # value 0 holds a third
     df = spark.createDataFrame(rows, "k long, payload long")
-    out = analytics.sequence_ids(df, ["k"], num_partitions=6)
+    out = analytics.sequence_ids(df, ["k"])
     got = sorted((r["seq"], r["k"]) for r in out.collect())
     assert [s for s, _ in got] == list(range(1, 3001))
     assert [k for _, k in got] == sorted(r[0] for r in rows)
@@ -155,26 +156,21 @@ def test_top_k_per_key_with_rank(spark):
     assert got == [(1, 3, 2), (1, 4, 1), (2, 9, 1)]
 
 
-def test_running_balance_hot_bucket_is_cut_and_exact(spark):
-    base = dt.datetime(2024, 1, 1, 10, 0)
-    # one minute of one key holds 3000 rows, packed into three seconds
-    rows = [(i, 0, base + dt.timedelta(microseconds=i * 997), (i % 7) - 3) for i in range(3000)]
-    rows += [(10000 + i, 1, base + dt.timedelta(minutes=i), 1) for i in range(50)]
-    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, amt long")
+def test_running_balance_keeps_null_keys_and_times(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rnd = random.Random(3)
+    rows = []
+    for i in range(4000):
+        k = rnd.choice([None, 0, 1, 2, 2**60 + 1])
+        ts = None if i % 7 == 0 else t0 if i % 3 == 0 else t0 + dt.timedelta(seconds=rnd.randint(1, 900))
+        rows.append((i, k, ts, None if i % 11 == 0 else rnd.randint(-9, 9)))
+    df = spark.createDataFrame(rows, "id long, k long, ts timestamp, amt long").repartition(5)
+    got = {(r["id"], r["k"], r["ts"]): r["running_balance"] for r in analytics.running_balance(df, "k", ["ts", "id"], "amt").collect()}
     want, tot = {}, {}
-    for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
-        tot[r[1]] = tot.get(r[1], 0) + r[3]
-        want[r[0]] = tot[r[1]]
-    for method in ("buckets", "ranges"):
-        got = {r["id"]: r["running_balance"] for r in analytics.running_balance(
-            df, "k", ["ts", "id"], "amt", bucket_unit="minute", max_bucket_rows=200,
-            method=method).collect()}
-        assert got == want, method
-    # slices follow the bucket's own span: 3000 rows / 200 -> about 15 slices
-    span = (rows[2999][2] - base).total_seconds() * 10**6 + 1
-    step = int(span * 200 // 3000)
-    subs = {int((r[2] - base).total_seconds() * 10**6) // step for r in rows if r[1] == 0}
-    assert len(subs) >= 10
+    for i, k, ts, a in sorted(rows, key=lambda r: (r[2] is not None, r[2] or t0, r[0])):
+        tot[k] = tot.get(k, 0) + (a or 0)
+        want[i, k, ts] = tot[k]
+    assert got == want
 
 
 def test_running_balance_ranges_one_instant_holds_a_third(spark):
@@ -183,8 +179,7 @@ def test_running_balance_ranges_one_instant_holds_a_third(spark):
     rows += [(5000 + i, i % 50, t0 + dt.timedelta(seconds=i), 2) for i in range(4000)]
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp, amt long")
     opening = spark.createDataFrame([(7, 100)], "ok long, ob long")
-    out = analytics.running_balance(df, "k", ["ts", "id"], "amt", opening, "ok", "ob",
-                                    method="ranges")
+    out = analytics.running_balance(df, "k", ["ts", "id"], "amt", opening, "ok", "ob")
     got = {r["id"]: r["running_balance"] for r in out.collect()}
     want, tot = {}, {}
     for r in sorted(rows, key=lambda r: (r[1], r[2], r[0])):

@@ -1,6 +1,7 @@
 """Plan shapes that matter at scale, read from the executed plans."""
 
 import __spark_entry__ as E
+from ledgerlake.plans.bank_queries import QUERIES
 from tests.conftest import SF001
 
 
@@ -36,10 +37,9 @@ def test_flat_children_have_no_left_outer_join(spark):
     assert "LeftOuter" not in p and "LeftAnti" in p
 
 
-def test_running_balance_uses_partial_bucket_totals(spark):
-    p = plan(spark, "running_balance")
-    assert "partial_sum" in p
-    assert "Window" in p
+def test_running_balance_reads_only_keys_for_the_offsets(spark):
+    p = plan(spark, "running_balance_ranges")
+    assert "partial_max_by" in p and "BroadcastHashJoin" in p
 
 
 def test_cashflow_aggregates_are_partial(spark):
@@ -49,7 +49,7 @@ def test_cashflow_aggregates_are_partial(spark):
 
 def test_sql_text_form_plans_like_the_dataframe_form(spark):
     p = plan(spark, "latest_balance_sql")
-    assert "WindowGroupLimit" in p and "Partial" in p
+    assert "partial_max_by" in p and "Window" not in p
 
 
 def test_sql_functions_run_without_python(spark):
@@ -75,7 +75,7 @@ def test_landing_plans_join_constants_without_shuffle(spark):
 
 
 def test_no_python_in_any_registered_plan(spark):
-    for name in E.queries():
+    for name in QUERIES:
         if name.startswith("stream_") or name in ("running_balance_ranges", "sequence_id",
                                                    "customer360_tx_chunks"):
             continue   # streams and checkpointed results are planned over their written output

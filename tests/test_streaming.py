@@ -216,3 +216,55 @@ def test_enrich_with_persisted_static_dimension(spark, tmp_path):
                                  out, ck))
     assert [(r["transaction_id"], r["branch_id"]) for r in spark.read.parquet(out).collect()] == [
         ("TXN0000000001", "BRA0000001")]
+
+
+def test_replayed_records_without_a_time_are_dropped(spark, tmp_path):
+    src = str(tmp_path / "in")
+    recs = [_tx(1, "ACC1", "not a date", 10), _tx(2, "ACC1", "2025-06-04 12:00:00", 20)]
+    for name in ("a.json", "b.json", "c.json"):
+        _write_records(src, name, recs, "account_id")
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).json(src)
+    tx = feeds.typed_transactions(feeds.parse_feed(stream, "transaction"))
+    out, ck = SQ.scratch(spark, "t_null_time")
+    SQ.run_to_end(SQ.dedup_sink(tx, out, ck, "timestamp"))
+    assert sorted(r["transaction_id"] for r in spark.read.parquet(out).collect()) == ["TXN0000000001", "TXN0000000002"]
+
+
+def _balances(spark, src, name, opening, **more):
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).json(src)
+    tx = feeds.typed_transactions(feeds.parse_feed(stream, "transaction"))
+    out, ck = SQ.scratch(spark, name)
+    SQ.run_to_end(SQ.balance_after_sink(tx, "account_id", ["timestamp", "transaction_id"], "amount", opening, "acc", "bal", out, ck, **more))
+    return out
+
+
+def test_balances_over_many_batches_keep_null_keys_and_times(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SQ, "FOLD_EVERY", 2)
+    monkeypatch.setattr(SQ.carried_totals, "__defaults__", (2,))
+    src = str(tmp_path / "in")
+    for i in range(7):
+        recs = [_tx(10 * i + 1, "ACC1", f"2025-06-0{i + 1} 12:00:00", 10), _tx(10 * i + 2, "ACC1", "no date", 5), _tx(10 * i + 3, None, f"2025-06-0{i + 1} 12:00:00", 1)]
+        _write_records(src, f"{i}.json", recs, "account_id")
+        os.utime(os.path.join(src, f"{i}.json"), (1000 + i, 1000 + i))
+    opening = spark.createDataFrame([("ACC1", 1000)], "acc string, bal long")
+    out = _balances(spark, src, "t_many", opening)
+    got = {r["transaction_id"]: r["balance_after"] for r in spark.read.parquet(f"{out}/rows").collect()}
+    want = {}
+    for i in range(7):
+        want |= {f"TXN{10 * i + 2:010d}": 1000 + 15 * i + 5, f"TXN{10 * i + 1:010d}": 1000 + 15 * i + 15, f"TXN{10 * i + 3:010d}": i + 1}
+    assert got == want
+    assert sorted(os.listdir(f"{out}/totals/folded")) == ["upto=2", "upto=4", "upto=6"]
+
+
+def test_unreadable_totals_stop_the_stream(spark, tmp_path):
+    import pytest
+    src = str(tmp_path / "in")
+    _write_records(src, "a.json", [_tx(1, "ACC1", "2025-06-04 12:00:00", 10)], "account_id")
+    opening = spark.createDataFrame([("ACC1", 1000)], "acc string, bal long")
+    out = _balances(spark, src, "t_bad", opening)
+    for f in os.listdir(f"{out}/totals/batch_id=0"):
+        if f.startswith("part-"):
+            with open(f"{out}/totals/batch_id=0/{f}", "wb") as fh:
+                fh.write(b"not parquet")
+    with pytest.raises(Exception):
+        SQ.carried_totals(spark, f"{out}/totals", 1, "account_id", "account_id string, total long").collect()

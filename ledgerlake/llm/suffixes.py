@@ -169,7 +169,8 @@ def with_row(docs: DataFrame) -> DataFrame:
     """doc_id, text, row: identity of (doc_id, text)."""
     text = F.coalesce("text", F.lit("")).alias("text")
     d = docs.select("doc_id", text)
-    return d.withColumn("row", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text").cast("binary"))))
+    row = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text").cast("binary")))
+    return d.withColumn("row", F.coalesce(row, F.lit(b"")))  # never null, and known not to be
 
 
 def ahead(name: str, by: int, step: int, window) -> "F.Column":
@@ -225,6 +226,12 @@ def prefixes(places: DataFrame, depth: int) -> DataFrame:
     return found.groupBy("row", "j").agg(F.max("common").alias("common"), F.min(F.struct(*order)).alias("key"))
 
 
+def dealt(docs: DataFrame) -> DataFrame:
+    """Rows of ``with_row`` as (row, doc), dealt by row.  Both joins with the
+    texts use all of ``doc``, so Spark shuffles them once for the two."""
+    return docs.select("row", F.struct("doc_id", "text").alias("doc")).repartition("row")
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Rows of ``with_row`` -> row, first, last: runs of starts of repeated strings."""
     @F.arrow_udf(f"struct<found:{ANCHOR},within:array<struct<first:int,last:int>>>")
@@ -264,15 +271,15 @@ def edge_runs(docs: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
     one = some.groupBy("gram", "kind").agg(F.min(F.struct("row", "a", "s", "e", "whole")).alias("b")).select("gram", "b.*")
     sizes = one.groupBy("gram").agg(F.count("*").alias("v")).where("v > 1")
     wanted = one.join(sizes, "gram").groupBy("row").agg(F.collect_list(F.struct("gram", "a", "s", "e", "whole", "v")).alias("wanted"))
-    cells = docs.select("row", "text").join(wanted, "row")
+    cells = dealt(docs).join(wanted, "row")
     # at 0 the whole block, else ranges of distances from the anchor
     width = -(-(length - GRAM + 1) // RANGES)
 
     def extract(batches):
         for batch in batches:
             out, seen = [], set()
-            for row, text, want in zip(batch["row"], batch["text"], batch["wanted"]):
-                raw = text.encode()
+            for row, doc, want in zip(batch["row"], batch["doc"], batch["wanted"]):
+                raw = doc["text"].encode()
                 for w in want:
                     gram, a, s, e, whole, v = (w[k] for k in ("gram", "a", "s", "e", "whole", "v"))
                     if (row, a) in seen:  # equal rows
@@ -336,10 +343,12 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     d = with_row(docs)
     found = repeats(d, length).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("starts"))
 
-    @F.arrow_udf("struct<n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    @F.arrow_udf(f"struct<doc_id:{kind},n_bytes:long,n_removed:long,n_spans:long,kept_sha256:string>")
     def keep(texts: pa.Array, starts: pa.Array) -> pa.Array:
         out = []
-        for text, some in zip(texts, starts):
+        for text, some in zip(texts.field("text"), starts):
             raw = text.as_py().encode()
             spans = cover([(x["first"], x["last"]) for x in some.as_py() or []], length)
             kept, at = hashlib.sha256(), 0
@@ -349,7 +358,7 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             kept.update(raw[at:])
             out.append((len(raw), sum(b - a for a, b in spans), len(spans), kept.hexdigest()))
         columns = list(zip(*out)) or [()] * 4
-        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string()])], ["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.string()])]
+        return pa.StructArray.from_arrays([texts.field("doc_id"), *arrays], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = d.join(found, "row", "left")
-    return rows.select("doc_id", keep("text", "starts").alias("r")).select("doc_id", "r.*")
+    return dealt(d).join(found, "row", "left").select(keep("doc", "starts").alias("r")).select("r.*")

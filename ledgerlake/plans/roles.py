@@ -123,7 +123,7 @@ RAW_LANDING = {
         "end_date": "CAST(o_orderdate AS DATE) + CAST(360 * (1 + o_orderkey % 11) + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS INT)"}),
     "loan_payments": ("lineitem", {
         "payment_id": "concat('PAY', CAST(l_orderkey * 1000 AS STRING))",
-        "loan_id": "CASE WHEN l_orderkey % 9 <> 0 THEN concat('LOA', CAST(l_orderkey * 100 AS STRING)) ELSE 'LOA0' END",
+        "loan_id": "CASE WHEN l_orderkey % 9 <> 0 THEN concat('LOA', CAST(l_orderkey * 100 AS STRING)) ELSE 'LOA-' END",
         "payment_amount": "CAST(round(l_extendedprice * 100) AS BIGINT) * 5",
         "principal_amount": "CAST(round(l_extendedprice * (1 - l_discount * 5) * 100) AS BIGINT) * 5",
         "paid_amount": "CAST(round(l_extendedprice * 100) AS BIGINT) * 5 + CASE WHEN l_linenumber = 2 THEN 1 ELSE 0 END",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a
-    temporary one is set only where the setting is missing (tests)."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``.  Where
+    the setting is missing, one is made in local mode (tests), where driver
+    and executors are one process; on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

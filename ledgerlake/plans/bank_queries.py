@@ -23,6 +23,7 @@ from ledgerlake.plans.catalog.scan_queries import (  # noqa: F401
     union_slices,
     payments_6m,
     transactions_12m,
+    branches_json,
 )
 from ledgerlake.plans.catalog.star_queries import (  # noqa: F401
     star_fact_transactions,
@@ -231,5 +232,6 @@ QUERIES = {
     "landing_rule_checks": landing_rule_checks,
     "document_checks": document_checks,
     "customer360_documents": customer360_documents,
+    "branches_json": branches_json,
 }
 

@@ -113,13 +113,17 @@ def customer360_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer360_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B17 + K10 + J9 + J11: the whole document of every customer (without
-    the transactions, which a population run keeps as rows) as JSON text,
-    with some of its fields read back from the text.  A customer holds an
-    account, up to two cards and up to two loans, by id arrays of fixed
-    length in which ids repeat or dangle."""
+    """B17 + K10 + K11 + S11 + J9 + J11: the six collections written as JSON
+    documents and read back by their schemas, then the whole document of
+    every customer (without the transactions, which a population run keeps
+    as rows) as JSON text, with some of its fields read from the text.  A
+    customer holds an account, up to two cards and up to two loans, by id
+    arrays of fixed length in which ids repeat or dangle."""
     from ledgerlake.functions.scalars import mask_account
     from ledgerlake.plans import customer360 as C
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sinks.writers import write_documents
+    from ledgerlake.sources.files import read_documents
     t = Tables(spark, sf_dir)
     k = F.col("c_custkey")
     key = lambda c: F.concat(F.lit("CUST_"), c.cast("string"))
@@ -131,12 +135,20 @@ def customer360_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     loans = t.orders.select(F.col("o_orderkey").alias("_id"), F.col("o_orderpriority").alias("loan_type"), F.col("o_totalprice").alias("original_amount"))
     e = events_in_period(spark, sf_dir).withColumns({"amount": F.col("amount_cents") / 100.0, "customer": key(F.col("user_id"))})
     analytics = C.analytics_documents(e, "customer", "transaction_type", "channel", "amount", as_of=R.EVENTS_AS_OF)
-    tx = e.select(F.col("event_id").alias("_id"), F.col("customer").alias("customer_id"), F.col("ts").alias("date"))
-    docs, _rows = C.assemble(customers, accounts, cards, loans, tx, analytics)
+    tx = e.select(F.col("event_id").cast("string").alias("_id"), F.col("customer").alias("customer_id"), F.col("ts").alias("date"), "amount")
+    root = scratch_path(spark, "collections")
+    collections = {"customers": customers, "accounts": accounts, "cards": cards, "loans": loans, "transactions": tx, "analytics": analytics}
+    for name, df in collections.items():
+        write_documents(df, f"{root}/{name}")
+    read = {name: read_documents(spark, f"{root}/{name}", name) for name in collections}
+    docs, rows = C.assemble(*read.values())
+    of_customer = rows.groupBy(F.col("customer_id").alias("__c")).agg(F.sum(R.cents("amount")).alias("tx_cents"))
+    docs = C.to_json_documents(docs)
+    docs = docs.join(of_customer, docs["_id"] == of_customer["__c"], "left")
     json = lambda path: F.get_json_object("json", "$." + path)
     size = lambda path: F.size(F.from_json(json(path), "array<string>"))
-    return C.to_json_documents(docs).select(
-        F.col("_id").alias("customer_id"), json("personal_info.name").alias("name"), json("accounts[0].account_number").alias("account_number"),
+    return docs.select(
+        F.col("_id").alias("customer_id"), "tx_cents", json("personal_info.name").alias("name"), json("accounts[0].account_number").alias("account_number"),
         size("cards").alias("n_cards"), size("loans").alias("n_loans"), json("loans[0]._id").cast("bigint").alias("first_loan"),
         json("analytics._id").alias("analytics_id"),
         json("analytics.transaction_analytics.total_transactions").cast("int").alias("total_transactions"),

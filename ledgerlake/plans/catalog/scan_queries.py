@@ -101,3 +101,21 @@ def partitioned_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitioned(li.withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")}),
                       path, ("year", "month"))
     return read_month_slices(spark, path, "l_shipdate", slices.months_of("1998-11-01", 6))
+
+
+def branches_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + P9 + P11: branch records as JSON documents with an array each (at
+    most 1,000 suppliers of a nation in one), read back: branches in one of
+    the cities, names cleaned."""
+    from ledgerlake.session import scratch_path
+    from ledgerlake.sources import files
+    s = Tables(spark, sf_dir).supplier
+    city = F.when(F.col("s_nationkey") % 3 == 0, F.lit("Hà Nội ")).otherwise(F.lit("Huế "))
+    item = F.struct((F.col("s_acctbal") >= 0).alias("IsBranch"), F.concat(F.lit("  "), "s_name", F.lit(" ")).alias("Name"),
+                    F.concat(city, F.col("s_nationkey").cast("string")).alias("Address"),
+                    F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("Phone"))
+    docs = s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 1000).alias("part")).agg(F.collect_list(item).alias("branches_and_atm"))
+    path = scratch_path(spark, "branches")
+    (docs.select("s_nationkey", "part", F.to_json(F.struct("branches_and_atm")).alias("value"))
+     .write.partitionBy("s_nationkey", "part").text(path))
+    return files.read_branches_json(spark, path)

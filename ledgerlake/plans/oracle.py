@@ -723,9 +723,13 @@ ORACLE_SQL["customer360_documents"] = f"""
                    ON p_partkey = c_custkey % 100 + 1 OR p_partkey = c_custkey % 7 + 1 GROUP BY ALL),
     loans AS (SELECT c_custkey, count(*) AS n, min(o_orderkey) AS first FROM customer JOIN orders
               ON o_orderkey = c_custkey + 1 OR o_orderkey = c_custkey * 20 GROUP BY ALL),
-    a AS ({ORACLE_SQL['analytics_documents']})
-    SELECT 'CUST_' || CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS name, '****' || right(c.c_name, 4) AS account_number,
+    a AS ({ORACLE_SQL['analytics_documents']}),
+    t AS (WITH {SE_CTE} SELECT user_id, CAST(sum(amount_cents) AS BIGINT) AS tx_cents FROM se WHERE {PERIOD} GROUP BY 1)
+    SELECT t.tx_cents, 'CUST_' || CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS name, '****' || right(c.c_name, 4) AS account_number,
            CAST(coalesce(cards.n, 0) AS INTEGER) AS n_cards, CAST(coalesce(loans.n, 0) AS INTEGER) AS n_loans, loans.first AS first_loan,
            'CUST_' || a.doc_id AS analytics_id, a.total_transactions, a.total_inflow
     FROM customer c LEFT JOIN cards ON c.c_custkey = cards.c_custkey LEFT JOIN loans ON c.c_custkey = loans.c_custkey
-    LEFT JOIN a ON CAST(c.c_custkey AS VARCHAR) = a.customer_id"""
+    LEFT JOIN a ON CAST(c.c_custkey AS VARCHAR) = a.customer_id LEFT JOIN t ON t.user_id = c.c_custkey"""
+ORACLE_SQL["branches_json"] = """
+    SELECT s_name AS name, 'Hà Nội ' || CAST(s_nationkey AS VARCHAR) AS address, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS phone_number
+    FROM supplier WHERE s_nationkey % 3 = 0 AND s_acctbal >= 0"""

@@ -178,7 +178,10 @@ def predicted(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str =
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def find(texts: pa.Array) -> pa.Array:
         lat, n, full = lattice(pieces, model), len(langs), table.astype(float)
-        memo = _memos.setdefault(key, Memo())
+        if key not in _memos:  # a worker that lives on keeps one model's words
+            _memos.clear()
+            _memos[key] = Memo()
+        memo = _memos[key]
         pred, score = [], []
         for at in range(0, len(texts), CHUNK):
             chunk = [LETTERS.findall((t.as_py() or "").lower()) for t in texts[at : at + CHUNK]]

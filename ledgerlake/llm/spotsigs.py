@@ -10,6 +10,9 @@ the measure for what is left.
 DataFrame functions only.  Whole texts are split into words once for each
 fingerprint.
 
+doc_ids are taken for identifiers: a slice holds at most 2 ** SLICE of them,
+but rows that repeat one doc_id lie in one slice.
+
 Defined results: a null text counts as empty; a text without a spot (no
 anchor, or too few words after it) has one signature made from its whole
 text, so only equal texts are alike then; words are runs of letters and

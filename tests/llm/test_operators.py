@@ -240,13 +240,50 @@ def test_personal_data(spark, odd, empty, documents):
     assert clean.columns == odd.columns and Counter(map(str, rows_of(clean))) == Counter(map(str, rows_of(odd)))
 
 
-def test_pipeline(spark, documents, tmp_path):
+def test_pipeline(spark, documents):
+    """Each stage against brute force on what the one before it kept."""
+    import corpus_pipeline as P
+
+    assert [n for n, _ in P.STAGES] == ["language_id", "simhash_dedup", "pii", "mixing", "sentencepiece"] and P.ORACLE_SQL is None
+    key = lambda r: (r.doc_id, r.text)
+    kept = P.language(spark, documents, SF0001)
+    assert kept.columns == documents.columns
+    kept = kept.collect()
+    letters = {key(r) for r in documents.collect() if any(unicodedata.category(c)[0] == "L" for c in r.text or "")}
+    assert {key(r) for r in kept} == letters
+
+    docs = spark.createDataFrame(kept, documents.schema)
+    one = P.near_copies(spark, docs, SF0001)
+    assert one.columns == documents.columns
+    one = one.collect()
+    groups = {c for *_, c in components([(r.doc_id, simple_fingerprint(r.text)) for r in kept], 2)}
+    assert sorted(r.doc_id for r in one) == sorted(groups)
+
+    docs = spark.createDataFrame(one, documents.schema)
+    clean = P.personal_data(spark, docs, SF0001)
+    assert clean.columns == documents.columns
+    clean = {r.doc_id: r for r in clean.collect()}
+    field = pii.train(docs)
+    for r in one:
+        spans = field.spans(r.text, patterns(r.text))
+        assert clean[r.doc_id].text == pii.redact(r.text, spans) and not patterns(clean[r.doc_id].text)
+        assert spans or clean[r.doc_id].text == r.text
+
+    docs = spark.createDataFrame(list(clean.values()), documents.schema)
+    mixed = P.mixture(spark, docs, SF0001)
+    assert mixed.columns == documents.columns
+    mixed = mixed.collect()
+    times = {r.doc_id: r.times for r in mixing.mix_report(docs).collect()}
+    assert Counter(r.doc_id for r in mixed) == Counter({i: n for i, n in times.items() if n})
+
+    docs = spark.createDataFrame(mixed, documents.schema)
+    rows = P.encode(spark, docs, SF0001).collect()
+    fst = encoding.Transducer(encoding.Pieces()).compile()
+    assert Counter((r.doc_id, fst.decode(r.ids)) for r in rows) == Counter((r.doc_id, r.text) for r in mixed)
+
+
+def test_pipeline_run(spark):
     import corpus_pipeline
 
     rows = corpus_pipeline.run(spark, SF0001).collect()
     assert rows and all(r.round_trip for r in rows)
-    # each stage but the last keeps the columns, the first and second drop only what they should
-    first = corpus_pipeline.language(spark, documents, SF0001)
-    letters = {r.doc_id for r in documents.collect() if any(unicodedata.category(c)[0] == "L" for c in r.text or "")}
-    assert first.columns == documents.columns and {r.doc_id for r in first.collect()} == letters
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "pii", "mixing", "sentencepiece"] and corpus_pipeline.ORACLE_SQL is None

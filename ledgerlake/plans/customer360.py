@@ -45,6 +45,8 @@ def assemble(customers: DataFrame, accounts: DataFrame, cards: DataFrame, loans:
     under an id filter, and keeps transactions as rows for a population run."""
     if transactions_mode is None:
         transactions_mode = "nested" if customer_id is not None else "rows"
+    if transactions_mode == "nested" and customer_id is None:
+        raise ValueError("nested transactions are unbounded for each customer: name a customer_id, or use rows or chunks")
     if customer_id is not None:
         customers = customers.where(F.col("_id") == customer_id)
         transactions = transactions.where(F.col("customer_id") == customer_id)

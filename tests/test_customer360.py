@@ -22,11 +22,16 @@ def _frames(spark, customers=None, accounts=None, cards=None, loans=None, tx=Non
 
 
 def _docs(spark, frames, cid=None):
-    out = C.to_json_documents(C.assemble(*frames, customer_id=cid,
-                                         transactions_mode="nested")).collect()
+    ids = [cid] if cid else [r["_id"] for r in frames[0].collect()]
+    out = [r for i in ids for r in C.to_json_documents(C.assemble(*frames, customer_id=i, transactions_mode="nested")).collect()]
     return {r["_id"]: json.loads(r["json"]) for r in out}
 
 
+def test_nested_mode_needs_an_id(spark):
+    with pytest.raises(ValueError):
+        C.assemble(*_frames(spark), transactions_mode="nested")
+
+
 def test_golden_document(spark):
     docs = _docs(spark, _frames(spark), FX.CUSTOMER_ID)
     assert docs[FX.CUSTOMER_ID] == FX.EXPECTED

@@ -16,14 +16,14 @@ def test_customer360_job_from_document_files(spark, tmp_path):
                        ("loans", FX.LOANS), ("transactions", FX.TRANSACTIONS), ("analytics", FX.ANALYTICS)]:
         write_documents(spark.createDataFrame(rows, S.DOCUMENTS[name]), str(docs / name))
     out = tmp_path / "one"
-    jobs.main(["customer360", "--docs", str(docs), "--out", str(out), "--customer-id", "CUST_12345"])
+    jobs.main(["customer360", "--docs", str(docs), "--out", str(out), "--customer-id", FX.CUSTOMER_ID])
     lines = [json.loads(x) for x in spark.read.text(str(out)).collect()[0][0].splitlines()]
     assert lines == [FX.EXPECTED]
     allout = tmp_path / "all"
     jobs.main(["customer360", "--docs", str(docs), "--out", str(allout)])
     d = spark.read.json(str(allout / "documents")).first()
-    assert d["_id"] == "CUST_12345" and "transactions" not in d.asDict()
-    assert spark.read.json(str(allout / "transactions")).count() == 2
+    assert d["_id"] == FX.CUSTOMER_ID and "transactions" not in d.asDict()
+    assert spark.read.json(str(allout / "transactions")).count() == 3
 
 
 def test_latest_balance_job_and_compaction(spark, tmp_path):

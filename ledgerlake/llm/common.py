@@ -34,6 +34,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder that are dropped once what was made from
+    them is written itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex[:12]}"
+        self.tables = 0
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables += 1
+        path = f"{self.path}/{self.tables}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else as it is."""
     return F.translate(c, UPPER, LOWER)

@@ -39,15 +39,18 @@ from __future__ import annotations
 
 import hashlib
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import written
+from .common import Scratch, written
 
 LENGTH, GRAM = 400, 32
 BIG, RANGES = 2048, 16
+CELL = {"gram": pa.int64(), "k": pa.int32(), "shared": pa.int64(), "row": pa.binary(), "a": pa.int32(), "s": pa.int32(), "whole": pa.bool_(), "raw": pa.binary()}
 _ROOT = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(400).integers(1, 2**63, 256, dtype=np.uint64)
 #: Places of a least gram are found within pieces of this many bytes.
@@ -180,27 +183,27 @@ def ahead(name: str, by: int, step: int, window) -> "F.Column":
     return F.when(F.lead("j", n).over(window) == F.col("j") + by, F.lead(name, n).over(window)).otherwise(0)
 
 
-def named(rows: DataFrame, triple: list[str]) -> DataFrame:
+def named(rows: DataFrame, triple: list[str], written: Callable) -> DataFrame:
     """``rows`` with name: place of their triple in the order of triples."""
     order = rows.select(*triple).distinct().orderBy(*triple)
     names = written(order.withColumn("name", F.monotonically_increasing_id() + 1), "names")
     return rows.join(names, triple).drop(*triple)
 
 
-def prefixes(places: DataFrame, depth: int) -> DataFrame:
+def prefixes(places: DataFrame, depth: int, written: Callable) -> DataFrame:
     """row, j, c of repeated phrases' places -> row, j, key, common: equal
     keys for equal suffixes, and the longest prefix (in phrases, depth at
-    most) that the suffix shares with another."""
+    most) that the suffix shares with another.  ``written`` keeps a table."""
     in_row = W.partitionBy("row").orderBy("j")
     in_class = W.partitionBy("row", F.col("j") % 3).orderBy("j")
     # sampled triples, then triples of names
     c1, c2 = ahead("c", 1, 1, in_row), ahead("c", 2, 1, in_row)
     strings = written(places.select("row", "j", "c", c1.alias("c1"), c2.alias("c2")), "triples")
-    sampled = written(named(strings.where("j % 3 <> 0").select("row", "j", F.col("c").alias("x"), F.col("c1").alias("y"), F.col("c2").alias("z")), ["x", "y", "z"]), "sampled")
+    sampled = written(named(strings.where("j % 3 <> 0").select("row", "j", F.col("c").alias("x"), F.col("c1").alias("y"), F.col("c2").alias("z")), ["x", "y", "z"], written), "sampled")
     span = 3
     while span < depth:
         triples = sampled.select("row", "j", F.col("name").alias("x"), ahead("name", span, 3, in_class).alias("y"), ahead("name", 2 * span, 3, in_class).alias("z"))
-        sampled = written(named(triples, ["x", "y", "z"]), "sampled")
+        sampled = written(named(triples, ["x", "y", "z"], written), "sampled")
         span *= 3
     # merge: keys in the three orders
     whole = strings.join(sampled, ["row", "j"], "left").withColumn("name", F.coalesce("name", F.lit(0)))
@@ -243,19 +246,21 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         spans = np.array([r for _, x in found for r in x], np.int32).reshape(-1, 2)
         return pa.StructArray.from_arrays([rows, listed([len(x) for _, x in found], [spans[:, 0], spans[:, 1]], ["first", "last"])], ["found", "within"])
 
-    cuts = written(docs.select("row", cut("text").alias("x")).select("row", "x.*").where(F.size("found") > 0), "anchors")
+    scratch = Scratch(docs.sparkSession)
+    cuts = scratch.write(docs.select("row", cut("text").alias("x")).select("row", "x.*").where(F.size("found") > 0), "anchors")
     every = cuts.select("row", F.inline("found"))
     twice = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    hot = written(every.join(twice, "gram", "left_semi").dropDuplicates(["row", "j"]), "repeated-grams")
-    within = cuts.select("row", F.inline("within"))
+    hot = scratch.write(every.join(twice, "gram", "left_semi").dropDuplicates(["row", "j"]), "repeated-grams")
     depth = hot.agg(F.max("need")).first()[0] or 0
-    copies = docs.groupBy("row").agg(F.count("*").alias("n"), F.first(F.octet_length("text")).alias("size")).where(f"n > 1 AND size >= {length}")
-    copies = copies.select("row", F.lit(0).alias("first"), (F.col("size") - length).alias("last"))
-
-    common = prefixes(hot.where("c <> 0").select("row", "j", "c"), max(depth, 1))
+    common = prefixes(hot.where("c <> 0").select("row", "j", "c"), max(depth, 1), scratch.write)
     blocks = hot.join(common.select("row", F.col("j").alias("f"), "common", "key"), ["row", "f"], "left")
     whole = F.col("known") | (F.col("need") > 0) & (F.coalesce("common", F.lit(0)) >= F.col("need"))
     blocks = written(blocks.select("row", "a", "s", "e", "gram", "key", "need", F.coalesce(whole, F.lit(False)).alias("whole")), "blocks")
+    within = written(cuts.select("row", F.inline("within")), "within")
+    scratch.drop()
+
+    copies = docs.groupBy("row").agg(F.count("*").alias("n"), F.first(F.octet_length("text")).alias("size")).where(f"n > 1 AND size >= {length}")
+    copies = copies.select("row", F.lit(0).alias("first"), (F.col("size") - length).alias("last"))
     done = blocks.where("whole").select("row", F.col("s").alias("first"), F.col("e").alias("last"))
     edges = edge_runs(docs, blocks, length)
     return done.union(edges).union(copies).union(within)
@@ -277,10 +282,11 @@ def edge_runs(docs: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
 
     def extract(batches):
         for batch in batches:
+            rows, texts, wants = batch.column("row"), batch.column("doc").field("text"), batch.column("wanted")
             out, seen = [], set()
-            for row, doc, want in zip(batch["row"], batch["doc"], batch["wanted"]):
-                raw = doc["text"].encode()
-                for w in want:
+            for i in range(batch.num_rows):
+                row, raw = rows[i].as_py(), texts[i].as_py().encode()
+                for w in wants[i].as_py():
                     gram, a, s, e, whole, v = (w[k] for k in ("gram", "a", "s", "e", "whole", "v"))
                     if (row, a) in seen:  # equal rows
                         continue
@@ -294,10 +300,14 @@ def edge_runs(docs: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
                             continue
                         shared = int.from_bytes(hashlib.blake2b(raw[a - k * width : a - (k + 1) * width + 1 + length], digest_size=8).digest(), "big", signed=True)
                         out.append((gram, k, shared, row, a, lo, whole, raw[lo : hi + length]))
-            yield pd.DataFrame(out, columns=["gram", "k", "shared", "row", "a", "s", "whole", "raw"])
+                if len(out) > 2000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), CELL.values())], list(CELL))
+                    out = []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), CELL.values())], list(CELL))
 
     cell = ["gram", "k", "shared"]
-    cells = cells.mapInPandas(extract, "gram long, k int, shared long, row binary, a int, s int, whole boolean, raw binary")
+    cells = cells.mapInArrow(extract, "gram long, k int, shared long, row binary, a int, s int, whole boolean, raw binary")
     cells = cells.repartition(*[F.col(c) for c in cell]).sortWithinPartitions(*cell, "row", "a")
 
     def compare(batches):

@@ -1,10 +1,11 @@
 """Code resolution and shaping of the landing zone.
 
 Every code lookup is an inner equi-join to a small table: unmatched and
-NULL codes drop the row (D19; ``fk_orphans`` reports them).  Lookup
-tables of fixed size are broadcast explicitly; a lookup that comes from
-data is left to the planner, which broadcasts it only when its size
-estimate is under ``autoBroadcastJoinThreshold`` and otherwise shuffles.
+NULL codes drop the row (D19; ``fk_orphans`` reports them).  The constant
+lookup tables carry a broadcast hint from where they are made
+(``sources.lookups``); a lookup that comes from data or from an export's
+CSV is left to the planner, which broadcasts it only when its size estimate
+is under ``autoBroadcastJoinThreshold`` and otherwise shuffles.
 """
 
 from __future__ import annotations
@@ -20,14 +21,12 @@ from ledgerlake import schemas as S
 
 def resolve_code(df: DataFrame, code_col: str, lookup: DataFrame, lookup_key: str,
                  lookup_value: str, as_name: str, how: str = "inner",
-                 fixed_size: bool = True, default: str | None = None) -> DataFrame:
+                 default: str | None = None) -> DataFrame:
     """Replace-or-add a looked-up name for ``code_col`` (one of J1-J8).
 
     ``how='left'`` with ``default`` gives ``dict.get(k, default)`` (F26).
     """
     lk = lookup.select(F.col(lookup_key).alias("__lk"), F.col(lookup_value).alias("__lv"))
-    if fixed_size:
-        lk = F.broadcast(lk)
     out = df.join(lk, df[code_col] == lk["__lk"], how)
     value = F.col("__lv") if default is None else F.coalesce(F.col("__lv"), F.lit(default))
     return out.withColumn(as_name, value).drop("__lk", "__lv")

@@ -86,8 +86,7 @@ def conform_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     nat = t.nation.select("n_nationkey", F.col("n_name").alias("type"), "n_regionkey")
     c = t.customer.join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-    c = conform.resolve_code(c, "n_regionkey", t.region, "r_regionkey", "r_name", "status",
-                             fixed_size=False)
+    c = conform.resolve_code(c, "n_regionkey", t.region, "r_regionkey", "r_name", "status")
     return c.select(F.col("c_custkey").alias("account_id"), "type", "status",
                     FX.mask_account("c_name").alias("number"),
                     F.col("c_acctbal").alias("balance"))

@@ -42,7 +42,7 @@ def land_customers(customers: DataFrame, lk: Mapping[str, DataFrame]) -> DataFra
 def land_cards(cards: DataFrame, lk: Mapping[str, DataFrame]) -> DataFrame:
     """J5 + P3 + F10 (repeatable masked number from the card id, D9)."""
     ct = lk["card_types"].select("card_type_id", F.col("type_name").alias("card_type"))
-    c = cards.join(F.broadcast(ct), "card_type_id", "inner").drop("card_type_id")
+    c = cards.join(ct, "card_type_id", "inner").drop("card_type_id")
     return c.withColumn("number", FX.mask_card("card_id"))
 
 

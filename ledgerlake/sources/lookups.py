@@ -7,6 +7,7 @@ safe at any data scale.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas as S
@@ -30,11 +31,11 @@ def lookup(spark: SparkSession, name: str) -> DataFrame:
                                T.StructField("type_name", T.StringType()),
                                T.StructField("monthly_fee", T.IntegerType()),
                                T.StructField("interest_rate", T.DoubleType())])
-        return spark.createDataFrame(S.CARD_TYPES, schema)
+        return F.broadcast(spark.createDataFrame(S.CARD_TYPES, schema))
     key, value, rows = _TWO[name]
     schema = T.StructType([T.StructField(key, T.IntegerType()),
                            T.StructField(value, T.StringType())])
-    return spark.createDataFrame(rows, schema)
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def lookups(spark: SparkSession) -> dict[str, DataFrame]:
@@ -42,8 +43,9 @@ def lookups(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def rows_frame(spark: SparkSession, rows, ddl: str) -> DataFrame:
-    """A small constant table from rows and a DDL schema string."""
-    return spark.createDataFrame(rows, ddl)
+    """A small constant table from rows and a DDL schema string; of fixed
+    size, so hinted for broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, ddl))
 
 
 def lookup_schema(name: str) -> T.StructType:

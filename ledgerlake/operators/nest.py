@@ -82,15 +82,13 @@ def nest_children_chunked(child: DataFrame, child_key: str, order_by: Sequence[s
     """J10 in bounded pieces: every child of a key, in ``order_by`` order,
     nested in chunks of at most ``chunk_size`` (one row per key and chunk:
     ``chunk`` 0, 1, ..., ``n``, ``as_col``).  Nothing is dropped and no group
-    is larger than ``chunk_size``: positions come from a range-partitioned
-    global numbering (skew-safe, see ``analytics.sequence_ids``) minus each
-    key's first number (a partial aggregate)."""
-    from ledgerlake.operators.analytics import sequence_ids
+    is larger than ``chunk_size``: a child's position is the running count of
+    its key in one range-partitioned pass (skew-safe, see
+    ``analytics.running_balance_ranges``); a NULL key is a key of its own."""
+    from ledgerlake.operators.analytics import running_balance_ranges
     cols = child.columns
-    numbered = sequence_ids(child, [child_key, *order_by], "__seq")
-    first = numbered.groupBy(F.col(child_key).alias("__k")).agg(F.min("__seq").alias("__first"))
-    pos = numbered.join(first, numbered[child_key] == first["__k"], "inner").withColumn(
-        "__pos", F.col("__seq") - F.col("__first"))
+    counted = running_balance_ranges(child.withColumn("__one", F.lit(1).cast("long")), child_key, order_by, "__one", out_col="__pos")
+    pos = counted.withColumn("__pos", F.col("__pos") - 1).drop("__one")
     chunks = pos.groupBy(child_key, F.floor(F.col("__pos") / chunk_size).cast("long").alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("__pos"), *[F.col(c) for c in cols]))).alias("__items"))
     return chunks.select(child_key, "chunk", F.size("__items").alias("n"),

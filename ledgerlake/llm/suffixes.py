@@ -77,13 +77,20 @@ class Hashes:
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[np.frombuffer(text, np.uint8)] * up[: len(text)])])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self.sums[end] - self.sums[start]) * self.down[start]
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
+        return self.mixed((self.sums[end] - self.sums[start]) * self.down[start])
 
     def all(self, size: int) -> np.ndarray:
-        n = len(self.sums) - size
-        return self.of(np.arange(n), np.arange(size, size + n))
+        """Hashes of all substrings of a size, by start."""
+        h = self.sums[size:] - self.sums[:-size]
+        h *= self.down[: len(h)]
+        return self.mixed(h)
+
+    @staticmethod
+    def mixed(h: np.ndarray) -> np.ndarray:
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+        return h
 
 
 def least(h: np.ndarray, window: int) -> np.ndarray:
@@ -133,10 +140,8 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[dict,
     inside = (f >= 0) & (to < len(a))
     need = np.where(inside & (gone[np.minimum(to, len(a) - 1) + 1] == gone[np.maximum(f, 0)]), to - f, 0)
     out = {"j": np.arange(len(a)), "a": a, "s": s, "e": e, "gram": grams[a].view(np.int64), "c": c.view(np.int64), "f": f, "need": need, "known": known}
-    mask = np.zeros(len(place) + 1, np.int32)
-    np.add.at(mask, s[known], 1)
-    np.add.at(mask, e[known] + 1, -1)
-    return {k: v[stays] for k, v in out.items()}, runs(np.cumsum(mask)[:-1] > 0)
+    # blocks follow one another, so known neighbours make one run
+    return {k: v[stays] for k, v in out.items()}, [(int(s[i]), int(e[j])) for i, j in runs(known)]
 
 
 def repeated_starts(blocks: list[tuple[int, int, bytes]], length: int = LENGTH) -> list[np.ndarray]:

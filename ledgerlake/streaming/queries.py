@@ -131,8 +131,8 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
                 seen = spark.read.schema(_with_parts(batch)).parquet(path)
                 seen = seen.where((F.col("batch_id") != batch_id) & near).select(*cols)
                 out = fresh.join(seen, same(fresh, seen, cols), "left_anti")
-            (out.withColumn("event_day", day).write.mode("overwrite").partitionBy("event_day")
-             .parquet(f"{path}/batch_id={batch_id}"))
+            (out.withColumn("event_day", day).hint("rebalance", "event_day")  # one task for a day unless it is large
+             .write.mode("overwrite").partitionBy("event_day").parquet(f"{path}/batch_id={batch_id}"))
         finally:
             fresh.unpersist()
 

@@ -1,8 +1,8 @@
 """Licence scans by a trained paragraph classifier.
 
 A paragraph is a line; lines over ``LONG`` characters are cut at sentence
-ends.  Its features are its distinct words (runs of letters) and word pairs,
-hashed into ``FEATURES`` buckets.  A multinomial logistic regression, made
+ends.  Its features are its distinct words (runs of letters, and 0 for each
+number) and word pairs, hashed into ``FEATURES`` buckets.  A multinomial logistic regression, made
 sparse by an L1 share in its penalty, gives each licence family and the
 class ``unknown`` a probability; a temperature chosen on held-out rows
 calibrates it.  A paragraph is reported where a family has a calibrated
@@ -12,7 +12,7 @@ enough of the notice's word pairs are in the paragraph.
 Most paragraphs can't reach any family: the sum, over their features, of the
 most by which a family's weight exceeds that of ``unknown`` is an upper
 bound of every family's lead.  Only where the bound leaves room are all
-classes scored, so no result changes.
+classes scored; the bound changes no result.
 
 Training rows: variants of public notices with words left out, sentences
 that speak of licences without giving one, and at most ``NEGATIVES``
@@ -34,14 +34,16 @@ import re
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import written
 
 UNKNOWN = "unknown"
 LONG, LEAST, CONFIRMED = 400, 0.5, 0.6
-NEGATIVES, VARIANTS, FEATURES = 3000, 16, 1 << 11
+NEGATIVES, VARIANTS, FEATURES = 3000, 16, 1 << 12
+NUMBER = r"[0-9]+([.][0-9]+)*"
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 
 #: Public notices by family (fixed values).
@@ -95,8 +97,8 @@ def let(value: Column, body) -> Column:
 
 
 def words(paragraph: Column) -> Column:
-    """Lower-cased runs of letters."""
-    return F.filter(F.split(F.lower(paragraph), r"[^\p{L}]+"), lambda w: w != "")
+    """Lower-cased runs of letters, and 0 for each number."""
+    return F.filter(F.split(F.regexp_replace(F.lower(paragraph), NUMBER, " 0 "), r"[^\p{L}0]+"), lambda w: w != "")
 
 
 def features(w: Column, of=lambda bucket: bucket) -> Column:
@@ -120,7 +122,7 @@ def rows_of(spark: SparkSession, names: str, rows) -> DataFrame:
 
 def notice_pairs(text: str) -> list[str]:
     """Distinct word pairs of a notice, as ``pairs`` makes them."""
-    w = re.findall(r"[^\W\d_]+", text.lower())
+    w = re.findall(r"[^\W\d_]+|0", re.sub(NUMBER, " 0 ", text.lower()))
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
@@ -192,9 +194,10 @@ def train(docs: DataFrame, negatives: int = NEGATIVES) -> Classifier:
     lines = lines.where(matched < CONFIRMED).select(F.lit(UNKNOWN).alias("family"), "paragraph", F.pmod("h", F.lit(VARIANTS)).cast("int").alias("variant"))
 
     rows = given.union(lines)
-    vector = let(let(words(F.col("paragraph")), lambda w: features(w)), lambda have: F.transform(F.sequence(F.lit(1), F.lit(FEATURES)), lambda b: F.array_contains(have, b).cast("double")))
+    buckets = CountVectorizerModel.from_vocabulary([str(b + 1) for b in range(FEATURES)], inputCol="buckets", outputCol="features", binary=True)
+    rows = buckets.transform(rows.withColumn("buckets", let(words(F.col("paragraph")), lambda w: features(w)).cast("array<string>")))
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    rows = written(rows.select(label.alias("label"), array_to_vector(vector).alias("features"), "variant"), "licence-training").coalesce(2)
+    rows = written(rows.select(label.alias("label"), "features", "variant"), "licence-training").coalesce(2)
     fit = LogisticRegression(family="multinomial", maxIter=25, regParam=0.002, elasticNetParam=0.5, probabilityCol="probabilities")
     held = F.col("variant") % 4 == 3
     tested = fit.fit(rows.where(~held)).transform(rows.where(held)).select((F.col("label") + 1).cast("int").alias("k"), vector_to_array("rawPrediction").alias("raw"))

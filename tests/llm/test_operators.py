@@ -40,6 +40,17 @@ def test_licences(spark, odd, empty):
     assert licences.scan(empty).count() == 0
 
 
+def test_licences_count_numbers(spark, empty):
+    """A number is a word, of paragraphs and of notices alike."""
+    text = "CC0 1.0, v2 of 2020-01-02: All rights"
+    row = spark.range(1).select(licences.words(F.lit(text)).alias("w"), licences.pairs(F.lit(text)).alias("p")).first()
+    assert row.w == ["cc", "0", "0", "v", "0", "of", "0", "0", "0", "all", "rights"]
+    assert sorted(row.p) == licences.notice_pairs(text)
+    share = lambda t: spark.range(1).select(licences.overlap(licences.pairs(F.lit(t)), F.lit("proprietary"))).first()[0]
+    assert share("All rights reserved.") < licences.CONFIRMED < share("Copyright 1999. All rights reserved.") == 1
+    assert licences.FEATURES >= 1 << 12 and len(licences.train(empty).number) == licences.FEATURES
+
+
 def test_mix(spark, odd, empty, documents):
     report = mixing.mix_report(odd).collect()
     assert len(report) == odd.count() and all(r.taken <= 3 * r.size for r in report)

@@ -9,6 +9,15 @@ calibrates it.  A paragraph is reported where a family has a calibrated
 probability of ``LEAST`` or more and a notice of that family confirms it:
 enough of the notice's word pairs are in the paragraph.
 
+Notices are often wrapped over lines.  So each paragraph is judged alone and
+joined with those after it, as far as the longest notice may reach; blank
+lines don't end a notice.  Of windows that overlap and are confirmed by the
+same word pairs the best is reported: most of a notice, then fewest
+paragraphs, then the first.
+
+Texts without a key pair are left out before that: of each notice so many
+word pairs are keys that a text without them can't confirm the notice.
+
 Most paragraphs can't reach any family: the sum, over their features, of the
 most by which a family's weight exceeds that of ``unknown`` is an upper
 bound of every family's lead.  Only where the bound leaves room are all
@@ -19,7 +28,8 @@ that speak of licences without giving one, and at most ``NEGATIVES``
 paragraphs of the corpus (the first by hash) that no notice matches.
 
 DataFrame functions and Spark's own classifier only; each paragraph is
-judged where it is read, so nothing but the training rows is shuffled.
+judged where it is read, so only the training rows and the confirmed windows
+are shuffled.
 
 Defined results: null and empty texts have no paragraphs, so no rows;
 repeated rows are reported for each; equal probabilities go to the family
@@ -120,12 +130,67 @@ def rows_of(spark: SparkSession, names: str, rows) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, r)]) for r in rows])))
 
 
+def notice_words(text: str) -> list[str]:
+    """Words of a notice, as ``words`` makes them."""
+    return re.findall(r"[^\W\d_]+|0", re.sub(NUMBER, " 0 ", text.lower()))
+
+
 def notice_pairs(text: str) -> list[str]:
     """Distinct word pairs of a notice, as ``pairs`` makes them."""
-    w = re.findall(r"[^\W\d_]+|0", re.sub(NUMBER, " 0 ", text.lower()))
+    w = notice_words(text)
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
+def key_pairs(text: str) -> list[str]:
+    """Word pairs of a notice (the longest, they are rare) of which any
+    confirmed paragraph has one: it lacks fewer than these."""
+    have = sorted(notice_pairs(text), key=lambda p: (-len(p), p))
+    needed = next(n for n in range(len(have) + 1) if n / len(have) >= CONFIRMED)
+    return have[: len(have) - needed + 1]
+
+
+def may_confirm(text: Column) -> Column:
+    """Whether a text has a key pair of any notice."""
+    keys = sorted({p for _, t in NOTICES for p in key_pairs(t)})
+    return let(words(text), lambda w: F.exists(F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x).isin(keys)), lambda known: known))
+
+
+def windows(text: Column) -> Column:
+    """Each paragraph alone and joined with those after it: paragraph, last,
+    line.  Between its first and last paragraph a window has no more words
+    than the longest notice has between its first and last word."""
+    longest = max(len(notice_words(t)) for _, t in NOTICES)
+    lines = F.filter(F.transform(paragraphs(text), lambda x, i: F.struct(i.alias("paragraph"), x.alias("line"), F.size(words(x)).alias("n"))), lambda x: x["n"] > 0)
+
+    def joined(ls: Column, i: Column, n: Column) -> Column:
+        line = F.array_join(F.transform(F.slice(ls, i + 1, n), lambda x: x["line"]), " ")
+        return F.struct(F.get(ls, i)["paragraph"].alias("paragraph"), F.get(ls, i + n - 1)["paragraph"].alias("last"), line.alias("line"))
+
+    def sizes(ls: Column, i: Column) -> Column:
+        between = lambda n: F.aggregate(F.slice(ls, i + 2, F.greatest(n - 2, F.lit(0))), F.lit(0), lambda a, x: a + x["n"])
+        return F.filter(F.sequence(F.lit(1), F.least(F.size(ls) - i, F.lit(longest))), lambda n: between(n) <= longest - 2)
+
+    return let(lines, lambda ls: F.flatten(F.transform(ls, lambda x, i: F.transform(sizes(ls, i), lambda n: joined(ls, i, n)))))
+
+
+def evidence(found: Column, family: Column) -> Column:
+    """Of the notice of ``family`` that ``found`` has the largest share of:
+    the share as overlap, the number of its word pairs, and those found."""
+    notices = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, notice_pairs(t))).alias("pairs")) for f, t in NOTICES])
+    had = lambda n, h: F.struct((F.size(h) / F.size(n["pairs"])).alias("overlap"), F.size(n["pairs"]).alias("size"), h.alias("had"))
+    return F.array_max(F.transform(F.filter(notices, lambda n: n["family"] == family), lambda n: let(F.array_intersect(found, n["pairs"]), lambda h: had(n, h))))
+
+
+def best_windows(found: Column) -> Column:
+    """Windows without those that overlap a better one whose word pairs leave
+    them too few of their own."""
+    def beaten(x: Column, y: Column) -> Column:
+        return (x["paragraph"] <= y["last"]) & (y["paragraph"] <= x["last"]) & (F.size(F.array_except(x["had"], y["had"])) / x["size"] < CONFIRMED)
+
+    add = lambda kept, x: F.when(F.exists(kept, lambda y: beaten(x, y)), kept).otherwise(F.concat(kept, F.array(x)))
+    return let(F.sort_array(found), lambda f: F.aggregate(f, F.slice(f, 1, 0), add))
+
+
 def overlap(found: Column, family: Column) -> Column:
     """Largest share of a notice's word pairs that ``found`` has, over the
     notices of ``family``."""
@@ -207,9 +272,14 @@ def train(docs: DataFrame, negatives: int = NEGATIVES) -> Classifier:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """A row for each paragraph that gives a licence: doc_id, paragraph (its
-    place among the text's paragraphs, from 0), family, probability, overlap."""
+    """A row for each paragraph where a licence is given or begins: doc_id,
+    paragraph (its place among the text's paragraphs, from 0), family,
+    probability, overlap."""
     model = train(docs)
-    rows = docs.select("doc_id", F.posexplode(paragraphs(F.col("text"))).alias("paragraph", "line"))
-    found = model.scored(rows, "line").withColumn("overlap", overlap(pairs(F.col("line")), F.col("family"))).where(F.col("overlap") >= CONFIRMED)
+    rows = docs.select("doc_id", "text").where(may_confirm(F.col("text"))).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("doc_id", "row", F.inline(windows(F.col("text"))))
+    found = model.scored(rows.where(may_confirm(F.col("line"))), "line").withColumn("notice", evidence(pairs(F.col("line")), F.col("family"))).where(F.col("notice.overlap") >= CONFIRMED)
+    rank = [(-F.col("notice.overlap")).alias("rank"), (F.col("last") - F.col("paragraph")).alias("more")]
+    found = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct(*rank, "paragraph", "last", "family", "probability", "notice.*")).alias("found"))
+    found = found.select("doc_id", F.inline(best_windows(F.col("found"))))
     return found.select("doc_id", "paragraph", "family", F.round("probability", 3).alias("probability"), F.round("overlap", 3).alias("overlap"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 import unicodedata
 from collections import Counter
 
@@ -51,6 +52,21 @@ def test_licences_count_numbers(spark, empty):
     assert licences.FEATURES >= 1 << 12 and len(licences.train(empty).number) == licences.FEATURES
 
 
+def test_licences_wrapped(spark):
+    """Notices wrapped over lines are found once, where they begin."""
+    families = ["gpl", "bsd", "cc-by", "cc-by-nc", "cc-by-sa", "cc0", "mit"]
+    notices = [(f, t) for f, t in licences.NOTICES if f in families and len(t) > 72]
+    assert {f for f, _ in notices} == {*families}
+    wrapped = [(f, "\n".join(textwrap.wrap(t, width, break_on_hyphens=False))) for f, t in notices for width in (48, 72)]
+    texts = ["Plain words go here for a while.\n" + t + "\nAnd more of them follow." for _, t in wrapped]
+    texts += ["Text before. Released under\nthe MIT License. Licensed under the\nApache License, Version 2.0."]
+    got = sorted((r.doc_id, r.paragraph, r.family) for r in licences.scan(frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect())
+    last = len(wrapped)
+    assert [g for g in got if g[0] < last] == [(i, 1, f) for i, (f, _) in enumerate(wrapped)]
+    # the second line has all word pairs of a notice of MIT, whatever their order
+    assert [g for g in got if g[0] == last] == [(last, 1, "apache"), (last, 1, "mit")]
+
+
 def test_mix(spark, odd, empty, documents):
     report = mixing.mix_report(odd).collect()
     assert len(report) == odd.count() and all(r.taken <= 3 * r.size for r in report)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import encoding, langid, licences, mixing, neighbours, pii, simhash, spotsigs, suffixes, urls
+from . import encoding, langid, licences, mixing, negatives, neighbours, pii, simhash, spotsigs, suffixes, urls, variants, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,5 +53,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_scan, op2_mix_sources, op3_language_id, op4_suffix_dedup, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data)}
-ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL, "op7_spotsigs": spotsigs.EDITED_SQL}
+def op11_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"), at_least=0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+QUERIES = {f.__name__: f for f in (op1_licence_scan, op2_mix_sources, op3_language_id, op4_suffix_dedup, op5_url_filter, op6_simhash_dedup, op7_spotsigs, op8_prefix_forest, op9_sentencepiece, op10_personal_data, op11_warc_writer, op12_spelling_variants, op13_hard_negatives)}
+ORACLE_SQL = {"op2_mix_sources": mixing.REPORT_SQL, "op5_url_filter": urls.JUDGE_SQL, "op7_spotsigs": spotsigs.EDITED_SQL, "op11_warc_writer": warc.REPORT_SQL, "op12_spelling_variants": variants.VARIANTS_SQL, "op13_hard_negatives": negatives.MINE_SQL}

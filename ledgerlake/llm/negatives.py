@@ -55,69 +55,81 @@ def usable(v: Column) -> Column:
 def scaled(v: Column) -> Column:
     """floor(256 x) of each component, as doubles (a double of 2^52 or more is whole)."""
 
-    def whole(x: Column) -> Column:
+    def down(x: Column) -> Column:
         y = x.cast("double") * SCALE
         return F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)
 
-    return F.transform(v, whole)
+    return F.transform(v, down)
+
+
+def whole(numbers: np.ndarray) -> np.ndarray:
+    """Python's integers, exact at any size."""
+    return np.frompyfunc(int, 1, 1)(numbers)
 
 
 class Lists:
     """The sorted lists of a shard's distinct rows (whole numbers as doubles)."""
 
     def __init__(self, vectors: np.ndarray, labels: np.ndarray, ids: list[list[int]]):
-        top = np.abs(vectors).max(initial=0)
-        # whole numbers below 2^53 add up exactly in doubles; beyond that, Python's integers
-        self.limit = (1 << 53) / max(top, 1) / max(vectors.shape[1], 1)
         self.vectors, self.labels, self.ids = vectors, labels, ids
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.exact = None
+        self.order = np.argsort(vectors, axis=0, kind="stable").astype(np.int32)
+        self.products = np.abs(vectors).max(initial=1) * max(vectors.shape[1], 1)
+        self.kinds = {np.float64: vectors}
+
+    def kind(self, anchor: np.ndarray):
+        """The smallest type in which whole numbers add up exactly."""
+        top = self.products * np.abs(anchor).max(initial=0)
+        return np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else object
 
     def scores(self, rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        if np.abs(anchor).max(initial=0) <= self.limit:
-            return self.vectors[rows] @ anchor
-        if self.exact is None:
-            self.exact = np.array([[int(x) for x in v] for v in self.vectors], object).reshape(self.vectors.shape)
-        return self.exact[rows] @ np.array([int(x) for x in anchor], object)
+        kind = self.kind(anchor)
+        if kind not in self.kinds:
+            self.kinds[kind] = self.vectors.astype(kind) if kind is np.float32 else whole(self.vectors)
+        return self.kinds[kind][rows] @ (whole(anchor) if kind is object else anchor.astype(kind))
 
     def met(self, anchor: np.ndarray):
         """Yields (rows first met, their scores, threshold) as the lists are
-        read, twice as deep each time; the threshold after the last is None."""
+        read, twice as deep each time; the threshold is None once no row is
+        unmet.  Fewer unmet rows than lists are scored at once, as one more
+        step of all lists would cost that much."""
         n = len(self.vectors)
-        dims = np.flatnonzero(anchor)
-        down = anchor[dims] > 0
+        falling, rising = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
+        lists = np.concatenate([falling, rising])
         new = np.ones(n, bool)
-        depth, last = 0, min(FIRST, n)
-        while len(dims):
-            places = np.arange(depth, last)
-            at = np.where(down, n - 1 - places[:, None], places[:, None])
-            rows = np.unique(self.order[at, dims])
-            rows = rows[new[rows]]
+        depth, last = 0, FIRST
+        while len(lists) and last < n:
+            here = np.zeros(n, bool)
+            here[self.order[n - last : n - depth, falling]] = True
+            here[self.order[depth:last, rising]] = True
+            rows = np.flatnonzero(here & new)
             new[rows] = False
-            if last == n:
-                break
-            ends = self.vectors[self.order[at[-1], dims], dims]
-            if np.abs(anchor).max() <= self.limit:
-                threshold = ends @ anchor[dims]
-            else:
-                threshold = sum(int(a) * int(b) for a, b in zip(ends, anchor[dims]))
+            if np.count_nonzero(new) < len(lists):
+                rows = np.concatenate([rows, np.flatnonzero(new)])
+                yield rows, self.scores(rows, anchor), None
+                return
+            ends = np.concatenate([self.vectors[self.order[n - last, falling], falling], self.vectors[self.order[last - 1, rising], rising]])
+            threshold = whole(ends) @ whole(anchor[lists]) if self.kind(anchor) is object else ends @ anchor[lists]
             yield rows, self.scores(rows, anchor), threshold
-            depth, last = last, min(2 * last, n)
-        rows = rows if len(dims) else np.arange(n)
+            depth, last = last, 2 * last
+        rows = np.flatnonzero(new)
         yield rows, self.scores(rows, anchor), None
 
     def search(self, anchor: np.ndarray, me: int, wanted, windows: list[tuple], k: int) -> list[list[tuple]]:
         """For each window (lowest, highest score; None: open) the k best
         (score, id) of the rows whose label is ``wanted``, but not ``me``."""
-        rows, scores = np.zeros(0, np.int64), np.zeros(0)
-        for more, theirs, threshold in self.met(anchor):
-            fit = wanted(self.labels[more])
-            rows, scores = np.concatenate([rows, more[fit]]), np.concatenate([scores, theirs[fit]])
-            found = [self.best(rows, scores, low, high, me, k) for low, high in windows]
+        found = [[] for _ in windows]
+        for rows, scores, threshold in self.met(anchor):
+            fit = wanted(self.labels[rows])
+            rows, scores = rows[fit], scores[fit]
+            found = [self.best(have, rows, scores, low, high, me, k) for have, (low, high) in zip(found, windows)]
             if threshold is None or all((low is not None and (threshold < low or low > high)) or (len(x) == k and threshold < x[-1][0]) for x, (low, high) in zip(found, windows)):
-                return found
+                break
+        return found
 
-    def best(self, rows, scores, low, high, me: int, k: int) -> list[tuple]:
+    def best(self, have: list[tuple], rows, scores, low, high, me: int, k: int) -> list[tuple]:
+        """The k best of a window so far and of more rows."""
+        if len(have) == k:
+            low = have[-1][0]
         fit = np.ones(len(rows), bool)
         if low is not None:
             fit &= scores >= low
@@ -127,7 +139,7 @@ class Lists:
         if len(rows) > k + 1:  # distinct rows; one of them may be the anchor's
             edge = np.sort(scores)[-k - 1]
             rows, scores = rows[scores >= edge], scores[scores >= edge]
-        every = [(-int(s), i) for r, s in zip(rows, scores) for i in self.ids[r] if i != me]
+        every = [(-s, i) for s, i in have] + [(-int(s), i) for r, s in zip(rows, scores) for i in self.ids[r] if i != me]
         return [(-s, i) for s, i in sorted(every)[:k]]
 
 

@@ -8,6 +8,8 @@ streaming DataFrames alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +33,13 @@ def envelope(df: DataFrame, key_col: str, num_partitions: int | None = None) ->
     return out
 
 
-def parse_feed(records: DataFrame, feed: str, value_col: str = "value") -> DataFrame:
-    """JSON records -> typed columns by the feed's schema.
+def parse_feed(records: DataFrame, feed: str, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """JSON records -> typed columns by the feed's schema, and the
+    columns of the envelope named in ``keep`` (a send time).
     A number where text is declared (a loan status sent as 3) reads as '3'."""
     schema = FEEDS[feed]
-    return records.select(F.from_json(F.col(value_col).cast("string"), schema).alias("r")
-                          ).select("r.*")
+    return records.select(F.from_json(F.col(value_col).cast("string"), schema).alias("r"), *keep
+                          ).select("r.*", *keep)
 
 
 # Dates in feed records are text; a malformed one reads as NULL (the
@@ -91,12 +94,12 @@ def payments_to_fact(typed: DataFrame) -> DataFrame:
         F.year("paid_date").alias("year"), F.month("paid_date").alias("month"))
 
 
-def loans_to_dim(typed: DataFrame) -> DataFrame:
-    """Loan feed -> ``dim_loans`` columns (+ year, month of the start date)."""
+def loans_to_dim(typed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Loan feed -> ``dim_loans`` columns (+ year, month of the start date, + ``keep``)."""
     return typed.select("loan_id", "customer_id", "amount",
                         F.col("interest_rate").cast("float").alias("interest_rate"), "term",
                         "start_date", "end_date", "type", "status",
-                        F.year("start_date").alias("year"), F.month("start_date").alias("month"))
+                        F.year("start_date").alias("year"), F.month("start_date").alias("month"), *keep)
 
 
 TO_TABLE = {"transaction": (typed_transactions, transactions_to_fact),

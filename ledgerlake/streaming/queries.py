@@ -290,12 +290,15 @@ def append_sink(stream: DataFrame, path: str, checkpoint: str, available_now: bo
 
 
 def ingest_feed(records: DataFrame, feed: str, table_path: str, checkpoint: str,
-                available_now: bool = True):
+                available_now: bool = True, fold_every: int | None = None, **fold):
     """Parse a keyed JSON feed into its fact/dimension shape
     (``fact_transactions``, ``fact_loan_payments``, ``dim_loans``) and add
     each micro-batch to a table partitioned by ``year``/``month``/``batch_id``.
     Writes use dynamic partition overwrite, so a replayed batch replaces
-    exactly its own partitions (idempotent), and readers prune by month."""
+    exactly its own partitions (idempotent), and readers prune by month.
+    With ``fold_every``, small batch folders are folded after as many
+    batches (``sinks.folding``); the table is then read with its ``read``."""
+    from ledgerlake.sinks import folding
     from ledgerlake.streaming import feeds
     typer, shaper = feeds.TO_TABLE[feed]
     rows = shaper(typer(feeds.parse_feed(records, feed)))
@@ -304,6 +307,27 @@ def ingest_feed(records: DataFrame, feed: str, table_path: str, checkpoint: str,
         from ledgerlake.sinks.writers import write_partitioned
         write_partitioned(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
                           table_path, ("year", "month", "batch_id"), mode="overwrite")
+        if fold_every and batch_id % fold_every == fold_every - 1:
+            folding.fold(batch.sparkSession, table_path, before=batch_id, **fold)
+
+    w = (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(write_batch))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
+def upsert_loans(records: DataFrame, table_path: str, checkpoint: str, sent: str = "sent_at", n_buckets: int = 64,
+                 available_now: bool = True):
+    """R3 for the loan dimension: a loan is sent again with each change of
+    status, and ``dim_loans`` has one row per loan, the one sent last
+    (``sent``, a column of the envelope).  Each micro-batch updates the keyed
+    table under its batch id, so a replayed batch gives the same rows."""
+    from ledgerlake.sinks.keyed import KeyedTable
+    from ledgerlake.streaming import feeds
+    rows = feeds.loans_to_dim(feeds.typed_loans(feeds.parse_feed(records, "loan", keep=[sent])), keep=[sent])
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        KeyedTable(batch.sparkSession, table_path, "loan_id", [sent], n_buckets).update(batch, batch_id)
 
     w = (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(write_batch))

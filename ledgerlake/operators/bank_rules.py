@@ -137,17 +137,33 @@ def customer_rules() -> dict[str, Column]:
     }
 
 
+def landing_rule_sets(spark: SparkSession, src: dict[str, DataFrame], as_of) -> dict[str, tuple[DataFrame, dict[str, Column]]]:
+    """Each raw landing table with the limits its rules need, and the rules."""
+    return {
+        "accounts": (with_account_limits(spark, src["accounts"]), account_rules()),
+        "transactions": (with_transaction_limits(spark, src["transactions"]), transaction_rules()),
+        "cards": (with_card_types(spark, src["cards"]), card_rules()),
+        "loans": (with_loan_limits(spark, src["loans"]), loan_rules()),
+        "loan_payments": (with_loan(src["loan_payments"], src["loans"]), payment_rules(as_of)),
+        "customers": (src["customers"], customer_rules()),
+    }
+
+
 def check_landing(spark: SparkSession, src: dict[str, DataFrame], as_of) -> DataFrame:
     """All rule sets over the raw landing tables: (rule, n_bad), one scan per table."""
     from ledgerlake.operators.quality import rule_counts, union_counts
-    return union_counts([
-        rule_counts(with_account_limits(spark, src["accounts"]), account_rules()),
-        rule_counts(with_transaction_limits(spark, src["transactions"]), transaction_rules()),
-        rule_counts(with_card_types(spark, src["cards"]), card_rules()),
-        rule_counts(with_loan_limits(spark, src["loans"]), loan_rules()),
-        rule_counts(with_loan(src["loan_payments"], src["loans"]), payment_rules(as_of)),
-        rule_counts(src["customers"], customer_rules()),
-    ])
+    return union_counts([rule_counts(df, rules) for df, rules in landing_rule_sets(spark, src, as_of).values()])
+
+
+def land_observed(spark: SparkSession, src: dict[str, DataFrame], as_of, folder: str) -> DataFrame:
+    """V3-V11 while the landing tables are written: the rules are counted on
+    the rows as they pass to the writer, so no table is scanned a second time
+    for its checks.  Returns (rule, n_bad); a row per rule reaches the driver."""
+    from ledgerlake.sinks.writers import write_observed
+    counts = []
+    for name, (df, rules) in landing_rule_sets(spark, src, as_of).items():
+        counts += write_observed(df, rules, f"{folder}/{name}", src[name].columns).items()
+    return spark.createDataFrame(counts, "rule string, n_bad long")
 
 
 def _fields(schema, prefix: str = ""):

@@ -96,3 +96,19 @@ def union_slices(slices: Sequence[DataFrame]) -> DataFrame:
     for s in slices[1:]:
         out = out.unionByName(s)
     return out
+
+
+def scan_calendar(fact: DataFrame, calendar: DataFrame, date: str, parts: Sequence[str] = ("year", "month")) -> DataFrame:
+    """S4/O4 by calendar: rows of a fact partitioned by ``parts`` whose day is
+    in ``calendar``, a ``dim_date`` under any filter (quarters, weekends).
+
+    The months to read follow from the calendar at run time: it is broadcast
+    (a row a day, 18,628 for the whole dimension) and its months prune the
+    fact's partitions before they are scanned (dynamic partition pruning).
+    The months of a calendar's days are those of the days themselves, so the
+    join on the day alone decides."""
+    c = calendar.select(F.col("full_date").alias("__day"), *[F.col(p).alias(f"__{p}") for p in parts])
+    on = F.to_date(F.col(date)) == F.col("__day")
+    for p in parts:
+        on = on & (F.col(p) == F.col(f"__{p}"))
+    return fact.join(F.broadcast(c), on, "inner").select(*fact.columns)

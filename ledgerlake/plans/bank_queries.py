@@ -127,8 +127,20 @@ from ledgerlake.plans.catalog.stream_queries import (  # noqa: F401
     stream_enrich,
     stream_ingest_payments,
     stream_ingest_loans,
+    stream_late_balance,
+    stream_fold,
+    stream_upsert_loans,
     feed_shards,
 )
+from ledgerlake.plans.catalog.live_queries import (  # noqa: F401
+    incremental_latest_balance,
+    customer360_colocated,
+    calendar_scan,
+    observed_rule_checks,
+    csv_quarantine,
+    stream_orphans,
+    document_drift,
+)
 
 QUERIES = {
     "latest_balance": latest_balance,
@@ -233,5 +245,15 @@ QUERIES = {
     "document_checks": document_checks,
     "customer360_documents": customer360_documents,
     "branches_json": branches_json,
+    "stream_late_balance": stream_late_balance,
+    "stream_fold": stream_fold,
+    "stream_upsert_loans": stream_upsert_loans,
+    "incremental_latest_balance": incremental_latest_balance,
+    "customer360_colocated": customer360_colocated,
+    "calendar_scan": calendar_scan,
+    "observed_rule_checks": observed_rule_checks,
+    "csv_quarantine": csv_quarantine,
+    "stream_orphans": stream_orphans,
+    "document_drift": document_drift,
 }
 

@@ -88,6 +88,35 @@ def stream_balance_after(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", F.col("balance_after").cast("bigint").alias("balance_after"))
 
 
+def _in_parts(df: DataFrame, n: int, part, name: str) -> tuple[str, int]:
+    """``df`` written as ``n`` deliveries by the number ``part``, one after the
+    other; returns the folder and the number of files of a delivery."""
+    from ledgerlake.session import scratch_path
+    folder, files = scratch_path(df.sparkSession, name), 0
+    for k in range(n):
+        (df.where(part == k).hint("rebalance").write.mode("append").parquet(folder))
+        have = len(df.sparkSession.read.parquet(folder).inputFiles())
+        files = max(files, -(-have // (k + 1)))
+    return folder, files
+
+
+def stream_late_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 with late events: the events come in three deliveries, each over the
+    whole time span, so that most events of the later two are late; every
+    balance is corrected and equals W4 over the whole history."""
+    from ledgerlake.streaming import late
+    from ledgerlake.streaming import queries as SQ
+    t = Tables(spark, sf_dir)
+    e = R.signed_events(spark, t).select("event_id", "user_id", "ts", "amount_cents")
+    folder, files = _in_parts(e, 3, F.pmod(F.xxhash64("event_id"), F.lit(3)), "late_events")
+    stream = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", files).parquet(folder)
+    out, ckpt = SQ.scratch(spark, "stream_late_balance")
+    SQ.run_to_end(late.late_balance_sink(stream, "user_id", "ts", "event_id", "amount_cents", out, ckpt, slots_in_bucket=30))
+    opening = t.customer.select("c_custkey", R.cents("c_acctbal").alias("open_cents"))
+    return late.balances(spark, out, opening, "c_custkey", "open_cents").select(
+        F.col("id").alias("event_id"), F.col("account").alias("user_id"), "balance_after")
+
+
 def stream_latest_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest value per account by event time, continuously."""
     from ledgerlake.streaming import queries as SQ
@@ -165,25 +194,25 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _through_feed(spark: SparkSession, rows: DataFrame, feed: str, table: str) -> DataFrame:
-    """Rows published as keyed JSON records on two shards (K9, R6: all records
-    of a key on one), consumed as a stream and ingested (R3)."""
+    """Rows published as keyed JSON records (K9), consumed as a stream and
+    ingested (R3); ``feed_shards`` shows R6."""
     from pyspark.sql import types as T2
 
     from ledgerlake.session import scratch_path
     from ledgerlake.streaming import feeds
     from ledgerlake.streaming import queries as SQ
-    records = feeds.envelope(rows, S.FEED_KEYS[feed], num_partitions=2)
+    records = feeds.envelope(rows, S.FEED_KEYS[feed])
     topic = scratch_path(spark, f"{feed}_records")
-    records.withColumn("shard", F.spark_partition_id()).write.partitionBy("shard").json(topic)
+    records.write.json(topic)
     raw = T2.StructType([T2.StructField("key", T2.StringType()), T2.StructField("value", T2.StringType())])
-    stream = spark.readStream.schema(raw).json(f"{topic}/*")
+    stream = spark.readStream.schema(raw).json(topic)
     out, ckpt = SQ.scratch(spark, table)
     SQ.run_to_end(SQ.ingest_feed(stream, feed, out, ckpt))
     return as_ntz(spark.read.parquet(out).drop("batch_id"))
 
 
 def stream_ingest_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S9 + K9 + R3 + R6: lineitem as the loan-payment feed -> ``fact_loan_payments``."""
+    """S9 + K9 + R3: lineitem as the loan-payment feed -> ``fact_loan_payments``."""
     from ledgerlake.plans.catalog.star_queries import lineitem_as_landing_payments
     p = lineitem_as_landing_payments(Tables(spark, sf_dir)).drop("year", "month")
     dates = ("scheduled_payment_date", "payment_date", "paid_date")
@@ -191,27 +220,69 @@ def stream_ingest_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_feed(spark, p, "loan_payment", "fact_loan_payments_live")
 
 
-def stream_ingest_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10 + K9 + R3 + R6: orders as the loan feed -> ``dim_loans``; paid
-    loans carry their status as the number 3 (P14)."""
+def _loan_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as loan feed records; paid loans carry their status as 3."""
     from ledgerlake.plans.catalog.common import orders_as_loans
     o = orders_as_loans(spark, Tables(spark, sf_dir))
     paid = F.col("loan_status_id") == S.PAID_STATUS_CODE
-    loans = o.select(FX.format_id("LOA", "o_orderkey", S.ID_WIDTH).alias("loan_id"),
+    return o.select(FX.format_id("LOA", "o_orderkey", S.ID_WIDTH).alias("loan_id"),
                      FX.format_id("CUS", "o_custkey", S.ID_WIDTH).alias("customer_id"),
                      F.col("loan_type").alias("type"), R.cents("o_totalprice").alias("amount"),
                      F.lit(S.CURRENCY).alias("currency"), F.lit(7.5).alias("interest_rate"),
                      F.lit(12).alias("term"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
                      F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 360), "yyyy-MM-dd").alias("end_date"),
                      F.when(paid, F.lit(str(S.PAID_STATUS_CODE))).otherwise(F.col("loan_status")).alias("status"))
-    return _through_feed(spark, loans, "loan", "dim_loans_live")
+
+
+def stream_ingest_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + K9 + R3: orders as the loan feed -> ``dim_loans``; paid
+    loans carry their status as the number 3 (P14)."""
+    return _through_feed(spark, _loan_feed(spark, sf_dir), "loan", "dim_loans_live")
+
+
+def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 + K7: the transaction feed in ten micro-batches, whose small batch
+    folders are folded while the stream runs; same rows as without."""
+    from ledgerlake.sinks import folding
+    from ledgerlake.streaming import feeds
+    from ledgerlake.streaming import queries as SQ
+    e = transaction_feed_record(R.signed_events(spark, Tables(spark, sf_dir)))
+    records = feeds.envelope(e, "account_id")
+    folder, files = _in_parts(records, 10, F.pmod(F.xxhash64("value"), F.lit(10)), "transaction_records")
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    table, ckpt = SQ.scratch(spark, "fact_transactions_folded")
+    SQ.run_to_end(SQ.ingest_feed(stream, "transaction", table, ckpt, fold_every=4, least=3))
+    return as_ntz(folding.read(spark, table).drop("batch_id"))
+
+
+def stream_upsert_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 for ``dim_loans``: every loan is sent three times with a status each,
+    the deliveries out of order; one row a loan stays, the one sent last."""
+    from ledgerlake.sinks.keyed import KeyedTable
+    from ledgerlake.streaming import feeds
+    from ledgerlake.streaming import queries as SQ
+    loans = _loan_feed(spark, sf_dir)
+    sent = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("nth")
+    n = F.regexp_extract("loan_id", r"([0-9]+)$", 1).cast("long")
+    sends = loans.select("*", sent).withColumns({
+        "status": F.when(F.col("nth") < 2, F.concat(F.lit("sent "), F.col("nth"))).otherwise(F.col("status")),
+        "delivery": F.pmod(F.col("nth") + n, F.lit(3))})
+    records = sends.select(F.col(S.FEED_KEYS["loan"]).cast("string").alias("key"),
+                           F.to_json(F.struct(*loans.columns), feeds.JSON_OPTIONS).alias("value"), F.col("nth").alias("sent_at"), "delivery")
+    folder, files = _in_parts(records, 3, F.col("delivery"), "loan_records")
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    table, ckpt = SQ.scratch(spark, "dim_loans_keyed")
+    SQ.run_to_end(SQ.upsert_loans(stream, table, ckpt, n_buckets=8))
+    return as_ntz(KeyedTable(spark, table, "loan_id", ["sent_at"], 8).read().drop("sent_at"))
 
 
 def feed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as feed records over eight shards: records of each account
-    and the number of shards they lie on."""
+    """Events as feed records over as many shards as the session has
+    shuffle partitions: records of each account and the number of shards
+    they lie on."""
     from ledgerlake.streaming import feeds
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = transaction_feed_record(R.signed_events(spark, Tables(spark, sf_dir)))
-    on = feeds.envelope(rows, S.FEED_KEYS["transaction"], num_partitions=8).withColumn("shard", F.spark_partition_id())
+    on = feeds.envelope(rows, S.FEED_KEYS["transaction"], num_partitions=shards).withColumn("shard", F.spark_partition_id())
     per = on.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("key").agg(F.sum("n").alias("n_records"), F.count(F.lit(1)).alias("n_shards"))

@@ -733,3 +733,37 @@ ORACLE_SQL["customer360_documents"] = f"""
 ORACLE_SQL["branches_json"] = """
     SELECT s_name AS name, 'Hà Nội ' || CAST(s_nationkey AS VARCHAR) AS address, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS phone_number
     FROM supplier WHERE s_nationkey % 3 = 0 AND s_acctbal >= 0"""
+
+# queries that reach an answer another way give that answer
+ORACLE_SQL |= {new: ORACLE_SQL[same] for new, same in {
+    "stream_late_balance": "stream_balance_after", "stream_fold": "stream_ingest", "stream_upsert_loans": "stream_ingest_loans",
+    "incremental_latest_balance": "latest_balance", "observed_rule_checks": "landing_rule_checks"}.items()}
+ORACLE_SQL["customer360_colocated"] = f"""
+    WITH l AS (SELECT o_custkey, count(*) AS n_loans, CAST(sum({cents('o_totalprice')}) AS BIGINT) AS loans_total_cents FROM orders GROUP BY 1),
+    r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events),
+    e AS (SELECT user_id, CAST(pos // 16 AS BIGINT) AS chunk, count(*) AS n, arg_min(event_id, pos) AS first_event_id, arg_max(event_id, pos) AS last_event_id
+          FROM r GROUP BY user_id, pos // 16)
+    SELECT c.c_custkey, c.c_name, coalesce(l.n_loans, 0) AS n_loans, coalesce(l.loans_total_cents, 0) AS loans_total_cents,
+           e.chunk, CAST(coalesce(e.n, 0) AS INTEGER) AS n, e.first_event_id, e.last_event_id
+    FROM customer c LEFT JOIN l ON l.o_custkey = c.c_custkey LEFT JOIN e ON e.user_id = c.c_custkey"""
+ORACLE_SQL["calendar_scan"] = """
+    SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+    WHERE quarter(o_orderdate) IN (2, 4) AND isodow(o_orderdate) >= 6"""
+ORACLE_SQL["csv_quarantine"] = """
+    WITH c AS (SELECT c_custkey AS k, c_name, CAST(CAST(c_acctbal AS DECIMAL(15, 2)) AS VARCHAR) AS bal FROM customer)
+    SELECT CASE WHEN k % 11 IN (1, 2, 3) THEN 'quarantined' ELSE 'row' END AS kind, k AS id,
+           CASE WHEN k % 11 = 4 THEN 'with, comma' WHEN k % 11 IN (1, 2, 3) THEN NULL ELSE c_name END AS name,
+           CASE k % 11 WHEN 1 THEN k || ',' || c_name WHEN 2 THEN k || ',' || c_name || ',a lot' WHEN 3 THEN k || ',' || c_name || ',1.00,more' ELSE bal END AS detail
+    FROM c"""
+ORACLE_SQL["stream_orphans"] = f"""
+    SELECT l_orderkey AS loan_id, CAST(l_linenumber AS INTEGER) AS l_linenumber FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE {R.PARENT_FILTERS['orders']})"""
+ORACLE_SQL["document_drift"] = """
+    WITH e AS (SELECT event_id, event_type = 'error' AS as_text, event_type <> 'error' AND event_id % 50 = 7 AS broken FROM events),
+    r AS (
+      SELECT '' AS path, 'unreadable' AS status, NULL AS declared, NULL AS found, count(*) FILTER (WHERE broken) AS n_docs FROM e
+      UNION ALL SELECT 'channel', 'added', NULL, 'string', count(*) FILTER (WHERE NOT broken AND event_id % 3 = 0) FROM e
+      UNION ALL SELECT 'branch', 'missing', 'string', NULL, count(*) FILTER (WHERE NOT broken) FROM e
+      UNION ALL SELECT 'customer.name', 'missing', 'string', 'string', count(*) FILTER (WHERE NOT broken AND event_id % 5 = 0) FROM e
+      UNION ALL SELECT 'amount', 'retyped', 'double', 'variant', count(*) FILTER (WHERE as_text) FROM e)
+    SELECT * FROM r WHERE n_docs > 0"""

@@ -9,9 +9,9 @@ partition overwrite), so a rerun replaces instead of appending (D13).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     rebalance(df).write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+def write_observed(df: DataFrame, rules: Mapping[str, Column], path: str, columns: Sequence[str], mode: str = "overwrite") -> dict[str, int]:
+    """K1 with V3-V11: writes ``columns`` of ``df`` and returns the number of
+    rows that break each rule (a Column, NULL counts as passing).  The counts
+    are metrics of the write itself, gathered behind its last shuffle, where
+    a task that runs again counts once."""
+    from pyspark.sql import Observation
+    flags = {f"__r{i}": F.coalesce(bad, F.lit(False)) for i, bad in enumerate(rules.values())}
+    seen = Observation()
+    rows = rebalance(df.select(*columns, *[c.alias(n) for n, c in flags.items()]))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(n)).alias(n) for n in flags])
+    rows.select(*columns).write.mode(mode).option("compression", "snappy").parquet(path)
+    return dict(zip(rules, (seen.get[n] for n in flags)))
+
+
 def write_partitioned(df: DataFrame, path: str, parts: Sequence[str],
                       mode: str = "overwrite", dynamic: bool = True) -> None:
     """K2/K6: Parquet partitioned by derived columns.  ``dynamic`` overwrite

@@ -23,6 +23,36 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .csv(path))
 
 
+#: Column of a line that doesn't read as its schema says.
+BAD_LINE = "_bad_line"
+
+
+def read_csv_quarantined(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with a quarantine: (good rows, bad lines).
+
+    A line goes to quarantine whole if it has too few or too many fields or a
+    value that doesn't read as its type, instead of turning into NULLs: the
+    raw ``line``, what could be read of it (``parsed``, JSON) and its
+    ``file``.  Good rows and bad lines add up to the lines of the files
+    (headers and blank lines aside)."""
+    raw = (spark.read.schema(T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())]))
+           .option("header", header).option("sep", ",").option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", False)
+           .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("dateFormat", "yyyy-MM-dd").csv(path))
+    good = raw.where(F.col(BAD_LINE).isNull()).select(*schema.names)
+    bad = raw.where(F.col(BAD_LINE).isNotNull()).select(
+        F.col(BAD_LINE).alias("line"), F.to_json(F.struct(*schema.names)).alias("parsed"), F.col("_metadata.file_path").alias("file"))
+    return good, bad
+
+
+def land_csv(spark: SparkSession, path: str, schema: T.StructType, out: str, quarantine: str, header: bool = True) -> None:
+    """A CSV export to Parquet, its bad lines to ``quarantine``."""
+    from ledgerlake.sinks.writers import write_parquet
+    good, bad = read_csv_quarantined(spark, path, schema, header)
+    write_parquet(good, out)
+    write_parquet(bad, quarantine)
+
+
 def read_landing_csvs(spark: SparkSession, folder: str,
                       schemas: Mapping[str, T.StructType] = S.LANDING_CSV,
                       register: bool = True) -> dict[str, DataFrame]:

@@ -37,7 +37,11 @@ def leaves(schema: T.StructType, prefix: tuple[str, ...] = ()) -> dict[tuple[str
 
 
 def _value(doc: Column, path: tuple[str, ...]) -> Column:
-    return F.try_variant_get(doc, "$" + "".join("['" + name.replace("'", "\\'") + "']" for name in path), "variant")
+    """The value at a path; a name with both kinds of quotes can't be addressed."""
+    if any("'" in name and '"' in name for name in path):
+        return F.lit(None).cast("variant")
+    quoted = [f'["{name}"]' if "'" in name else f"['{name}']" for name in path]
+    return F.try_variant_get(doc, "$" + "".join(quoted), "variant")
 
 
 def drift(docs: DataFrame, declared: T.StructType, json_col: str = "value") -> DataFrame:

@@ -23,9 +23,10 @@ def latest_balance_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 ["balance_after"])
 
 
-#: B18 as text: per account, the balance of the greatest (time, id).
+#: B18 as text: per account, the balance of the greatest (time, id), which
+#: are one whole number, so that the aggregate is hashed and needs no sort.
 LATEST_BALANCE_SQL = """
-SELECT account_id, max_by(balance_after, struct(`timestamp`, transaction_id)) AS balance_after
+SELECT account_id, max_by(balance_after, CAST(unix_micros(CAST(`timestamp` AS TIMESTAMP)) AS DECIMAL(18, 0)) * 10000000000000000000BD + transaction_id) AS balance_after
 FROM {facts} GROUP BY account_id
 """
 

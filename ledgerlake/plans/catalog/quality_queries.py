@@ -51,14 +51,19 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V2: values present as text that do not read as their declared type."""
+    """V2: values present as text that do not read as their declared type.
+    The text is what an export gives: some keys with a letter, some amounts
+    with a comma, some balances with their currency."""
     t = Tables(spark, sf_dir)
-    ev = t.events.select(F.get_json_object("props", "$.k").alias("props_k"),
-                         F.col("value").cast("string").alias("value_text"))
+    k = F.get_json_object("props", "$.k")
+    ev = t.events.select(F.when(F.col("event_id") % 10 == 3, F.concat(F.lit("k"), k)).otherwise(k).alias("props_k"),
+                         F.when(F.col("event_type") == "error", F.translate(F.col("value").cast("string"), ".", ","))
+                         .otherwise(F.col("value").cast("string")).alias("value_text"))
     r1 = quality.rule_counts(ev, quality.type_rules(ev, {"props_k": "int",
                                                          "value_text": "double"},
                                                     prefix="events."))
-    c = t.customer.select(F.col("c_name"), F.col("c_acctbal").cast("string").alias("bal"))
+    bal = F.col("c_acctbal").cast("string")
+    c = t.customer.select(F.col("c_name"), F.when(F.col("c_mktsegment") == "BUILDING", F.concat(bal, F.lit(" VND"))).otherwise(bal).alias("bal"))
     r2 = quality.rule_counts(c, quality.type_rules(c, {"c_name": "bigint", "bal": "double"},
                                                    prefix="customer."))
     return r1.unionByName(r2)
@@ -183,18 +188,22 @@ def landing_rule_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1 + V2 + K11 on raw documents: events written as JSON documents of the
-    transactions collection, some with a fault that depends on the event
-    (amount as text, no payment method, numeric customer id, an account id
-    beyond 32 bits, no date), read back as text and checked."""
+    transactions collection, each field with a fault that depends on the
+    event (absent, or of another type: an amount as text, a numeric customer
+    id, an account id beyond 32 bits, a date that isn't one), read back as
+    text and checked."""
     from ledgerlake.session import scratch_path
     e = Tables(spark, sf_dir).events
     n = F.col("event_id")
     text = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
-    fields = [("_id", text(n)), ("customer_id", F.when(n % 10 == 0, F.col("user_id").cast("string")).otherwise(text(F.col("user_id")))),
+    number = lambda every, value: F.when(n % every == 0, n.cast("string")).otherwise(value)
+    fields = [("_id", F.when(n % 37 != 0, number(17, text(n)))),
+              ("customer_id", F.when(n % 41 != 0, number(10, text(F.col("user_id"))))),
               ("account_id", F.when(n % 11 == 0, F.lit("3000000000")).otherwise(F.col("user_id").cast("string"))),
-              ("date", F.when(n % 13 != 0, text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")))),
-              ("amount", F.when(F.col("event_type") == "error", F.lit('"a lot"')).otherwise(F.col("value").cast("string"))),
-              ("type", text(F.col("event_type"))), ("payment_method", F.when(F.col("event_type") != "click", F.lit('"card"')))]
+              ("date", F.when(n % 19 == 0, F.lit('"yesterday"')).when(n % 13 != 0, text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")))),
+              ("amount", F.when(F.col("event_type") == "error", F.lit('"a lot"')).when(n % 43 != 0, F.col("value").cast("string"))),
+              ("type", F.when(n % 47 != 0, number(23, text(F.col("event_type"))))),
+              ("payment_method", F.when(F.col("event_type") != "click", number(29, F.lit('"card"'))))]
     body = F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in fields])  # null fields are left out
     path = scratch_path(spark, "documents")
     e.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value")).write.text(path)

@@ -126,7 +126,9 @@ def star_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3-K6 + S6: the branch dimension created as a catalog table and filled
     by name twice (an append, then a full refresh), the transaction fact
     written by year and month through the catalog, its last month written
-    again; both read through ``spark.table``."""
+    again; both read through ``spark.table``.  K6's ``years``/``months``
+    transforms (``writers.write_to_catalog``) need a catalog that takes them,
+    which the session's own doesn't: here they are derived columns."""
     import uuid
 
     from ledgerlake.session import scratch_path

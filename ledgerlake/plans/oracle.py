@@ -71,6 +71,14 @@ def _rule_union(table: str, rules: list[tuple[str, str]]) -> str:
         for name, cond in rules)
 
 
+# the faults of the documents in ``document_checks``
+_ABSENT = {"_id": "event_id % 37 = 0", "customer_id": "event_id % 41 = 0", "date": "event_id % 13 = 0 AND event_id % 19 <> 0",
+           "amount": "event_type <> 'error' AND event_id % 43 = 0", "type": "event_id % 47 = 0", "payment_method": "event_type = 'click'"}
+_RETYPED = {"_id": "event_id % 37 <> 0 AND event_id % 17 = 0", "customer_id": "event_id % 41 <> 0 AND event_id % 10 = 0",
+            "account_id": "event_id % 11 = 0", "date": "event_id % 19 = 0", "amount": "event_type = 'error'",
+            "type": "event_id % 47 <> 0 AND event_id % 23 = 0", "payment_method": "event_type <> 'click' AND event_id % 29 = 0"}
+
+
 def _fk(name, child, fk, parent, pk):
     return (f"SELECT '{name}' AS relation, CAST(count(*) AS BIGINT) AS n_orphans FROM {child} c "
             f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
@@ -360,10 +368,11 @@ ORACLE_SQL = {
     "required_fields": " UNION ALL ".join(
         _rule_union(t, [(f"{t}.required:{c}", f"({e}) IS NULL") for c, e in cols.items()]) for t, cols in R.MISSING.items()),
     "type_check": " UNION ALL ".join([
-        _rule_union("(SELECT json_extract_string(props, '$.k') AS props_k, CAST(value AS VARCHAR) AS value_text FROM events)",
+        _rule_union("""(SELECT CASE WHEN event_id % 10 = 3 THEN 'k' || json_extract_string(props, '$.k') ELSE json_extract_string(props, '$.k') END AS props_k,
+                            CASE WHEN event_type = 'error' THEN replace(CAST(value AS VARCHAR), '.', ',') ELSE CAST(value AS VARCHAR) END AS value_text FROM events)""",
                     [("events.type:props_k:int", "props_k IS NOT NULL AND TRY_CAST(props_k AS INTEGER) IS NULL"),
                      ("events.type:value_text:double", "value_text IS NOT NULL AND TRY_CAST(value_text AS DOUBLE) IS NULL")]),
-        _rule_union("(SELECT c_name, CAST(c_acctbal AS VARCHAR) AS bal FROM customer)",
+        _rule_union("(SELECT c_name, CAST(c_acctbal AS VARCHAR) || CASE WHEN c_mktsegment = 'BUILDING' THEN ' VND' ELSE '' END AS bal FROM customer)",
                     [("customer.type:c_name:bigint", "c_name IS NOT NULL AND TRY_CAST(c_name AS BIGINT) IS NULL"),
                      ("customer.type:bal:double", "bal IS NOT NULL AND TRY_CAST(bal AS DOUBLE) IS NULL")])]),
     "id_pattern": " UNION ALL ".join(
@@ -710,11 +719,8 @@ ORACLE_SQL |= {
             ("customers.id", _id("customer_id", "customer")), ("customers.country", f"country NOT IN ({_lit(S.COUNTRY)})"),
             ("customers.city", f"city NOT IN ({', '.join(map(_lit, S.CITIES))})")])]),
     "document_checks": _rule_union("events", [
-        (f"transactions.required:{f}", {"date": "event_id % 13 = 0", "payment_method": "event_type = 'click'"}.get(f, "false"))
-        for f in S.REQUIRED_FIELDS["transactions"]] + [
-        (f"transactions.type:{f}", {"customer_id": "event_id % 10 = 0", "account_id": "event_id % 11 = 0",
-                                    "amount": "event_type = 'error'"}.get(f, "false"))
-        for f in S.DOCUMENTS["transactions"].names]),
+        (f"transactions.required:{f}", _ABSENT[f]) for f in S.REQUIRED_FIELDS["transactions"]] + [
+        (f"transactions.type:{f}", _RETYPED[f]) for f in S.DOCUMENTS["transactions"].names]),
 }
 
 

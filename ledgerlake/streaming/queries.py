@@ -67,7 +67,10 @@ def latest_per_key(stream: DataFrame, key: str, order_by: Sequence[str],
                    values: Sequence[str]) -> DataFrame:
     """Newest row per key by event time (``max_by`` over (ts, id)).
     A late event with an older time never replaces a newer one.  State is
-    one row per key."""
+    one row per key; with fixed-width values it is hashed (``latest_by_agg``)."""
+    from ledgerlake.operators import latest
+    if latest.order_number(stream, order_by) is not None and all(latest.fixed_width(stream.schema[c].dataType) for c in values):
+        return latest.latest_by_agg(stream, [key], order_by, values)
     ordering = F.struct(*[F.col(c) for c in order_by])
     return stream.groupBy(key).agg(
         F.max_by(F.struct(*[F.col(c) for c in values]), ordering).alias("__v")
@@ -84,13 +87,15 @@ def running_totals(stream: DataFrame, key: str, amount: str, out_col: str = "tot
 
 # R4 ------------------------------------------------------------------------
 def drop_replays(stream: DataFrame, event_time: str, delay: str = "10 minutes",
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, salts: int = 16) -> DataFrame:
     """R4, low-latency form: drop records seen again within the watermark
     delay, comparing the whole record (not an id, which the source may
-    repeat, D11).  Every copy of a record meets in one task; where one
-    record may be copied very many times use ``dedup_sink``."""
+    repeat, D11).  Copies are dropped twice: among the records of a group of
+    source tasks first, then among what is left, ``salts`` copies of a record
+    at most, so that a record copied very many times isn't one task's work."""
     cols = list(columns or stream.columns)
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(cols)
+    marked = stream.withWatermark(event_time, delay).withColumn("__salt", F.spark_partition_id() % salts)
+    return marked.dropDuplicatesWithinWatermark([*cols, "__salt"]).drop("__salt").dropDuplicatesWithinWatermark(cols)
 
 
 def same(a: DataFrame, b: DataFrame, cols: Sequence[str]):
@@ -108,7 +113,8 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
     (a partial aggregate, so a record sent a million times crosses the
     shuffle once per map task), then rows already written by earlier
     batches within ``delay_seconds`` of the batch's oldest event are
-    removed by a null-safe anti join.  Rows without an event time are
+    removed by a null-safe anti join on a hash of the record, made once, and
+    the record itself.  Rows without an event time are
     compared with all earlier rows without one.  The output is partitioned
     by batch and event day, so looking back lists and reads only the days in
     reach.  Each batch overwrites its own folder and ignores it when looking
@@ -129,8 +135,10 @@ def dedup_sink(stream: DataFrame, path: str, checkpoint: str, event_time: str,
                     horizon = F.lit(lo).cast("timestamp") - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
                     near = near | ((F.col("event_day") >= F.to_date(horizon)) & (F.col(event_time) >= horizon))
                 seen = spark.read.schema(_with_parts(batch)).parquet(path)
-                seen = seen.where((F.col("batch_id") != batch_id) & near).select(*cols)
-                out = fresh.join(seen, same(fresh, seen, cols), "left_anti")
+                seen = seen.where((F.col("batch_id") != batch_id) & near).select(*cols).withColumn("__seen_hash", F.xxhash64(*cols))
+                hashed = fresh.withColumn("__hash", F.xxhash64(*cols))
+                equal = (hashed["__hash"] == seen["__seen_hash"]) & same(hashed, seen, cols)
+                out = hashed.join(seen, equal, "left_anti").drop("__hash")
             (out.withColumn("event_day", day).hint("rebalance", "event_day")  # one task for a day unless it is large
              .write.mode("overwrite").partitionBy("event_day").parquet(f"{path}/batch_id={batch_id}"))
         finally:

@@ -211,3 +211,20 @@ def test_nest_children_chunked_is_whole_ordered_and_bounded(spark):
     hot = [t["tid"] for r in sorted((r for r in out if r["cid"] == "hot"), key=lambda r: r["chunk"])
            for t in r["tx"]]
     assert hot == [r[1] for r in sorted((r for r in rows if r[0] == "hot"), key=lambda r: (r[2], r[1]))]
+
+
+def test_order_number_orders_as_time_and_id(spark):
+    """NULLs first, any sign and size of id, times of any type."""
+    times = [None, dt.datetime(1, 1, 2), dt.datetime(1969, 12, 31), dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(9999, 12, 30)]
+    ids = [None, -(2**63), -1, 0, 2**63 - 1]
+    rows = [(1, t, i, n * 10 + k) for n, t in enumerate(times) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp, id long, v int")
+    for typed in (df, df.withColumn("ts", F.col("ts").cast("timestamp_ntz")), df.withColumn("ts", F.col("ts").cast("date"))):
+        numbered = typed.withColumn("o", latest.order_number(typed, ["ts", "id"]))
+        assert [r.v for r in numbered.orderBy("o").collect()] == [r.v for r in typed.orderBy(F.col("ts").asc_nulls_first(), F.col("id").asc_nulls_first()).collect()]
+    assert latest.order_number(df, ["id", "ts"]) is None
+    assert latest.latest_by_agg(df, ["k"], ["ts", "id"], ["v"]).first().v == 44
+    some = df.where("ts IS NULL")
+    assert latest.latest_by_agg(some, ["k"], ["ts", "id"], ["v"]).first().v == 4
+    texts = df.withColumn("v", F.col("v").cast("string"))
+    assert latest.latest_by_agg(texts, ["k"], ["ts", "id"], ["v"]).collect() == [(1, "44")]

@@ -81,3 +81,12 @@ def test_no_python_in_any_registered_plan(spark):
             continue   # streams and checkpointed results are planned over their written output
         p = plan(spark, name)
         assert "EvalPython" not in p and "MapInPandas" not in p, name
+
+
+def test_latest_aggregates_are_hashed_and_sort_nothing(spark):
+    """Fixed-width buffers: no sort of all rows before the partial aggregate."""
+    for name in ("latest_balance_agg", "latest_balance_sql", "customer360_summary"):
+        p = plan(spark, name)
+        assert "SortAggregate" not in p and "partial_max_by" in p, name
+    assert "WindowGroupLimit" in plan(spark, "latest_child")
+    assert plan(spark, "customer360_summary").count("events.parquet") == 1

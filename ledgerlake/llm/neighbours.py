@@ -35,6 +35,8 @@ TREES, BITS, SURE = 24, 32, 0.95
 ROWS = 8192
 #: Candidates at least before the first look at how near they are.
 FIRST = 64
+#: More than products of rounded unit vectors can be off by.
+ROUNDING = 1e-9
 
 
 def usable(v: Column) -> Column:
@@ -70,7 +72,8 @@ class Forest:
         return lo, hi
 
     def search(self, queries: np.ndarray, k: int):
-        """For each query: rows found and their cosines, best first."""
+        """For each query: the k rows found, and all that rounding can't tell
+        from the last of them, with their exact cosines."""
         lengths = np.linalg.norm(self.vectors, axis=1)
         units = queries / np.linalg.norm(queries, axis=1, keepdims=True)
         lo, hi = self.ranges(self.codes(units))
@@ -89,8 +92,8 @@ class Forest:
             while x and (enough := self.level(near, k)) < x:
                 x = enough
                 rows, near = at(x)
-            best = np.argsort(-near, kind="stable")[:k]
-            rows = rows[best]
+            if len(near) > k:
+                rows = rows[near >= np.partition(near, -k)[-k] - ROUNDING]
             yield rows, self.vectors[rows] @ queries[q] / (lengths[rows] * np.linalg.norm(queries[q]))
 
     @staticmethod

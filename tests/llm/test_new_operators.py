@@ -196,3 +196,20 @@ def test_threshold_ends_early():
     assert sum(scored) == negatives.FIRST
 
 
+
+
+def test_neighbours_tied_at_the_cut(spark):
+    """Multiples of one vector: the exact score decides, then the id."""
+    from ledgerlake.llm import neighbours
+
+    rnd = np.random.default_rng(5)
+    base = rnd.normal(size=16)
+    rows = [(i, [float(x) for x in base * (1 + i * 0.37)]) for i in range(40)] + [(100 + i, [float(x) for x in rnd.normal(size=16)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.nearest(df, F.col("vec_id") % 10 == 0, k=5).orderBy("query_id", "rank").collect()]
+    vectors = {i: np.array(v) for i, v in rows}
+    for q in (0, 10, 30):
+        cosines = sorted((-float(v @ vectors[q] / (np.linalg.norm(v) * np.linalg.norm(vectors[q]))), i) for i, v in vectors.items() if i != q)[:5]
+        mine = [(-s, i) for a, _, i, s in got if a == q]
+        assert [round(s, 12) for s, _ in mine] == [round(s, 12) for s, _ in cosines]
+        assert mine == sorted(mine) and len({i for _, i in mine}) == 5 and all(i < 100 for _, i in mine)

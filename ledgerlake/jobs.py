@@ -1,10 +1,12 @@
 """Command-line entry points for the batch and stream jobs.
 
-    python -m ledgerlake.jobs landing   --csv DIR --out DIR
+    python -m ledgerlake.jobs landing   --csv DIR --out DIR [--quarantine DIR]
     python -m ledgerlake.jobs star      --landing DIR --out DIR --as-of 2025-06-05
     python -m ledgerlake.jobs customer360 --docs DIR --out DIR [--customer-id ID]
     python -m ledgerlake.jobs latest-balance --facts DIR --out DIR
-    python -m ledgerlake.jobs ingest    --feed transaction --source DIR --out DIR
+    python -m ledgerlake.jobs ingest    --feed transaction --source DIR --out DIR [--fold-every N]
+    python -m ledgerlake.jobs ingest    --feed loan --source DIR --out DIR --upsert [--buckets N]
+    python -m ledgerlake.jobs fold      --table DIR [--least N] [--small-mb N]
     python -m ledgerlake.jobs checks    [--csv DIR --as-of DATE] [--docs DIR] --out DIR
 
 On a cluster, submit ``ledgerlake/jobs.py`` with the package zipped in
@@ -28,7 +30,7 @@ def _session() -> SparkSession:
 
 def landing_job(args) -> dict:
     from ledgerlake.plans.landing import run_landing
-    return run_landing(_session(), args.csv, args.out)
+    return run_landing(_session(), args.csv, args.out, args.quarantine)
 
 
 def star_job(args) -> dict:
@@ -66,19 +68,30 @@ def latest_balance_job(args) -> dict:
 
 def ingest_job(args) -> dict:
     """Keyed JSON records (files with key/value) -> table folder, until
-    the source is drained (``--continuous`` keeps running)."""
-    from pyspark.sql import types as T
-
-    from ledgerlake.streaming.queries import ingest_feed, run_to_end
+    the source is drained (``--continuous`` keeps running).  ``--fold-every``
+    folds small batch folders as it goes; ``--upsert`` (loans) keeps the row
+    sent last of each loan, by the record's ``sent_at``."""
+    from ledgerlake.streaming.queries import ingest_feed, run_to_end, upsert_loans
     spark = _session()
-    raw = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
-    records = spark.readStream.schema(raw).json(args.source)
-    q = ingest_feed(records, args.feed, args.out, args.checkpoint or f"{args.out}/_checkpoint",
-                    available_now=not args.continuous)
+    checkpoint, once = args.checkpoint or f"{args.out}/_checkpoint", not args.continuous
+    records = spark.readStream.schema("key string, value string, sent_at string").json(args.source)
+    if args.upsert:
+        if args.feed != "loan":
+            raise SystemExit("ingest: --upsert is for loans")
+        q = upsert_loans(records, args.out, checkpoint, n_buckets=args.buckets, available_now=once)
+    else:
+        q = ingest_feed(records.drop("sent_at"), args.feed, args.out, checkpoint, available_now=once, fold_every=args.fold_every)
     run_to_end(q)
     return {args.feed: args.out}
 
 
+def fold_job(args) -> dict:
+    """K7 on a live table that no stream is writing: small batch folders of
+    a month become one."""
+    from ledgerlake.sinks import folding
+    return {"months_folded": folding.fold(_session(), args.table, least=args.least, small_bytes=args.small_mb << 20)}
+
+
 def checks_job(args) -> dict:
     """Data-quality report: business rules over a CSV export (V3-V11) and/or
     required fields and types over raw JSON document collections (V1, V2).
@@ -112,6 +125,7 @@ def main(argv=None) -> None:
     a = sub.add_parser("landing")
     a.add_argument("--csv", required=True)
     a.add_argument("--out", required=True)
+    a.add_argument("--quarantine", default=None)
     a.set_defaults(fn=landing_job)
     b = sub.add_parser("star")
     b.add_argument("--landing", required=True)
@@ -134,7 +148,15 @@ def main(argv=None) -> None:
     e.add_argument("--out", required=True)
     e.add_argument("--checkpoint", default=None)
     e.add_argument("--continuous", action="store_true")
+    e.add_argument("--fold-every", type=int, default=None)
+    e.add_argument("--upsert", action="store_true")
+    e.add_argument("--buckets", type=int, default=64)
     e.set_defaults(fn=ingest_job)
+    g = sub.add_parser("fold")
+    g.add_argument("--table", required=True)
+    g.add_argument("--least", type=int, default=8)
+    g.add_argument("--small-mb", type=int, default=64)
+    g.set_defaults(fn=fold_job)
     f = sub.add_parser("checks")
     f.add_argument("--csv", default=None)
     f.add_argument("--as-of", default=None)

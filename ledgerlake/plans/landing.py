@@ -67,15 +67,17 @@ def land_loan_payments(payments: DataFrame) -> DataFrame:
     return payments.select("*", *FX.date_parts("paid_date"))
 
 
-def run_landing(spark: SparkSession, csv_folder: str, out_folder: str) -> dict[str, str]:
+def run_landing(spark: SparkSession, csv_folder: str, out_folder: str, quarantine: str | None = None) -> dict[str, str]:
     """B1-B7 end to end: read the eight CSVs (and any lookup CSVs the export
     carries, e.g. ``account_types.csv``; missing ones use the constant
     tables), shape, write Parquet.
 
     Unpartitioned tables are rebalanced to ~128 MB files (not one file);
-    transactions and loan payments are written by year/month/day.
+    transactions and loan payments are written by year/month/day.  With
+    ``quarantine``, lines that don't read as their schema says are kept there
+    and not landed as NULLs.
     """
-    src = files.read_landing_csvs(spark, csv_folder)
+    src = files.read_landing_csvs(spark, csv_folder, quarantine=quarantine)
     lk = lookups_from(spark, csv_folder)   # the export's lookup CSVs, else the constants
     out = out_folder.rstrip("/")
     plan = {

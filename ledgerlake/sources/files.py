@@ -35,14 +35,17 @@ def read_csv_quarantined(spark: SparkSession, path: str, schema: T.StructType, h
     raw ``line``, what could be read of it (``parsed``, JSON) and its
     ``file``.  Good rows and bad lines add up to the lines of the files
     (headers and blank lines aside), whatever columns are read later: a line
-    is judged by all its fields."""
-    raw = (spark.read.schema(T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())]))
+    is judged by all its fields.  Columns that the header has beyond the
+    schema are no fault of a line; they are left out."""
+    have = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path).columns if header else schema.names
+    beyond = [T.StructField(f"_beyond_{n}", T.StringType()) for n in range(len(schema), len(have))]
+    raw = (spark.read.schema(T.StructType([*schema.fields, *beyond, T.StructField(BAD_LINE, T.StringType())]))
            .option("header", header).option("sep", ",").option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", False)
            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("dateFormat", "yyyy-MM-dd").csv(path))
     # Spark judges a line by the fields that a query reads; a condition that
     # needs them all, and always holds, keeps it from reading fewer
-    raw = raw.where(F.pmod(F.xxhash64(*schema.names), F.lit(2)).isin(0, 1))
+    raw = raw.where(F.pmod(F.xxhash64(*schema.names, *[f.name for f in beyond]), F.lit(2)).isin(0, 1))
     good = raw.where(F.col(BAD_LINE).isNull()).select(*schema.names)
     bad = raw.where(F.col(BAD_LINE).isNotNull()).select(
         F.col(BAD_LINE).alias("line"), F.to_json(F.struct(*schema.names)).alias("parsed"), F.col("_metadata.file_path").alias("file"))
@@ -59,11 +62,19 @@ def land_csv(spark: SparkSession, path: str, schema: T.StructType, out: str, qua
 
 def read_landing_csvs(spark: SparkSession, folder: str,
                       schemas: Mapping[str, T.StructType] = S.LANDING_CSV,
-                      register: bool = True) -> dict[str, DataFrame]:
-    """Read ``<folder>/<name>.csv`` per table and register a temp view each."""
+                      register: bool = True, quarantine: str | None = None) -> dict[str, DataFrame]:
+    """Read ``<folder>/<name>.csv`` per table and register a temp view each.
+    With ``quarantine``, bad lines are written to ``<quarantine>/<name>`` and
+    are in no table."""
+    from ledgerlake.sinks.writers import write_parquet
     out = {}
     for name, schema in schemas.items():
-        df = read_csv(spark, f"{folder.rstrip('/')}/{name}.csv", schema)
+        path = f"{folder.rstrip('/')}/{name}.csv"
+        if quarantine:
+            df, bad = read_csv_quarantined(spark, path, schema)
+            write_parquet(bad, f"{quarantine.rstrip('/')}/{name}")
+        else:
+            df = read_csv(spark, path, schema)
         if register:
             df.createOrReplaceTempView(name)
         out[name] = df

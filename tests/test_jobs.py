@@ -82,3 +82,37 @@ def test_checks_job_on_csv_export_and_documents(spark, tmp_path, capsys):
     assert result["violations"] == {"accounts.unknown_type": 1, "transactions.unknown_type": 1,
                                     "transactions.overdraft_flip": 1,
                                     "payments.scheduled_outside_loan": 2}
+
+
+def test_landing_job_with_a_quarantine(spark, tmp_path):
+    from tests.test_landing_star import CSV
+    src = tmp_path / "csv"
+    src.mkdir()
+    for name, lines in CSV.items():
+        more = ["BAD,line"] if name in ("accounts", "branches") else []
+        (src / f"{name}.csv").write_text("\n".join([*lines, *more]) + "\n", encoding="utf-8")
+    jobs.main(["landing", "--csv", str(src), "--out", str(tmp_path / "plain")])
+    jobs.main(["landing", "--csv", str(src), "--out", str(tmp_path / "landing"), "--quarantine", str(tmp_path / "bad")])
+    bad = {name: [r.line for r in spark.read.parquet(str(tmp_path / "bad" / name)).collect()] for name in CSV if (tmp_path / "bad" / name).exists()}
+    assert {n: x for n, x in bad.items() if x} == {"accounts": ["BAD,line"], "branches": ["BAD,line"]}
+    rows = lambda out, name: spark.read.parquet(str(tmp_path / out / name)).count()
+    assert rows("plain", "branches") == rows("landing", "branches") + 1 and rows("plain", "transactions") == rows("landing", "transactions")
+
+
+def test_fold_and_upsert_jobs(spark, tmp_path, capsys):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    loan = {"loan_id": "LOA1", "customer_id": "CUS1", "type": "Kinh doanh", "amount": 100, "currency": "VND", "interest_rate": 9.5,
+            "term": 12, "start_date": "2025-01-01", "end_date": "2025-12-27"}
+    for n, status in enumerate(["Đang vay", "Quá hạn", "Đang vay"]):
+        (feed / f"{n}.json").write_text(json.dumps({"key": "CUS1", "value": json.dumps(loan | {"status": status}), "sent_at": f"2025-0{3 - n}-01"}) + "\n")
+        jobs.main(["ingest", "--feed", "loan", "--source", str(feed), "--out", str(tmp_path / "log")])
+        jobs.main(["ingest", "--feed", "loan", "--source", str(feed), "--out", str(tmp_path / "dim"), "--upsert", "--buckets", "2"])
+    from ledgerlake.sinks.keyed import KeyedTable
+    assert [r.status for r in KeyedTable(spark, str(tmp_path / "dim"), "loan_id", ["sent_at"], 2).read().collect()] == ["Đang vay"]
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 3
+    capsys.readouterr()
+    jobs.main(["fold", "--table", str(tmp_path / "log"), "--least", "2"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"months_folded": 1}
+    assert spark.read.parquet(str(tmp_path / "log")).select("batch_id").distinct().collect()[0][0] == -1
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 3

@@ -26,11 +26,11 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, survives the
     loss of executors, and later steps read only the columns they need."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

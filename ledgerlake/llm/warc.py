@@ -60,7 +60,7 @@ def decided(pages: DataFrame, at_least: int = 0, id: str = "page_id", url: str =
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
     rows = rows.withColumns({"row": F.monotonically_increasing_id(), "size": F.octet_length("payload").cast("long"), "sha1": F.sha1("payload"), "same": F.unhex(F.sha2("payload", 256))})
-    rows = written(rows, "records")
+    rows = written(rows, "records", codec="zstd")
     place = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row", "url")
     groups = rows.where(F.col("size") >= at_least).groupBy("size", "same").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     firsts = groups.select("size", "same", F.col("first.row").alias("first_row"), F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"))

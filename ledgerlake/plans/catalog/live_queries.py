@@ -120,7 +120,6 @@ def stream_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     the watermark past all others."""
     from ledgerlake.streaming import orphans as O
     from ledgerlake.streaming import queries as SQ
-    SQ.use_rocksdb_state(spark)
     t, root = Tables(spark, sf_dir), scratch_path(spark, "orphans")
     at = lambda key, more: F.timestamp_seconds(F.lit(1_700_000_000) + (F.col(key) % 1000) * 60 + more)
     payments = t.lineitem.select(F.col("l_orderkey").alias("loan_id"), "l_linenumber", at("l_orderkey", (F.col("l_linenumber") * 997) % 6000 - 3000).alias("sent_at"))

@@ -18,7 +18,8 @@ def orphans(payments: DataFrame, loans: DataFrame, key: str, sent: str, wait: st
     ``loans`` was sent in the ``term`` before or the ``wait`` after (column
     ``sent`` of both).  A NULL key refers to no loan and is no orphan.
 
-    A loan's payments are dealt into ``salts`` groups, with a copy of the loan
+    Both states are the session's state store's: ``queries.use_rocksdb_state``
+    where they outgrow memory.  A loan's payments are dealt into ``salts`` groups, with a copy of the loan
     in each, so that a loan with very many payments isn't one task's work."""
     p = payments.where(F.col(key).isNotNull()).withWatermark(sent, delay)
     p = p.withColumn("__salt", F.pmod(F.xxhash64(*payments.columns), F.lit(salts)).cast("int"))

@@ -113,7 +113,9 @@ def slot_balances(stream: DataFrame, key: str, time: str, id: str, amount: str,
 def late_balance_sink(stream: DataFrame, key: str, time: str, id: str, amount: str, path: str, checkpoint: str,
                       available_now: bool = True, **slots):
     """Writes the change rows of each batch to ``path/batch_id=n``; a replayed
-    batch overwrites its own folder."""
+    batch overwrites its own folder.  With ``settle_ms`` a drained source is
+    no end, since timers ask for one more batch for ever; ``available_now``
+    then takes in what is there as one batch."""
     use_rocksdb_state(stream.sparkSession)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -121,7 +123,8 @@ def late_balance_sink(stream: DataFrame, key: str, time: str, id: str, amount: s
 
     w = (slot_balances(stream, key, time, id, amount, **slots).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(write_batch))
-    w = w.trigger(availableNow=True) if available_now else w
+    if available_now:
+        w = w.trigger(availableNow=True) if slots.get("settle_ms") is None else w.trigger(once=True)
     return w.start()
 
 

@@ -12,14 +12,25 @@ pass over the words of at most ``PER_LANG`` training documents for each
 language (the first by hash of doc_id), as a Spark job for each round; what
 reaches the driver is one count for each language and piece.  Training
 documents are those with a text, a lang and a crc32(doc_id) mod 3 other than
-1.  Prediction reads the text only.
+1.  Prediction reads the text only.  The ids of the sample, ``PER_LANG`` for
+each value of lang, are broadcast; lang holds codes of languages, so they
+are bounded by the number of languages there are.
+
+The score compares the learnt languages with each other, so a text in none
+of them has a high one too.  ``accepted`` also asks whether the winner's
+model explains the text: its log likelihood may lie below what the
+language's training texts have for as many letters by ``FAR`` nats a letter
+and ``SLACK`` nats once.  The slack is for short texts, of which a single
+rare word may be most.
 
 Defined results: a text that is null or has no letter is ``und`` with score
 0, and so is every text where no language could be learnt (empty table, no
 lang); equal likelihoods go to the smaller name; the score is the winner's
 posterior under equal priors with a text's evidence held at ``EVIDENCE``
 words, so that long texts don't all have 1; letters that no piece has share
-one probability.  Very long words are summed whole, in logs.
+one probability.  Very long words are summed whole, in logs, and so are very
+long texts.  ``accepted`` keeps all columns as they are, whatever their
+names, and rows that repeat are judged alike.
 """
 
 from __future__ import annotations
@@ -41,6 +52,13 @@ UND = "und"
 PER_LANG, ROUNDS = 500, 3
 EVIDENCE = 20
 SMOOTH = 0.01
+#: How far below its language's usual log likelihood a text may lie: nats for
+#: each letter (and blank), and nats for the text.
+FAR, SLACK = 2.0, 20.0
+#: Ids are ranked in so many parts of a language first.
+SALTS = 16
+#: Among the counts of pieces: a language's log likelihood, its letters.
+LIKELIHOOD, N_LETTERS = -1, -2
 #: Words of one length that are worked out at once.
 BLOCK = 2048
 #: Texts whose new words are worked out together; words that are remembered.
@@ -91,6 +109,10 @@ class Lattice:
 
     def counts(self, words: list[str], times: np.ndarray, logp: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in words of one length; logp: one language's column."""
+        return self.expected(words, times, logp)[0]
+
+    def expected(self, words: list[str], times: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, float]:
+        """``counts``, and the log likelihood of all the words."""
         arcs = self.arcs(words)
         k, n, longest = arcs.shape
         a = self.forward(arcs, logp)[:, :, 0]
@@ -105,7 +127,7 @@ class Lattice:
                     step = logp[ids[has], 0] + b[has, i + size]
                     b[has, i] = np.logaddexp(b[has, i], step)
                     np.add.at(out, ids[has], np.exp(a[has, i] + step - a[has, n]) * times[has])
-        return out
+        return out, float(a[:, n] @ times)
 
 
 _lattices: dict = {}
@@ -127,13 +149,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, model: str = MODEL, per_lang: int = PER_LANG, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """Languages (sorted) and log probabilities by piece and language."""
+def train(docs: DataFrame, model: str = MODEL, per_lang: int = PER_LANG, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages (sorted), log probabilities by piece and language, and each
+    language's usual log likelihood of a letter: its training words' (with
+    their blank marks) as the last round met them."""
     pieces = Pieces(model)
     able = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & in_training(F.col("doc_id")))
-    first = W.partitionBy("lang").orderBy("h", "doc_id", "t")
+    rank = ["h", "doc_id", "t"]
+    part = F.pmod(F.col("h"), F.lit(SALTS))
     ids = able.select("lang", "doc_id", F.xxhash64("doc_id", "lang").alias("h"), F.xxhash64("text").alias("t"))
-    ids = ids.distinct().withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang).select("lang", "doc_id", "t")
+    for group in (["lang", part], ["lang"]):  # the first of the first of each part: no task ranks a whole language
+        first = W.partitionBy(*group).orderBy(*rank)
+        ids = (ids.distinct() if len(group) > 1 else ids).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang).drop("nth")
+    ids = ids.select("lang", "doc_id", "t")
     sample = able.select("lang", "doc_id", "text", F.xxhash64("text").alias("t"))
     sample = sample.join(F.broadcast(ids), on=(sample.lang == ids.lang) & sample.doc_id.eqNullSafe(ids.doc_id) & (sample.t == ids.t), how="left_semi")
     sample = sample.dropDuplicates(["lang", "doc_id", "t"]).select("lang", "text")
@@ -147,7 +175,7 @@ def train(docs: DataFrame, model: str = MODEL, per_lang: int = PER_LANG, rounds:
     words = written(words, "words")
     langs = sorted(r[0] for r in words.select("lang").distinct().collect())
     if not langs:
-        return [], np.zeros((len(pieces.text) + 1, 0))
+        return [], np.zeros((len(pieces.text) + 1, 0)), np.zeros(0)
     logp = np.full((len(pieces.text) + 1, len(langs)), -np.log(len(pieces.text) + 1))
     for _ in range(rounds):
         now, at = logp.astype(np.float32), {g: i for i, g in enumerate(langs)}
@@ -158,31 +186,38 @@ def train(docs: DataFrame, model: str = MODEL, per_lang: int = PER_LANG, rounds:
                 for (g, _), same in batch.groupby(["lang", batch["word"].str.len()]):
                     for x in range(0, len(same), BLOCK):
                         part = same.iloc[x : x + BLOCK]
-                        c = lat.counts(part["word"].tolist(), part["n"].to_numpy(float), now[:, [at[g]]].astype(float))
+                        c, total = lat.expected(part["word"].tolist(), part["n"].to_numpy(float), now[:, [at[g]]].astype(float))
                         used = np.flatnonzero(c)
                         yield pd.DataFrame({"lang": g, "piece": used.astype(np.int32), "c": c[used]})
+                        letters = float(part["n"].sum()) * (len(part["word"].iloc[0]) + 1)
+                        yield pd.DataFrame({"lang": g, "piece": np.array([LIKELIHOOD, N_LETTERS], np.int32), "c": [total, letters]})
 
         expected = words.mapInPandas(expect, "lang string, piece int, c double").groupBy("lang", "piece").agg(F.sum("c").alias("c"))
-        c = np.full(logp.shape, SMOOTH)
+        c, sums = np.full(logp.shape, SMOOTH), np.zeros((2, len(langs)))
         for r in expected.collect():  # at most pieces x languages
-            c[r["piece"], at[r["lang"]]] += r["c"]
+            if r["piece"] < 0:
+                sums[-1 - r["piece"], at[r["lang"]]] = r["c"]
+            else:
+                c[r["piece"], at[r["lang"]]] += r["c"]
         logp = np.log(c / c.sum(0))
-    return langs, logp
+    return langs, logp, sums[0] / np.maximum(sums[1], 1)
 
 
 def predicted(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str = MODEL, name: str = "found") -> DataFrame:
-    """``docs`` with a struct of lang_pred and score, from the text alone."""
+    """``docs`` with a struct of lang_pred, score, likelihood (the text's log
+    likelihood in lang_pred) and letters (with a blank for each word), from
+    the text alone."""
     pieces, table = Pieces(model), logp.astype(np.float32)
     key = f"{model}:{hash(table.tobytes())}"
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,likelihood:double,letters:long>")
     def find(texts: pa.Array) -> pa.Array:
         lat, n, full = lattice(pieces, model), len(langs), table.astype(float)
         if key not in _memos:  # a worker that lives on keeps one model's words
             _memos.clear()
             _memos[key] = Memo()
         memo = _memos[key]
-        pred, score = [], []
+        pred, score, likelihood, letters = [], [], [], []
         for at in range(0, len(texts), CHUNK):
             chunk = [LETTERS.findall((t.as_py() or "").lower()) for t in texts[at : at + CHUNK]]
             known, unseen = {}, {}
@@ -202,29 +237,34 @@ def predicted(docs: DataFrame, langs: list[str], logp: np.ndarray, model: str =
                             memo.put(w, known[w])
             for words in chunk:
                 if not words or not n:
-                    pred.append(UND), score.append(0.0)
+                    pred.append(UND), score.append(0.0), likelihood.append(0.0), letters.append(0)
                     continue
                 sums = np.frombuffer(b"".join([known[w] for w in words])).reshape(-1, n).sum(0)
                 best = int(sums.argmax())
                 odds = np.exp((sums - sums[best]) * min(1, EVIDENCE / len(words)))
                 pred.append(langs[best]), score.append(float(1 / odds.sum()))
-        return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+                likelihood.append(float(sums[best])), letters.append(len(words) + sum(map(len, words)))
+        return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(likelihood, pa.float64()), pa.array(letters, pa.int64())], ["lang_pred", "score", "likelihood", "letters"])
 
     return docs.withColumn(name, find(F.col("text")))
 
 
 def identify(docs: DataFrame, model: str = MODEL, per_lang: int = PER_LANG, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
-    langs, logp = train(docs, model, per_lang, rounds)
+    langs, logp, _ = train(docs, model, per_lang, rounds)
     (f,) = fresh(docs, "found")
     out = predicted(docs.select("doc_id", "text"), langs, logp, model, f)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), f"{f}.lang_pred", f"{f}.score")
 
 
-def accepted(docs: DataFrame, least: float = 0.3, model: str = MODEL) -> DataFrame:
+def accepted(docs: DataFrame, least: float = 0.3, model: str = MODEL, far: float = FAR, slack: float = SLACK) -> DataFrame:
     """The rows of ``docs`` whose language is identified with a score of
-    ``least`` or more; texts without a letter go."""
-    langs, logp = train(docs, model)
+    ``least`` or more and whose text that language explains; texts without a
+    letter go, and so do those in a language that wasn't learnt."""
+    langs, logp, usual = train(docs, model)
     (f,) = fresh(docs, "found")
     out = predicted(docs, langs, logp, model, f)
-    return out.where((F.col(f"{f}.lang_pred") != UND) & (F.col(f"{f}.score") >= least)).select(*docs.columns)
+    found = F.col(f)
+    of = F.create_map(*[F.lit(x) for lang, u in zip(langs, usual.tolist()) for x in (lang, u)]) if langs else F.create_map(F.lit(UND), F.lit(0.0))
+    explained = found["likelihood"] >= found["letters"] * (of[found["lang_pred"]] - far) - slack
+    return out.where((found["lang_pred"] != UND) & (found["score"] >= least) & explained).select(*docs.columns)

@@ -104,6 +104,47 @@ def test_language(spark, odd, empty, documents):
     assert found.where("score < 0 or score > 1").count() == 0
 
 
+#: Sentences in languages that the tables don't hold, and letter noise.
+FOREIGN = (
+    "Az ember, aki a hegyekben élt, minden reggel korán kelt, hogy megnézze a napfelkeltét, és aztán lement a faluba kenyeret venni.",
+    "De man die in de bergen woonde stond elke ochtend vroeg op om brood te kopen in het dorp.",
+    "Mies joka asui vuorilla nousi joka aamu aikaisin ostamaan leipää kylästä ja palasi illalla kotiin.",
+    "Россия является крупнейшей страной в мире по площади и занимает первое место.",
+    "日本語の文章はひらがなとカタカナと漢字を使います",
+    "xq zvk wjprt qqmz kdfgh trplx vbnm zzxq wrtk plkjh gfdsq mnbvc qwrtp zxcvk",
+)
+
+
+def test_language_not_learnt(spark, documents):
+    """Texts in no learnt language go, whatever their score; those that only
+    hold some foreign words, and all of the table's own, stay."""
+    own = documents.where("text is not null and lang = 'en' and length(text) > 300").orderBy("doc_id").first().text
+    texts = [*FOREIGN, own, own + " " + FOREIGN[0][:40], "Hello", "12 " + own[:60]]
+    rows = documents.select("doc_id", "text", "lang").unionByName(frame(spark, [(-1 - i, t, None, None) for i, t in enumerate(texts)]).select("doc_id", "text", "lang"))
+    kept = {r.doc_id for r in langid.accepted(rows).collect()}
+    letters = {r.doc_id for r in documents.collect() if any(unicodedata.category(c)[0] == "L" for c in r.text or "")}
+    assert {i for i in kept if i < 0} == {-1 - i for i in range(len(FOREIGN), len(texts))}
+    assert {i for i in kept if i >= 0} == letters
+    few = {r.doc_id: r.score for r in langid.identify(rows).collect() if r.doc_id < 0}
+    assert max(few[-1 - i] for i in range(len(FOREIGN))) > 0.9  # the score alone wouldn't tell
+
+
+def test_language_sample_in_parts(spark, documents, monkeypatch):
+    """Ranking ids in parts first changes nothing."""
+    want = langid.train(documents, per_lang=7, rounds=1)
+    monkeypatch.setattr(langid, "SALTS", 1)
+    got = langid.train(documents, per_lang=7, rounds=1)
+    assert got[0] == want[0] and np.allclose(got[1], want[1]) and np.allclose(got[2], want[2])
+    langs, logp, usual = langid.train(documents, per_lang=10**6, rounds=2)
+    words = Counter((r.lang, w) for r in documents.where(langid.in_training(F.col("doc_id"))).dropDuplicates(["doc_id", "lang", "text"]).collect() if r.lang and r.text for w in langid.LETTERS.findall(r.text.lower()))
+    before = langid.train(documents, per_lang=10**6, rounds=1)[1].astype(np.float32).astype(float)
+    lat = langid.Lattice(langid.Pieces(langid.MODEL))
+    for i, g in enumerate(langs):
+        mine = [(w, n) for (lang, w), n in words.items() if lang == g]
+        total = sum(n * lat.forward(lat.arcs([w]), before[:, [i]])[0, -1, 0] for w, n in mine)
+        assert np.isclose(usual[i], total / sum(n * (len(w) + 1) for w, n in mine), rtol=1e-4)
+
+
 def test_suffixes(spark, odd, empty, documents):
     rnd = random.Random(2)
     word = lambda: "".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 9)))

@@ -60,31 +60,53 @@ TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 NOTICES = (
     ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License."),
     ("agpl", "Licensed under the GNU Affero General Public License, version 3."),
+    ("agpl", "SPDX-License-Identifier: AGPL-3.0"),
     ("apache", "Licensed under the Apache License, Version 2.0."),
     ("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
     ("apache", "Released under the Apache License 2.0."),
+    ("apache", "Licensed under Apache-2.0."),
+    ("apache", "SPDX-License-Identifier: Apache-2.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("bsd", "Released under the BSD 3-Clause License."),
+    ("bsd", "Licensed under the BSD license."),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause"),
     ("bsd", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by", "Licensed under CC BY 4.0."),
+    ("cc-by", "Creative Commons Attribution 3.0 Unported"),
+    ("cc-by", "SPDX-License-Identifier: CC-BY-4.0"),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial 3.0 Unported"),
+    ("cc-by-nc", "SPDX-License-Identifier: CC-BY-NC-4.0"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-sa", "Creative Commons Attribution-ShareAlike 3.0 Unported"),
+    ("cc-by-sa", "SPDX-License-Identifier: CC-BY-SA-4.0"),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("cc0", "Released under CC0 1.0 Universal Public Domain Dedication."),
+    ("cc0", "Dedicated to the public domain under CC0 1.0."),
+    ("cc0", "SPDX-License-Identifier: CC0-1.0"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
     ("gpl", "Licensed under the GNU GPL version 2 or later."),
+    ("gpl", "SPDX-License-Identifier: GPL-3.0"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "Licensed under the ISC license."),
+    ("isc", "SPDX-License-Identifier: ISC"),
     ("lgpl", "Licensed under the GNU Lesser General Public License, version 2.1."),
     ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("lgpl", "SPDX-License-Identifier: LGPL-2.1"),
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("mit", "Licensed under the MIT license."),
+    ("mit", "MIT licensed."),
+    ("mit", "SPDX-License-Identifier: MIT"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("mpl", "Licensed under the Mozilla Public License, version 2.0."),
+    ("mpl", "SPDX-License-Identifier: MPL-2.0"),
     ("proprietary", "Copyright 2020. All rights reserved."),
+    ("proprietary", "Copyright (c) 2020. All rights reserved."),
     ("proprietary", "No part of this publication may be reproduced without the prior written permission of the publisher."),
 )
 #: Sentences that speak of licences, rights or terms without giving any.
@@ -92,6 +114,7 @@ PLAIN = (
     "The driver showed a license to the officer.", "The public was free to use the general work of the library.", "A new version of the software was released under pressure.",
     "The terms of the treaty were under discussion.", "He wrote a license plate number down.", "All rights of way were reserved for the parade.", "The public domain of the town is under water.",
     "It was licensed to sell wine.", "The work was done by the author in version 3 of the plan.", "A copy of the file is in the general store.", "The foundation published the source of the river.", "Released in the fall, the film was free of charge.",
+    "SPDX-License-Identifier: Zlib", "SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: Unlicense", "Licensed under its own terms.", "Permission to use the hall was granted without fee.",
 )
 
 

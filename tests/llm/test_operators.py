@@ -52,6 +52,48 @@ def test_licences_count_numbers(spark, empty):
     assert licences.FEATURES >= 1 << 12 and len(licences.train(empty).number) == licences.FEATURES
 
 
+#: Notices as they are met in the wild, with the family that each gives.
+COMMON = (
+    ("mit", "Distributed under the terms of the MIT license."), ("mit", "SPDX-License-Identifier: MIT"), ("mit", "This project is MIT licensed."), ("bsd", "Licensed under the BSD license."),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice appears in all copies."),
+    ("apache", "This code is licensed under Apache-2.0"), ("cc-by-sa", "Creative Commons Attribution-ShareAlike 3.0 Unported"), ("cc0", "This data is dedicated to the public domain under CC0 1.0."),
+    ("proprietary", "Copyright 2019 Jane Doe. All rights reserved."), ("proprietary", "Copyright (c) 2019 Jane Doe. All rights reserved."),
+)
+
+
+def test_licences_common_forms(spark, documents):
+    plain = ["SPDX-License-Identifier: OFL-1.1", "The ISC committee met.", "All projects are licensed by the city.", "The public domain was dedicated to the king."]
+    rows = [(-1 - i, t, None, None) for i, t in enumerate([t for _, t in COMMON] + plain)]
+    docs = documents.select("doc_id", "text").unionByName(frame(spark, rows).select("doc_id", "text"))
+    got = {(r.doc_id, r.family) for r in licences.scan(docs).collect() if r.doc_id < 0}
+    assert got == {(-1 - i, f) for i, (f, _) in enumerate(COMMON)}
+
+
+def test_licence_bound_and_keys(spark, documents):
+    """Neither the bound of a paragraph's lead nor the key pairs leave out a
+    paragraph that scoring in full, or all word pairs, would report."""
+    rnd = random.Random(5)
+    lines = {t for _, t in (*licences.NOTICES, *COMMON)} | {*licences.PLAIN}
+    lines |= {" ".join(w for w in t.split() if rnd.random() < 0.8) for t in sorted(lines) for _ in range(4)}
+    lines |= {x for r in documents.limit(200).collect() for x in (r.text or "").split("\n") if x}
+    rows = spark.createDataFrame(sorted((x,) for x in lines), "line string")
+    model = licences.train(documents)
+    got = {r.line: (r.family, r.probability) for r in model.scored(rows, "line").collect()}
+    want = {}
+    full = rows.select("line", model.active(F.col("line")).alias("a"), licences.may_confirm(F.col("line")).alias("may"), licences.pairs(F.col("line")).alias("p")).collect()
+    for r in full:
+        raw = model.start + model.weights[np.array(r.a, int) - 1].sum(0)
+        p = np.exp((raw - raw.max()) / model.temperature)
+        best = int(raw.argmax())
+        if model.families[best] != licences.UNKNOWN and 1 / p.sum() >= licences.LEAST:
+            want[r.line] = (model.families[best], 1 / p.sum())
+    assert {x: f for x, (f, _) in got.items()} == {x: f for x, (f, _) in want.items()} and len(want) > 40
+    assert all(abs(got[x][1] - p) < 1e-9 for x, (_, p) in want.items())
+    notices = [set(licences.notice_pairs(t)) for _, t in licences.NOTICES]
+    confirmed = {r.line for r in full if any(len(n & set(r.p)) / len(n) >= licences.CONFIRMED for n in notices)}
+    assert len(confirmed) > 40 and confirmed <= {r.line for r in full if r.may}
+
+
 def test_licences_wrapped(spark):
     """Notices wrapped over lines are found once, where they begin."""
     families = ["gpl", "bsd", "cc-by", "cc-by-nc", "cc-by-sa", "cc0", "mit"]

@@ -16,7 +16,8 @@ same word pairs the best is reported: most of a notice, then fewest
 paragraphs, then the first.
 
 Texts without a key pair are left out before that: of each notice so many
-word pairs are keys that a text without them can't confirm the notice.
+word pairs are keys that a text without them can't confirm the notice.  One
+regular expression made from the keys looks for them.
 
 Most paragraphs can't reach any family: the sum, over their features, of the
 most by which a family's weight exceeds that of ``unknown`` is an upper
@@ -172,10 +173,23 @@ def key_pairs(text: str) -> list[str]:
     return have[: len(have) - needed + 1]
 
 
+def key_pattern() -> str:
+    """Regular expression that finds a key pair of any notice in a lower-cased
+    text behind one blank, with words and numbers cut as ``words`` cuts them."""
+    gap, after = r"[^\p{L}0-9]", {}
+    for a, b in sorted({tuple(p.split(" ")) for _, t in NOTICES for p in key_pairs(t)}):
+        after.setdefault(a, []).append(gap + ("*+[0-9]" if b == "0" else ("*+" if a == "0" else "++") + b + r"(?!\p{L})"))
+    first = {}  # by first letter, so that few branches are tried at a place
+    for a, rest in after.items():
+        first.setdefault(a[0], []).append(f"{a[1:]}(?:{'|'.join(rest)})")
+    number = "|".join(x for x in first.pop("0", []))
+    letters = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in first.items())
+    return rf"[^\p{{L}}](?:{letters}{'|(?<=[0-9])' + number if number else ''})"
+
+
 def may_confirm(text: Column) -> Column:
     """Whether a text has a key pair of any notice."""
-    keys = sorted({p for _, t in NOTICES for p in key_pairs(t)})
-    return let(words(text), lambda w: F.exists(F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x).isin(keys)), lambda known: known))
+    return F.concat(F.lit(" "), F.lower(text)).rlike(key_pattern())
 
 
 def windows(text: Column) -> Column:

@@ -94,6 +94,20 @@ def test_licence_bound_and_keys(spark, documents):
     assert len(confirmed) > 40 and confirmed <= {r.line for r in full if r.may}
 
 
+def test_licence_key_pattern(spark):
+    """The expression finds exactly the texts with a key pair among their words."""
+    keys = sorted({p for _, t in licences.NOTICES for p in licences.key_pairs(t)})
+    rnd = random.Random(9)
+    parts = sorted({w for p in keys for w in p.split()} - {"0"}) + ["1.0", "7", "2020-01", "é", "x", "0"]
+    glue = [" ", "-", "", "\n", "_", ", ", " (", "\u0301", "\U0001f600", ".", "0", "\u0663", "İ", "é"]
+    texts = {"", " ", *keys, *[k.upper() for k in keys], *[g.join(k.split()) for k in keys for g in glue], *["x" + k for k in keys], *[k + "s" for k in keys], *["3 " + k + "4" for k in keys]}
+    texts |= {"".join(rnd.choice(parts) + rnd.choice(glue) for _ in range(rnd.randint(1, 5))) for _ in range(4000)}
+    rows = spark.createDataFrame(sorted((t,) for t in texts), "t string").union(spark.range(1).select(F.lit(None).cast("string")))
+    got = rows.select("t", licences.may_confirm(F.col("t")).alias("may"), licences.pairs(F.col("t")).alias("p")).collect()
+    wrong = [r for r in got if bool(r.may) != bool({*(r.p or [])} & {*keys})]
+    assert not wrong and sum(bool(r.may) for r in got) > 500 and sum(r.may is False for r in got) > 500
+
+
 def test_licences_wrapped(spark):
     """Notices wrapped over lines are found once, where they begin."""
     families = ["gpl", "bsd", "cc-by", "cc-by-nc", "cc-by-sa", "cc0", "mit"]

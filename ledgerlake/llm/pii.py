@@ -2,14 +2,23 @@
 
 Base spans come from four patterns.  The field then labels what the patterns
 left: its nodes are a document's mentions (base spans, whose labels are
-given, and other strings of seven digits or more or with an @), its chain
-joins neighbouring mentions, and skip edges join mentions of the same or a
+given, other strings of seven digits or more or with an @, and tokens: runs
+of 16 or more letters, digits and signs of keys that mix letters and
+digits), its chain joins neighbouring mentions, and skip edges join mentions of the same or a
 similar key however far apart (the same digits, one number the end of the
 other; the same name before the @).  Loopy belief propagation over the whole
 document makes such mentions agree: a number written without its + or with
 other separators gets the label of the full one.  Mentions whose belief in a
 kind passes one half are added; base spans stay as they are.
 
+Secrets (keys, tokens, passwords) are a kind of their own that no pattern
+gives.  Whether a token is one is learnt from where its shape stands: tokens
+that a word like ``token`` or ``password`` is set to are taken for secrets,
+all others aren't.  A shape's weights follow from these counts, such a word
+before a token speaks for a secret with ``NAMED``, and skip edges carry the
+label to the same token without it.  Copies of a token in a document share
+one shape weight, so many unnamed copies don't outvote a named one.
+
 The weights are learnt piece by piece from the base labels of at most
 ``SAMPLE`` documents (the first by hash of doc_id): for each shape the log
 odds of each label, for neighbours their labels' association, for skip edges
@@ -37,12 +46,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-KINDS = ("email", "ip", "card", "phone")
-OTHER = len(KINDS)  # the label of what isn't personal
+#: Labels: the base kinds, what isn't personal, and secrets.
+KINDS = ("email", "ip", "card", "phone", "other", "secret")
+OTHER, SECRET = KINDS.index("other"), KINDS.index("secret")
 SAMPLE = 4000
 ROUNDS, DAMPING = 10, 0.3
 #: Learnt weights are kept within these.
 SHAPE_MOST, CHAIN_MOST, SKIP = 4.0, 0.5, (6.0, 9.0)
+#: Log odds of a secret from a word before it that names one.
+NAMED = 5.0
 
 #: Digits of a number's shortest key; longer numbers are similar only if equal.
 LEAST, LONG = 7, 40
@@ -56,6 +68,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _HOST = re.compile(r"[A-Za-z0-9-]+")
 _DIGITS = re.compile(r"[0-9](?:[ ().-]{0,2}[0-9])+")
 _APART = re.compile(r"[^0-9]+")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+")
+_LETTER, _DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
+#: Words that name a secret (fixed values), before = or : and a quote.
+_NAMED = re.compile(r"(?:token|secret|key|password|passwd|pwd|credential|auth)s?[\"']? ?[:=]{1,2} ?[\"']?\Z")
+_NAME_SPAN = 24
 
 
 def names(text: str, domain: re.Pattern = _DOMAIN):
@@ -110,9 +127,14 @@ def mentions(text: str, found: list) -> list[tuple[int, int, int]]:
 
     out = [(a, b, k) for k, a, b in found]
     out += [(a, b, OTHER) for a, b in names(text, _HOST) if free(a, b)]
+    tokens = [m.span() for m in _TOKEN.finditer(text) if _LETTER.search(m[0]) and _DIGIT.search(m[0]) and free(*m.span())]
+    out += [(a, b, OTHER) for a, b in tokens]
+    first = [a for a, _ in tokens]
     for m in _DIGITS.finditer(text):
         if m.end() - m.start() >= LEAST and len(_APART.sub("", m[0])) >= LEAST and free(*m.span()):
-            out.append((*m.span(), OTHER))
+            i = bisect_left(first, m.end())  # tokens that start before its end
+            if i == 0 or tokens[i - 1][1] <= m.start():
+                out.append((*m.span(), OTHER))
     return sorted(out)
 
 
@@ -120,16 +142,26 @@ def shape(s: str) -> str:
     """What the unary weights know of a mention."""
     if "@" in s:
         return "@" + str(min(3, s.partition("@")[2].count(".")))
+    if _LETTER.search(s):
+        letters = "hex" if not s.strip("0123456789abcdef") or not s.strip("0123456789ABCDEF") else "one case" if s in (s.lower(), s.upper()) else "both cases"
+        return f"${letters}{min(len(s) // 16, 4)}{'-' if not s.isalnum() else ''}"
     d = _APART.sub("", s)
     valid = ("l" if 16 <= len(d) <= 19 and luhn(d) else "") + ("i" if s.count(".") == 3 and _ip(re.sub(r"[^0-9.]", "", s) or "999") else "")
     return f"{min(len(d), 20)}{'+' if s[0] == '+' else ''}{'.' if '.' in s else ''}{valid}"
 
 
+def named(text: str, at: int) -> bool:
+    """Whether a word that names a secret stands before a place."""
+    return _NAMED.search(text[max(0, at - _NAME_SPAN) : at].lower()) is not None
+
+
 def ends(s: str) -> tuple[str, list[str]]:
     """Key of a mention, and the ends of it that a similar key may be."""
     if "@" in s:
         name = "@" + s.partition("@")[0].lower()
         return name, [name]
+    if _LETTER.search(s):
+        return "$" + s, ["$" + s]
     d = _APART.sub("", s)
     return d, [d] if len(d) > LONG else [d[i:] for i in range(len(d) - LEAST + 1)]
 
@@ -153,7 +185,7 @@ class Field:
     and ``skip`` (of two equal labels)."""
 
     def __init__(self, counts: dict):
-        k = OTHER + 1
+        k = len(KINDS)
         seen: dict = {}
         pairs, same, not_same = np.ones((k, k)), 1, 1
         for (what, x, y), n in counts.items():
@@ -173,8 +205,18 @@ class Field:
 
     def beliefs(self, text: str, nodes: list) -> np.ndarray:
         """Marginals by node and label, from loopy sum-product."""
-        k = OTHER + 1
-        own = np.array([self.shapes.get(shape(text[a:b]), self.unseen) if l == OTHER else np.where(np.arange(k) == l, 0.0, -50.0) for a, b, l in nodes])
+        k = len(KINDS)
+        shapes = [shape(text[a:b]) for a, b, _ in nodes]
+        own = np.array([self.shapes.get(s, self.unseen) if l == OTHER else np.where(np.arange(k) == l, 0.0, -50.0) for s, (_, _, l) in zip(shapes, nodes)])
+        met = set()
+        for n, (s, (a, b, _)) in enumerate(zip(shapes, nodes)):
+            if s[0] == "$":
+                if text[a:b] in met:  # copies of a token share one shape weight
+                    own[n] = np.where(np.isin(np.arange(k), (OTHER, SECRET)), 0.0, -SHAPE_MOST)
+                met.add(text[a:b])
+                own[n, SECRET] += NAMED if named(text, a) else 0.0
+            else:  # only tokens are secrets
+                own[n, SECRET] = -50.0
         edges = [(i, i + 1, 0) for i in range(len(nodes) - 1)] + [(i, j, 1) for i, j in skips(text, nodes)]
         if not edges:
             e = np.exp(own - own.max(1, keepdims=True))
@@ -224,7 +266,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
             c: Counter = Counter()
             for text in batch["text"]:
                 nodes = mentions(text, base(text))
-                c.update(("shape", shape(text[a:b]), str(l)) for a, b, l in nodes)
+                shapes = [(shape(text[a:b]), a, l) for a, b, l in nodes]
+                c.update(("shape", s, str(SECRET if s[0] == "$" and named(text, a) else l)) for s, a, l in shapes)
                 c.update(("chain", str(x[2]), str(y[2])) for x, y in zip(nodes, nodes[1:]))
                 c.update(("skip", str(nodes[i][2]), str(nodes[j][2])) for i, j in skips(text, nodes) if OTHER not in (nodes[i][2], nodes[j][2]))
             yield pd.DataFrame([(*key, n) for key, n in c.items()], columns=["what", "x", "y", "n"])

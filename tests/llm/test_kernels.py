@@ -66,6 +66,22 @@ def test_field_adds_similar_mentions():
     assert pii.redact("ab 1.2.3.4 c", [(1, 3, 10)]) == "ab <IP> c"
 
 
+def test_field_finds_secrets():
+    """A token's shape, a word that names it and its copies decide, not one pattern."""
+    key, sha, slug = "04dbebab91ab85687d33", "9f" * 20, "release-notes-2024-final"
+    usual = pii.Field({("shape", "$hex1", "5"): 30, ("shape", "$hex2", "4"): 40, ("shape", "$hex2", "5"): 1, ("shape", "$one case1-", "4"): 50})
+    found = lambda f, t: [(pii.KINDS[k], t[a:b]) for k, a, b in f.spans(t, pii.base(t))]
+    assert found(usual, f"so {key} it is") == [("secret", key)]  # the shape is mostly one of secrets
+    assert found(usual, f"commit {sha} of {slug}") == []
+    assert found(usual, f'PASSWORD: "{sha}" was set; {sha}.') == [("secret", sha)] * 2  # named once, the copy agrees
+    assert found(usual, f"token = '{slug}'") == [("secret", slug)]
+    none = pii.Field({})
+    assert found(none, f"so {key} it is") == [] and found(none, f"api_key={key}") == [("secret", key)]
+    assert found(none, "key: " + "a" * 300 + " token = 12345678901234567 " + "monkey: x") == []
+    t = f"mail a.b@c.org, token: {key} and 1234567 in x1234567890123456"
+    assert pii.redact(t, usual.spans(t, pii.base(t))) == "mail <EMAIL>, token: <SECRET> and 1234567 in x1234567890123456"
+
+
 def test_shortest_path():
     p = Pieces()
     t = encoding.Transducer(p).compile()

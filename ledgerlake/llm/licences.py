@@ -195,7 +195,8 @@ def may_confirm(text: Column) -> Column:
 def windows(text: Column) -> Column:
     """Each paragraph alone and joined with those after it: paragraph, last,
     line.  Between its first and last paragraph a window has no more words
-    than the longest notice has between its first and last word."""
+    than the longest notice has between its first and last word.  Only windows
+    with a paragraph that has a key pair, alone or with the next, are made."""
     longest = max(len(notice_words(t)) for _, t in NOTICES)
     lines = F.filter(F.transform(paragraphs(text), lambda x, i: F.struct(i.alias("paragraph"), x.alias("line"), F.size(words(x)).alias("n"))), lambda x: x["n"] > 0)
 
@@ -203,11 +204,13 @@ def windows(text: Column) -> Column:
         line = F.array_join(F.transform(F.slice(ls, i + 1, n), lambda x: x["line"]), " ")
         return F.struct(F.get(ls, i)["paragraph"].alias("paragraph"), F.get(ls, i + n - 1)["paragraph"].alias("last"), line.alias("line"))
 
-    def sizes(ls: Column, i: Column) -> Column:
+    def sizes(ls: Column, near: Column, i: Column) -> Column:
         between = lambda n: F.aggregate(F.slice(ls, i + 2, F.greatest(n - 2, F.lit(0))), F.lit(0), lambda a, x: a + x["n"])
-        return F.filter(F.sequence(F.lit(1), F.least(F.size(ls) - i, F.lit(longest))), lambda n: between(n) <= longest - 2)
+        most = F.when(F.exists(F.slice(near, i + 1, longest), lambda x: x), F.least(F.size(ls) - i, F.lit(longest))).otherwise(F.lit(0))
+        return F.filter(F.filter(F.sequence(F.lit(0), most), lambda n: (n > 0) & F.exists(F.slice(near, i + 1, n), lambda x: x)), lambda n: between(n) <= longest - 2)
 
-    return let(lines, lambda ls: F.flatten(F.transform(ls, lambda x, i: F.transform(sizes(ls, i), lambda n: joined(ls, i, n)))))
+    near = lambda ls: F.transform(ls, lambda x, i: may_confirm(F.concat_ws(" ", x["line"], F.get(ls, i + 1)["line"])))
+    return let(lines, lambda ls: let(near(ls), lambda n: F.flatten(F.transform(ls, lambda x, i: F.transform(sizes(ls, n, i), lambda k: joined(ls, i, k))))))
 
 
 def evidence(found: Column, family: Column) -> Column:

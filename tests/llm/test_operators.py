@@ -119,6 +119,19 @@ def test_licences_wrapped(spark):
     got = sorted((r.doc_id, r.paragraph, r.family) for r in licences.scan(frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect())
     last = len(wrapped)
     assert [g for g in got if g[0] < last] == [(i, 1, f) for i, (f, _) in enumerate(wrapped)]
+    # windows with a key pair are those of all runs of paragraphs that are short enough
+    longest, keys = max(len(licences.notice_words(t)) for _, t in licences.NOTICES), {p for _, t in licences.NOTICES for p in licences.key_pairs(t)}
+    lines = texts[0].split("\n") + ["...", "a b c"] * 40 + ["", "mit"] + texts[-1].split("\n")
+    rows = spark.createDataFrame([("\n".join(lines),)], "t string").select(F.inline(licences.windows(F.col("t")))).where(licences.may_confirm(F.col("line")))
+    full = [(i, x, licences.notice_words(x)) for i, x in enumerate(filter(None, lines)) if licences.notice_words(x)]
+    want = []
+    for i in range(len(full)):
+        for j in range(i, min(len(full), i + longest)):
+            run = full[i : j + 1]
+            line = " ".join(x for _, x, _ in run)
+            if sum(len(w) for *_, w in run[1:-1]) <= longest - 2 and keys & {*licences.notice_pairs(line)}:
+                want.append((run[0][0], run[-1][0], line))
+    assert sorted(tuple(r) for r in rows.collect()) == sorted(want) and len(want) > 20
     # the second line has all word pairs of a notice of MIT, whatever their order
     assert [g for g in got if g[0] == last] == [(last, 1, "apache"), (last, 1, "mit")]
 

@@ -11,7 +11,9 @@ slots + running sum.  So an event that is days late rewrites one slot of one
 account, in state and in output.
 
 State is keyed by (account, bucket of slots): a busy account's events are
-dealt over tasks by time, and ``slot_seconds`` bounds what one entry holds.
+dealt over tasks by time.  A bucket of few events is one entry, read and
+written once a batch; one that outgrows ``PACKED`` events has an entry a slot,
+so that ``slot_seconds`` bounds what one entry holds.
 A timer settles a bucket that has been quiet: its entries shrink to the
 slots' totals.  An event that comes even later is not lost: it is given out
 without a running sum, and ``balances`` works its slot out from the rows.
@@ -34,6 +36,12 @@ from ledgerlake.streaming.queries import use_rocksdb_state
 #: Slot and bucket of events without a time: before all others.
 NO_TIME = -(1 << 62)
 
+#: Events that a bucket holds in one entry at most; each call to the state
+#: store costs more than the handling of an event.
+PACKED = 512
+
+CHANGE = Row("account", "slot", "at", "id", "amount", "running", "total")
+
 
 class SlotBalances(StatefulProcessor):
     """Running sums within slots, for one (account, bucket) key."""
@@ -43,7 +51,9 @@ class SlotBalances(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "slot long", f"at array<long>, id array<{self.id_type}>, amount array<long>")
+        events = f"at array<long>, id array<{self.id_type}>, amount array<long>"
+        self.packed = handle.getValueState("packed", f"slot array<long>, {events}")
+        self.open = handle.getMapState("open", "slot long", events)
         self.settled = handle.getMapState("settled", "slot long", "total long")
 
     @staticmethod
@@ -55,36 +65,78 @@ class SlotBalances(StatefulProcessor):
         arrived: dict[int, list] = {}
         for r in rows:
             arrived.setdefault(r["slot"], []).append((r["at"], r["id"], r["amount"]))
-        for slot in sorted(arrived):
-            yield from self.merged(key, slot, arrived[slot])
+        settled = self.settle_ms is not None and self.settled.exists()
+        packed = self.packed.get()
+        if packed is None and self.open.exists():
+            for slot in sorted(arrived):
+                total = self.settled.getValue((slot,)) if settled else None
+                if total is not None:
+                    yield from self.reopened(key, slot, arrived[slot], total[0])
+                    continue
+                have = self.open.getValue((slot,))
+                events, changes = self.merged(key, slot, list(zip(*have)) if have is not None else [], arrived[slot])
+                yield from changes
+                self.put(slot, events)
+        else:
+            held: dict[int, list] = {}
+            for slot, *event in zip(*packed) if packed is not None else ():
+                held.setdefault(slot, []).append(tuple(event))
+            for slot in sorted(arrived):
+                total = self.settled.getValue((slot,)) if settled else None
+                if total is not None:
+                    yield from self.reopened(key, slot, arrived[slot], total[0])
+                    continue
+                held[slot], changes = self.merged(key, slot, held.get(slot, []), arrived[slot])
+                yield from changes
+            self.keep(held, packed is not None)
         if self.settle_ms is not None:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.settle_ms)
 
-    def merged(self, key, slot: int, new: list):
-        account, bucket = key
-        settled = self.settled.getValue((slot,))
-        if settled is not None:
-            for at, ident, amount in new:
-                yield Row(account=account, slot=slot, at=at, id=ident, amount=amount, running=None, total=None)
-            total = settled[0] + sum(e[2] for e in new)
-            self.settled.updateValue((slot,), (total,))
-        else:
-            have = self.open.getValue((slot,))
-            have = list(zip(*have)) if have is not None else []
-            events = sorted([*have, *new], key=self.place)
-            first = min(map(self.place, new))
-            total = 0
-            for at, ident, amount in events:
-                total += amount
-                if self.place((at, ident, amount)) >= first:
-                    yield Row(account=account, slot=slot, at=at, id=ident, amount=amount, running=total, total=None)
-            self.open.updateValue((slot,), tuple(map(list, zip(*events))))
-        yield Row(account=account, slot=slot, at=None, id=None, amount=None, running=None, total=total)
+    def put(self, slot: int, events: list) -> None:
+        self.open.updateValue((slot,), tuple(map(list, zip(*events))))
+
+    def keep(self, held: dict[int, list], was_packed: bool) -> None:
+        """The bucket's events as one entry, or an entry a slot if they are many."""
+        flat = [(slot, *event) for slot, events in held.items() for event in events]
+        if len(flat) > PACKED:
+            for slot, events in held.items():
+                self.put(slot, events)
+            if was_packed:
+                self.packed.clear()
+        elif flat:
+            self.packed.update(tuple(map(list, zip(*flat))))
+
+    def reopened(self, key, slot: int, new: list, total: int):
+        """Events of a slot that has settled: its total changes, their running sums are left to ``balances``."""
+        for at, ident, amount in new:
+            yield CHANGE(key[0], slot, at, ident, amount, None, None)
+        total += sum(e[2] for e in new)
+        self.settled.updateValue((slot,), (total,))
+        yield CHANGE(key[0], slot, None, None, None, None, total)
+
+    def merged(self, key, slot: int, have: list, new: list) -> tuple[list, list]:
+        """The slot's events in order, and its changes from the first new one on."""
+        events = sorted([*have, *new], key=self.place)
+        first = min(map(self.place, new))
+        total, changes = 0, []
+        for event in events:
+            at, ident, amount = event
+            total += amount
+            if changes or self.place(event) >= first:
+                changes.append(CHANGE(key[0], slot, at, ident, amount, total, None))
+        changes.append(CHANGE(key[0], slot, None, None, None, None, total))
+        return events, changes
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         """The bucket has been quiet: its entries become totals."""
+        totals: dict[int, int] = {}
+        for slot, _, _, amount in zip(*(self.packed.get() or ())):
+            totals[slot] = totals.get(slot, 0) + amount
+        for slot, total in totals.items():
+            self.settled.updateValue((slot,), (total,))
+        self.packed.clear()
         for (slot,), (_, _, amounts) in list(self.open.iterator()):
             self.settled.updateValue((slot,), (sum(amounts),))
             self.open.removeKey((slot,))

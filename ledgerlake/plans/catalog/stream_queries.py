@@ -88,14 +88,25 @@ def stream_balance_after(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", F.col("balance_after").cast("bigint").alias("balance_after"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt by its columns over the session's shuffle partitions, before
+    its rows become text: the splits of a narrow file may be very few."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *df.columns)
+
+
 def _in_parts(df: DataFrame, n: int, part, name: str) -> tuple[str, int]:
     """``df`` written as ``n`` deliveries by the number ``part``, one after the
-    other; returns the folder and the number of files of a delivery."""
-    from ledgerlake.session import scratch_path
-    folder, files = scratch_path(df.sparkSession, name), 0
+    other; returns the folder and the number of files of a delivery.  The rows
+    are made once, laid out by delivery, and each delivery reads its own."""
+    from ledgerlake.session import path_exists, scratch_path
+    spark = df.sparkSession
+    folder, files = scratch_path(spark, name), 0
+    made = scratch_path(spark, f"{name}_made")
+    df.withColumn("__part", part.cast("int")).write.option("compression", "zstd").partitionBy("__part").parquet(made)
     for k in range(n):
-        (df.where(part == k).hint("rebalance").write.mode("append").parquet(folder))
-        have = len(df.sparkSession.read.parquet(folder).inputFiles())
+        rows = spark.read.schema(df.schema).parquet(f"{made}/__part={k}") if path_exists(spark, f"{made}/__part={k}") else df.limit(0)
+        rows.hint("rebalance").write.mode("append").parquet(folder)
+        have = len(spark.read.parquet(folder).inputFiles())
         files = max(files, -(-have // (k + 1)))
     return folder, files
 
@@ -246,8 +257,8 @@ def stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.sinks import folding
     from ledgerlake.streaming import feeds
     from ledgerlake.streaming import queries as SQ
-    e = transaction_feed_record(R.signed_events(spark, Tables(spark, sf_dir)))
-    records = feeds.envelope(e, "account_id")
+    e = R.signed_events(spark, Tables(spark, sf_dir)).select("event_id", "user_id", "ts", "transaction_type", "amount_cents")
+    records = feeds.envelope(transaction_feed_record(_spread(e)), "account_id")
     folder, files = _in_parts(records, 10, F.pmod(F.xxhash64("value"), F.lit(10)), "transaction_records")
     stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", files).parquet(folder)
     table, ckpt = SQ.scratch(spark, "fact_transactions_folded")

@@ -54,21 +54,25 @@ def stream_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+def _published(records: DataFrame, name: str) -> DataFrame:
+    """Keyed JSON records written as files and read as a stream.  The files
+    hold key and value as compressed columns, since the JSON text of a table is
+    many times the table; lightly, as a split's rows are one task's to parse."""
+    from ledgerlake.session import scratch_path
+    spark, topic = records.sparkSession, scratch_path(records.sparkSession, name)
+    records.write.option("compression", "snappy").parquet(topic)
+    return spark.readStream.schema(records.schema).parquet(topic)
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9 + S8 + R3: events published as keyed JSON records (files stand
     in for the stream), consumed as a stream and ingested into the
     ``fact_transactions`` shape, partitioned by year/month/batch."""
-    from pyspark.sql import types as T2
-
-    from ledgerlake.session import scratch_path
     from ledgerlake.streaming import feeds
     from ledgerlake.streaming import queries as SQ
     t = Tables(spark, sf_dir)
     records = feeds.envelope(transaction_feed_record(R.signed_events(spark, t)), "account_id")
-    topic = scratch_path(spark, "transaction_records")
-    records.write.mode("overwrite").json(topic)
-    raw = T2.StructType([T2.StructField("key", T2.StringType()), T2.StructField("value", T2.StringType())])
-    stream = spark.readStream.schema(raw).json(topic)
+    stream = _published(records, "transaction_records")
     table, ckpt = SQ.scratch(spark, "fact_transactions_live")
     SQ.run_to_end(SQ.ingest_feed(stream, "transaction", table, ckpt))
     return as_ntz(spark.read.parquet(table).drop("batch_id"))
@@ -207,16 +211,10 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _through_feed(spark: SparkSession, rows: DataFrame, feed: str, table: str) -> DataFrame:
     """Rows published as keyed JSON records (K9), consumed as a stream and
     ingested (R3); ``feed_shards`` shows R6."""
-    from pyspark.sql import types as T2
-
-    from ledgerlake.session import scratch_path
     from ledgerlake.streaming import feeds
     from ledgerlake.streaming import queries as SQ
     records = feeds.envelope(rows, S.FEED_KEYS[feed])
-    topic = scratch_path(spark, f"{feed}_records")
-    records.write.json(topic)
-    raw = T2.StructType([T2.StructField("key", T2.StringType()), T2.StructField("value", T2.StringType())])
-    stream = spark.readStream.schema(raw).json(topic)
+    stream = _published(records, f"{feed}_records")
     out, ckpt = SQ.scratch(spark, table)
     SQ.run_to_end(SQ.ingest_feed(stream, feed, out, ckpt))
     return as_ntz(spark.read.parquet(out).drop("batch_id"))

@@ -156,3 +156,18 @@ def naive_repeats(texts, length):
         spans = sum(m and (i == 0 or not mask[i - 1]) for i, m in enumerate(mask))
         out.append((len(t), sum(mask), spans, hashlib.sha256(bytes(c for c, m in zip(t, mask) if not m)).hexdigest()))
     return out
+
+
+def test_anchors_of_joined_texts(monkeypatch):
+    """Texts that are joined have the anchors that each has alone."""
+    rnd = random.Random(3)
+    texts = [bytes(rnd.choice(b"aab" if i % 2 else b"abcdefgh") for _ in range(n)) for i, n in enumerate((0, 11, 12, 13, 40, 200, 0, 90, 11, 300))]
+    texts += [b"a" * 60, b"ab" * 40, texts[5]]
+    alone = [suffixes.anchors([t], 12, 3) for t in texts]
+    for size in (1, 150, 10**6):
+        monkeypatch.setattr(suffixes, "BATCH", size)
+        sizes, columns, spans, within = suffixes.anchors(texts, 12, 3)
+        assert sizes == [x[0][0] for x in alone] and spans == [x[2][0] for x in alone]
+        assert {k: v.tolist() for k, v in columns.items()} == {k: [n for x in alone for n in x[1][k].tolist()] for k in columns}
+        assert {k: v.dtype for k, v in columns.items()} == {k: np.dtype(t) for k, t in suffixes.TYPES.items()}
+        assert within.tolist() == [r for x in alone for r in x[3].tolist()]

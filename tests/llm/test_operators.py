@@ -231,6 +231,17 @@ def test_suffixes(spark, odd, empty, documents):
     assert got == dict(zip([i for i, _ in texts], naive_repeats([t for _, t in texts], 400)))
 
 
+def test_suffixes_cut_each_text_once(spark):
+    """The phrases of a text are made once, though texts without any are left out."""
+    rnd = random.Random(6)
+    long = "".join(rnd.choice("abcdefgh ") for _ in range(700))
+    d = suffixes.with_row(frame(spark, [(1, long, None, None), (2, "short", None, None), (3, None, None, None), (4, "é" * 200, None, None)]))
+    cuts = suffixes.phrases(d)
+    plan = cuts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(r.n for r in cuts.select(F.size("found").alias("n")).collect())[0] > 0 and cuts.count() == 2
+
+
 def test_suffixes_of_one_gram(spark, monkeypatch):
     """A gram with more blocks than BIG is dealt by ranges."""
     monkeypatch.setattr(suffixes, "BIG", 2)

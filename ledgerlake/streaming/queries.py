@@ -14,12 +14,16 @@ checkpoint, and every micro-batch write is idempotent:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.session import scratch_path
 
+if TYPE_CHECKING:
+    from ledgerlake.streaming.orphans import Orphans
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -289,8 +293,12 @@ def compact_changelog(spark: SparkSession, path: str, key: str, snapshot_path: s
     return snapshot_path
 
 
-def append_sink(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True):
-    """Append-mode parquet file sink (exactly-once through its log)."""
+def append_sink(stream: DataFrame | Orphans, path: str, checkpoint: str, available_now: bool = True):
+    """Append-mode parquet file sink (exactly-once through its log).  Orphans
+    (``orphans.Orphans``) go to a folder a batch."""
+    from ledgerlake.streaming.orphans import Orphans
+    if isinstance(stream, Orphans):
+        return stream.start(path, checkpoint, available_now)
     w = (stream.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", path))
     w = w.trigger(availableNow=True) if available_now else w
